@@ -66,9 +66,11 @@ def versions(cells: DataFrame, n: int | None, hot_rows: int | None = None) -> Da
     return top_n(cells.select(*CELLS), CELL, [F.col("ts").desc()], n, hot_rows=hot_rows)
 
 
-def restrict(cells: DataFrame, requests: DataFrame, keys: Sequence[str]) -> DataFrame:
+def restrict(
+    cells: DataFrame, requests: DataFrame, keys: Sequence[str], small_side: bool | None = None
+) -> DataFrame:
     """Cells that some request asks for."""
-    return skew_join(cells, requests.select(*keys).distinct(), keys, "left_semi")
+    return skew_join(cells, requests.select(*keys).distinct(), keys, "left_semi", small_side=small_side)
 
 
 def cell_get(cells: DataFrame, requests: DataFrame) -> DataFrame:
@@ -119,7 +121,7 @@ def rows_get_ordered(cells: DataFrame, requests: DataFrame, columns: Sequence[st
     keys = asked.select("row_key").distinct()
     found = newest(skew_join(cells.filter(column_filter(columns)), keys, ["row_key"], "left_semi", small_side=small))
     hits = match(found, asked, ["row_key"], small_side=small)
-    missing = skew_join(asked, found.select("row_key").distinct(), ["row_key"], "left_anti")
+    missing = skew_join(asked, found.select("row_key").distinct(), ["row_key"], "left_anti", small_side=small)
     nothing = missing.select("*", *[F.lit(None).cast(found.schema[c].dataType).alias(c) for c in CELLS[1:]])
     return hits.unionByName(nothing).select("pos", *CELLS).orderBy("pos", "family", "qualifier")
 
@@ -127,8 +129,9 @@ def rows_get_ordered(cells: DataFrame, requests: DataFrame, columns: Sequence[st
 def rows_exist(cells: DataFrame, requests: DataFrame) -> DataFrame:
     """true/false per request, in order; the key columns in ``requests`` say how fine it asks."""
     keys = [c for c in CELL if c in requests.columns]
-    there = restrict(cells, requests, keys).select(*keys).distinct().withColumn("_there", F.lit(True))
-    answered = skew_join(requests, there, keys, "left")
+    small = is_small(requests)
+    there = restrict(cells, requests, keys, small).select(*keys).distinct().withColumn("_there", F.lit(True))
+    answered = skew_join(requests, there, keys, "left", small_side=small)
     return answered.select(*requests.columns, F.coalesce("_there", F.lit(False)).alias("found")).orderBy("pos")
 
 
@@ -201,9 +204,10 @@ def scan_limit(scanned: DataFrame, n: int, reversed: bool = False) -> DataFrame:
     return skew_join(scanned, first, ["row_key"], "left_semi")
 
 
-def _row_chunks(cells: DataFrame, batch: int) -> DataFrame:
+def _row_chunks(cells: DataFrame, batch: int, count_in: DataFrame | None) -> DataFrame:
     """Cells with the number of the result they belong to: at most ``batch`` columns each."""
-    ranked = group_rank(cells, ["row_key"], [F.col("family"), F.col("qualifier"), F.col("ts").desc()], "_rank")
+    order = [F.col("family"), F.col("qualifier"), F.col("ts").desc()]
+    ranked = group_rank(cells, ["row_key"], order, "_rank", count_in=count_in)
     return ranked.withColumn("part", F.floor(F.col("_rank") / batch))
 
 
@@ -212,18 +216,18 @@ def _entry() -> Column:
     return F.struct(name, F.struct("value", "ts").alias("cell"))
 
 
-def as_row_map(cells: DataFrame, batch: int = 10_000) -> DataFrame:
+def as_row_map(cells: DataFrame, batch: int = 10_000, count_in: DataFrame | None = None) -> DataFrame:
     """One row per key with a map column -> (value, ts); needs one version per column.
 
     A row with more than ``batch`` columns comes as several parts, so no result is unbounded.
     """
-    return _row_chunks(cells, batch).groupBy("row_key", "part").agg(
+    return _row_chunks(cells, batch, count_in).groupBy("row_key", "part").agg(
         F.map_from_entries(F.collect_list(_entry())).alias("columns")
     )
 
 
-def as_row_list(cells: DataFrame, batch: int = 10_000) -> DataFrame:
+def as_row_list(cells: DataFrame, batch: int = 10_000, count_in: DataFrame | None = None) -> DataFrame:
     """One row per key (and part) with its columns as a list sorted by name."""
-    return _row_chunks(cells, batch).groupBy("row_key", "part").agg(
+    return _row_chunks(cells, batch, count_in).groupBy("row_key", "part").agg(
         F.array_sort(F.collect_list(_entry())).alias("columns")
     )

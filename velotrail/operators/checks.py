@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 
 from velotrail.operators.cells import CELL, newest, restrict
 from velotrail.operators.mutations import mutate_rows
-from velotrail.plans.skew import skew_join
+from velotrail.plans.scratch import write_out
+from velotrail.plans.skew import is_small, skew_join
 
 OPS = ("<", "<=", "=", "<>", ">=", ">", "exists")
 
@@ -50,48 +51,52 @@ def check_and_mutate(
     ``mutations``: seq of their check, step (order in it), family, qualifier, op, value.
     ``outcome``: seq, row_key, passed.  ``now_ms`` must not be before the stored times.
     """
-    outcome = _outcome(cells, checks, mutations)
+    small = is_small(checks) and is_small(mutations)
+    # Written once: the answers decide both results and must not be worked out twice.
+    outcome = write_out(_outcome(cells, checks, mutations, small), "outcome")
     passed = outcome.filter("passed").select(F.col("seq").alias("_check"), "row_key")
     applied = mutations.withColumnRenamed("seq", "_check").join(passed, "_check").withColumn(
         "seq", F.struct("_check", "step")
     )
-    return mutate_rows(cells, applied, now_ms), outcome
+    return mutate_rows(cells, applied, now_ms, small), outcome
 
 
-def _outcome(cells: DataFrame, checks: DataFrame, mutations: DataFrame) -> DataFrame:
+def _outcome(cells: DataFrame, checks: DataFrame, mutations: DataFrame, small: bool) -> DataFrame:
     known = F.col("op").isin(*OPS)
     failure = F.raise_error(F.concat(F.lit("unknown comparison: "), F.coalesce("op", F.lit("null"))))
     checks = checks.filter(F.when(known, F.lit(True)).otherwise(failure.cast("boolean")))
     steps = mutations.groupBy("seq").agg(
         F.array_sort(F.collect_list(F.struct("step", "family", "qualifier", "op", "value"))).alias("steps")
     )
-    asked = checks.join(steps, "seq", "left")
     own = F.forall(
         F.coalesce("steps", F.array().cast(f"array<{_STEP}>")),
         lambda s: s["family"].eqNullSafe(F.col("family")) & s["qualifier"].eqNullSafe(F.col("qualifier")),
     )
-    rows = asked.withColumn("_own", own).groupBy("row_key").agg(F.min("_own").alias("_own"))
-    chained = skew_join(asked, rows, ["row_key"], "left").withColumns({
-        "_chain_family": F.when(F.col("_own"), F.col("family")).otherwise(""),
-        "_chain_qualifier": F.when(F.col("_own"), F.col("qualifier")).otherwise(""),
-    }).drop("_own")
-    lengths = chained.groupBy(*_CHAIN).agg(F.count(F.lit(1)).alias("_length"))
-    sized = skew_join(chained, lengths, _CHAIN, "left")
-    stored = newest(restrict(cells, checks, CELL)).select(*CELL, F.col("value").alias("_stored"))
-
-    single = sized.filter(F.col("_length") == 1).join(stored, CELL, "left")
-    answers = single.select("seq", "row_key", holds(F.col("_stored"), F.col("op"), F.col("expected")).alias("passed"))
-
-    longer = sized.filter(F.col("_length") > 1).drop("_length")
-    begin = (
-        longer.select(*_CHAIN, "family", "qualifier").distinct()
-        .join(stored, CELL)
-        .select(*_CHAIN, F.lit(False).alias("check"), F.lit(0).cast("bigint").alias("seq"), "family", "qualifier",
-                F.lit("").alias("op"), F.col("_stored").alias("expected"), F.lit("").alias("steps"))
+    asked = checks.join(steps, "seq", "left").withColumn("_own", own)
+    per_cell = asked.groupBy(*CELL).agg(F.count(F.lit(1)).alias("_cell_n"), F.min("_own").alias("_cell_own"))
+    per_row = per_cell.groupBy("row_key").agg(F.sum("_cell_n").alias("_row_n"), F.min("_cell_own").alias("_row_own"))
+    chains = skew_join(per_cell, per_row, ["row_key"], small_side=small).select(
+        *CELL,
+        F.when(F.col("_row_own"), F.col("family")).otherwise("").alias("_chain_family"),
+        F.when(F.col("_row_own"), F.col("qualifier")).otherwise("").alias("_chain_qualifier"),
+        F.when(F.col("_row_own"), F.col("_cell_n")).otherwise(F.col("_row_n")).alias("_length"),
+    )
+    stored = newest(restrict(cells, checks, CELL, small)).select(*CELL, F.col("value").alias("_stored"))
+    # One row per checked cell: its chain and its value before the checks.
+    states = chains.join(stored, CELL, "left")
+    sized = skew_join(asked.drop("_own"), states, CELL, small_side=small)
+
+    answers = sized.filter(F.col("_length") == 1).select(
+        "seq", "row_key", holds(F.col("_stored"), F.col("op"), F.col("expected")).alias("passed")
+    )
+    acts = sized.filter(F.col("_length") > 1).select(
+        *_CHAIN, F.lit(True).alias("check"), F.col("seq").cast("bigint").alias("seq"), "family", "qualifier", "op",
+        "expected", F.coalesce(F.to_json("steps", {"ignoreNullFields": "false"}), F.lit("")).alias("steps"),
+    )
+    begin = states.filter((F.col("_length") > 1) & F.col("_stored").isNotNull()).select(
+        *_CHAIN, F.lit(False).alias("check"), F.lit(0).cast("bigint").alias("seq"), "family", "qualifier",
+        F.lit("").alias("op"), F.col("_stored").alias("expected"), F.lit("").alias("steps"),
     )
-    acts = longer.select(*_CHAIN, F.lit(True).alias("check"), F.col("seq").cast("bigint").alias("seq"),
-                         "family", "qualifier", "op", "expected",
-                         F.coalesce(F.to_json("steps", {"ignoreNullFields": "false"}), F.lit("")).alias("steps"))
     stream = begin.unionByName(acts).repartition(*_CHAIN).sortWithinPartitions(*_CHAIN, "check", "seq")
     folded = stream.mapInPandas(_fold, "seq bigint, row_key string, passed boolean")
     return answers.unionByName(folded)

@@ -27,17 +27,17 @@ def put_cells(cells: DataFrame, puts: DataFrame, now_ms: int) -> DataFrame:
     """Upsert; the time is that of the cell (``ts``), else of the put (``put_ts``), else now."""
     times = [F.col(c) for c in ("ts", "put_ts") if c in puts.columns]
     stamped = puts.withColumn("ts", F.coalesce(*times, F.lit(now_ms).cast("bigint")))
-    return upsert(cells, stamped.groupBy(*VERSION).agg(F.max("value").alias("value")))
+    return upsert(cells, stamped.groupBy(*VERSION).agg(F.max("value").alias("value")), is_small(puts))
 
 
-def mutate_rows(cells: DataFrame, mutations: DataFrame, ts: int) -> DataFrame:
+def mutate_rows(cells: DataFrame, mutations: DataFrame, ts: int, small_side: bool | None = None) -> DataFrame:
     """Apply puts and deletes (``op``) in ``seq`` order, all with the time ``ts``.
 
     A delete removes all versions up to ``ts`` of the cell, or of the family if its qualifier
     is null; a put sets the version at ``ts``.  Only the last put behind the last delete of a
     cell is left, so each cell's changes fold into one row before anything is joined.
     """
-    small = is_small(mutations)
+    small = is_small(mutations) if small_side is None else small_side
     delete = F.col("op") == "delete"
     per_cell = mutations.filter(F.col("qualifier").isNotNull()).groupBy(*CELL).agg(
         F.max(F.struct("seq", "op", "value")).alias("_last"), F.max(delete).alias("_deleted")
@@ -65,14 +65,15 @@ def increment_cells(cells: DataFrame, increments: DataFrame, now_ms: int) -> tup
     """Add amounts (default 1) to counters, a missing one counts as 0: (cells, new values)."""
     amount = F.coalesce(F.col("amount"), F.lit(1)) if "amount" in increments.columns else F.lit(1)
     sums = increments.groupBy(*CELL).agg(F.sum(amount.cast("bigint")).alias("_sum"))
-    stored = newest(restrict(cells, sums, CELL)).select(*CELL, F.col("value").alias("_old"))
+    small = is_small(sums)
+    stored = newest(restrict(cells, sums, CELL, small)).select(*CELL, F.col("value").alias("_old"))
     number = F.col("_old").try_cast("bigint")
     bad = F.raise_error(F.concat(F.lit("no counter: "), F.col("_old"))).cast("bigint")
     old = F.when(F.col("_old").isNull(), F.lit(0).cast("bigint")).when(number.isNull(), bad).otherwise(number)
     new = sums.join(stored, CELL, "left").select(
         *CELL, F.lit(now_ms).cast("bigint").alias("ts"), (old + F.col("_sum")).cast("string").alias("value")
     )
-    return upsert(cells, new), new.select(*CELL, F.col("value").cast("bigint").alias("value"))
+    return upsert(cells, new, small), new.select(*CELL, F.col("value").cast("bigint").alias("value"))
 
 
 def append_cells(
@@ -88,12 +89,13 @@ def append_cells(
         _in_order("seq", "value").alias("_text")
     )
     added = runs.groupBy(*CELL).agg(_in_order("_run", "_text").alias("_added"))
-    stored = newest(restrict(cells, added, CELL)).select(*CELL, F.col("value").alias("_old"))
+    small = is_small(appends)
+    stored = newest(restrict(cells, appends, CELL, small)).select(*CELL, F.col("value").alias("_old"))
     new = added.join(stored, CELL, "left").select(
         *CELL, F.lit(now_ms).cast("bigint").alias("ts"),
         F.concat(F.coalesce("_old", F.lit("")), "_added").alias("value"),
     )
-    return upsert(cells, new), new.select(*CELL, "value")
+    return upsert(cells, new, small), new.select(*CELL, "value")
 
 
 def _in_order(order: str, value: str) -> Column:
@@ -138,7 +140,7 @@ def delete_typed(cells: DataFrame, deletes: DataFrame, now_ms: int | None = None
         marked = skew_join(out, cut, keys, "left", small_side=small)
         out = marked.filter(F.col("_cut").isNull() | (F.col("ts") > F.col("_cut"))).select(*CELLS)
     single = deletes.filter(F.col("kind") == "column")
-    last = newest(restrict(cells, single.filter(F.col("ts").isNull()), CELL)).select(*VERSION)
+    last = newest(restrict(cells, single.filter(F.col("ts").isNull()), CELL, small)).select(*VERSION)
     exact = single.filter(F.col("ts").isNotNull()).select(*VERSION).unionByName(last).distinct()
     return skew_join(out, exact, VERSION, "left_anti", small_side=small, skewed=False).select(*CELLS)
 

@@ -59,9 +59,13 @@ def recent_track(recent: DataFrame, ids: Sequence[str] | DataFrame | None = None
     return found.orderBy("vehicle_id", "score", "member")
 
 
-def rank_range(recent: DataFrame, first: int, last: int, hot_rows: int | None = None) -> DataFrame:
+def rank_range(
+    recent: DataFrame, first: int, last: int, hot_rows: int | None = None, count_in: DataFrame | None = None
+) -> DataFrame:
     """Members with rank in [first, last]; negative ranks count from the end (0, -1 = all)."""
-    ranked = group_rank(recent, ["vehicle_id"], _ascending(), "rank", size="_size", hot_rows=hot_rows)
+    ranked = group_rank(
+        recent, ["vehicle_id"], _ascending(), "rank", size="_size", hot_rows=hot_rows, count_in=count_in
+    )
     low = F.lit(first) if first >= 0 else F.col("_size") + first
     high = F.lit(last) if last >= 0 else F.col("_size") + last
     return ranked.filter((F.col("rank") >= low) & (F.col("rank") <= high)).drop("_size")
@@ -82,14 +86,18 @@ def set_keys(recent: DataFrame) -> DataFrame:
     return recent.select("vehicle_id").distinct().select(text.set_name(F.col("vehicle_id")).alias("set_name"))
 
 
-def keep_last_n(recent: DataFrame, n: int = 1000, hot_rows: int | None = None) -> DataFrame:
+def keep_last_n(
+    recent: DataFrame, n: int = 1000, hot_rows: int | None = None, count_in: DataFrame | None = None
+) -> DataFrame:
     """The ``n`` highest members of each vehicle."""
-    return top_n(recent, ["vehicle_id"], _descending(), n, hot_rows=hot_rows)
+    return top_n(recent, ["vehicle_id"], _descending(), n, hot_rows, count_in)
 
 
-def trimmed_rows(recent: DataFrame, n: int = 1000, hot_rows: int | None = None) -> DataFrame:
+def trimmed_rows(
+    recent: DataFrame, n: int = 1000, hot_rows: int | None = None, count_in: DataFrame | None = None
+) -> DataFrame:
     """What ``keep_last_n`` leaves out."""
-    ranked = group_rank(recent, ["vehicle_id"], _descending(), "_rank", hot_rows=hot_rows)
+    ranked = group_rank(recent, ["vehicle_id"], _descending(), "_rank", hot_rows=hot_rows, count_in=count_in)
     return ranked.filter(F.col("_rank") >= n).drop("_rank")
 
 

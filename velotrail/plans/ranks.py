@@ -58,19 +58,21 @@ def group_rank(
     size: str | None = None,
     sums: Mapping[str, Column] | None = None,
     hot_rows: int | None = None,
+    count_in: DataFrame | None = None,
     parts: int | None = None,
 ) -> DataFrame:
     """Rank (from 0) in the key's group; optionally the group size and sums over earlier rows.
 
     ``sums`` maps a new column name to a number; the column holds the total of the rows
-    before this one (0 for the first).
+    before this one (0 for the first).  ``count_in`` is a frame with the same keys that is
+    cheaper to count than ``df``.
     """
     keys = list(keys)
     measures = dict(sums or {})
     work = df
     for name, value in measures.items():
         work = work.withColumn(f"_m_{name}", value)
-    hot = hot_keys(df, keys, hot_rows)
+    hot = hot_keys(df if count_in is None else count_in, keys, hot_rows)
     if hot is None:
         return _in_window(work, keys, order, rank, size, measures)
     marked = flag_hot(work, keys, hot)

@@ -18,6 +18,9 @@ HOT_ROWS = 1_000_000
 MAX_HOT = 10_000
 #: Pieces that a hot key is split into.
 SALTS = 64
+#: Up to this n a task sends so few rows of a key (Spark limits each window group before the
+#: shuffle) that even a key with a third of all rows is small where it arrives.
+PLAIN_TOP = 100
 #: A side is broadcast only below both of these, checked on the data itself.
 SMALL_ROWS = 100_000
 SMALL_BYTES = 32 * 1024 * 1024
@@ -137,16 +140,17 @@ def top_n(
     keys: Sequence[str],
     order: Sequence[Column],
     n: int,
-    rank: str | None = None,
     hot_rows: int | None = None,
+    count_in: DataFrame | None = None,
 ) -> DataFrame:
-    """The first ``n`` rows of each key; hot keys are reduced piece by piece first.
+    """The first ``n`` rows of each key; for a large ``n`` hot keys are reduced in pieces first.
 
-    Spark limits each window group before the shuffle as well, so a task sends at most
-    ``n`` rows per key (and piece).
+    ``count_in`` is a frame with the same keys that is cheaper to count than ``df``, such as
+    the rows before they were deduplicated.
     """
     keys = list(keys)
-    hot = hot_keys(df, keys, hot_rows)
+    measure = n > PLAIN_TOP or hot_rows is not None
+    hot = hot_keys(df if count_in is None else count_in, keys, hot_rows) if measure else None
     number = "_rn"
     out = df
     if hot is not None:
@@ -163,5 +167,5 @@ def top_n(
             .filter(F.col(number) <= n).drop(number)
         )
         out = cold.unionByName(firsts).drop(_SALT)
-    out = out.withColumn(number, F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter(F.col(number) <= n)
-    return out.withColumnRenamed(number, rank) if rank else out.drop(number)
+    last = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    return out.withColumn(number, last).filter(F.col(number) <= n).drop(number)

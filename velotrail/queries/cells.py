@@ -150,7 +150,7 @@ def _column(family, qualifier):
       max(CASE WHEN qualifier = 'click' THEN ts END) AS click_ts FROM newest GROUP BY row_key""")
 def row_result_map(spark, sf):
     """The map column, shown by its size and by what it holds for each column."""
-    rows = ops.as_row_map(ops.newest(cells(spark, sf)))
+    rows = ops.as_row_map(ops.newest(cells(spark, sf)), count_in=cells(spark, sf))
     names = ("move:click", "move:view", "position:error", "position:purchase", "position:signup")
     cell = {n: F.try_element_at("columns", F.lit(n)) for n in names}
     return rows.select(
@@ -164,7 +164,7 @@ def row_result_map(spark, sf):
       ORDER BY family || ':' || qualifier) AS columns FROM newest GROUP BY row_key""")
 def row_result_sorted(spark, sf):
     """The sorted list, joined to text."""
-    rows = ops.as_row_list(ops.newest(cells(spark, sf)))
+    rows = ops.as_row_list(ops.newest(cells(spark, sf)), count_in=cells(spark, sf))
     shown = F.transform("columns", lambda e: F.concat(
         e["column"], F.lit("="), e["cell"]["value"], F.lit("@"), e["cell"]["ts"].cast("string")))
     return rows.select("row_key", "part", F.array_join(shown, ";").alias("columns"))

@@ -23,7 +23,12 @@ def history(spark, sf):
 
 
 def recent(spark, sf, dedup="line"):
-    return rec.recent_set(parse.parse_line(replayed(lines(spark, sf))), dedup)
+    return rec.recent_set(_tracks(spark, sf), dedup)
+
+
+def _tracks(spark, sf):
+    """The lines before they are made a set: cheap to count."""
+    return parse.parse_line(replayed(lines(spark, sf)))
 
 
 def _vehicles(spark, sf):
@@ -105,12 +110,12 @@ def _ranked(where: str) -> str:
 
 @query("rank_range", _ranked("rank >= 3 AND rank <= size - 4"))
 def rank_range(spark, sf):
-    return rec.rank_range(recent(spark, sf), 3, -4)
+    return rec.rank_range(recent(spark, sf), 3, -4, count_in=_tracks(spark, sf))
 
 
 @query("rank_range_all", _ranked("true"))
 def rank_range_all(spark, sf):
-    return rec.rank_range(recent(spark, sf), 0, -1)
+    return rec.rank_range(recent(spark, sf), 0, -1, count_in=_tracks(spark, sf))
 
 
 @query("latest_position", _R + f""", newest AS (SELECT *,
@@ -158,7 +163,7 @@ def keep_last_n(spark, sf):
 
 @query("trimmed_rows", _newest_n("rn > 5"))
 def trimmed_rows(spark, sf):
-    return rec.trimmed_rows(recent(spark, sf), 5)
+    return rec.trimmed_rows(recent(spark, sf), 5, count_in=_tracks(spark, sf))
 
 
 @query("key_slices", _R + """, keys AS (SELECT DISTINCT 'info_' || vehicle_id AS set_name FROM recent),

@@ -9,9 +9,12 @@ overwritten in place.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from velotrail.operators.distribute import union_sources
 from velotrail.operators.history import HISTORY, bucket_of, history_rows, newest_rows
 from velotrail.operators.parse import parse_line
 from velotrail.operators.recent import keep_last_n, merge_members, recent_set
@@ -48,15 +51,26 @@ def write_history(
     _save(rows, _folder(path, batch_id), ["row_key"], buckets)
 
 
-def read_history(spark: SparkSession, path: str) -> DataFrame:
-    """The settled table; filters on vehicle_id, row_key and bucket reach the files."""
-    return newest_rows(spark.read.schema(HISTORY_SCHEMA).option("basePath", path).parquet(path))
+def _batches(spark: SparkSession, schema: str, paths: Sequence[str], upto: int | None = None) -> DataFrame:
+    found = [spark.read.schema(schema).option("basePath", p).parquet(p) for p in paths]
+    rows = union_sources(*found)
+    return rows if upto is None else rows.filter(F.col("batch_id") <= upto)
+
+
+def read_history(spark: SparkSession, *paths: str, upto: int | None = None) -> DataFrame:
+    """The settled table; filters on vehicle_id, row_key and bucket reach the files.
 
+    Several folders (a compacted one and the live one) read as one table; they may overlap.
+    """
+    return newest_rows(_batches(spark, HISTORY_SCHEMA, paths, upto))
 
-def compact_history(spark: SparkSession, source: str, target: str, buckets: int = BUCKETS) -> None:
-    """Settle all batches of ``source`` into the first batch of a new table."""
-    rows = read_history(spark, source).select(*HISTORY)
-    _save(rows, _folder(target, 0), ["row_key"], buckets)
+
+def compact_history(
+    spark: SparkSession, sources: Sequence[str], target: str, upto: int, buckets: int = BUCKETS
+) -> None:
+    """Settle the batches up to ``upto`` of some folders into one batch of ``target``."""
+    rows = read_history(spark, *sources, upto=upto).select(*HISTORY)
+    _save(rows, _folder(target, upto), ["row_key"], buckets)
 
 
 def write_recent(
@@ -66,20 +80,23 @@ def write_recent(
     """Add a batch of stamped lines to the recent sets; at most ``n`` per vehicle are written."""
     parsed = parse_line(lines, mode=mode)
     track = parsed if mode == "strict" else parsed[0]
-    kept = keep_last_n(recent_set(track, dedup), n)
+    kept = keep_last_n(recent_set(track, dedup), n, count_in=track)
     _save(kept.select(*STORED), _folder(path, batch_id), ["vehicle_id", "score", "line"], buckets)
 
 
-def read_recent(spark: SparkSession, path: str, n: int = 1000, dedup: str = "line") -> DataFrame:
-    batches = spark.read.schema(RECENT_SCHEMA).option("basePath", path).parquet(path)
-    return keep_last_n(merge_members(batches, dedup), n)
+def read_recent(
+    spark: SparkSession, *paths: str, n: int = 1000, dedup: str = "line", upto: int | None = None
+) -> DataFrame:
+    batches = _batches(spark, RECENT_SCHEMA, paths, upto)
+    return keep_last_n(merge_members(batches, dedup), n, count_in=batches)
 
 
 def compact_recent(
-    spark: SparkSession, source: str, target: str, n: int = 1000, dedup: str = "line", buckets: int = BUCKETS
+    spark: SparkSession, sources: Sequence[str], target: str, upto: int, n: int = 1000, dedup: str = "line",
+    buckets: int = BUCKETS,
 ) -> None:
-    rows = read_recent(spark, source, n, dedup).select(*STORED)
-    _save(rows, _folder(target, 0), ["vehicle_id", "score", "line"], buckets)
+    rows = read_recent(spark, *sources, n=n, dedup=dedup, upto=upto).select(*STORED)
+    _save(rows, _folder(target, upto), ["vehicle_id", "score", "line"], buckets)
 
 
 def write_metrics(metrics: DataFrame, path: str, batch_id: int) -> None:
