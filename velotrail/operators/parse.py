@@ -18,10 +18,10 @@ CELL_COLUMNS = {
 }
 
 
-def _demand(df: DataFrame, bad: Column, message: str, shown: str) -> DataFrame:
+def _demand(df: DataFrame, good: Column, message: str, shown: str) -> DataFrame:
     """Fail the job on a bad row.  A filter, so that column pruning cannot drop the check."""
     failure = F.raise_error(F.concat(F.lit(message + ": "), F.coalesce(F.col(shown), F.lit("null"))))
-    return df.filter(F.when(bad, failure.cast("boolean")).otherwise(F.lit(True)))
+    return df.filter(good | failure.cast("boolean"))
 
 
 def _number(time_text: Column) -> Column:
@@ -41,46 +41,48 @@ def parse_line(
     """
     if mode not in ("strict", "lenient"):
         raise ValueError(f"mode must be 'strict' or 'lenient', not {mode!r}")
-    if mode == "lenient":
-        judged = _columns(df, F.split(F.col(line), ",", -1), split_key, lambda c: c)
-        reason = _reason(split_key)
-        good = judged.filter(reason.isNull()).drop("_n", "_k", "_time")
-        rejects = judged.withColumn("reason", reason).filter(F.col("reason").isNotNull())
-        return good, rejects.select(F.col(line).alias("line"), "reason")
-    trimmed = F.regexp_replace(F.col(line), ",+$", "")
-    judged = _columns(df, F.split(trimmed, ",", -1), split_key, lambda c: F.regexp_replace(c, "@+$", ""))
-    return _demand(judged, _reason(split_key).isNotNull(), "bad track line", line).drop("_n", "_k", "_time")
-
-
-def _columns(df: DataFrame, fields: Column, split_key: bool, clean_key) -> DataFrame:
-    work = df.withColumn("_f", fields)
-    key = F.get("_f", F.lit(0))
-    out = work.withColumns(
-        {"_n": F.size("_f"), "row_key": key}
-        | {name: F.get("_f", F.lit(i + 1)) for i, name in enumerate(FIELDS)}
+    strict = mode == "strict"
+    text_line = F.rtrim(F.col(line), F.lit(",")) if strict else F.col(line)
+    fields = F.split(text_line, ",", -1)
+    reason = _reason(fields, strict, split_key)
+    # Nearly all lines pass one pattern; only the others are judged field by field.
+    good = F.col(line).rlike(_usual(strict, split_key)) | reason.isNull()
+    if strict:
+        return _fields(_demand(df, good, "bad track line", line), fields, strict, split_key)
+    bad = df.filter(F.coalesce(~good, F.lit(True)))
+    return _fields(df.filter(good), fields, strict, split_key), bad.select(F.col(line).alias("line"), reason.alias("reason"))
+
+
+def _usual(strict: bool, split_key: bool) -> str:
+    key = "[^,@]*@[0-9]{1,18}" if split_key else "[^,]*"
+    return f"^{key}(,[^,]*){{3}},[^,]{'+' if strict else '*'}$"
+
+
+def _key_parts(key: Column, strict: bool) -> Column:
+    return F.split(F.rtrim(key, F.lit("@")) if strict else key, "@", -1)
+
+
+def _reason(fields: Column, strict: bool, split_key: bool) -> Column:
+    reason = F.when(F.coalesce(F.size(fields), F.lit(0)) != 5, "bad_field_count")
+    if split_key:
+        parts = _key_parts(F.get(fields, F.lit(0)), strict)
+        reason = reason.when(F.size(parts) != 2, "bad_key").when(_number(F.get(parts, F.lit(1))).isNull(), "bad_time")
+    return reason
+
+
+def _fields(df: DataFrame, fields: Column, strict: bool, split_key: bool) -> DataFrame:
+    out = df.withColumn("_f", fields).withColumns(
+        {"row_key": F.get("_f", F.lit(0))} | {name: F.get("_f", F.lit(i + 1)) for i, name in enumerate(FIELDS)}
     ).drop("_f")
-    parts = F.split(clean_key(F.col("row_key")), "@", -1)
     if not split_key:
         return out
     return (
-        out.withColumn("_parts", parts)
-        .withColumns({
-            "_k": F.size("_parts"),
-            "vehicle_id": F.get("_parts", F.lit(0)),
-            "_time": F.get("_parts", F.lit(1)),
-        })
-        .withColumn("event_ms", _number(F.col("_time")))
+        out.withColumn("_parts", _key_parts(F.col("row_key"), strict))
+        .withColumns({"vehicle_id": F.get("_parts", F.lit(0)), "event_ms": _number(F.get("_parts", F.lit(1)))})
         .drop("_parts", "row_key")
     )
 
 
-def _reason(split_key: bool) -> Column:
-    reason = F.when(F.coalesce(F.col("_n"), F.lit(0)) != 5, "bad_field_count")
-    if split_key:
-        reason = reason.when(F.col("_k") != 2, "bad_key").when(F.col("event_ms").isNull(), "bad_time")
-    return reason
-
-
 def with_numbers(track: DataFrame) -> DataFrame:
     """Numeric columns beside the kept text; text that is no number gives null."""
     names = {"lon": "longitude", "lat": "latitude", "angle_deg": "angle", "velocity_kmh": "velocity"}
@@ -136,10 +138,10 @@ def from_cells(cells: DataFrame, strict: bool = True) -> DataFrame:
 
     wide = cells.groupBy("row_key").agg(*[newest(n) for n in FIELDS])
     if strict:
-        lacking = F.lit(False)
+        whole = F.lit(True)
         for n in FIELDS:
-            lacking = lacking | F.col(n).isNull()
-        wide = _demand(wide, lacking, "row without all four columns", "row_key")
+            whole = whole & F.col(n).isNotNull()
+        wide = _demand(wide, whole, "row without all four columns", "row_key")
     vehicle, time = text.split_key(F.col("row_key"))
     return wide.withColumns({"vehicle_id": vehicle, "event_ms": time.try_cast("bigint")})
 
