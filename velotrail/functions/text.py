@@ -163,11 +163,13 @@ def _exact_product_error(a: Column, b: Column) -> Column:
 
 def key_hash(key: Column) -> Column:
     """32-bit multiplicative hash of an ASCII key (``h * 33 + byte``, seed 5381)."""
-    return F.aggregate(
+    seed = F.lit(HASH_SEED).cast("bigint")
+    hashed = F.aggregate(
         F.split(key, "", -1),
-        F.lit(HASH_SEED).cast("bigint"),
+        seed,
         lambda h, ch: (h * HASH_FACTOR + F.ascii(ch)).bitwiseAND(F.lit(HASH_MASK).cast("bigint")),
     )
+    return F.when(key == "", seed).otherwise(hashed)
 
 
 def key_bucket(key: Column, n: int) -> Column:

@@ -15,6 +15,7 @@ from velotrail.plans.skew import is_small, skew_join
 
 ROW_FAMILY = ["row_key", "family"]
 CHUNK = 1000
+DELETE_KINDS = ("row", "family", "columns", "column")
 
 
 def upsert(cells: DataFrame, new: DataFrame, small_side: bool | None = None) -> DataFrame:
@@ -128,9 +129,10 @@ def delete_typed(cells: DataFrame, deletes: DataFrame, now_ms: int | None = None
     newest one if ``ts`` is null.  Without a time the first three take ``now_ms`` (None: all).
     """
     small = is_small(deletes)
-    known = F.col("kind").isin("row", "family", "columns", "column")
-    failure = F.raise_error(F.concat(F.lit("unknown kind of delete: "), F.coalesce("kind", F.lit("null"))))
-    deletes = deletes.filter(F.when(known, F.lit(True)).otherwise(failure.cast("boolean")))
+    known = F.coalesce(F.col("kind").isin(*DELETE_KINDS), F.lit(False))
+    strange = deletes.filter(~known).select("kind").first()
+    if strange:
+        raise ValueError(f"unknown kind of delete: {strange.kind}")
     forever = F.lit(now_ms if now_ms is not None else (1 << 63) - 1).cast("bigint")
     out = cells
     for kind, keys in (("row", ["row_key"]), ("family", ROW_FAMILY), ("columns", CELL)):

@@ -97,30 +97,30 @@ def _spread(df, keys, order, rank, size, measures, parts) -> DataFrame:
     # At most (partitions + hot keys) rows: a key is in several partitions only at their borders.
     totals = table.groupBy(*keys, _PART).agg(
         F.count(F.lit(1)).alias("_n"),
-        F.min(_PLACE).alias("_first"),
+        F.min(_PLACE).alias("_r_first"),
         *[F.sum(f"_m_{m}").alias(f"_t_{m}") for m in measures],
     )
     earlier = Window.partitionBy(*keys).orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
         *[F.col(k).alias(f"_k_{k}") for k in keys],
-        F.col(_PART).alias("_p"),
-        "_first",
-        F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"),
-        F.sum("_n").over(Window.partitionBy(*keys)).alias("_size"),
+        F.col(_PART).alias("_r_part"),
+        "_r_first",
+        F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_r_before"),
+        F.sum("_n").over(Window.partitionBy(*keys)).alias("_r_size"),
         *[F.coalesce(F.sum(f"_t_{m}").over(earlier), F.lit(0)).alias(f"_o_{m}") for m in measures],
     )
-    same = F.col(_PART) == F.col("_p")
+    same = F.col(_PART) == F.col("_r_part")
     for k in keys:
         same = same & table[k].eqNullSafe(F.col(f"_k_{k}"))
     out = table.join(F.broadcast(offsets), same).withColumn(
-        rank, F.col("_before") + F.col(_PLACE) - F.col("_first")
+        rank, F.col("_r_before") + F.col(_PLACE) - F.col("_r_first")
     )
     if size:
-        out = out.withColumn(size, F.col("_size"))
+        out = out.withColumn(size, F.col("_r_size"))
     local = Window.partitionBy(*keys, _PART).orderBy(_PLACE).rowsBetween(Window.unboundedPreceding, -1)
     for m in measures:
         out = out.withColumn(m, F.col(f"_o_{m}") + F.coalesce(F.sum(f"_m_{m}").over(local), F.lit(0)))
     return out.drop(
-        _PART, _PLACE, "_p", "_first", "_before", "_size",
+        _PART, _PLACE, "_r_part", "_r_first", "_r_before", "_r_size",
         *[f"_k_{k}" for k in keys], *[f"_o_{m}" for m in measures], *[f"_m_{m}" for m in measures],
     )

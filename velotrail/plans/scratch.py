@@ -17,9 +17,8 @@ def scratch_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {SETTING} to a folder that all executors share")
-    root = tempfile.mkdtemp(prefix="velotrail-")
-    spark.conf.set(SETTING, root)
-    return root
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="velotrail-"))
+    return spark.sparkContext.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
