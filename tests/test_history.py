@@ -87,6 +87,8 @@ def test_table_of_batches(spark, tmp_path):
     assert both.filter("arrival_ms = 20").count() == 20 and both.count() == 120
     tables.compact_history(spark, [path], compact, upto=1, buckets=4)
     assert rows(tables.read_history(spark, compact)) == rows(both)
+    plain = tables.read_history(spark, compact, settled=True)
+    assert rows(plain, *both.columns) == rows(both) and "Exchange" not in plan(plain)
     assert rows(tables.read_history(spark, compact, path)) == rows(both)
 
 

@@ -85,3 +85,4 @@ def test_batches_in_any_order_give_one_set(spark, tmp_path):
     compact = str(tmp_path / "c")
     tables.compact_recent(spark, [str(tmp_path / "x")], compact, upto=2, n=4, buckets=2)
     assert rows(tables.read_recent(spark, compact, n=4)) == results[0]
+    assert rows(tables.read_recent(spark, compact, n=4, settled=True)) == results[0]

@@ -176,6 +176,12 @@ def key_bucket(key: Column, n: int) -> Column:
     return (key_hash(key) % F.lit(n).cast("bigint")).cast("int")
 
 
+def whole_parts(value: Column, n: int) -> Column:
+    """``value / n`` rounded down, in whole numbers all the way."""
+    divisor = F.lit(n).cast("bigint")
+    return F.call_function("div", value - F.pmod(value, divisor), divisor)
+
+
 def _unit(unit: str) -> str:
     if unit not in ("ms", "s"):
         raise ValueError(f"unit must be 'ms' or 's', not {unit!r}")

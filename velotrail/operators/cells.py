@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from velotrail.functions.text import whole_parts
 from velotrail.plans.ranks import group_rank
 from velotrail.plans.skew import is_small, match, skew_join, top_n
 
@@ -208,7 +209,7 @@ def _row_chunks(cells: DataFrame, batch: int, count_in: DataFrame | None) -> Dat
     """Cells with the number of the result they belong to: at most ``batch`` columns each."""
     order = [F.col("family"), F.col("qualifier"), F.col("ts").desc()]
     ranked = group_rank(cells, ["row_key"], order, "_rank", count_in=count_in)
-    return ranked.withColumn("part", F.floor(F.col("_rank") / batch))
+    return ranked.withColumn("part", whole_parts(F.col("_rank"), batch))
 
 
 def _entry() -> Column:

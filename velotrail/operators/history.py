@@ -88,7 +88,7 @@ def page(rows: DataFrame, n: int, after: str | None = None, key: str = "row_key"
 def page_numbers(rows: DataFrame, n: int, key: str = "row_key") -> DataFrame:
     """All pages at once: each row with the number of the page of ``n`` rows it falls on."""
     ranked, _ = table_rank(rows, [F.col(key)], "_rank")
-    return ranked.withColumn("page_no", F.floor(F.col("_rank") / n)).drop("_rank")
+    return ranked.withColumn("page_no", text.whole_parts(F.col("_rank"), n)).drop("_rank")
 
 
 def last_of_first_n(history: DataFrame, n: int = 100) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from velotrail.functions.text import whole_parts
 from velotrail.plans.ranks import group_rank, table_rank
 
 DELAYS = ("send_to_write", "write_to_read", "send_to_read")
@@ -26,12 +27,12 @@ def delay_report(track: DataFrame, now_ms: int, every: int = 100, hot_rows: int
     ranked = group_rank(
         samples, ["vehicle_id"], [F.col("arrival_ms"), F.col("line")], "_rank", hot_rows=hot_rows
     )
-    grouped = ranked.withColumn("group_no", F.floor(F.col("_rank") / every)).groupBy("vehicle_id", "group_no").agg(
+    grouped = ranked.withColumn("group_no", whole_parts(F.col("_rank"), every)).groupBy("vehicle_id", "group_no").agg(
         F.count(F.lit(1)).alias("n"), *[F.sum(d).alias(d) for d in DELAYS]
     ).filter(F.col("n") == every)
     return grouped.select(
         "vehicle_id", "group_no", "n",
-        *[F.floor(F.col(d) / every).alias(f"avg_{d}") for d in DELAYS],
+        *[whole_parts(F.col(d), every).alias(f"avg_{d}") for d in DELAYS],
         *[(F.col(d) / every).alias(f"mean_{d}") for d in DELAYS],
     )
 

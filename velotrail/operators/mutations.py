@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from velotrail.functions.text import whole_parts
 from velotrail.operators.cells import CELL, CELLS, VERSION, newest, restrict, versions
 from velotrail.plans.ranks import group_rank
 from velotrail.plans.skew import is_small, skew_join
@@ -86,7 +87,7 @@ def append_cells(
     on by many tasks and only its runs meet at the end.
     """
     ranked = group_rank(appends.select(*CELL, "seq", "value"), CELL, [F.col("seq")], "_rank")
-    runs = ranked.withColumn("_run", F.floor(F.col("_rank") / chunk)).groupBy(*CELL, "_run").agg(
+    runs = ranked.withColumn("_run", whole_parts(F.col("_rank"), chunk)).groupBy(*CELL, "_run").agg(
         _in_order("seq", "value").alias("_text")
     )
     added = runs.groupBy(*CELL).agg(_in_order("_run", "_text").alias("_added"))

@@ -46,9 +46,12 @@ def merge_members(members: DataFrame, dedup: str = "line") -> DataFrame:
         merged = members.select("vehicle_id", "score", "line", "arrival_ms").distinct()
     else:
         merged = members.groupBy("vehicle_id", "score", "line").agg(F.min("arrival_ms").alias("arrival_ms"))
-    return merged.select(
-        "vehicle_id", "score", text.stamped(F.col("line"), F.col("arrival_ms")).alias("member"), "line", "arrival_ms"
-    )
+    return with_member(merged)
+
+
+def with_member(rows: DataFrame) -> DataFrame:
+    member = text.stamped(F.col("line"), F.col("arrival_ms")).alias("member")
+    return rows.select("vehicle_id", "score", member, "line", "arrival_ms")
 
 
 def recent_track(recent: DataFrame, ids: Sequence[str] | DataFrame | None = None) -> DataFrame:
@@ -105,5 +108,5 @@ def key_slices(keys: DataFrame, n: int, key: str = "set_name") -> DataFrame:
     """Keys in byte order cut into ``n`` runs of ``total div n``; the last run takes the rest."""
     ranked, total = table_rank(keys.select(key).distinct(), [F.col(key)], "_rank")
     size = total // n
-    number = F.least(F.floor(F.col("_rank") / size), F.lit(n - 1)) if size else F.lit(n - 1)
+    number = F.least(text.whole_parts(F.col("_rank"), size), F.lit(n - 1)) if size else F.lit(n - 1)
     return ranked.select(key, number.cast("int").alias("slice"))

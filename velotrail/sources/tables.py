@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from velotrail.operators.distribute import union_sources
 from velotrail.operators.history import HISTORY, bucket_of, history_rows, newest_rows
 from velotrail.operators.parse import parse_line
-from velotrail.operators.recent import keep_last_n, merge_members, recent_set
+from velotrail.operators.recent import keep_last_n, merge_members, recent_set, with_member
 
 BUCKETS = 64
 HISTORY_SCHEMA = (
@@ -57,18 +57,22 @@ def _batches(spark: SparkSession, schema: str, paths: Sequence[str], upto: int |
     return rows if upto is None else rows.filter(F.col("batch_id") <= upto)
 
 
-def read_history(spark: SparkSession, *paths: str, upto: int | None = None) -> DataFrame:
-    """The settled table; filters on vehicle_id, row_key and bucket reach the files.
+def read_history(
+    spark: SparkSession, *paths: str, upto: int | None = None, settled: bool = False
+) -> DataFrame:
+    """The table with one row per key; filters on vehicle_id, row_key and bucket reach the files.
 
     Several folders (a compacted one and the live one) read as one table; they may overlap.
+    ``settled`` is for one compacted folder, whose keys are unique: a plain scan, no shuffle.
     """
-    return newest_rows(_batches(spark, HISTORY_SCHEMA, paths, upto))
+    rows = _batches(spark, HISTORY_SCHEMA, paths, upto)
+    return rows.drop("batch_id") if settled else newest_rows(rows)
 
 
 def compact_history(
     spark: SparkSession, sources: Sequence[str], target: str, upto: int, buckets: int = BUCKETS
 ) -> None:
-    """Settle the batches up to ``upto`` of some folders into one batch of ``target``."""
+    """Settle the batches up to ``upto`` of some folders into ``target``, a new folder."""
     rows = read_history(spark, *sources, upto=upto).select(*HISTORY)
     _save(rows, _folder(target, upto), ["row_key"], buckets)
 
@@ -85,9 +89,13 @@ def write_recent(
 
 
 def read_recent(
-    spark: SparkSession, *paths: str, n: int = 1000, dedup: str = "line", upto: int | None = None
+    spark: SparkSession, *paths: str, n: int = 1000, dedup: str = "line", upto: int | None = None,
+    settled: bool = False,
 ) -> DataFrame:
+    """The ``n`` newest members per vehicle; ``settled`` as for the history."""
     batches = _batches(spark, RECENT_SCHEMA, paths, upto)
+    if settled:
+        return with_member(batches)
     return keep_last_n(merge_members(batches, dedup), n, count_in=batches)
 
 
