@@ -42,7 +42,7 @@ def parse_line(
     if mode not in ("strict", "lenient"):
         raise ValueError(f"mode must be 'strict' or 'lenient', not {mode!r}")
     strict = mode == "strict"
-    text_line = F.rtrim(F.col(line), F.lit(",")) if strict else F.col(line)
+    text_line = _without_last(F.col(line), ",") if strict else F.col(line)
     fields = F.split(text_line, ",", -1)
     reason = _reason(fields, strict, split_key)
     # Nearly all lines pass one pattern; only the others are judged field by field.
@@ -54,12 +54,18 @@ def parse_line(
 
 
 def _usual(strict: bool, split_key: bool) -> str:
-    key = "[^,@]*@[0-9]{1,18}" if split_key else "[^,]*"
-    return f"^{key}(,[^,]*){{3}},[^,]{'+' if strict else '*'}$"
+    # Possessive, since no part can match what follows it: nothing to go back to.
+    key = "[^,@]*+@[0-9]{1,18}+" if split_key else "[^,]*+"
+    return f"^{key}(?:,[^,]*+){{3}},[^,]{'++' if strict else '*+'}$"
+
+
+def _without_last(value: Column, mark: str) -> Column:
+    """The text without the marks at its end; most texts have none and are not touched."""
+    return F.when(F.endswith(value, F.lit(mark)), F.rtrim(value, F.lit(mark))).otherwise(value)
 
 
 def _key_parts(key: Column, strict: bool) -> Column:
-    return F.split(F.rtrim(key, F.lit("@")) if strict else key, "@", -1)
+    return F.split(_without_last(key, "@") if strict else key, "@", -1)
 
 
 def _reason(fields: Column, strict: bool, split_key: bool) -> Column:
