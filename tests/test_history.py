@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from helpers import plan, rows
 from velotrail.operators import history as hist
 from velotrail.operators.cells import scan_range
+from velotrail.plans import skew
 from velotrail.sources import tables
 
 BODY = "116.1,40.1,10,20"
@@ -52,7 +53,26 @@ def test_many_vehicles_in_request_order(spark):
     got = [(r.pos, r.row_key) for r in hist.track_history(stored, ids).collect()]
     assert got == [(0, "c@1"), (0, "c@2"), (1, "a@1"), (1, "a@2"), (3, "c@1"), (3, "c@2")]
     with pytest.raises(ValueError):
-        hist.track_history(stored, ids, mode="bytes")
+        hist.track_history(stored, ids, mode="some")
+
+
+@pytest.mark.parametrize("large", [False, True])
+def test_byte_ranges_of_many_vehicles(spark, large, monkeypatch):
+    if large:
+        monkeypatch.setattr(skew, "SMALL_ROWS", 0)
+        monkeypatch.setattr(skew, "HOT_ROWS", 2)
+    keys = [f"{v}@{t}" for v in (1, 2, 9, 10, 11, 19, 20, 21, 99, 100, 101, 109, 110, 199, 200, "1:", "19:", "0", "007", "08", "x")
+            for t in ("000000", "0000000", "5", "")] + ["1", "10", "2", "20", "19"]
+    stored = hist.newest_rows(hist.history_rows(stamped(spark, *[(f"{k},{BODY}", 1) for k in keys])))
+    wanted = ["1", "2", "9", "10", "19", "99", "100", "109", "199", "007", "0099", "5", "1"]
+    ids = spark.createDataFrame(list(enumerate(wanted)), "pos int, vehicle_id string")
+    got = [(r.pos, r.row_key) for r in hist.track_history(stored, ids, mode="bytes").collect()]
+    want = [(i, k) for i, v in enumerate(wanted) for k in sorted(set(keys)) if hist.byte_range(v)[0] <= k < hist.byte_range(v)[1]]
+    assert got == want
+    for i, v in enumerate(wanted):
+        assert [r.row_key for r in hist.track_history(stored, [v], mode="bytes").collect()] == [k for j, k in want if j == i]
+    none = spark.createDataFrame([(0, "9")], "pos int, vehicle_id string")
+    assert hist.track_history(stored, none, mode="bytes").count() == 0
 
 
 def test_pages_until_empty_equal_all_pages_at_once(spark):

@@ -85,7 +85,7 @@ def _outcome(cells: DataFrame, checks: DataFrame, mutations: DataFrame, small: b
     # One row per checked cell: its chain and its value before the checks.
     states = chains.join(stored, CELL, "left")
     # Stored values may be of any length, so it is left to Spark whether to broadcast them.
-    sized = skew_join(asked.drop("_own"), states, CELL, small_side=False)
+    sized = skew_join(asked.drop("_own"), states, CELL, small_side=False, skewed=not small)
 
     answers = sized.filter(F.col("_length") == 1).select(
         "seq", "row_key", holds(F.col("_stored"), F.col("op"), F.col("expected")).alias("passed")

@@ -52,14 +52,15 @@ def track_history(
     """Points of vehicles in key order.
 
     ``ids``: None = every vehicle; a list; or a frame (pos, vehicle_id) answered in the order
-    of ``pos``.  ``mode='bytes'`` (lists only) scans ``[id@000000, (id+1)@000000)`` by bytes,
-    which also finds longer ids and misses some (9 -> 10).  With ``buckets`` a list of
-    ids reads only their partitions.
+    of ``pos``.  ``mode='bytes'`` scans ``[id@000000, (id+1)@000000)`` by bytes, which also
+    finds longer ids and misses some (9 -> 10).  With ``buckets`` a list of ids reads only
+    their partitions.
     """
+    if mode not in ("exact", "bytes"):
+        raise ValueError(f"mode must be 'exact' or 'bytes', not {mode!r}")
     if isinstance(ids, DataFrame):
-        if mode != "exact":
-            raise ValueError("a frame of ids is answered by equality; use a list for mode='bytes'")
-        return match(history, ids, ["vehicle_id"]).orderBy("pos", "row_key")
+        found = match(history, ids, ["vehicle_id"]) if mode == "exact" else _in_byte_ranges(history, ids)
+        return found.orderBy("pos", "row_key")
     if ids is None:
         return history.orderBy("row_key")
     if mode == "bytes":
@@ -79,6 +80,32 @@ def byte_range(vehicle_id: str) -> tuple[str, str]:
     return f"{vehicle_id}@000000", f"{int(vehicle_id) + 1}@000000"
 
 
+def _in_byte_ranges(history: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows of each requested range, as an equality join on the text that its two ends share.
+
+    Every key between two keys begins with their common prefix, so a row only meets the
+    requests whose prefix it has.
+    """
+    following = (F.col("vehicle_id").cast("decimal(38,0)") + 1).cast("decimal(38,0)").cast("string")
+    ranges = ids.select(
+        "pos", F.concat("vehicle_id", F.lit("@000000")).alias("_start"), F.concat(following, F.lit("@000000")).alias("_stop")
+    ).filter("_start < _stop")
+    shared = F.size(F.filter(
+        F.sequence(F.lit(1), F.length("_start")),
+        lambda i: F.substring("_start", F.lit(1), i) == F.substring("_stop", F.lit(1), i),
+    ))
+    ranges = ranges.withColumn("_shared", shared).withColumn("_prefix", F.substring("_start", F.lit(1), F.col("_shared")))
+    lengths = sorted(r[0] for r in ranges.select("_shared").distinct().collect())  # no more than an id has digits
+    if not lengths:
+        return history.filter(F.lit(False)).withColumn("pos", F.lit(None).cast(ids.schema["pos"].dataType))
+    rows = history.withColumn("_shared", F.explode(F.lit(lengths))).withColumn(
+        "_prefix", F.substring("row_key", F.lit(1), F.col("_shared"))
+    )
+    met = match(rows, ranges, ["_shared", "_prefix"])
+    inside = (F.col("row_key") >= F.col("_start")) & (F.col("row_key") < F.col("_stop"))
+    return met.filter(inside).drop("_shared", "_prefix", "_start", "_stop")
+
+
 def page(rows: DataFrame, n: int, after: str | None = None, key: str = "row_key") -> DataFrame:
     """The next ``n`` rows behind key ``after``; an empty page ends the scan."""
     rest = rows if after is None else rows.filter(F.col(key) > after)

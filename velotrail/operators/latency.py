@@ -57,7 +57,7 @@ def progress_marks(
     order = order or ["arrival_ms", "line"]
     columns = [F.col(c) for c in order]
     if by:
-        ranked = group_rank(records, [by], columns, "_rank", hot_rows=hot_rows)
+        ranked = group_rank(records.select(by, *order), [by], columns, "_rank", hot_rows=hot_rows)
     else:
         ranked, _ = table_rank(records.select(*order), columns, "_rank")
     marks = ranked.withColumn("running_count", F.col("_rank") + 1).filter(F.col("running_count") % every == 0)

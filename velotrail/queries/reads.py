@@ -53,11 +53,13 @@ def track_history_many(spark, sf):
 _RANGE = ("1000003@000000", "1000100@000000")
 
 
-@query("track_history_bytes", _H + """
-    SELECT * FROM history WHERE row_key >= '1000001@000000' AND row_key < '1000002@000000'
-      OR row_key >= '1000009@000000' AND row_key < '1000010@000000'""")
+@query("track_history_bytes", with_(REPLAYED, TRACK, HISTORY, REQUESTS, _VEHICLES) + """
+    SELECT pos, history.* FROM history JOIN vehicles ON row_key >= vehicles.vehicle_id || '@000000'
+      AND row_key < CAST(CAST(vehicles.vehicle_id AS BIGINT) + 1 AS VARCHAR) || '@000000'""")
 def track_history_bytes(spark, sf):
-    return hist.track_history(history(spark, sf), ["1000001", "1000009"], mode="bytes")
+    """The byte range of every customer's vehicle."""
+    found = hist.track_history(history(spark, sf), _vehicles(spark, sf), mode="bytes")
+    return found.select("pos", *hist.HISTORY)
 
 
 @query("key_range_scan", with_(LINES, TRACK) + """,
