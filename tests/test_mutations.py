@@ -1,6 +1,9 @@
 """Changes against a plain Python table."""
 
+import os
 import random
+import subprocess
+import sys
 
 import pytest
 from pyspark.sql import functions as F
@@ -16,6 +19,9 @@ CELL = "row_key string, family string, qualifier string"
 NOW = 100
 
 
+passes_in_python, _ = chk._fold_functions()
+
+
 @pytest.fixture(params=["small", "large"])
 def size(request, monkeypatch):
     """Run with a broadcast batch, and with a batch and keys that count as huge."""
@@ -153,7 +159,7 @@ def test_typed_deletes(spark, size):
 def test_comparisons(spark, stored, op, expected, passes):
     df = spark.createDataFrame([(stored, op, expected)], "s string, o string, e string")
     assert df.select(chk.holds(F.col("s"), F.col("o"), F.col("e"))).first()[0] is passes
-    assert chk._passes(stored, op, expected) is passes
+    assert passes_in_python(stored, op, expected) is passes
 
 
 @pytest.mark.parametrize("seed", [1, 2, 3])
@@ -176,7 +182,7 @@ def test_checks_equal_one_by_one(spark, size, seed):
             todo.append((seq, step, target[0], None if kind == "family" else target[1],
                          "put" if kind == "put" else "delete", str(rng.randrange(4)) if kind == "put" else None))
         steps += todo
-        passed = chk._passes(newest(table, (row, family, qualifier)), op, expected)
+        passed = passes_in_python(newest(table, (row, family, qualifier)), op, expected)
         want.append((seq, row, passed))
         for _, _, f, q, action, value in todo if passed else ():
             if action == "put":
@@ -211,3 +217,13 @@ def test_check_and_put_and_delete(spark, size):
     after, outcome = chk.check_and_delete(table, drops, NOW)
     assert rows(outcome, "seq", "passed") == [(1, True), (2, False)]
     assert rows(after, "row_key", "family") == [("q", "f"), ("r", "f")]
+
+
+def test_workers_need_no_copy_of_the_package(tmp_path):
+    from pyspark import cloudpickle
+
+    sent = cloudpickle.dumps(chk._fold_functions()[1])
+    load = "import sys; from pyspark import cloudpickle; cloudpickle.loads(sys.stdin.buffer.read()); assert 'velotrail' not in sys.modules"
+    environment = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", load], input=sent, cwd=tmp_path, env=environment, capture_output=True)
+    assert done.returncode == 0, done.stderr

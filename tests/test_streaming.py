@@ -89,8 +89,13 @@ def test_strict_stream_fails_and_lenient_goes_on(spark, tmp_path, feed):
     with pytest.raises(Exception, match="bad track line"):
         strict.awaitTermination(120)
     path = str(tmp_path / "h2")
-    finish(jobs.start_history(feed.stream(), path, str(tmp_path / "s2"), mode="lenient", available_now=True))
+    finish(jobs.start_history(feed.stream(), path, str(tmp_path / "s2"), mode="lenient",
+                              rejects=str(tmp_path / "bad"), available_now=True))
     assert rows(tables.read_history(spark, path), "row_key") == [("a@1",), ("a@2",)]
+    assert rows(tables.read_rejects(spark, str(tmp_path / "bad"))) == [("broken", "bad_field_count", 0)]
+    finish(jobs.start_recent(feed.stream(), str(tmp_path / "r"), str(tmp_path / "s3"), mode="lenient",
+                             rejects=str(tmp_path / "bad2"), available_now=True))
+    assert rows(tables.read_rejects(spark, str(tmp_path / "bad2"))) == [("broken", "bad_field_count", 0)]
 
 
 def test_empty_batch_does_no_work(spark, tmp_path, feed):

@@ -9,6 +9,7 @@ partitions and folded as a stream that holds just the current chain's cell value
 from __future__ import annotations
 
 import json
+import operator
 from collections.abc import Iterator
 
 import pandas as pd
@@ -99,49 +100,54 @@ def _outcome(cells: DataFrame, checks: DataFrame, mutations: DataFrame, small: b
         F.lit("").alias("op"), F.col("_stored").alias("expected"), F.lit("").alias("steps"),
     )
     stream = begin.unionByName(acts).repartition(*_CHAIN).sortWithinPartitions(*_CHAIN, "check", "seq")
-    folded = stream.mapInPandas(_fold, "seq bigint, row_key string, passed boolean")
+    folded = stream.mapInPandas(_fold_functions()[1], "seq bigint, row_key string, passed boolean")
     return answers.unionByName(folded)
 
 
-_COMPARE = {
-    "<": lambda a, b: a < b, "<=": lambda a, b: a <= b, "=": lambda a, b: a == b,
-    "<>": lambda a, b: a != b, ">=": lambda a, b: a >= b, ">": lambda a, b: a > b,
-}
-
-
-def _passes(stored: str | None, op: str, expected: str | None) -> bool:
-    if stored is None:
-        return op == "=" and expected is None
-    if op == "exists":
-        return True
-    if expected is None:
-        return op == "<>"
-    return _COMPARE[op](stored, expected)
-
-
-def _fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Run sorted chains: rows that are no check set a cell's value before the checks begin."""
-    chain, state = None, {}
-    for batch in batches:
-        out = []
-        for row, cf, cq, check, seq, family, qualifier, op, expected, steps in batch.itertuples(index=False):
-            if (row, cf, cq) != chain:
-                chain, state = (row, cf, cq), {}
-            if not isinstance(expected, str):
-                expected = None
-            if not check:
-                state[family, qualifier] = expected
-                continue
-            passed = _passes(state.get((family, qualifier)), op, expected)
-            out.append((seq, row, passed))
-            for s in json.loads(steps) if passed and steps else ():
-                if s["op"] == "put":
-                    state[s["family"], s["qualifier"]] = s["value"]
-                elif s["qualifier"] is None:
-                    state = {k: v for k, v in state.items() if k[0] != s["family"]}
-                else:
-                    state.pop((s["family"], s["qualifier"]), None)
-        yield pd.DataFrame(out, columns=["seq", "row_key", "passed"])
+def _fold_functions():
+    """(passes, fold).  Made inside a function so that they travel to the workers by value and
+    need no copy of this package there."""
+    compare = {"<": operator.lt, "<=": operator.le, "=": operator.eq, "<>": operator.ne, ">=": operator.ge, ">": operator.gt}
+
+    def passes(stored: str | None, op: str, expected: str | None) -> bool:
+        if stored is None:
+            return op == "=" and expected is None
+        if op == "exists":
+            return True
+        if expected is None:
+            return op == "<>"
+        return compare[op](stored, expected)
+
+    def apply(state: dict, steps: list[dict]) -> dict:
+        for s in steps:
+            if s["op"] == "put":
+                state[s["family"], s["qualifier"]] = s["value"]
+            elif s["qualifier"] is None:
+                state = {k: v for k, v in state.items() if k[0] != s["family"]}
+            else:
+                state.pop((s["family"], s["qualifier"]), None)
+        return state
+
+    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Run sorted chains: rows that are no check set a cell's value before the checks begin."""
+        chain, state = None, {}
+        for batch in batches:
+            out = []
+            for row, cf, cq, check, seq, family, qualifier, op, expected, steps in batch.itertuples(index=False):
+                if (row, cf, cq) != chain:
+                    chain, state = (row, cf, cq), {}
+                if not isinstance(expected, str):
+                    expected = None
+                if not check:
+                    state[family, qualifier] = expected
+                    continue
+                passed = passes(state.get((family, qualifier)), op, expected)
+                out.append((seq, row, passed))
+                if passed and steps:
+                    state = apply(state, json.loads(steps))
+            yield pd.DataFrame(out, columns=["seq", "row_key", "passed"])
+
+    return passes, fold
 
 
 def check_and_put(cells: DataFrame, checks: DataFrame, now_ms: int) -> tuple[DataFrame, DataFrame]:

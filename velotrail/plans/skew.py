@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: A key with fewer rows than this is never split.
-HOT_ROWS = 10_000_000
+HOT_ROWS = 5_000_000
 #: At most this many keys are split; any other key holds less than 1/MAX_HOT of all rows.
 MAX_HOT = 10_000
 #: Pieces that a hot key is split into.

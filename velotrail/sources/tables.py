@@ -107,6 +107,17 @@ def compact_recent(
     _save(rows, _folder(target, upto), ["vehicle_id", "score", "line"], buckets)
 
 
+def write_rejects(lines: DataFrame, path: str, batch_id: int = 0, split_key: bool = True) -> None:
+    """The lines that a lenient batch leaves out, with the reason."""
+    _, rejects = parse_line(lines, mode="lenient", split_key=split_key)
+    rejects.write.mode("overwrite").parquet(_folder(path, batch_id))
+
+
+def read_rejects(spark: SparkSession, path: str) -> DataFrame:
+    schema = "line string, reason string, batch_id bigint"
+    return spark.read.schema(schema).option("basePath", path).parquet(path)
+
+
 def write_metrics(metrics: DataFrame, path: str, batch_id: int) -> None:
     """One row of batch statistics under the batch's own folder."""
     metrics.coalesce(1).write.mode("overwrite").parquet(_folder(path, batch_id))

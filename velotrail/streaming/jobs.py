@@ -1,7 +1,8 @@
 """Streams of track lines into the history, the recent sets and the latency log.
 
 Every job has its own checkpoint.  The sinks overwrite the folder of the batch, so a batch
-that is repeated after a failure leaves the same table.
+that is repeated after a failure leaves the same table.  In strict mode a bad line stops the
+job; in lenient mode bad lines are left out and, if ``rejects`` names a folder, kept there.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from velotrail.operators.latency import batch_latency
 from velotrail.operators.parse import parse_line
-from velotrail.sources.tables import BUCKETS, write_history, write_metrics, write_recent
+from velotrail.sources.tables import BUCKETS, write_history, write_metrics, write_recent, write_rejects
 
 
 def with_arrival(lines: DataFrame) -> DataFrame:
@@ -44,23 +45,32 @@ def start(
     return writer.trigger(**trigger).start()
 
 
+def _keep_rejects(batch: DataFrame, batch_id: int, mode: str, path: str | None, split_key: bool = True) -> None:
+    if mode == "lenient" and path:
+        write_rejects(batch, path, batch_id, split_key)
+
+
 def start_history(
-    lines: DataFrame, path: str, checkpoint: str, buckets: int = BUCKETS, mode: str = "strict", **when
+    lines: DataFrame, path: str, checkpoint: str, buckets: int = BUCKETS, mode: str = "strict",
+    rejects: str | None = None, **when,
 ) -> StreamingQuery:
     def sink(batch: DataFrame, batch_id: int) -> None:
         write_history(batch, path, batch_id, buckets, mode)
+        _keep_rejects(batch, batch_id, mode, rejects, split_key=False)
 
     return start(with_arrival(lines), sink, checkpoint, **when)
 
 
 def start_recent(
     lines: DataFrame, path: str, checkpoint: str, n: int = 1000, dedup: str = "line",
-    buckets: int = BUCKETS, mode: str = "strict", parallelism: int | None = None, **when,
+    buckets: int = BUCKETS, mode: str = "strict", parallelism: int | None = None,
+    rejects: str | None = None, **when,
 ) -> StreamingQuery:
     """The recent-set job and its trimmer in one: each batch keeps ``n`` points per vehicle."""
     def sink(batch: DataFrame, batch_id: int) -> None:
         spread = batch.repartition(parallelism) if parallelism else batch
         write_recent(spread, path, n, dedup, batch_id, buckets, mode)
+        _keep_rejects(batch, batch_id, mode, rejects)
 
     return start(with_arrival(lines), sink, checkpoint, **when)
 
