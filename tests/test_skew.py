@@ -20,8 +20,23 @@ def data(spark):
 
 
 def test_hot_keys(data):
-    assert rows(skew.hot_keys(data, ["k"], 100)) == sorted([("hot",), ("warm",), (None,)], key=repr)
+    assert rows(skew.hot_keys(data, ["k"], 100)) == [("",), ("hot",), ("warm",)]
     assert skew.hot_keys(data, ["k"], 1000) is None
+    assert skew.hot_keys(data.filter("id < 0"), ["k"], 0) is None
+    assert ("hot\u000159",) in rows(skew.hot_keys(data, ["k", "t"], 0))
+
+
+def test_hot_keys_among_more_keys_than_the_sketch_tracks(spark):
+    df = spark.range(400_000).selectExpr("CASE WHEN id % 10 = 0 THEN 'a' WHEN id % 1000 = 1 THEN 'b' ELSE cast(id AS string) END AS k")
+    assert rows(skew.hot_keys(df.repartition(6), ["k"], 300)) == [("a",), ("b",)]
+
+
+def test_keys_with_one_text_are_split_alike(spark):
+    df = spark.createDataFrame([("x", None, i) for i in range(20)] + [(None, "x", i) for i in range(20)], "a string, b string, i int")
+    order = [F.col("i")]
+    want = df.filter("i < 3")
+    assert rows(skew.top_n(df, ["a", "b"], order, 3, hot_rows=5)) == rows(want)
+    assert rows(ranks.group_rank(df, ["a", "b"], order, "r", hot_rows=5, parts=4).filter("r < 3").drop("r")) == rows(want)
 
 
 @pytest.mark.parametrize("hot_rows", [0, 100, 200, 10_000])

@@ -1,8 +1,8 @@
 """Hot keys, joins and top-n that hold when one key owns a large share of all rows.
 
-The same idea everywhere: measure the keys once with a partial aggregate (only key
-columns are read and each task sends one row per key), and split only the keys that
-turn out to be hot.  Data without hot keys gets the ordinary plan.
+The same idea everywhere: measure the keys once with a small sketch per task (only key
+columns are read), and split only the keys that turn out to be hot.  Data without hot keys
+gets the ordinary plan.  A key that the sketch does not report costs time, never rows.
 """
 
 from __future__ import annotations
@@ -14,8 +14,11 @@ from pyspark.sql import functions as F
 
 #: A key with fewer rows than this is never split.
 HOT_ROWS = 5_000_000
-#: At most this many keys are split; any other key holds less than 1/MAX_HOT of all rows.
+#: At most this many keys are split.
 MAX_HOT = 10_000
+#: Keys that a sketch tracks (its table has 65,536 places), and groups its merging starts with.
+TRACKED = 49_152
+MERGE_GROUPS = 256
 #: Pieces that a hot key is split into.
 SALTS = 64
 #: Up to this n a task sends so few rows of a key (Spark limits each window group before the
@@ -29,31 +32,37 @@ _SALT = "_salt"
 _HOT = "_hot"
 
 
+def key_text(keys: Sequence[str]) -> Column:
+    """A key as one text.  Two keys may share a text; then both are treated alike on both sides."""
+    return F.concat_ws("\u0001", *[F.col(k).cast("string") for k in keys])
+
+
 def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int | None = None) -> DataFrame | None:
-    """Keys with more than ``hot_rows`` rows (at most ``MAX_HOT`` of them), or None."""
+    """Texts of the keys with more than ``hot_rows`` rows (at most ``MAX_HOT`` of them), or None.
+
+    A frequent-items sketch and not a count per key: what is shuffled does not grow with the
+    number of keys.  Sketches of the tasks are merged in groups first.  It never misses a key
+    with more than ``7 / 65536`` of all rows, and counts exactly while there are few keys.
+    """
     limit = HOT_ROWS if hot_rows is None else hot_rows
-    top = (
-        df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") > limit)
-        .orderBy(F.desc("_n"), *keys).limit(MAX_HOT)
-        .drop("_n")
-    )
-    rows = top.collect()  # bounded by MAX_HOT
-    if not rows:
-        return None
-    return df.sparkSession.createDataFrame(rows, top.schema)
+    texts = df.select(key_text(keys).alias("_text"))
+    # One empty text more, because sketches of nothing cannot be merged.
+    texts = texts.union(df.sparkSession.range(1).select(F.lit("")))
+    parts = texts.withColumn("_group", F.pmod(F.spark_partition_id(), F.lit(MERGE_GROUPS)))
+    sketches = parts.groupBy("_group").agg(F.expr(f"approx_top_k_accumulate(_text, {TRACKED})").alias("_sketch"))
+    top = sketches.agg(F.expr(f"approx_top_k_estimate(approx_top_k_combine(_sketch, {TRACKED}), {MAX_HOT})").alias("_top"))
+    items = top.first()["_top"]  # no more than MAX_HOT
+    found = [(t.item,) for t in items if t["count"] - (t.item == "") > limit]
+    return df.sparkSession.createDataFrame(found, "_hot_text string") if found else None
 
 
 def flag_hot(df: DataFrame, keys: Sequence[str], hot: DataFrame, name: str = _HOT) -> DataFrame:
     """``df`` with a true/false column; ``hot`` has at most MAX_HOT rows, so it is broadcast."""
-    marks = F.broadcast(hot.select(*[F.col(k).alias(f"_h_{k}") for k in keys], F.lit(True).alias(name)))
-    same = None
-    for k in keys:
-        term = df[k].eqNullSafe(F.col(f"_h_{k}"))
-        same = term if same is None else same & term
+    marks = F.broadcast(hot.withColumn(name, F.lit(True)))
     return (
-        df.join(marks, same, "left")
-        .drop(*[f"_h_{k}" for k in keys])
+        df.withColumn("_key_text", key_text(keys))
+        .join(marks, F.col("_key_text") == F.col("_hot_text"), "left")
+        .drop("_key_text", "_hot_text")
         .withColumn(name, F.coalesce(F.col(name), F.lit(False)))
     )
 
