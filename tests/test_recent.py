@@ -28,6 +28,13 @@ def test_dedup(spark):
         members(spark, *twice, dedup="time")
 
 
+def test_score_keeps_the_fraction_and_the_time_its_text(spark):
+    track = parse.parse_line(lines(spark, (f"a@07.5,{BODY}", 1)))
+    assert recent.recent_set(track).first().score == 7.5 and track.first().event_ms == 7
+    assert parse.keyed_by_time(track).first().timed_line == f"07.5@a@07.5,{BODY}"
+    assert parse.score(track).first().score == 7.5
+
+
 def test_same_time_other_payload_is_another_member(spark):
     both = members(spark, ("a@5,2,2,3,4", 1), ("a@5,1,2,3,4", 1))
     assert [r.line for r in recent.recent_track(both, ["a"]).collect()] == ["a@5,1,2,3,4", "a@5,2,2,3,4"]

@@ -67,6 +67,15 @@ def test_group_rank_splits_the_hot_key(spark, data):
     assert len(sizes) > 3 and max(sizes) < 200
 
 
+def test_copies_of_one_row_spread(spark):
+    copies = spark.range(600).select(F.lit("a").alias("k"), F.lit(1).alias("t")).repartition(4)
+    table = ranks._sorted_table(copies, [F.col("k"), F.col("t")], "t", 6)
+    sizes = [r["count"] for r in table.groupBy("_part").count().collect()]
+    assert len(sizes) > 3 and max(sizes) < 300
+    got = ranks.group_rank(copies, ["k"], [F.col("t")], "r", hot_rows=10, parts=6)
+    assert sorted(r.r for r in got.collect()) == list(range(600))
+
+
 @pytest.mark.parametrize("parts", [1, 6])
 def test_table_rank(data, parts):
     ranked, total = ranks.table_rank(data, [F.col("t"), F.col("id")], "r", parts)

@@ -95,13 +95,23 @@ def with_numbers(track: DataFrame) -> DataFrame:
     return track.withColumns({n: F.col(c).try_cast("double") for n, c in names.items()})
 
 
+def time_text(line: Column) -> Column:
+    """The time of a line as it is written."""
+    return text.split_key(F.substring_index(line, ",", 1))[1]
+
+
 def keyed_by_time(track: DataFrame) -> DataFrame:
     """(vehicle_id, ``time@line``)."""
-    return track.select("vehicle_id", F.concat_ws("@", F.col("event_ms").cast("string"), "line").alias("timed_line"))
+    return track.select("vehicle_id", F.concat_ws("@", time_text(F.col("line")), "line").alias("timed_line"))
+
+
+def score_of(line: Column) -> Column:
+    """The time of a line as a number, with its fraction if it has one."""
+    return time_text(line).try_cast("double")
 
 
 def score(track: DataFrame) -> DataFrame:
-    return track.withColumn("score", F.col("event_ms").cast("double"))
+    return track.withColumn("score", score_of(F.col("line")))
 
 
 def stamp(track: DataFrame, target: str = "line", unit: str = "ms", into: str | None = None) -> DataFrame:

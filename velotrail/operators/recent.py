@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from velotrail.functions import text
+from velotrail.operators.parse import score_of
 from velotrail.plans.ranks import group_rank, table_rank
 from velotrail.plans.skew import match, top_n
 
@@ -29,15 +30,12 @@ def recent_set(track: DataFrame, dedup: str = "line") -> DataFrame:
     dedup='member': the same line with another arrival is another member.
     """
     if dedup == "line":
-        groups = track.groupBy("vehicle_id", "line", "event_ms").agg(F.min("arrival_ms").alias("arrival_ms"))
+        groups = track.groupBy("vehicle_id", "line").agg(F.min("arrival_ms").alias("arrival_ms"))
     elif dedup == "member":
-        groups = track.select("vehicle_id", "line", "event_ms", "arrival_ms").distinct()
+        groups = track.select("vehicle_id", "line", "arrival_ms").distinct()
     else:
         raise ValueError(f"dedup must be 'line' or 'member', not {dedup!r}")
-    return groups.select(
-        "vehicle_id", F.col("event_ms").cast("double").alias("score"),
-        text.stamped(F.col("line"), F.col("arrival_ms")).alias("member"), "line", "arrival_ms",
-    )
+    return with_member(groups.withColumn("score", score_of(F.col("line"))))
 
 
 def merge_members(members: DataFrame, dedup: str = "line") -> DataFrame:

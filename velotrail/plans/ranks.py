@@ -24,9 +24,15 @@ _ROW_BITS = 33
 
 
 def _sorted_table(df: DataFrame, order: Sequence[Column], label: str, parts: int | None = None) -> DataFrame:
-    """``df`` range-partitioned and sorted, with the partition and the place in it as columns."""
-    ranged = df.repartitionByRange(parts, *order) if parts else df.repartitionByRange(*order)
-    placed = ranged.sortWithinPartitions(*order).withColumn("_id", F.monotonically_increasing_id())
+    """``df`` range-partitioned and sorted, with the partition and the place in it as columns.
+
+    Rows that are equal in ``order`` follow their content.  Copies of one row get a running
+    number, so that very many copies spread too; which copy gets which does not matter.
+    """
+    told_apart = df.withColumns({"_content": F.xxhash64(*df.columns), "_copy": F.monotonically_increasing_id()})
+    full = [*order, F.col("_content"), F.col("_copy")]
+    ranged = told_apart.repartitionByRange(parts, *full) if parts else told_apart.repartitionByRange(*full)
+    placed = ranged.sortWithinPartitions(*full).drop("_content", "_copy").withColumn("_id", F.monotonically_increasing_id())
     return write_out(
         placed.withColumn(_PART, F.shiftright("_id", _ROW_BITS).cast("int"))
         .withColumn(_PLACE, F.col("_id").bitwiseAND(F.lit((1 << _ROW_BITS) - 1)))
