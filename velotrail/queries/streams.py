@@ -125,7 +125,7 @@ _LATE = f"""CAST(sum({NOW_MS} - event_ms) AS DOUBLE) AS total_ms, CAST(sum({NOW_
 
 
 @query("sink_metrics", with_(LINES, TRACK) + f"""
-    SELECT 0 AS batch_id, count(*) AS n, {_LATE} FROM track UNION ALL SELECT 1, count(*), {_LATE} FROM track""")
+    SELECT CAST(0 AS BIGINT) AS batch_id, count(*) AS n, {_LATE} FROM track UNION ALL SELECT 1, count(*), {_LATE} FROM track""")
 def sink_metrics(spark, sf):
     path = scratch_path(spark, "metrics")
     statistics = latency.batch_latency(parse.parse_line(_stored(spark, sf)), NOW_MS)
@@ -148,7 +148,7 @@ def st_recent(spark, sf):
     return tables.read_recent(spark, path, n=5).select(*RECENT_COLUMNS)
 
 
-@query("st_latency", with_(LINES, TRACK) + f"SELECT 0 AS batch_id, count(*) AS n, {_LATE} FROM track")
+@query("st_latency", with_(LINES, TRACK) + f"SELECT CAST(0 AS BIGINT) AS batch_id, count(*) AS n, {_LATE} FROM track")
 def st_latency(spark, sf):
     path = scratch_path(spark, "metrics")
     _finish(jobs.start_latency(_stream(spark, sf), path, scratch_path(spark, "state"), now_ms=NOW_MS, available_now=True))
