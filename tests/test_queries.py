@@ -9,11 +9,12 @@ import pytest
 import __spark_entry__ as entry
 import check
 from helpers import plan
+from velotrail.queries import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
 
-FOLDED = {n for n in entry.queries() if n.startswith("check_and_")}
+FOLDED = {n for n in QUERIES if n.startswith("check_and_")}
 
 
 @pytest.fixture(scope="module")
@@ -24,7 +25,7 @@ def con():
     return con
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_sql(spark, con, name):
     ok, note = check.compare(spark, con, name, SF)
     assert ok, note
@@ -35,7 +36,7 @@ def test_query_equals_sql(spark, con, name):
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
 def test_entry(spark):
