@@ -7,6 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from velotrail.llm.exact_dedup import exact_dedup
+from velotrail.llm.packing import pack
+from velotrail.llm.token_files import read_token_files, token_checksums, write_token_files
+from velotrail.plans.scratch import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -33,3 +36,15 @@ ORACLES["op1_exact_dedup"] = f"""
 SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = max(doc_id) OVER w AS kept,
   sha256({FOLDED}) AS text_sha256
 FROM documents WINDOW w AS (PARTITION BY {FOLDED})"""
+
+
+@query
+def op4_token_files(spark, sf_dir):
+    path = scratch_path(spark, "token-files")
+    write_token_files(documents(spark, sf_dir), path)
+    return token_checksums(read_token_files(spark, path))
+
+
+@query
+def op5_packing(spark, sf_dir):
+    return pack(documents(spark, sf_dir)).drop("ids", "step_id")

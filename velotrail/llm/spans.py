@@ -7,6 +7,7 @@ hash is a polynomial over random values of its bytes, taken from prefix sums, so
 from __future__ import annotations
 
 import hashlib
+import sys
 
 import numpy as np
 import pyarrow as pa
@@ -77,19 +78,21 @@ def runs(data: np.ndarray, at: np.ndarray, inside: np.ndarray) -> tuple[np.ndarr
     return starts, ends, np.searchsorted(starts, at)
 
 
-_POWERS: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+def kept(name: str) -> dict:
+    """A dict that lives as long as the worker process; the code of this package is sent anew with every task."""
+    return sys.__dict__.setdefault("velotrail_llm", {}).setdefault(name, {})
 
 
 def _powers(seed: int, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Random value of each byte; powers of an odd number and of its inverse modulo 2**64."""
-    known = _POWERS.get(seed)
+    known = kept("powers").get(seed)
     if known is None or len(known[1]) < n:
         base = int(stream(seed + 1, 1)[0]) | 1
         up = np.full(n, base, dtype=U64)
         down = np.full(n, pow(base, -1, 1 << 64), dtype=U64)
         up[0] = down[0] = 1
         known = stream(seed, 256), np.multiply.accumulate(up), np.multiply.accumulate(down)
-        _POWERS[seed] = known
+        kept("powers")[seed] = known
     return known
 
 
