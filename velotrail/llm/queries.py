@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from velotrail.llm.exact_dedup import exact_dedup
+from velotrail.llm.line_dedup import line_dedup
 from velotrail.llm.packing import pack
 from velotrail.llm.token_files import read_token_files, token_checksums, write_token_files
 from velotrail.plans.scratch import scratch_path
@@ -48,3 +49,19 @@ def op4_token_files(spark, sf_dir):
 @query
 def op5_packing(spark, sf_dir):
     return pack(documents(spark, sf_dir)).drop("ids", "step_id")
+
+
+@query
+def op8_line_dedup(spark, sf_dir):
+    return line_dedup(documents(spark, sf_dir)).drop("kept")
+
+
+ORACLES["op8_line_dedup"] = f"""
+WITH lines AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+    unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS position FROM documents),
+keys AS (SELECT *, {FOLDED.replace("coalesce(text, '')", "trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))")} AS k FROM lines),
+found AS (SELECT k, max(doc_id) AS last, count(DISTINCT doc_id) AS n FROM keys WHERE length(k) >= 20 GROUP BY k),
+judged AS (SELECT keys.*, coalesce(n >= 3 AND doc_id <> last, false) AS gone FROM keys LEFT JOIN found USING (k))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY position) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM judged GROUP BY doc_id"""
