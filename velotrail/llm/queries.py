@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from velotrail.llm.decontaminate import decontaminate
 from velotrail.llm.exact_dedup import exact_dedup
 from velotrail.llm.line_dedup import line_dedup
 from velotrail.llm.packing import pack
@@ -65,3 +67,27 @@ judged AS (SELECT keys.*, coalesce(n >= 3 AND doc_id <> last, false) AS gone FRO
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY position) FILTER (WHERE NOT gone), '')) AS kept_sha256
 FROM judged GROUP BY doc_id"""
+
+
+@query
+def op6_decontaminate(spark, sf_dir):
+    found = decontaminate(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
+_WORDS = "regexp_extract_all({}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+ORACLES["op6_decontaminate"] = f"""
+WITH items AS (SELECT item_id, {_WORDS.format(FOLDED)} AS w FROM benchmark),
+windows AS (SELECT item_id, least(len(w), 10) AS m, unnest(range(len(w) - least(len(w), 10) + 1)) AS p, w FROM items WHERE len(w) > 0),
+patterns AS (SELECT DISTINCT item_id, m, array_to_string(w[p + 1 : p + m], ' ') AS pattern FROM windows),
+docs AS (SELECT doc_id, {_WORDS.format(FOLDED)} AS w FROM documents),
+places AS (SELECT doc_id, m, unnest(range(len(w) - m + 1)) AS p, w FROM docs, (SELECT DISTINCT m FROM patterns) WHERE len(w) >= m),
+found AS (SELECT doc_id, item_id, p, m FROM (SELECT doc_id, m, p, array_to_string(w[p + 1 : p + m], ' ') AS pattern FROM places)
+  JOIN patterns USING (m, pattern)),
+hit AS (SELECT doc_id, count(DISTINCT word) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + m)) AS word FROM found) GROUP BY doc_id),
+named AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)"""
