@@ -11,6 +11,8 @@ from velotrail.llm.decontaminate import decontaminate
 from velotrail.llm.exact_dedup import exact_dedup
 from velotrail.llm.line_dedup import line_dedup
 from velotrail.llm.packing import pack
+from velotrail.llm.pii import BASE, find_private, span_list
+from velotrail.llm.sharding import hilbert_shards
 from velotrail.llm.token_files import read_token_files, token_checksums, write_token_files
 from velotrail.plans.scratch import scratch_path
 
@@ -91,3 +93,27 @@ named AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item
 SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
   sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM docs LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)"""
+
+
+@query
+def op9_hilbert_shards(spark, sf_dir):
+    text = F.coalesce("text", F.lit(""))
+    rows = documents(spark, sf_dir).select(
+        "doc_id", "lang", "source", (F.octet_length(text) + 8).cast("long").alias("size"),
+        F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"))
+    placed = hilbert_shards(rows, ["lang", "source", "size", "doc_id"], ["text_crc32", "doc_id"])
+    return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+                         F.lit(None).cast("int").alias("grown_shard"))
+
+
+def _counter(kind):
+    return lambda n, x: n + F.when(x["kind"] == kind, 1).otherwise(0)
+
+
+@query
+def op10_private_spans(spark, sf_dir):
+    found = find_private(documents(spark, sf_dir))
+    base = F.filter("spans", lambda x: x["kind"].isin(*BASE))
+    count = [F.aggregate("spans", F.lit(0).cast("long"), _counter(k)).alias(f"n_{k}") for k in (*BASE, "iban")]
+    return found.select("doc_id", *count, F.sha2(span_list(base), 256).alias("base_sha256"), span_list(F.col("spans")).alias("spans"),
+                        F.array_max(F.transform("spans", lambda x: x["score"])).alias("top_score"))
