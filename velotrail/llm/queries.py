@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from velotrail.llm.decontaminate import decontaminate
 from velotrail.llm.exact_dedup import exact_dedup
 from velotrail.llm.line_dedup import line_dedup
+from velotrail.llm.near_dedup import near_dedup
 from velotrail.llm.packing import pack
 from velotrail.llm.pii import BASE, find_private, span_list
 from velotrail.llm.sharding import hilbert_shards
@@ -117,3 +118,20 @@ def op10_private_spans(spark, sf_dir):
     count = [F.aggregate("spans", F.lit(0).cast("long"), _counter(k)).alias(f"n_{k}") for k in (*BASE, "iban")]
     return found.select("doc_id", *count, F.sha2(span_list(base), 256).alias("base_sha256"), span_list(F.col("spans")).alias("spans"),
                         F.array_max(F.transform("spans", lambda x: x["score"])).alias("top_score"))
+
+
+@query
+def op2_near_dedup(spark, sf_dir):
+    return near_dedup(documents(spark, sf_dir))
+
+
+ORACLES["op2_near_dedup"] = f"""
+WITH RECURSIVE words AS (SELECT doc_id, regexp_extract_all({FOLDED}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+sets AS (SELECT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) = 1 THEN w
+  ELSE list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END) AS s FROM words),
+sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM sets a JOIN sets b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)),
+reach(doc_id, seen) AS (SELECT doc_id, doc_id FROM documents UNION SELECT reach.doc_id, b FROM reach JOIN links ON seen = a)
+SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, min(seen) AS component_id, doc_id = min(seen) AS kept
+FROM reach LEFT JOIN sizes USING (doc_id) GROUP BY doc_id"""
