@@ -25,14 +25,12 @@ FOUND = "doc_id long, row long, n_words long, hits array<struct<start: int, end:
 
 
 class WuManber:
-    """Tables for patterns of ``m`` words: (words, items) with the folded bytes of the words joined by a space."""
+    """Tables for patterns of ``m`` words; a window is the folded bytes of its words joined by a space."""
 
-    def __init__(self, m: int):
+    def __init__(self, m: int, shift: dict[int, int], bucket: dict[int, dict[int, list[bytes]]], items: dict[bytes, list[str]]):
         self.m, self.block = m, min(BLOCK, m)
         self.most = m - self.block + 1
-        self.shift: dict[int, int] = {}
-        self.bucket: dict[int, dict[int, list[bytes]]] = {}
-        self.items: dict[bytes, list[str]] = {}
+        self.shift, self.bucket, self.items = shift, bucket, items
 
     def add(self, window: bytes, blocks: list[int], item: str | None) -> None:
         """blocks: hashes of the window's blocks, by their last word."""
@@ -72,8 +70,8 @@ def _words(column: pa.Array):
     return data, starts, ends, first, hashes(data, starts, ends)
 
 
-def _tables(items: list[tuple[str | None, str | None]], width: int) -> list[WuManber]:
-    """One searcher for each pattern length."""
+def _tables(items: list[tuple[str | None, str | None]], width: int) -> list[tuple]:
+    """What makes up one searcher for each pattern length."""
     by: dict[int, WuManber] = {}
     data, starts, ends, first, word = _words(pa.array([t for _, t in items], pa.string()))
     for k, (item, _) in enumerate(items):
@@ -81,16 +79,17 @@ def _tables(items: list[tuple[str | None, str | None]], width: int) -> list[WuMa
         m = min(width, e - s)
         if not m:
             continue
-        own = by.setdefault(m, WuManber(m))
+        own = by.setdefault(m, WuManber(m, {}, {}, {}))
         blocks = _blocks(word[s:e], own.block).tolist()
         text = [FOLD[data[a:b]].tobytes() for a, b in zip(starts[s:e], ends[s:e], strict=True)]
         for w in range(e - s - m + 1):
             own.add(b" ".join(text[w : w + m]), blocks[w : w + own.most], item)
-    return list(by.values())
+    return [(t.m, t.shift, t.bucket, t.items) for t in by.values()]
 
 
-def _hits(column: pa.Array, tables: list[WuManber]):
+def _hits(column: pa.Array, parts_of: list[tuple]):
     """Of each text: its number of words, the runs of hit words, and the items found."""
+    tables = [WuManber(*x) for x in parts_of]
     for begin, stop in parts(column):
         data, starts, ends, first, word = _words(column.slice(begin, stop - begin))
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from velotrail.llm.decontaminate import decontaminate
 from velotrail.llm.exact_dedup import exact_dedup
+from velotrail.llm.language import identify
 from velotrail.llm.line_dedup import line_dedup
 from velotrail.llm.near_dedup import near_dedup
 from velotrail.llm.packing import pack
@@ -135,3 +136,8 @@ links AS (SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y
 reach(doc_id, seen) AS (SELECT doc_id, doc_id FROM documents UNION SELECT reach.doc_id, b FROM reach JOIN links ON seen = a)
 SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, min(seen) AS component_id, doc_id = min(seen) AS kept
 FROM reach LEFT JOIN sizes USING (doc_id) GROUP BY doc_id"""
+
+
+@query
+def op7_language(spark, sf_dir):
+    return identify(documents(spark, sf_dir))
