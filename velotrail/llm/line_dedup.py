@@ -192,8 +192,11 @@ def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def with_bitmaps(rows: DataFrame, bitmaps: DataFrame) -> DataFrame:
     """``rows`` (doc_id, row, ...) with their bitmap, or null."""
-    size = bitmaps.agg(F.sum(F.length("bitmap") + 64)).first()[0] or 0
-    return rows.join(F.broadcast(bitmaps) if size <= BROADCAST else bitmaps, ["doc_id", "row"], "left")
+    return rows.join(F.broadcast(bitmaps) if _size(bitmaps) <= BROADCAST else bitmaps, ["doc_id", "row"], "left")
+
+
+def _size(bitmaps: DataFrame) -> int:
+    return bitmaps.agg(F.sum(F.length("bitmap") + 64)).first()[0] or 0
 
 
 def line_dedup(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS,
@@ -209,3 +212,36 @@ def line_dedup(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_
     bitmaps = write_out(line_bitmaps(rows.filter("doc_id IS NOT NULL"), min_chars, min_docs), "line-bitmaps")
     return map_batches(with_bitmaps(rows, bitmaps).select("doc_id", "text", "bitmap"), _apply,
                        "doc_id long, n_lines long, n_dropped long, kept string, kept_sha256 string")
+
+
+def _replace(at: int, count_at: int | None):
+    """Rows with their bitmap last: the text without the dropped lines, and its length."""
+
+    def run(batches):
+        for batch in batches:
+            columns = list(batch.columns[:-1])
+            texts = [t if b is None or t is None else "\n".join(keep_lines(t, b))
+                     for t, b in zip(columns[at].to_pylist(), batch.column(len(columns)).to_pylist(), strict=True)]
+            columns[at] = pa.array(texts, pa.string())
+            if count_at is not None:
+                lengths = pa.array([None if t is None else len(t) for t in texts], pa.int64())
+                columns[count_at] = lengths.cast(columns[count_at].type)
+            yield pa.RecordBatch.from_arrays(columns, batch.schema.names[:-1])
+
+    return run
+
+
+def without_repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, id_col: str = "doc_id",
+                           text_col: str = "text", count_col: str = "n_chars") -> DataFrame:
+    """All rows and columns of ``docs``, with ``text_col`` as ``line_dedup`` leaves it and its code points in ``count_col``, if any.
+
+    Null texts stay null; a text that loses all lines becomes empty.
+    """
+    bitmaps = write_out(line_bitmaps(keyed(docs, id_col, text_col).filter("doc_id IS NOT NULL"), min_chars, min_docs), "line-bitmaps")
+    names = docs.columns
+    mark = "_" * (1 + max(len(c) for c in names))  # no column has this name or one that begins with it
+    keys = docs.select("*", F.col(id_col).cast("long").alias(f"{mark}doc"), F.xxhash64(F.col(text_col).cast("string")).alias(f"{mark}row"))
+    renamed = bitmaps.withColumnsRenamed({"doc_id": f"{mark}doc", "row": f"{mark}row", "bitmap": f"{mark}bitmap"})
+    both = keys.join(F.broadcast(renamed) if _size(bitmaps) <= BROADCAST else renamed, [f"{mark}doc", f"{mark}row"], "left")
+    count_at = names.index(count_col) if count_col in names else None
+    return map_batches(both.select(*names, f"{mark}bitmap"), _replace(names.index(text_col), count_at), docs.schema)

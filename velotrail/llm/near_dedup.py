@@ -6,9 +6,10 @@ table unless one collection fails, with probability about 2 * (1 - J**ROWS) ** B
 
 Texts with equal sets form a class, and only classes take part.  Classes that share a key form a bucket.  A bucket's members
 are not paired with one another: each round compares them with a few pivots, those that share most keys first, and joins what
-is similar.  Members of one component need no further test, pivots are done, and the rounds go on, with twice as many
-pivots each, until no bucket has members of different components that were not compared.  So no pair in a bucket is lost,
-and a group of near copies ends after one or two rounds.
+is similar.  Members of one component need no further test, pivots are done, and the rounds go on, with more pivots each,
+until no bucket has members of different components that were not compared.  So no pair in a bucket is lost, and a group of
+near copies ends after one or two rounds.  Pairs whose minhashes agree far too seldom are left out before the full sets meet:
+with 72 minhashes a pair of similarity 0.8 falls below 0.55 less than once in ten million times.
 """
 
 from __future__ import annotations
@@ -19,12 +20,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from velotrail.llm.spans import U64, mix, parts, per_text, shingle_sets, signed, stream
-from velotrail.llm.tables import components, join_groups, map_batches, write_out
+from velotrail.llm.tables import components, join_groups, map_batches, small, write_out
 
 WIDTH, PERCENT, BANDS, ROWS = 2, 80, 12, 3
-#: Ids broadcast at once, 8 bytes each.
-BROADCAST_IDS = 4 << 20
-CLASS = "doc_id long, class long, n_shingles long, left array<long>, right array<long>"
+#: Pivots of a bucket in the second round are so many times those of the first, and so on.
+GROWTH = 16
+#: Share of the threshold that minhashes must reach for a pair to be verified.
+DOUBT = 0.55 / 0.8
+CLASS = "doc_id long, class long, n_shingles long, left array<long>, right array<long>, sketch binary"
 
 
 def class_of(value: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -34,16 +37,19 @@ def class_of(value: np.ndarray, at: np.ndarray) -> np.ndarray:
     return mix(mix(one + size) ^ (two * U64(0x9E3779B97F4A7C15)))
 
 
-def _bands(value: np.ndarray, at: np.ndarray, bands: int, rows: int, collection: int) -> np.ndarray:
-    """Hashes of the sub-signatures of one collection: a line for each text."""
+def _bands(value: np.ndarray, at: np.ndarray, bands: int, rows: int, collection: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the sub-signatures of one collection and 16 bits of each minhash: a line for each text."""
     out = np.zeros((len(at) - 1, bands), dtype=U64)
+    sketch = np.zeros((len(at) - 1, bands * rows), dtype=np.uint16)
     salts, factors = stream(100 + collection, bands * rows), stream(200 + collection, bands * rows) | U64(1)
     for band in range(bands):
         h = np.full(len(at) - 1, band, dtype=U64)
         for k in range(band * rows, (band + 1) * rows):
-            h = mix(h + per_text(np.minimum, mix_light(value, salts[k], factors[k]), at))
+            least = mix(per_text(np.minimum, mix_light(value, salts[k], factors[k]), at))
+            sketch[:, k] = least & U64(0xFFFF)
+            h = mix(h + least)
         out[:, band] = h
-    return out
+    return out, sketch
 
 
 def mix_light(x: np.ndarray, salt, factor) -> np.ndarray:
@@ -57,14 +63,13 @@ def _classes(width: int, bands: int, rows: int):
             for begin, end in parts(batch.column(1)):
                 value, at = shingle_sets(batch.column(1).slice(begin, end - begin), width)
                 n = np.diff(at)
-                none = pa.array(n == 0)
-                sides = []
-                for collection in (0, 1):
-                    keys = signed(_bands(value, at, bands, rows, collection).ravel())
-                    sides.append(pa.ListArray.from_arrays(pa.array(np.arange(end - begin + 1, dtype=np.int32) * bands), pa.array(keys)))
+                sides, sketches = zip(*[_bands(value, at, bands, rows, collection) for collection in (0, 1)], strict=True)
+                edges = pa.array(np.arange(end - begin + 1, dtype=np.int32) * bands)
+                sides = [pa.ListArray.from_arrays(edges, pa.array(signed(side.ravel()))) for side in sides]
+                sketch = pa.array([x.tobytes() for x in np.hstack(sketches)], pa.binary())
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(begin, end - begin), pa.array(signed(class_of(value, at)), mask=(n == 0)), pa.array(n.astype(np.int64)), *sides],
-                    ["doc_id", "class", "n_shingles", "left", "right"])
+                    [batch.column(0).slice(begin, end - begin), pa.array(signed(class_of(value, at)), mask=(n == 0)), pa.array(n.astype(np.int64)), *sides, sketch],
+                    ["doc_id", "class", "n_shingles", "left", "right", "sketch"])
 
     return run
 
@@ -133,6 +138,18 @@ def _similar(percent: int):
     return run
 
 
+def _likely(share: float):
+    """Pairs whose sketches agree in at least that share."""
+
+    def run(batches):
+        for batch in batches:
+            if batch.num_rows:
+                a, b = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint16).reshape(batch.num_rows, -1) for k in (2, 3))
+                yield pa.RecordBatch.from_arrays(batch.columns[:2], ["a", "b"]).filter(pa.array((a == b).mean(axis=1) >= share))
+
+    return run
+
+
 def _buckets(classes: DataFrame) -> DataFrame:
     """(bucket, class) of classes that share a table key with another."""
     keys = (classes.select("class", "left", F.posexplode("right").alias("j", "r")).select("class", "j", "r", F.posexplode("left").alias("i", "l"))
@@ -142,67 +159,81 @@ def _buckets(classes: DataFrame) -> DataFrame:
     return map_batches(ordered, _repeated, "bucket long, class long").distinct()
 
 
-def near_classes(docs: DataFrame, width: int, percent: int, bands: int, rows: int) -> tuple[DataFrame, DataFrame]:
-    """docs (doc_id not null, text) -> (doc_id, class, n_shingles) of each row, and (class, component_id, size) of each class."""
-    spark = docs.sparkSession
-    members = write_out(map_batches(docs, _classes(width, bands, rows), CLASS), "near-classes")
-    classes = write_out(members.filter("class IS NOT NULL").groupBy("class").agg(
-        F.min("doc_id").alias("first_id"), F.count("*").alias("size"), F.first("n_shingles").alias("n"),
-        F.first("left").alias("left"), F.first("right").alias("right")), "classes")
-    met = write_out(_buckets(classes), "buckets")
-    # The more buckets a class is in, the more classes it resembles.
-    shared = met.groupBy("class").agg(F.count("*").alias("shared"))
-    known = write_out(classes.select("class", "first_id", "n").join(shared, "class"), "met-classes")
-    ids = known.select(F.col("first_id").alias("doc_id")).distinct()
-    few = known.count() <= BROADCAST_IDS
-    texts = docs.join(F.broadcast(ids) if few else ids, "doc_id", "left_semi").select("text")
-    sets = map_batches(texts, _sets(width), "class long, set binary").dropDuplicates(["class"])
-    sets = write_out(sets.join(known.select("class"), "class", "left_semi"), "sets")
-    open_ = write_out(met.join(known.select("class", "n", "shared"), "class"), "open")
-
-    roots, links, tested, pivots = None, None, [], 1
+def _of_pair(pairs: DataFrame, table: DataFrame, column: str) -> DataFrame:
+    """``pairs`` (a, b) with a column of both classes."""
+    for side in ("a", "b"):
+        pairs = pairs.join(table.select(F.col("class").alias(side), F.col(column).alias(f"{column}_{side}")), side)
+    return pairs.select("a", "b", f"{column}_a", f"{column}_b")
+
+
+def _merged(roots: DataFrame | None, links: DataFrame) -> DataFrame:
+    """(class, root) after further links between classes."""
+    if roots is None:
+        return components(links).withColumnRenamed("node", "class")
+    # Components are joined as nodes; classes that had no link so far stand for themselves.
+    known, ends = small(roots, 32), links
+    for side in ("a", "b"):
+        ends = ends.join(known.withColumnsRenamed({"class": side, "root": f"root_{side}"}), side, "left")
+    ends = ends.select(F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b"))
+    joined = components(ends)
+    before = roots.join(small(joined, 32).withColumnRenamed("node", "old").withColumnRenamed("root", "new"), F.col("root") == F.col("old"), "left")
+    fresh = joined.join(known.select(F.col("class").alias("node")), "node", "left_anti").withColumnRenamed("node", "class")
+    return write_out(before.select("class", F.coalesce("new", "root").alias("root")).union(fresh), "roots")
+
+
+def _linked(open_: DataFrame, known: DataFrame, sets: DataFrame, percent: int) -> DataFrame | None:
+    """(class, root) of all classes with links.  open_: bucket, class, n, shared."""
+    roots, verified, pivots = None, [], 1
+    share = DOUBT * percent / 100
+    sketches, open_ = small(known.select("class", "sketch"), 256), open_.withColumn("root", F.col("class"))
     while True:
-        top = Window.partitionBy("bucket").orderBy(F.desc("shared"), "class")
         if pivots == 1:
-            best = open_.groupBy("bucket").agg(F.max(F.struct("shared", "class")).alias("best"))
-            best = best.select("bucket", F.col("best.class").alias("pivot"))
+            best = open_.groupBy("bucket").agg(F.max(F.struct("shared", "class", "n", "root")).alias("best")).select("bucket", "best.class", "best.n", "best.root")
         else:
-            best = open_.withColumn("rank", F.row_number().over(top)).filter(F.col("rank") <= pivots).select("bucket", F.col("class").alias("pivot"))
-        best = write_out(best, "pivots")
-        with_size = best.join(known.select(F.col("class").alias("pivot"), F.col("n").alias("pivot_n")), "pivot")
-        pairs = open_.join(with_size, "bucket").filter(
-            (F.col("class") != F.col("pivot")) & (100 * F.least("n", "pivot_n") >= percent * F.greatest("n", "pivot_n")))
-        if roots is not None:
-            named = roots.withColumnsRenamed({"node": "pivot", "root": "pivot_root"})
-            pairs = pairs.join(named, "pivot", "left").filter(F.coalesce("root", "class") != F.coalesce("pivot_root", "pivot"))
+            top = Window.partitionBy("bucket").orderBy(F.desc("shared"), F.desc("class"))
+            best = open_.withColumn("rank", F.row_number().over(top)).filter(F.col("rank") <= pivots).select("bucket", "class", "n", "root")
+        best = small(write_out(best, "pivots"), 64)
+        pairs = open_.join(best.withColumnsRenamed({"class": "pivot", "n": "pivot_n", "root": "pivot_root"}), "bucket")
+        pairs = pairs.filter((F.col("root") != F.col("pivot_root")) & (100 * F.least("n", "pivot_n") >= percent * F.greatest("n", "pivot_n")))
         pairs = pairs.select(F.least("class", "pivot").alias("a"), F.greatest("class", "pivot").alias("b")).distinct()
-        for earlier in tested:
+        for earlier in verified:
             pairs = pairs.join(earlier, ["a", "b"], "left_anti")
-        pairs = write_out(pairs, "pairs")
-        tested.append(pairs)
-        both = (pairs.join(sets.withColumnsRenamed({"class": "a", "set": "set_a"}), "a")
-                .join(sets.withColumnsRenamed({"class": "b", "set": "set_b"}), "b").select("a", "b", "set_a", "set_b"))
-        found = write_out(map_batches(both, _similar(percent), "a long, b long"), "links")
-        links = found if links is None else links.union(found)
+        pairs = write_out(map_batches(_of_pair(pairs, sketches, "sketch"), _likely(share), "a long, b long"), "pairs")
+        verified.append(small(pairs, 32))
+        found = write_out(map_batches(_of_pair(pairs, sets, "set"), _similar(percent), "a long, b long"), "links")
         if found.limit(1).count():
-            roots = components(links)
+            roots = _merged(roots, found)
         # What is left: members that were no pivots, of buckets where components still differ.
-        rest = open_.drop("root").join(best.withColumnRenamed("pivot", "class"), ["bucket", "class"], "left_anti")
-        if roots is not None:
-            rest = rest.join(roots.withColumnRenamed("node", "class"), "class", "left")
-        else:
-            rest = rest.withColumn("root", F.lit(None).cast("long"))
-        own = F.coalesce("root", "class")
-        mixed = rest.groupBy("bucket").agg(F.min(own).alias("least"), F.max(own).alias("most")).filter("least <> most")
-        open_ = write_out(rest.join(mixed.select("bucket"), "bucket", "left_semi"), "open")
+        rest = open_.drop("root").join(best.select("bucket", "class"), ["bucket", "class"], "left_anti")
+        rest = rest.join(small(roots, 32), "class", "left") if roots is not None else rest.withColumn("root", F.col("class"))
+        rest = rest.withColumn("root", F.coalesce("root", "class"))
+        mixed = rest.groupBy("bucket").agg(F.min("root").alias("least"), F.max("root").alias("most")).filter("least <> most").select("bucket")
+        open_ = write_out(rest.join(mixed, "bucket", "left_semi"), "open")
         if not open_.limit(1).count():
-            break
-        pivots *= 2
+            return roots
+        pivots *= GROWTH
 
+
+def near_classes(docs: DataFrame, width: int, percent: int, bands: int, rows: int) -> tuple[DataFrame, DataFrame]:
+    """docs (doc_id not null, text) -> (doc_id, class, n_shingles) of each row, and (class, component_id, size) of each class."""
+    members = write_out(map_batches(docs, _classes(width, bands, rows), CLASS), "near-classes")
+    classes = write_out(members.filter("class IS NOT NULL").groupBy("class").agg(
+        F.min("doc_id").alias("first_id"), F.count("*").alias("size"), F.first("n_shingles").alias("n"),
+        F.first("left").alias("left"), F.first("right").alias("right"), F.first("sketch").alias("sketch")), "classes")
+    met = write_out(_buckets(classes), "buckets")
+    # The more buckets a class is in, the more classes it resembles.
+    shared = met.groupBy("class").agg(F.count("*").alias("shared"))
+    known = write_out(classes.select("class", "first_id", "n", "sketch").join(shared, "class"), "met-classes")
+    ids = write_out(known.select(F.col("first_id").alias("doc_id")).distinct(), "met-ids")
+    texts = docs.join(small(ids, 32), "doc_id", "left_semi").select("text")
+    sets = map_batches(texts, _sets(width), "class long, set binary").join(small(known.select("class"), 32), "class", "left_semi")
+    sets = write_out(sets.dropDuplicates(["class"]), "sets")
+    open_ = write_out(met.join(small(known.select("class", "n", "shared"), 64), "class"), "open")
+    roots = _linked(open_, known, sets, percent)
     if roots is None:
         groups = classes.select("class", F.col("first_id").alias("component_id"), "size")
     else:
-        linked = classes.select("class", "first_id", "size").join(roots.withColumnRenamed("node", "class"), "class", "left")
+        linked = classes.select("class", "first_id", "size").join(small(roots, 32), "class", "left")
         lowest = linked.filter("root IS NOT NULL").groupBy("root").agg(F.min("first_id").alias("least"))
         groups = linked.join(lowest, "root", "left").select("class", F.coalesce("least", "first_id").alias("component_id"), "size")
     return members.select("doc_id", "class", "n_shingles"), write_out(groups, "components")
@@ -227,3 +258,12 @@ def near_dedup(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, band
         "doc_id", "n_shingles", F.lit(None).cast("long").alias("component_id"))
     every = linked.unionByName(empty).unionByName(strays)
     return every.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
+
+
+def without_near_copies(docs: DataFrame, width: int = 5, percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS,
+                        id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that ``near_dedup`` keeps, with all their columns."""
+    judged = near_dedup(docs, width, percent, bands, rows, id_col, text_col)
+    gone = write_out(judged.filter("not kept").select("doc_id").distinct(), "near-copies")
+    mark = "_" * (1 + max(len(c) for c in docs.columns))
+    return docs.join(small(gone.withColumnRenamed("doc_id", mark), 32), F.col(id_col).cast("long") == F.col(mark), "left_anti")

@@ -14,6 +14,7 @@ from velotrail.llm.line_dedup import line_dedup
 from velotrail.llm.near_dedup import near_dedup
 from velotrail.llm.packing import pack
 from velotrail.llm.pii import BASE, find_private, span_list
+from velotrail.llm.quality import judge_quality
 from velotrail.llm.sharding import hilbert_shards
 from velotrail.llm.token_files import read_token_files, token_checksums, write_token_files
 from velotrail.plans.scratch import scratch_path
@@ -141,3 +142,8 @@ FROM reach LEFT JOIN sizes USING (doc_id) GROUP BY doc_id"""
 @query
 def op7_language(spark, sf_dir):
     return identify(documents(spark, sf_dir))
+
+
+@query
+def op3_weak_quality(spark, sf_dir):
+    return judge_quality(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))

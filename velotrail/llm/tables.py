@@ -34,6 +34,15 @@ def join_groups(rows: DataFrame, groups: DataFrame, key: str, size: str, total:
     return rows.join(hot, key).unionByName(cold.join(groups.filter(~big), key))
 
 
+#: Tables of at most so many bytes are broadcast.
+SMALL = 32 << 20
+
+
+def small(table: DataFrame, row_bytes: int) -> DataFrame:
+    """``table`` (written out) marked for broadcast if its rows, of at most so many bytes, fit SMALL; else as it is."""
+    return F.broadcast(table) if table.count() * row_bytes <= SMALL else table
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, root): the smallest node of each node's connected component; links has columns a and b.
 
@@ -44,10 +53,11 @@ def components(links: DataFrame) -> DataFrame:
     labels = write_out(edges.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m"))
                        .select("node", F.least("node", "m").alias("root")), "labels")
     while True:
-        near = (edges.join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node"))
+        known = small(labels, 32)
+        near = (edges.join(known.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node"))
                 .agg(F.min("root").alias("m")))
-        best = labels.join(near, "node").select("node", F.col("root").alias("was"), F.least("root", "m").alias("via"))
-        step = best.join(labels.select(F.col("node").alias("via"), F.col("root").alias("next")), "via").select(
+        best = near.join(known, "node").select("node", F.col("root").alias("was"), F.least("root", "m").alias("via"))
+        step = best.join(known.select(F.col("node").alias("via"), F.col("root").alias("next")), "via").select(
             "node", "was", F.least("via", "next").alias("root"))
         step = write_out(step, "labels")
         changed = step.filter("was <> root").limit(1).count()
