@@ -5,29 +5,25 @@ each: BANDS * BANDS tables of 2 * ROWS minhashes from 2 * BANDS * ROWS of them.
 table unless one collection fails, with probability about 2 * (1 - J**ROWS) ** BANDS.
 
 Texts with equal sets form a class, and only classes take part.  Classes that share a key form a bucket.  A bucket's members
-are not paired with one another: each round compares them with a few pivots, those that share most keys first, and joins what
-is similar.  Members of one component need no further test, pivots are done, and the rounds go on, with more pivots each,
-until no bucket has members of different components that were not compared.  So no pair in a bucket is lost, and a group of
-near copies ends after one or two rounds.  Pairs whose minhashes agree far too seldom are left out before the full sets meet:
-with 72 minhashes a pair of similarity 0.8 falls below 0.55 less than once in ten million times.
+are not paired with one another.  First all meet the one that shares most keys, which joins groups of near copies; members of
+one component need no further test.  What is left of a bucket streams through one task, which compares members of different
+components by the low 32 bits of their shingles and lets out only links that join two of them, so what it returns is no
+longer than the bucket.  Of a long bucket BLOCK members meet all the others, which go on to the next round, until nothing is
+left.  So no pair in a bucket is lost.  All links are confirmed on the full sets.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from velotrail.llm.spans import U64, mix, parts, per_text, shingle_sets, signed, stream
 from velotrail.llm.tables import components, join_groups, map_batches, small, write_out
 
 WIDTH, PERCENT, BANDS, ROWS = 2, 80, 12, 3
-#: Pivots of a bucket in the second round are so many times those of the first, and so on.
-GROWTH = 16
-#: Share of the threshold that minhashes must reach for a pair to be verified.
-DOUBT = 0.55 / 0.8
-CLASS = "doc_id long, class long, n_shingles long, left array<long>, right array<long>, sketch binary"
+CLASS = "doc_id long, class long, n_shingles long, left array<long>, right array<long>"
 
 
 def class_of(value: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -37,19 +33,16 @@ def class_of(value: np.ndarray, at: np.ndarray) -> np.ndarray:
     return mix(mix(one + size) ^ (two * U64(0x9E3779B97F4A7C15)))
 
 
-def _bands(value: np.ndarray, at: np.ndarray, bands: int, rows: int, collection: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the sub-signatures of one collection and 16 bits of each minhash: a line for each text."""
+def _bands(value: np.ndarray, at: np.ndarray, bands: int, rows: int, collection: int) -> np.ndarray:
+    """Hashes of the sub-signatures of one collection: a line for each text."""
     out = np.zeros((len(at) - 1, bands), dtype=U64)
-    sketch = np.zeros((len(at) - 1, bands * rows), dtype=np.uint16)
     salts, factors = stream(100 + collection, bands * rows), stream(200 + collection, bands * rows) | U64(1)
     for band in range(bands):
         h = np.full(len(at) - 1, band, dtype=U64)
         for k in range(band * rows, (band + 1) * rows):
-            least = mix(per_text(np.minimum, mix_light(value, salts[k], factors[k]), at))
-            sketch[:, k] = least & U64(0xFFFF)
-            h = mix(h + least)
+            h = mix(h + per_text(np.minimum, mix_light(value, salts[k], factors[k]), at))
         out[:, band] = h
-    return out, sketch
+    return out
 
 
 def mix_light(x: np.ndarray, salt, factor) -> np.ndarray:
@@ -63,13 +56,12 @@ def _classes(width: int, bands: int, rows: int):
             for begin, end in parts(batch.column(1)):
                 value, at = shingle_sets(batch.column(1).slice(begin, end - begin), width)
                 n = np.diff(at)
-                sides, sketches = zip(*[_bands(value, at, bands, rows, collection) for collection in (0, 1)], strict=True)
+                sides = [_bands(value, at, bands, rows, collection) for collection in (0, 1)]
                 edges = pa.array(np.arange(end - begin + 1, dtype=np.int32) * bands)
                 sides = [pa.ListArray.from_arrays(edges, pa.array(signed(side.ravel()))) for side in sides]
-                sketch = pa.array([x.tobytes() for x in np.hstack(sketches)], pa.binary())
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(begin, end - begin), pa.array(signed(class_of(value, at)), mask=(n == 0)), pa.array(n.astype(np.int64)), *sides, sketch],
-                    ["doc_id", "class", "n_shingles", "left", "right", "sketch"])
+                    [batch.column(0).slice(begin, end - begin), pa.array(signed(class_of(value, at)), mask=(n == 0)), pa.array(n.astype(np.int64)), *sides],
+                    ["doc_id", "class", "n_shingles", "left", "right"])
 
     return run
 
@@ -120,7 +112,8 @@ def _sets(width: int):
                 value, at = shingle_sets(batch.column(0).slice(begin, end - begin), width)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(signed(class_of(value, at))),
-                     pa.array([value[s:e].tobytes() for s, e in zip(at[:-1], at[1:], strict=True)], pa.binary())], ["class", "set"])
+                     *[pa.array([x[s:e].tobytes() for s, e in zip(at[:-1], at[1:], strict=True)], pa.binary()) for x in (value, value.astype(np.uint32))]],
+                    ["class", "set", "low"])
 
     return run
 
@@ -138,18 +131,6 @@ def _similar(percent: int):
     return run
 
 
-def _likely(share: float):
-    """Pairs whose sketches agree in at least that share."""
-
-    def run(batches):
-        for batch in batches:
-            if batch.num_rows:
-                a, b = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint16).reshape(batch.num_rows, -1) for k in (2, 3))
-                yield pa.RecordBatch.from_arrays(batch.columns[:2], ["a", "b"]).filter(pa.array((a == b).mean(axis=1) >= share))
-
-    return run
-
-
 def _buckets(classes: DataFrame) -> DataFrame:
     """(bucket, class) of classes that share a table key with another."""
     keys = (classes.select("class", "left", F.posexplode("right").alias("j", "r")).select("class", "j", "r", F.posexplode("left").alias("i", "l"))
@@ -181,37 +162,132 @@ def _merged(roots: DataFrame | None, links: DataFrame) -> DataFrame:
     return write_out(before.select("class", F.coalesce("new", "root").alias("root")).union(fresh), "roots")
 
 
-def _linked(open_: DataFrame, known: DataFrame, sets: DataFrame, percent: int) -> DataFrame | None:
-    """(class, root) of all classes with links.  open_: bucket, class, n, shared."""
-    roots, verified, pivots = None, [], 1
-    share = DOUBT * percent / 100
-    sketches, open_ = small(known.select("class", "sketch"), 256), open_.withColumn("root", F.col("class"))
-    while True:
-        if pivots == 1:
-            best = open_.groupBy("bucket").agg(F.max(F.struct("shared", "class", "n", "root")).alias("best")).select("bucket", "best.class", "best.n", "best.root")
-        else:
-            top = Window.partitionBy("bucket").orderBy(F.desc("shared"), F.desc("class"))
-            best = open_.withColumn("rank", F.row_number().over(top)).filter(F.col("rank") <= pivots).select("bucket", "class", "n", "root")
-        best = small(write_out(best, "pivots"), 64)
-        pairs = open_.join(best.withColumnsRenamed({"class": "pivot", "n": "pivot_n", "root": "pivot_root"}), "bucket")
-        pairs = pairs.filter((F.col("root") != F.col("pivot_root")) & (100 * F.least("n", "pivot_n") >= percent * F.greatest("n", "pivot_n")))
-        pairs = pairs.select(F.least("class", "pivot").alias("a"), F.greatest("class", "pivot").alias("b")).distinct()
-        for earlier in verified:
-            pairs = pairs.join(earlier, ["a", "b"], "left_anti")
-        pairs = write_out(map_batches(_of_pair(pairs, sketches, "sketch"), _likely(share), "a long, b long"), "pairs")
-        verified.append(small(pairs, 32))
-        found = write_out(map_batches(_of_pair(pairs, sets, "set"), _similar(percent), "a long, b long"), "links")
+#: Members of a bucket that meet one another in a round; in a longer one, so many meet all the others.  Their shingles in all.
+BLOCK, BLOCK_SHINGLES = 2048, 4 << 20
+
+
+class _Block:
+    """Members of one bucket, and which component each is in."""
+
+    def __init__(self, percent: int):
+        self.percent, self.members, self.sizes, self.roots, self.low, self.total = percent, [], [], [], [], 0
+
+    def full(self) -> bool:
+        return len(self.members) >= BLOCK or self.total >= BLOCK_SHINGLES
+
+    def add(self, member: int, root: int, low: np.ndarray) -> None:
+        self.members.append(member), self.sizes.append(len(low)), self.roots.append(root), self.low.append(low)
+        self.total += len(low)
+
+    def close(self) -> None:
+        self.size, self.root = np.array(self.sizes), np.array(self.roots)
+        self.vocabulary, self.place = np.unique(np.concatenate(self.low), return_inverse=True)
+        self.begin = np.concatenate([[0], np.cumsum(self.size)])[:-1]
+        self.mark = np.zeros(len(self.vocabulary), dtype=bool)
+
+    def links(self, places: np.ndarray, size: int, root: int, may: np.ndarray):
+        """Members that join another component to that of a set; the components are one from then on."""
+        ok = may & (self.root != root) & (100 * np.minimum(self.size, size) >= self.percent * np.maximum(self.size, size))
+        if not ok.any():
+            return
+        self.mark[places] = True
+        both = np.add.reduceat(self.mark[self.place], self.begin, dtype=np.int64)
+        self.mark[places] = False
+        for k in np.flatnonzero(ok & (100 * both >= self.percent * (self.size + size - both))):
+            if self.root[k] != root:
+                self.root[self.root == self.root[k]] = root
+                yield self.members[k]
+
+    def among(self):
+        """Links between the members."""
+        kinds, count = np.unique(self.root, return_counts=True)
+        large = self.root == kinds[count.argmax()]
+        may = large.copy()
+        for k in np.flatnonzero(~large):
+            own = self.place[self.begin[k] : self.begin[k] + self.size[k]]
+            for other in self.links(own, int(self.size[k]), int(self.root[k]), may):
+                yield self.members[k], other
+            may[k] = True
+
+    def with_late(self, member: int, root: int, low: np.ndarray):
+        at = np.minimum(np.searchsorted(self.vocabulary, low), len(self.vocabulary) - 1)
+        for other in self.links(at[self.vocabulary[at] == low], len(low), root, np.ones(len(self.members), bool)):
+            yield member, other
+
+
+def _meet(percent: int):
+    """Rows sorted by bucket: links that join components, and members of long buckets that go on, as (bucket, class)."""
+
+    def run(batches):
+        now, block, closed, out = None, None, False, []
+        for batch in batches:
+            for bucket, member, root, low in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                low = np.frombuffer(low, np.uint32)
+                if bucket != now:
+                    if block and not closed:
+                        block.close()
+                        out += [(*x, False) for x in block.among()]
+                    now, block, closed = bucket, _Block(percent), False
+                if not block.full():
+                    block.add(member, root, low)
+                    continue
+                if not closed:
+                    block.close()
+                    closed = True
+                    out += [(*x, False) for x in block.among()]
+                out += [(*x, False) for x in block.with_late(member, root, low)]
+                out.append((bucket, member, True))
+            yield _pairs_out(out)
+            out = []
+        if block and not closed:
+            block.close()
+            yield _pairs_out([(*x, False) for x in block.among()])
+
+    return run
+
+
+def _pairs_out(rows):
+    a, b, late = zip(*rows, strict=True) if rows else ((), (), ())
+    a, b, late = np.array(a, np.int64), np.array(b, np.int64), np.array(late, bool)
+    return pa.RecordBatch.from_arrays([pa.array(np.where(late, a, np.minimum(a, b))), pa.array(np.where(late, b, np.maximum(a, b))), pa.array(late)],
+                                      ["a", "b", "late"])
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    return write_out(map_batches(_of_pair(pairs, sets, "set"), _similar(percent), "a long, b long"), "links")
+
+
+def _open(rows: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """(bucket, class, shared, root) of buckets whose members are in different components; of equal buckets, one."""
+    rows = rows.join(small(roots, 32), "class", "left") if roots is not None else rows.withColumn("root", F.col("class"))
+    rows = rows.select("bucket", "class", "shared", F.coalesce("root", "class").alias("root"))
+    kinds = rows.groupBy("bucket").agg(F.min("root").alias("least"), F.max("root").alias("most"), F.count("*").alias("size"),
+                                       F.bit_xor(F.xxhash64("class")).alias("one"), F.bit_xor(F.xxhash64("class", F.lit(1))).alias("two"))
+    chosen = kinds.filter("least <> most").groupBy("size", "one", "two").agg(F.min("bucket").alias("bucket")).select("bucket")
+    return write_out(rows.join(chosen, "bucket", "left_semi"), "open")
+
+
+def _linked(met: DataFrame, sets: DataFrame, percent: int) -> DataFrame | None:
+    """(class, root) of all classes with links.  met: bucket, class, n, shared; sets: class, set, low."""
+    # All members with the one that is in most buckets: this joins groups of near copies.
+    best = met.groupBy("bucket").agg(F.max(F.struct("shared", "class", "n")).alias("best"))
+    best = small(write_out(best.select("bucket", F.col("best.class").alias("pivot"), F.col("best.n").alias("pivot_n")), "pivots"), 48)
+    pairs = met.join(best, "bucket").filter((F.col("class") != F.col("pivot")) & (100 * F.least("n", "pivot_n") >= percent * F.greatest("n", "pivot_n")))
+    pairs = write_out(pairs.select(F.least("class", "pivot").alias("a"), F.greatest("class", "pivot").alias("b")).distinct(), "pairs")
+    found = _verified(pairs, sets, percent)
+    roots = _merged(None, found) if found.limit(1).count() else None
+    open_ = _open(met.join(best.withColumnRenamed("pivot", "class"), ["bucket", "class"], "left_anti"), roots)
+    # The members that are left with one another.
+    while open_.limit(1).count():
+        rows = open_.join(sets.select("class", "low"), "class").select("bucket", "class", "root", "low", "shared")
+        rows = rows.repartition("bucket").sortWithinPartitions("bucket", F.desc("shared"), "class").drop("shared")
+        out = write_out(map_batches(rows, _meet(percent), "a long, b long, late boolean"), "meetings")
+        found = _verified(out.filter("not late").select("a", "b").distinct(), sets, percent)
         if found.limit(1).count():
             roots = _merged(roots, found)
-        # What is left: members that were no pivots, of buckets where components still differ.
-        rest = open_.drop("root").join(best.select("bucket", "class"), ["bucket", "class"], "left_anti")
-        rest = rest.join(small(roots, 32), "class", "left") if roots is not None else rest.withColumn("root", F.col("class"))
-        rest = rest.withColumn("root", F.coalesce("root", "class"))
-        mixed = rest.groupBy("bucket").agg(F.min("root").alias("least"), F.max("root").alias("most")).filter("least <> most").select("bucket")
-        open_ = write_out(rest.join(mixed, "bucket", "left_semi"), "open")
-        if not open_.limit(1).count():
-            return roots
-        pivots *= GROWTH
+        late = out.filter("late").select(F.col("a").alias("bucket"), F.col("b").alias("class"))
+        open_ = _open(open_.drop("root").join(late, ["bucket", "class"], "left_semi"), roots)
+    return roots
 
 
 def near_classes(docs: DataFrame, width: int, percent: int, bands: int, rows: int) -> tuple[DataFrame, DataFrame]:
@@ -219,17 +295,17 @@ def near_classes(docs: DataFrame, width: int, percent: int, bands: int, rows: in
     members = write_out(map_batches(docs, _classes(width, bands, rows), CLASS), "near-classes")
     classes = write_out(members.filter("class IS NOT NULL").groupBy("class").agg(
         F.min("doc_id").alias("first_id"), F.count("*").alias("size"), F.first("n_shingles").alias("n"),
-        F.first("left").alias("left"), F.first("right").alias("right"), F.first("sketch").alias("sketch")), "classes")
+        F.first("left").alias("left"), F.first("right").alias("right")), "classes")
     met = write_out(_buckets(classes), "buckets")
     # The more buckets a class is in, the more classes it resembles.
     shared = met.groupBy("class").agg(F.count("*").alias("shared"))
-    known = write_out(classes.select("class", "first_id", "n", "sketch").join(shared, "class"), "met-classes")
+    known = write_out(classes.select("class", "first_id", "n").join(shared, "class"), "met-classes")
     ids = write_out(known.select(F.col("first_id").alias("doc_id")).distinct(), "met-ids")
     texts = docs.join(small(ids, 32), "doc_id", "left_semi").select("text")
-    sets = map_batches(texts, _sets(width), "class long, set binary").join(small(known.select("class"), 32), "class", "left_semi")
+    sets = map_batches(texts, _sets(width), "class long, set binary, low binary").join(small(known.select("class"), 32), "class", "left_semi")
     sets = write_out(sets.dropDuplicates(["class"]), "sets")
     open_ = write_out(met.join(small(known.select("class", "n", "shared"), 64), "class"), "open")
-    roots = _linked(open_, known, sets, percent)
+    roots = _linked(open_, sets, percent)
     if roots is None:
         groups = classes.select("class", F.col("first_id").alias("component_id"), "size")
     else:
