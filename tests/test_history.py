@@ -1,4 +1,5 @@
 import glob
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -95,26 +96,64 @@ def test_last_of_first_n_is_not_the_newest(spark):
 
 
 def test_table_of_batches(spark, tmp_path):
-    path, compact = str(tmp_path / "h"), str(tmp_path / "c")
+    path = str(tmp_path / "h")
+    assert tables.read_history(spark, path).count() == 0
+    assert not tables.compact_history(spark, path)
     first = stamped(spark, *[(f"{v}@{t},{BODY}", 10) for v in "abcdef" for t in range(20)])
     again = first.withColumn("arrival_ms", F.lit(20).cast("bigint"))
-    tables.write_history(first, path, 0, buckets=4)
+    tables.write_history(first, path, 4, run="r", batch_id=0)
     once = rows(tables.read_history(spark, path))
-    tables.write_history(first, path, 0, buckets=4)
+    tables.write_history(first, path, 4, run="r", batch_id=0)
     assert rows(tables.read_history(spark, path)) == once and len(once) == 120
-    tables.write_history(again.filter("line like 'a@%'"), path, 1, buckets=4)
+    tables.write_history(again.filter("line like 'a@%'"), path, 4, run="r", batch_id=1)
     both = tables.read_history(spark, path)
     assert both.filter("arrival_ms = 20").count() == 20 and both.count() == 120
-    tables.compact_history(spark, [path], compact, upto=1, buckets=4)
-    assert rows(tables.read_history(spark, compact)) == rows(both)
-    plain = tables.read_history(spark, compact, settled=True)
-    assert rows(plain, *both.columns) == rows(both) and "Exchange" not in plan(plain)
-    assert rows(tables.read_history(spark, compact, path)) == rows(both)
+
+
+def live_batches(spark, path):
+    """The batches that a read of the table takes, chosen by their folders alone."""
+    found = tables._live(spark, path, tables.HISTORY_SCHEMA, tables._state(spark, path))
+    chosen = re.findall(r"PartitionFilters: \[[^]]*batch_id", plan(tables.read_history(spark, path)))
+    assert chosen or not tables._state(spark, path).version
+    return rows(found.select("run", "batch_id").distinct())
+
+
+def test_calls_without_a_run_keep_every_row(spark, tmp_path):
+    path = str(tmp_path / "h")
+    tables.write_history(stamped(spark, (f"1@100,{BODY}", 1)), path, 2)
+    tables.write_history(stamped(spark, (f"2@100,{BODY}", 1)), path, 2)
+    assert rows(tables.read_history(spark, path), "row_key") == [("1@100",), ("2@100",)]
+    for line in ("bad", "worse"):
+        tables.write_rejects(stamped(spark, (line, 1)), path + "-rejects")
+    assert rows(tables.read_rejects(spark, path + "-rejects"), "line") == [("bad",), ("worse",)]
+    assert tables.read_rejects(spark, path + "-none").count() == tables.read_metrics(spark, path + "-none").count() == 0
+
+
+def test_settled_copies_replace_their_batches(spark, tmp_path):
+    path = str(tmp_path / "h")
+    first = stamped(spark, *[(f"{v}@{t},{BODY}", 10) for v in "abcdef" for t in range(20)])
+    later = first.filter("line like 'a@%'").withColumn("arrival_ms", F.lit(20).cast("bigint"))
+    for batch_id in (0, 1):
+        tables.write_history(first, path, 4, run="r", batch_id=batch_id)
+    tables.write_history(later, path, 4)
+    want = rows(tables.read_history(spark, path))
+    assert tables.compact_history(spark, path, 4)
+    assert rows(tables.read_history(spark, path)) == want
+    # The run's newest batch may still be written.
+    assert live_batches(spark, path) == [("r", 1)]
+    assert not tables.compact_history(spark, path, 4)
+    assert tables.compact_history(spark, path, 4, newest=True)
+    assert live_batches(spark, path) == []
+    plain = tables.read_history(spark, path, settled=True)
+    assert rows(plain, *tables.read_history(spark, path).columns) == want and "Exchange" not in plan(plain)
+    tables.write_history(later.withColumn("arrival_ms", F.lit(30).cast("bigint")), path, 4)
+    assert len(live_batches(spark, path)) == 1
+    assert tables.read_history(spark, path).filter("arrival_ms = 30").count() == 20
 
 
 def test_lookup_reads_one_bucket(spark, tmp_path):
     path = str(tmp_path / "h")
-    tables.write_history(stamped(spark, *[(f"v{i}@1,{BODY}", 10) for i in range(50)]), path, 0, buckets=8)
+    tables.write_history(stamped(spark, *[(f"v{i}@1,{BODY}", 10) for i in range(50)]), path, buckets=8)
     found = hist.track_history(tables.read_history(spark, path), ["v7"], buckets=8)
     assert [r.row_key for r in found.collect()] == ["v7@1"]
     scan = next(x for x in plan(found).split("\n") if "PartitionFilters" in x and "bucket" in x)
@@ -123,14 +162,16 @@ def test_lookup_reads_one_bucket(spark, tmp_path):
 
 
 def test_hot_bucket_is_written_by_several_tasks(spark, tmp_path):
-    path = str(tmp_path / "h")
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    path, settings = str(tmp_path / "h"), {"advisoryPartitionSizeInBytes": "4k", "coalescePartitions.enabled": "false"}
+    for name, value in settings.items():
+        spark.conf.set(f"spark.sql.adaptive.{name}", value)
     try:
-        tables.write_history(stamped(spark, *[(f"hot@{i},{BODY}", 10) for i in range(2000)]), path, 0, buckets=8)
+        tables.write_history(stamped(spark, *[(f"hot@{i},{BODY}", 10) for i in range(5000)]), path, buckets=8)
     finally:
-        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
-    assert len(glob.glob(f"{path}/batch_id=0/bucket=*/*.parquet")) >= 4
+        for name in settings:
+            spark.conf.unset(f"spark.sql.adaptive.{name}")
+    assert len(glob.glob(f"{path}/live/*/batch_id=0/bucket=*/*.parquet")) >= 4
 
 
 def test_empty_table_of_lines(spark, tmp_path):
-    tables.write_history(stamped(spark, ("a@1," + BODY, 1)).filter("arrival_ms > 5"), str(tmp_path / "e"), 0)
+    tables.write_history(stamped(spark, ("a@1," + BODY, 1)).filter("arrival_ms > 5"), str(tmp_path / "e"))

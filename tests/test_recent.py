@@ -84,12 +84,16 @@ def test_batches_in_any_order_give_one_set(spark, tmp_path):
     for name, order in (("x", [0, 1, 2]), ("y", [2, 1, 0])):
         path = str(tmp_path / name)
         for batch_id in order:
-            tables.write_recent(batches[batch_id], path, n=4, batch_id=batch_id, buckets=2)
-        tables.write_recent(batches[1], path, n=4, batch_id=1, buckets=2)
+            tables.write_recent(batches[batch_id], path, n=4, buckets=2, run="r", batch_id=batch_id)
+        tables.write_recent(batches[1], path, n=4, buckets=2, run="r", batch_id=1)
         results.append(rows(tables.read_recent(spark, path, n=4)))
     whole = recent.recent_set(parse.parse_line(batches[0].unionByName(batches[1]).unionByName(batches[2])))
     assert results[0] == results[1] == rows(recent.keep_last_n(whole, 4), "vehicle_id", "score", "member", "line", "arrival_ms")
-    compact = str(tmp_path / "c")
-    tables.compact_recent(spark, [str(tmp_path / "x")], compact, upto=2, n=4, buckets=2)
-    assert rows(tables.read_recent(spark, compact, n=4)) == results[0]
-    assert rows(tables.read_recent(spark, compact, n=4, settled=True)) == results[0]
+    path = str(tmp_path / "x")
+    assert tables.compact_recent(spark, path, n=4, buckets=2, newest=True)
+    assert rows(tables.read_recent(spark, path, n=4)) == results[0]
+    assert rows(tables.read_recent(spark, path, n=4, settled=True)) == results[0]
+    tables.write_recent(lines(spark, (f"c@1,{BODY}", 1)), path, n=4, buckets=2)
+    tables.write_recent(lines(spark, (f"c@2,{BODY}", 1)), path, n=4, buckets=2)
+    assert tables.read_recent(spark, path, n=4).count() == len(results[0]) + 2
+    assert tables.read_recent(spark, str(tmp_path / "none")).count() == 0

@@ -51,7 +51,8 @@ def test_history_equals_batch_after_restart_and_replay(spark, tmp_path, feed):
     feed(*points("abc", range(5)))
     feed(*points("bc", range(3, 9), 50))
     finish(jobs.start_history(feed.stream(), path, state, buckets=2, available_now=True))
-    assert sorted(os.listdir(path)) == ["batch_id=0", "batch_id=1"]
+    (run,) = os.listdir(os.path.join(path, "live"))
+    assert sorted(os.listdir(os.path.join(path, "live", run))) == ["batch_id=0", "batch_id=1"]
     feed(*points("ad", range(20, 25)))
     finish(jobs.start_history(feed.stream(), path, state, buckets=2, available_now=True))
     stored = spark.read.schema(SCHEMA).parquet(feed.folder)
@@ -92,10 +93,10 @@ def test_strict_stream_fails_and_lenient_goes_on(spark, tmp_path, feed):
     finish(jobs.start_history(feed.stream(), path, str(tmp_path / "s2"), mode="lenient",
                               rejects=str(tmp_path / "bad"), available_now=True))
     assert rows(tables.read_history(spark, path), "row_key") == [("a@1",), ("a@2",)]
-    assert rows(tables.read_rejects(spark, str(tmp_path / "bad"))) == [("broken", "bad_field_count", 0)]
+    assert rows(tables.read_rejects(spark, str(tmp_path / "bad")).drop("run")) == [("broken", "bad_field_count", 0)]
     finish(jobs.start_recent(feed.stream(), str(tmp_path / "r"), str(tmp_path / "s3"), mode="lenient",
                              rejects=str(tmp_path / "bad2"), available_now=True))
-    assert rows(tables.read_rejects(spark, str(tmp_path / "bad2"))) == [("broken", "bad_field_count", 0)]
+    assert rows(tables.read_rejects(spark, str(tmp_path / "bad2")).drop("run")) == [("broken", "bad_field_count", 0)]
 
 
 def test_empty_batch_does_no_work(spark, tmp_path, feed):
@@ -156,3 +157,31 @@ def test_union_of_streams(spark, tmp_path, feed):
     path = str(tmp_path / "r")
     finish(jobs.start_recent(both, path, str(tmp_path / "s"), n=10, dedup="member", available_now=True))
     assert tables.read_recent(spark, path, n=10, dedup="member").count() == 4
+
+
+def test_streams_into_one_table_keep_each_others_rows(spark, tmp_path, feed):
+    path = str(tmp_path / "h")
+    feed(*points("a", [1, 2]))
+    finish(jobs.start_history(feed.stream(), path, str(tmp_path / "s1"), buckets=2, available_now=True))
+    for file in os.listdir(feed.folder):
+        os.unlink(os.path.join(feed.folder, file))
+    feed(*points("b", [1]))
+    finish(jobs.start_history(feed.stream(), path, str(tmp_path / "s2"), buckets=2, available_now=True))
+    assert rows(tables.read_history(spark, path), "row_key") == [("a@1",), ("a@2",), ("b@1",)]
+    finish(jobs.start_recent(feed.stream(), str(tmp_path / "r"), str(tmp_path / "s3"), available_now=True))
+    finish(jobs.start_latency(feed.stream(), str(tmp_path / "m"), str(tmp_path / "s4"), now_ms=9, available_now=True))
+    finish(jobs.start_latency(feed.stream(), str(tmp_path / "m"), str(tmp_path / "s5"), now_ms=9, available_now=True))
+    assert tables.read_metrics(spark, str(tmp_path / "m")).count() == 2
+
+
+STREAMED = ("src_batch_interval", "src_skip_empty", "st_history", "st_recent", "st_latency")
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="no test tables")
+@pytest.mark.parametrize("name", STREAMED)
+def test_stream_queries_read_a_table_of_several_files(spark, tmp_path, name):
+    from velotrail.queries import QUERIES
+
+    whole = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    whole.repartition(3).write.parquet(str(tmp_path / "events.parquet"))
+    assert rows(QUERIES[name](spark, str(tmp_path))) == rows(QUERIES[name](spark, "/root/testdata/sf0.001"))

@@ -27,11 +27,17 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(EVENTS_SCHEMA).parquet(f"{sf_dir}/events.parquet")
 
 
-def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (
-        spark.readStream.schema(EVENTS_SCHEMA).option("pathGlobFilter", "events.parquet")
-        .option("maxFilesPerTrigger", 1).parquet(sf_dir)
-    )
+def events_stream(spark: SparkSession, sf_dir: str, files_per_trigger: int = 1000) -> DataFrame:
+    """The events table as a file stream, whether it is a folder of files or one file.
+
+    A stream watches a folder.  The files of a folder lie in it; a table that is one file is picked out of the folder above.
+    """
+    path = f"{sf_dir}/events.parquet"
+    reader = spark.readStream.schema(EVENTS_SCHEMA).option("maxFilesPerTrigger", files_per_trigger)
+    files = spark.read.schema(EVENTS_SCHEMA).parquet(path).inputFiles()
+    if files and all(f.rstrip("/").endswith("/events.parquet") for f in files):
+        return reader.option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    return reader.parquet(path)
 
 
 def lines_of(events: DataFrame, flawed: bool = False) -> DataFrame:

@@ -94,10 +94,27 @@ def src_skip_empty(spark, sf):
 
 @query("sink_history", with_(REPLAYED, TRACK, HISTORY) + "SELECT * FROM history")
 def sink_history(spark, sf):
-    """Two batches into the history table; the second repeats all lines a second later."""
+    """Two batches of a run into the history table; the second repeats all lines a second later."""
     path = scratch_path(spark, "history")
-    tables.write_history(_stored(spark, sf), path, batch_id=0, buckets=8)
-    tables.write_history(_later(_stored(spark, sf)), path, batch_id=1, buckets=8)
+    tables.write_history(_stored(spark, sf), path, buckets=8, run="a", batch_id=0)
+    tables.write_history(_later(_stored(spark, sf)), path, buckets=8, run="a", batch_id=1)
+    return tables.read_history(spark, path).select(*HISTORY_COLUMNS)
+
+
+def _halves(spark, sf):
+    """The stored lines in two parts."""
+    every = _stored(spark, sf).withColumn("half", F.pmod(F.xxhash64("line"), F.lit(2)))
+    return [every.filter(F.col("half") == k).drop("half") for k in (0, 1)]
+
+
+@query("sink_history_two_runs", with_(LINES, TRACK, HISTORY) + "SELECT * FROM history")
+def sink_history_two_runs(spark, sf):
+    """Two calls and a stream into one table, with a settled copy in between; every row is kept."""
+    path, (one, two) = scratch_path(spark, "history"), _halves(spark, sf)
+    tables.write_history(one, path, buckets=8)
+    tables.compact_history(spark, path, buckets=8)
+    tables.write_history(two, path, buckets=8)
+    _finish(jobs.start_history(_stream(spark, sf), path, scratch_path(spark, "state"), buckets=8, available_now=True))
     return tables.read_history(spark, path).select(*HISTORY_COLUMNS)
 
 
@@ -108,8 +125,18 @@ _TOP = """kept AS (SELECT vehicle_id, score, member, line, arrival_ms FROM recen
 @query("sink_recent", with_(REPLAYED, TRACK, RECENT, _TOP) + "SELECT * FROM kept")
 def sink_recent(spark, sf):
     path = scratch_path(spark, "recent")
-    tables.write_recent(_stored(spark, sf), path, n=5, batch_id=0, buckets=8)
-    tables.write_recent(_later(_stored(spark, sf)), path, n=5, batch_id=1, buckets=8)
+    tables.write_recent(_stored(spark, sf), path, n=5, buckets=8, run="a", batch_id=0)
+    tables.write_recent(_later(_stored(spark, sf)), path, n=5, buckets=8, run="a", batch_id=1)
+    return tables.read_recent(spark, path, n=5).select(*RECENT_COLUMNS)
+
+
+@query("sink_recent_two_runs", with_(LINES, TRACK, RECENT, _TOP) + "SELECT * FROM kept")
+def sink_recent_two_runs(spark, sf):
+    """Two calls into one table, with a settled copy in between."""
+    path, (one, two) = scratch_path(spark, "recent"), _halves(spark, sf)
+    tables.write_recent(one, path, n=5, buckets=8)
+    tables.compact_recent(spark, path, n=5, buckets=8)
+    tables.write_recent(two, path, n=5, buckets=8)
     return tables.read_recent(spark, path, n=5).select(*RECENT_COLUMNS)
 
 
@@ -130,8 +157,8 @@ def sink_metrics(spark, sf):
     path = scratch_path(spark, "metrics")
     statistics = latency.batch_latency(parse.parse_line(_stored(spark, sf)), NOW_MS)
     for batch_id in (0, 1):
-        tables.write_metrics(statistics, path, batch_id)
-    return tables.read_metrics(spark, path)
+        tables.write_metrics(statistics, path, "a", batch_id)
+    return tables.read_metrics(spark, path).drop("run")
 
 
 @query("st_history", with_(LINES, TRACK, HISTORY) + "SELECT * FROM history")
@@ -152,4 +179,4 @@ def st_recent(spark, sf):
 def st_latency(spark, sf):
     path = scratch_path(spark, "metrics")
     _finish(jobs.start_latency(_stream(spark, sf), path, scratch_path(spark, "state"), now_ms=NOW_MS, available_now=True))
-    return tables.read_metrics(spark, path)
+    return tables.read_metrics(spark, path).drop("run")

@@ -1,17 +1,19 @@
 """History and recent tables in parquet folders, written batch by batch.
 
-Each batch is its own ``batch_id=`` folder and is overwritten as a whole when the batch is
-repeated, so a replay changes nothing.  Reading takes all folders together and settles keys
-that appear in several: newest write for the history, highest ``n`` for the recent set.  The
-``compact_*`` functions write a settled copy to a new folder; nothing is ever read and
-overwritten in place.
+A table has three folders.  ``live/run=<id>/batch_id=<n>`` holds the batches: a run is one stream (by its checkpoint) or one
+call, so nothing that another writer brought is ever replaced; repeating a batch of a run overwrites its folder alone and
+changes nothing.  ``settled/version=<k>`` holds settled copies, and ``manifest/version=<k>``, written last, says which batches
+of which runs a copy covers.  Reading takes the newest copy with the batches that it does not cover, and settles keys that
+appear several times: newest write for the history, highest ``n`` for the recent set.  Nothing is read and overwritten in place.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from velotrail.operators.distribute import union_sources
@@ -22,107 +24,172 @@ from velotrail.operators.recent import keep_last_n, merge_members, recent_set, w
 BUCKETS = 64
 HISTORY_SCHEMA = (
     "row_key string, vehicle_id string, event_ms bigint, longitude string, latitude string, "
-    "angle string, velocity string, arrival_ms bigint, batch_id bigint, bucket int"
-)
-RECENT_SCHEMA = (
-    "vehicle_id string, score double, line string, arrival_ms bigint, batch_id bigint, bucket int"
+    "angle string, velocity string, arrival_ms bigint, bucket int"
 )
+RECENT_SCHEMA = "vehicle_id string, score double, line string, arrival_ms bigint, bucket int"
+BATCH_SCHEMA = "run string, batch_id bigint"
+MANIFEST_SCHEMA = "run string, upto bigint, version bigint"
 
 # The member is ``line@arrival`` and is made again on reading.
 STORED = ("vehicle_id", "score", "line", "arrival_ms")
+#: Runs of single calls; their one batch is complete once it is there.
+CALL = "call-"
+
 
+def new_run() -> str:
+    """A run of its own for one call."""
+    return CALL + uuid.uuid4().hex
 
-def _folder(path: str, batch_id: int) -> str:
-    return f"{path.rstrip('/')}/batch_id={batch_id}"
+
+def _batch_folder(path: str, run: str | None, batch_id: int) -> str:
+    return f"{path.rstrip('/')}/live/run={run or new_run()}/batch_id={batch_id}"
 
 
 def _save(rows: DataFrame, folder: str, order: list[str], buckets: int) -> None:
-    """Bucket folders with sorted files; a hot vehicle's bucket is cut into several ranges."""
-    placed = rows.withColumn("bucket", bucket_of(F.col("vehicle_id"), buckets))
-    ranges = placed.repartitionByRange("bucket", *order).sortWithinPartitions("bucket", *order)
-    ranges.write.mode("overwrite").partitionBy("bucket").parquet(folder)
+    """Bucket folders with sorted files; Spark splits a hot vehicle's bucket over several tasks by its size."""
+    placed = rows.withColumn("bucket", bucket_of(F.col("vehicle_id"), buckets)).hint("rebalance", "bucket")
+    placed.sortWithinPartitions("bucket", *order).write.mode("overwrite").partitionBy("bucket").parquet(folder)
+
+
+def _stored(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The files below ``path``, none if it is not there yet."""
+    try:
+        return spark.read.schema(schema).option("basePath", path).parquet(path)
+    except AnalysisException as exc:
+        if exc.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
+@dataclass
+class _State:
+    """The newest settled copy and what it covers."""
+
+    version: int
+    covered: dict[str, int]
+
+    def is_covered(self) -> Column:
+        """On partition columns alone, so that covered batches are not even listed for reading."""
+        if not self.covered:
+            return F.lit(False)
+        upto = F.create_map(*[F.lit(x) for pair in sorted(self.covered.items()) for x in pair])
+        return F.col("batch_id") <= F.coalesce(F.element_at(upto, F.col("run")), F.lit(-1))
+
+
+def _state(spark: SparkSession, path: str) -> _State:
+    """One row for each run."""
+    rows = _stored(spark, f"{path.rstrip('/')}/manifest", MANIFEST_SCHEMA)
+    version = rows.agg(F.max("version")).first()[0]
+    if version is None:
+        return _State(0, {})
+    return _State(version, {r.run: r.upto for r in rows.filter(F.col("version") == version).collect()})
+
+
+def _live(spark: SparkSession, path: str, schema: str, state: _State) -> DataFrame:
+    rows = _stored(spark, f"{path.rstrip('/')}/live", f"{schema}, {BATCH_SCHEMA}")
+    return rows.filter(~state.is_covered())
+
+
+def _settled(spark: SparkSession, path: str, schema: str, state: _State) -> DataFrame:
+    if not state.version:
+        return spark.createDataFrame([], schema)
+    return _stored(spark, f"{path.rstrip('/')}/settled/version={state.version}", schema)
+
+
+def _rows(spark: SparkSession, path: str, schema: str, settled: bool) -> DataFrame:
+    state = _state(spark, path)
+    copy = _settled(spark, path, schema, state)
+    return copy if settled else union_sources(copy, _live(spark, path, schema, state).drop("run", "batch_id"))
+
+
+def _compact(spark: SparkSession, path: str, schema: str, settle, order: list[str], buckets: int, newest: bool) -> bool:
+    """Write a new settled copy and then its manifest.  False if there is nothing new to cover."""
+    state = _state(spark, path)
+    live = _live(spark, path, schema, state)
+    last = {r.run: r.last for r in live.groupBy("run").agg(F.max("batch_id").alias("last")).collect()}
+    covered = {run: n if newest or run.startswith(CALL) else n - 1 for run, n in last.items()}
+    covered = {run: n for run, n in covered.items() if n > state.covered.get(run, -1)}
+    if not covered:
+        return False
+    after = _State(state.version + 1, {**state.covered, **covered})
+    rows = union_sources(_settled(spark, path, schema, state), live.filter(after.is_covered()).drop("run", "batch_id"))
+    root = path.rstrip("/")
+    _save(settle(rows), f"{root}/settled/version={after.version}", order, buckets)
+    manifest = spark.createDataFrame(sorted(after.covered.items()), "run string, upto bigint")
+    manifest.coalesce(1).write.mode("overwrite").parquet(f"{root}/manifest/version={after.version}")
+    return True
 
 
 def write_history(
-    lines: DataFrame, path: str, batch_id: int = 0, buckets: int = BUCKETS, mode: str = "strict"
+    lines: DataFrame, path: str, buckets: int = BUCKETS, mode: str = "strict", run: str | None = None, batch_id: int = 0
 ) -> None:
-    """Put a batch of stamped lines (line, arrival_ms) into the history table."""
-    rows = newest_rows(history_rows(lines, mode)).select(*HISTORY)
-    _save(rows, _folder(path, batch_id), ["row_key"], buckets)
-
+    """Put a batch of stamped lines (line, arrival_ms) into the history table.
 
-def _batches(spark: SparkSession, schema: str, paths: Sequence[str], upto: int | None = None) -> DataFrame:
-    found = [spark.read.schema(schema).option("basePath", p).parquet(p) for p in paths]
-    rows = union_sources(*found)
-    return rows if upto is None else rows.filter(F.col("batch_id") <= upto)
+    Without ``run`` every call adds a batch of its own; name run and batch only to repeat one.
+    """
+    rows = newest_rows(history_rows(lines, mode)).select(*HISTORY)
+    _save(rows, _batch_folder(path, run, batch_id), ["row_key"], buckets)
 
 
-def read_history(
-    spark: SparkSession, *paths: str, upto: int | None = None, settled: bool = False
-) -> DataFrame:
+def read_history(spark: SparkSession, path: str, settled: bool = False) -> DataFrame:
     """The table with one row per key; filters on vehicle_id, row_key and bucket reach the files.
 
-    Several folders (a compacted one and the live one) read as one table; they may overlap.
-    ``settled`` is for one compacted folder, whose keys are unique: a plain scan, no shuffle.
+    ``settled``: only what the newest settled copy holds, whose keys are unique: a plain scan, no shuffle.
     """
-    rows = _batches(spark, HISTORY_SCHEMA, paths, upto)
-    return rows.drop("batch_id") if settled else newest_rows(rows)
+    rows = _rows(spark, path, HISTORY_SCHEMA, settled)
+    return rows if settled else newest_rows(rows)
 
 
-def compact_history(
-    spark: SparkSession, sources: Sequence[str], target: str, upto: int, buckets: int = BUCKETS
-) -> None:
-    """Settle the batches up to ``upto`` of some folders into ``target``, a new folder."""
-    rows = read_history(spark, *sources, upto=upto).select(*HISTORY)
-    _save(rows, _folder(target, upto), ["row_key"], buckets)
+def compact_history(spark: SparkSession, path: str, buckets: int = BUCKETS, newest: bool = False) -> bool:
+    """Settle the table into a new copy; its batches are not read any more.
+
+    The newest batch of a stream may still be written and stays out; ``newest`` is for tables that no stream writes to now.
+    One compaction at a time.  Covered batches and older copies may be deleted when nobody reads them.
+    """
+    return _compact(spark, path, HISTORY_SCHEMA, lambda rows: newest_rows(rows).select(*HISTORY), ["row_key"], buckets, newest)
 
 
 def write_recent(
-    lines: DataFrame, path: str, n: int = 1000, dedup: str = "line", batch_id: int = 0,
-    buckets: int = BUCKETS, mode: str = "strict",
+    lines: DataFrame, path: str, n: int = 1000, dedup: str = "line", buckets: int = BUCKETS, mode: str = "strict",
+    run: str | None = None, batch_id: int = 0,
 ) -> None:
-    """Add a batch of stamped lines to the recent sets; at most ``n`` per vehicle are written."""
+    """Add a batch of stamped lines to the recent sets; at most ``n`` per vehicle are written.  Runs as for the history."""
     parsed = parse_line(lines, mode=mode)
     track = parsed if mode == "strict" else parsed[0]
     kept = keep_last_n(recent_set(track, dedup), n, count_in=track)
-    _save(kept.select(*STORED), _folder(path, batch_id), ["vehicle_id", "score", "line"], buckets)
+    _save(kept.select(*STORED), _batch_folder(path, run, batch_id), ["vehicle_id", "score", "line"], buckets)
 
 
-def read_recent(
-    spark: SparkSession, *paths: str, n: int = 1000, dedup: str = "line", upto: int | None = None,
-    settled: bool = False,
-) -> DataFrame:
-    """The ``n`` newest members per vehicle; ``settled`` as for the history."""
-    batches = _batches(spark, RECENT_SCHEMA, paths, upto)
-    if settled:
-        return with_member(batches)
-    return keep_last_n(merge_members(batches, dedup), n, count_in=batches)
+def read_recent(spark: SparkSession, path: str, n: int = 1000, dedup: str = "line", settled: bool = False) -> DataFrame:
+    """The ``n`` newest members per vehicle; ``settled`` as for the history, with the ``n`` of the compaction."""
+    rows = _rows(spark, path, RECENT_SCHEMA, settled)
+    return with_member(rows) if settled else keep_last_n(merge_members(rows, dedup), n, count_in=rows)
 
 
 def compact_recent(
-    spark: SparkSession, sources: Sequence[str], target: str, upto: int, n: int = 1000, dedup: str = "line",
-    buckets: int = BUCKETS,
-) -> None:
-    rows = read_recent(spark, *sources, n=n, dedup=dedup, upto=upto).select(*STORED)
-    _save(rows, _folder(target, upto), ["vehicle_id", "score", "line"], buckets)
+    spark: SparkSession, path: str, n: int = 1000, dedup: str = "line", buckets: int = BUCKETS, newest: bool = False
+) -> bool:
+    """As for the history; members beyond the ``n`` newest are left out."""
+    def settle(rows: DataFrame) -> DataFrame:
+        return keep_last_n(merge_members(rows, dedup), n, count_in=rows).select(*STORED)
+
+    return _compact(spark, path, RECENT_SCHEMA, settle, ["vehicle_id", "score", "line"], buckets, newest)
 
 
-def write_rejects(lines: DataFrame, path: str, batch_id: int = 0, split_key: bool = True) -> None:
+def write_rejects(lines: DataFrame, path: str, split_key: bool = True, run: str | None = None, batch_id: int = 0) -> None:
     """The lines that a lenient batch leaves out, with the reason."""
     _, rejects = parse_line(lines, mode="lenient", split_key=split_key)
-    rejects.write.mode("overwrite").parquet(_folder(path, batch_id))
+    rejects.write.mode("overwrite").parquet(_batch_folder(path, run, batch_id))
 
 
 def read_rejects(spark: SparkSession, path: str) -> DataFrame:
-    schema = "line string, reason string, batch_id bigint"
-    return spark.read.schema(schema).option("basePath", path).parquet(path)
+    return _stored(spark, f"{path.rstrip('/')}/live", f"line string, reason string, {BATCH_SCHEMA}")
 
 
-def write_metrics(metrics: DataFrame, path: str, batch_id: int) -> None:
+def write_metrics(metrics: DataFrame, path: str, run: str | None = None, batch_id: int = 0) -> None:
     """One row of batch statistics under the batch's own folder."""
-    metrics.coalesce(1).write.mode("overwrite").parquet(_folder(path, batch_id))
+    metrics.coalesce(1).write.mode("overwrite").parquet(_batch_folder(path, run, batch_id))
 
 
 def read_metrics(spark: SparkSession, path: str) -> DataFrame:
-    schema = "n bigint, total_ms double, avg_ms double, batch_id bigint"
-    return spark.read.schema(schema).option("basePath", path).parquet(path)
+    return _stored(spark, f"{path.rstrip('/')}/live", f"n bigint, total_ms double, avg_ms double, {BATCH_SCHEMA}")

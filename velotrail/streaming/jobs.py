@@ -1,15 +1,17 @@
 """Streams of track lines into the history, the recent sets and the latency log.
 
-Every job has its own checkpoint.  The sinks overwrite the folder of the batch, so a batch
-that is repeated after a failure leaves the same table.  In strict mode a bad line stops the
-job; in lenient mode bad lines are left out and, if ``rejects`` names a folder, kept there.
+Every job has its own checkpoint, whose id names the run in the table.  The sinks overwrite the
+folder of the run's batch, so a batch that is repeated after a failure leaves the same table, and
+other streams' batches stay.  In strict mode a bad line stops the job; in lenient mode bad lines
+are left out and, if ``rejects`` names a folder, kept there.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -34,20 +36,29 @@ def start(
 ) -> StreamingQuery:
     """Run ``sink(batch, batch_id)`` each ``interval_ms``, or over all that is there and stop.
 
-    A batch without rows does no work.
+    A batch without rows does no work.  A batch is read once, however often the sink goes over it.
     """
     def handle(batch: DataFrame, batch_id: int) -> None:
-        if not batch.isEmpty():
-            sink(batch, batch_id)
+        held = batch.persist()
+        try:
+            if not held.isEmpty():
+                sink(held, batch_id)
+        finally:
+            held.unpersist()
 
     writer = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     trigger = {"availableNow": True} if available_now else {"processingTime": f"{int(interval_ms)} milliseconds"}
     return writer.trigger(**trigger).start()
 
 
-def _keep_rejects(batch: DataFrame, batch_id: int, mode: str, path: str | None, split_key: bool = True) -> None:
+def run_of(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark keeps in a stream's checkpoint."""
+    return json.loads(spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first().value)["id"]
+
+
+def _keep_rejects(batch: DataFrame, batch_id: int, mode: str, path: str | None, run: str, split_key: bool = True) -> None:
     if mode == "lenient" and path:
-        write_rejects(batch, path, batch_id, split_key)
+        write_rejects(batch, path, split_key, run, batch_id)
 
 
 def start_history(
@@ -55,8 +66,9 @@ def start_history(
     rejects: str | None = None, **when,
 ) -> StreamingQuery:
     def sink(batch: DataFrame, batch_id: int) -> None:
-        write_history(batch, path, batch_id, buckets, mode)
-        _keep_rejects(batch, batch_id, mode, rejects, split_key=False)
+        run = run_of(batch.sparkSession, checkpoint)
+        write_history(batch, path, buckets, mode, run, batch_id)
+        _keep_rejects(batch, batch_id, mode, rejects, run, split_key=False)
 
     return start(with_arrival(lines), sink, checkpoint, **when)
 
@@ -68,9 +80,10 @@ def start_recent(
 ) -> StreamingQuery:
     """The recent-set job and its trimmer in one: each batch keeps ``n`` points per vehicle."""
     def sink(batch: DataFrame, batch_id: int) -> None:
+        run = run_of(batch.sparkSession, checkpoint)
         spread = batch.repartition(parallelism) if parallelism else batch
-        write_recent(spread, path, n, dedup, batch_id, buckets, mode)
-        _keep_rejects(batch, batch_id, mode, rejects)
+        write_recent(spread, path, n, dedup, buckets, mode, run, batch_id)
+        _keep_rejects(batch, batch_id, mode, rejects, run)
 
     return start(with_arrival(lines), sink, checkpoint, **when)
 
@@ -83,6 +96,6 @@ def start_latency(
         parsed = parse_line(batch, mode=mode)
         track = parsed if mode == "strict" else parsed[0]
         now = now_ms if now_ms is not None else F.col("arrival_ms")
-        write_metrics(batch_latency(track, now), path, batch_id)
+        write_metrics(batch_latency(track, now), path, run_of(batch.sparkSession, checkpoint), batch_id)
 
     return start(with_arrival(lines), sink, checkpoint, **when)
