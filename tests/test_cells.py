@@ -86,8 +86,8 @@ def test_scan(table):
 
 def test_row_results_in_parts(table):
     one = ops.newest(table)
-    got = {(r.row_key, r.part): [e["column"] for e in r.columns] for r in ops.as_row_list(one).collect()}
-    assert got["r2", 0] == ["move:angle", "move:velocity"]
+    got = {r.row_key: [e["column"] for e in r.columns] for r in ops.as_row_list(one).collect()}
+    assert got["r2"] == ["move:angle", "move:velocity"]
     parts = {(r.row_key, r.part): [e["column"] for e in r.columns] for r in ops.as_row_list(one, batch=1).collect()}
     assert parts["r2", 0] == ["move:angle"] and parts["r2", 1] == ["move:velocity"]
     maps = {r.row_key: r.columns for r in ops.as_row_map(one).collect()}
@@ -98,3 +98,37 @@ def test_retention(table):
     assert rows(mut.retain_versions(table, 2).filter("row_key = 'r1' and qualifier = 'angle'"), "ts") == [(20,), (30,)]
     assert rows(mut.retain_versions(table, 2, hot_rows=1)) == rows(mut.retain_versions(table, 2))
     assert rows(mut.expire_ttl(table.withColumn("ts", F.col("ts") * 1000), 20, 40_000), "ts") == [(20000,), (25000,), (30000,), (40000,)]
+
+
+def test_a_wide_row_is_one_result_unless_parts_are_asked_for(spark):
+    wide = spark.range(10_001).selectExpr("'r' AS row_key", "'f' AS family", "format_string('q%05d', id) AS qualifier", "id AS ts", "'v' AS value")
+    assert [r.n for r in ops.as_row_map(wide).select(F.size("columns").alias("n")).collect()] == [10_001]
+    assert sorted(r.n for r in ops.as_row_list(wide, batch=10_000).select(F.size("columns").alias("n")).collect()) == [1, 10_000]
+
+
+def test_reversed_scan_runs_down_from_the_larger_start(table):
+    def keys(df):
+        return list(dict.fromkeys(r.row_key for r in df.collect()))
+
+    assert keys(ops.scan(table, "r2", "r1", reversed=True)) == ["r2", "r10"]
+    assert keys(ops.scan(table, "r1", "r2", reversed=True)) == []
+    assert keys(ops.scan(table, reversed=True, limit=1)) == ["s1"]
+    assert keys(ops.scan(table, limit=2)) == ["r1", "r10"]
+    assert keys(ops.scan(table, prefix="nothing", limit=3)) == []
+
+
+def test_a_family_range_replaces_the_general_one(spark, table):
+    limits = spark.createDataFrame([("move", 150, 250)], "family string, min_ts bigint, max_ts bigint")
+    own = spark.createDataFrame([("r", "move", "a", 200, "x"), ("r", "move", "a", 50, "y"), ("r", "position", "b", 50, "z"), ("r", "position", "b", 200, "w")],
+                                "row_key string, family string, qualifier string, ts bigint, value string")
+    assert rows(ops.scan(own, time_limits=(0, 100), family_limits=limits), "value") == [("x",), ("z",)]
+
+
+def test_requests_with_limits_of_their_own(spark, table):
+    schema = "pos int, row_key string, columns array<string>, ts bigint, min_ts bigint, max_ts bigint, n int"
+    asked = spark.createDataFrame([(0, "r1", ["move:angle"], None, None, None, 2), (1, "r1", ["move:angle"], 20, None, None, None),
+                                   (2, "r1", None, None, 0, 5, None), (3, "zz", None, None, None, None, None)], schema)
+    got = [(r.pos, r.qualifier, r.ts) for r in ops.rows_get_ordered(table, asked).collect()]
+    assert got[:3] == [(0, "angle", 30), (0, "angle", 20), (1, "angle", 20)]
+    assert got[-1] == (3, None, None)
+    assert [r.found for r in ops.rows_exist(table, asked).collect()] == [True, True, got[3][1] is not None, False]

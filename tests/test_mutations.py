@@ -227,3 +227,14 @@ def test_workers_need_no_copy_of_the_package(tmp_path):
     environment = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     done = subprocess.run([sys.executable, "-c", load], input=sent, cwd=tmp_path, env=environment, capture_output=True)
     assert done.returncode == 0, done.stderr
+
+
+def test_counters_and_appends_under_a_clock_behind_the_stored_time(spark):
+    table = spark.createDataFrame([("r", "f", "n", 100, "5"), ("r", "f", "t", 100, "a")], CELL + ", ts bigint, value string")
+    one = spark.createDataFrame([("r", "f", "n", 1)], CELL + ", amount bigint")
+    after, values = mut.increment_cells(table, one, 50)
+    assert rows(values) == [("r", "f", "n", 6)]
+    assert ("r", "f", "n", 100, "6") in rows(after) and after.filter("qualifier = 'n'").count() == 1
+    more = spark.createDataFrame([("r", "f", "t", 1, "b")], CELL + ", seq bigint, value string")
+    after, _ = mut.append_cells(table, more, 50)
+    assert rows(after.filter("qualifier = 't'"), "ts", "value") == [(100, "ab")]

@@ -115,24 +115,78 @@ def rows_get(
     return wanted.select(*CELLS) if "ts" in by else newest(wanted)
 
 
-def rows_get_ordered(cells: DataFrame, requests: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """For each request (pos, row_key), in order: the row's newest cells, or one row of nulls."""
+#: Columns of a request that limit what it reads: names as in ``column_filter``, a moment, a time range, versions of a cell.
+LIMITS = ("columns", "ts", "min_ts", "max_ts", "n")
+
+
+def _limited(cells: DataFrame, requests: DataFrame, keys: Sequence[str], at: str) -> DataFrame:
+    """The cells that each request (pos, keys and any of LIMITS, null = no limit) asks for, with its pos."""
+    given = [c for c in LIMITS if c in requests.columns]
+    asked = requests.select("pos", *keys, *[F.col(c).alias(f"_{c}") for c in given])
+    met = match(cells.select(*CELLS), asked, keys)
+    tests = {
+        "columns": lambda c: F.exists(c, lambda x: (x == F.col("family")) | (x == F.concat("family", F.lit(":")))
+                                      | (x == F.concat_ws(":", "family", "qualifier"))),
+        "ts": lambda c: F.col("ts") == c if at == "exact" else F.col("ts") <= c,
+        "min_ts": lambda c: F.col("ts") >= c,
+        "max_ts": lambda c: F.col("ts") < c,
+    }
+    for name in given:
+        if name in tests:
+            limit = F.col(f"_{name}")
+            met = met.filter(limit.isNull() | tests[name](limit))
+    return met
+
+
+def rows_get_ordered(
+    cells: DataFrame, requests: DataFrame, columns: Sequence[str] | None = None, at: str = "exact"
+) -> DataFrame:
+    """For each request (pos, row_key), in order: the row's newest cells, or one row of nulls.
+
+    A request may carry LIMITS of its own; ``n`` gives so many versions of each cell.
+    """
     asked = requests.select("pos", "row_key")
-    small = is_small(asked)
-    keys = asked.select("row_key").distinct()
-    found = newest(skew_join(cells.filter(column_filter(columns)), keys, ["row_key"], "left_semi", small_side=small))
-    hits = match(found, asked, ["row_key"], small_side=small)
-    missing = skew_join(asked, found.select("row_key").distinct(), ["row_key"], "left_anti", small_side=small)
+    if any(c in requests.columns for c in LIMITS):
+        met = _limited(cells.filter(column_filter(columns)), requests, ["row_key"], at)
+        hits = _versions_asked(met)
+        missing = skew_join(asked, hits.select("pos").distinct(), ["pos"], "left_anti", skewed=False)
+        found = cells
+    else:
+        small = is_small(asked)
+        keys = asked.select("row_key").distinct()
+        found = newest(skew_join(cells.filter(column_filter(columns)), keys, ["row_key"], "left_semi", small_side=small))
+        hits = match(found, asked, ["row_key"], small_side=small)
+        missing = skew_join(asked, found.select("row_key").distinct(), ["row_key"], "left_anti", small_side=small)
     nothing = missing.select("*", *[F.lit(None).cast(found.schema[c].dataType).alias(c) for c in CELLS[1:]])
-    return hits.unionByName(nothing).select("pos", *CELLS).orderBy("pos", "family", "qualifier")
+    every = hits.select("pos", *CELLS).unionByName(nothing.select("pos", *CELLS))
+    return every.orderBy("pos", "family", "qualifier", F.col("ts").desc())
+
+
+def _versions_asked(met: DataFrame) -> DataFrame:
+    """The newest ``_n`` versions (1 if null or not given) of each request's cells."""
+    by = ["pos", *CELL]
+    if "_n" not in met.columns:
+        best = met.groupBy(*by).agg(F.max(F.struct("ts", "value")).alias("_w"))
+        return best.select(*by, "_w.ts", "_w.value")
+    ranked = group_rank(met, by, [F.col("ts").desc()], "_rank")
+    return ranked.filter(F.col("_rank") < F.coalesce(F.col("_n"), F.lit(1)))
+
+
+def cell_versions_ordered(cells: DataFrame, requests: DataFrame, at: str = "as_of") -> DataFrame:
+    """For each request (pos and the keys of a cell), in order: its newest ``n`` versions under the request's LIMITS."""
+    return _versions_asked(_limited(cells, requests, CELL, at)).select("pos", *CELLS).orderBy("pos", F.col("ts").desc())
 
 
-def rows_exist(cells: DataFrame, requests: DataFrame) -> DataFrame:
-    """true/false per request, in order; the key columns in ``requests`` say how fine it asks."""
+def rows_exist(cells: DataFrame, requests: DataFrame, at: str = "exact") -> DataFrame:
+    """true/false per request, in order; the key columns in ``requests`` say how fine it asks, LIMITS what counts."""
     keys = [c for c in CELL if c in requests.columns]
-    small = is_small(requests)
-    there = restrict(cells, requests, keys, small).select(*keys).distinct().withColumn("_there", F.lit(True))
-    answered = skew_join(requests, there, keys, "left", small_side=small)
+    if any(c in requests.columns for c in LIMITS):
+        there = _limited(cells, requests, keys, at).select("pos").distinct().withColumn("_there", F.lit(True))
+        answered = skew_join(requests, there, ["pos"], "left", skewed=False)
+    else:
+        small = is_small(requests)
+        there = restrict(cells, requests, keys, small).select(*keys).distinct().withColumn("_there", F.lit(True))
+        answered = skew_join(requests, there, keys, "left", small_side=small)
     return answered.select(*requests.columns, F.coalesce("_there", F.lit(False)).alias("found")).orderBy("pos")
 
 
@@ -145,12 +199,19 @@ def time_range(cells: DataFrame, min_ts: int | None = None, max_ts: int | None =
     return cells
 
 
-def family_time_range(cells: DataFrame, ranges: DataFrame) -> DataFrame:
-    """A time range per family from (family, min_ts, max_ts); other families stay whole."""
-    limits = ranges.select("family", F.col("min_ts").alias("_min"), F.col("max_ts").alias("_max"))
+def family_time_range(
+    cells: DataFrame, ranges: DataFrame, min_ts: int | None = None, max_ts: int | None = None
+) -> DataFrame:
+    """A time range per family from (family, min_ts, max_ts), open where null; other families have the general range."""
+    limits = ranges.select("family", F.lit(True).alias("_own"), F.col("min_ts").alias("_min"), F.col("max_ts").alias("_max"))
     joined = skew_join(cells, limits, ["family"], "left")
-    inside = (F.col("ts") >= F.col("_min")) & (F.col("ts") < F.col("_max"))
-    return joined.filter(F.col("_min").isNull() | inside).select(*cells.columns)
+
+    def inside(low: Column, high: Column) -> Column:
+        return (low.isNull() | (F.col("ts") >= low)) & (high.isNull() | (F.col("ts") < high))
+
+    general = inside(F.lit(min_ts).cast("bigint"), F.lit(max_ts).cast("bigint"))
+    wanted = F.when(F.col("_own"), inside(F.col("_min"), F.col("_max"))).otherwise(general)
+    return joined.filter(wanted).select(*cells.columns)
 
 
 def scan_range(
@@ -169,7 +230,7 @@ def scan_range(
 
 def scan(
     cells: DataFrame,
-    start: str = "",
+    start: str | None = None,
     stop: str | None = None,
     prefix: str | None = None,
     columns: Sequence[str] | None = None,
@@ -180,21 +241,38 @@ def scan(
     max_versions: int | None = 1,
     where: Column | None = None,
     reversed: bool = False,
+    limit: int | None = None,
 ) -> DataFrame:
-    """Scan in key order.  A timestamp makes the time limits moot; ``where`` is any predicate
-    on a cell and is applied before versions are counted."""
-    out = scan_range(cells, start, stop, columns)
+    """Scan in key order from ``start`` (included) to ``stop`` (excluded).
+
+    A ``reversed`` scan goes down, so its start is the larger key.  A timestamp makes the time limits moot; a family with
+    limits of its own in ``family_limits`` follows these and not ``time_limits``.  ``where`` is any predicate on a cell and
+    is applied before versions are counted.  ``limit`` takes the first so many rows; only cells up to the last of them
+    are settled.
+    """
+    if reversed:
+        out = scan_range(cells, columns=columns)
+        if start is not None:
+            out = out.filter(F.col("row_key") <= start)
+        if stop is not None:
+            out = out.filter(F.col("row_key") > stop)
+    else:
+        out = scan_range(cells, start or "", stop, columns)
     if prefix:
         out = out.filter(F.col("row_key").startswith(prefix))
     if ts is not None:
         out = at_time(out, ts, at)
+    elif family_limits is not None:
+        out = family_time_range(out, family_limits, *(time_limits or (None, None)))
     elif time_limits is not None:
         out = time_range(out, *time_limits)
-    if ts is None and family_limits is not None:
-        out = family_time_range(out, family_limits)
     if where is not None:
         out = out.filter(where)
     key = F.col("row_key").desc() if reversed else F.col("row_key").asc()
+    if limit is not None:
+        keys = out.select("row_key").distinct().orderBy(key).limit(limit)
+        edge = keys.agg((F.min if reversed else F.max)("row_key")).first()[0]
+        out = out.filter(F.lit(False) if edge is None else F.col("row_key") >= edge if reversed else F.col("row_key") <= edge)
     return versions(out, max_versions).orderBy(key, "family", "qualifier", F.col("ts").desc())
 
 
@@ -217,18 +295,21 @@ def _entry() -> Column:
     return F.struct(name, F.struct("value", "ts").alias("cell"))
 
 
-def as_row_map(cells: DataFrame, batch: int = 10_000, count_in: DataFrame | None = None) -> DataFrame:
+def _results(cells: DataFrame, batch: int | None, count_in: DataFrame | None, columns: Column) -> DataFrame:
+    if batch is None:
+        return cells.groupBy("row_key").agg(columns.alias("columns"))
+    return _row_chunks(cells, batch, count_in).groupBy("row_key", "part").agg(columns.alias("columns"))
+
+
+def as_row_map(cells: DataFrame, batch: int | None = None, count_in: DataFrame | None = None) -> DataFrame:
     """One row per key with a map column -> (value, ts); needs one version per column.
 
-    A row with more than ``batch`` columns comes as several parts, so no result is unbounded.
+    With ``batch`` a row comes as parts (numbered from 0) of so many columns each; without, it is one value, which has to
+    fit a task.
     """
-    return _row_chunks(cells, batch, count_in).groupBy("row_key", "part").agg(
-        F.map_from_entries(F.collect_list(_entry())).alias("columns")
-    )
+    return _results(cells, batch, count_in, F.map_from_entries(F.collect_list(_entry())))
 
 
-def as_row_list(cells: DataFrame, batch: int = 10_000, count_in: DataFrame | None = None) -> DataFrame:
-    """One row per key (and part) with its columns as a list sorted by name."""
-    return _row_chunks(cells, batch, count_in).groupBy("row_key", "part").agg(
-        F.array_sort(F.collect_list(_entry())).alias("columns")
-    )
+def as_row_list(cells: DataFrame, batch: int | None = None, count_in: DataFrame | None = None) -> DataFrame:
+    """One row per key with its columns as a list sorted by name; ``batch`` as for the map."""
+    return _results(cells, batch, count_in, F.array_sort(F.collect_list(_entry())))

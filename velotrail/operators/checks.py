@@ -50,7 +50,8 @@ def check_and_mutate(
 ) -> tuple[DataFrame, DataFrame]:
     """(cells, outcome).  ``checks``: seq (unique), row_key, family, qualifier, op, expected.
     ``mutations``: seq of their check, step (order in it), family, qualifier, op, value.
-    ``outcome``: seq, row_key, passed.  ``now_ms`` must not be before the stored times.
+    ``outcome``: seq, row_key, passed.  Changes are made at ``now_ms``, or at the newest time stored in the checked rows if
+    that is later, so that a later check sees them.
     """
     small = is_small(checks) and is_small(mutations)
     # Written once: the answers decide both results and must not be worked out twice.
@@ -59,7 +60,8 @@ def check_and_mutate(
     applied = mutations.withColumnRenamed("seq", "_check").join(passed, "_check").withColumn(
         "seq", F.struct("_check", "step")
     )
-    return mutate_rows(cells, applied, now_ms, small), outcome
+    latest = restrict(cells, checks, ["row_key"], small).agg(F.max("ts")).first()[0]
+    return mutate_rows(cells, applied, max(now_ms, latest if latest is not None else now_ms), small), outcome
 
 
 def _outcome(cells: DataFrame, checks: DataFrame, mutations: DataFrame, small: bool) -> DataFrame:

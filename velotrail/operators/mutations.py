@@ -64,24 +64,31 @@ def mutate_rows(cells: DataFrame, mutations: DataFrame, ts: int, small_side: boo
 
 
 def increment_cells(cells: DataFrame, increments: DataFrame, now_ms: int) -> tuple[DataFrame, DataFrame]:
-    """Add amounts (default 1) to counters, a missing one counts as 0: (cells, new values)."""
+    """Add amounts (default 1) to counters, a missing one counts as 0: (cells, new values).
+
+    The new version is at ``now_ms``, or at the stored version's time if that is later, so that it is the newest.
+    """
     amount = F.coalesce(F.col("amount"), F.lit(1)) if "amount" in increments.columns else F.lit(1)
     sums = increments.groupBy(*CELL).agg(F.sum(amount.cast("bigint")).alias("_sum"))
     small = is_small(sums)
-    stored = newest(restrict(cells, sums, CELL, small)).select(*CELL, F.col("value").alias("_old"))
+    stored = newest(restrict(cells, sums, CELL, small)).select(*CELL, F.col("ts").alias("_at"), F.col("value").alias("_old"))
     number = F.col("_old").try_cast("bigint")
     bad = F.raise_error(F.concat(F.lit("no counter: "), F.col("_old"))).cast("bigint")
     old = F.when(F.col("_old").isNull(), F.lit(0).cast("bigint")).when(number.isNull(), bad).otherwise(number)
     new = sums.join(stored, CELL, "left").select(
-        *CELL, F.lit(now_ms).cast("bigint").alias("ts"), (old + F.col("_sum")).cast("string").alias("value")
+        *CELL, _not_before(now_ms), (old + F.col("_sum")).cast("string").alias("value")
     )
     return upsert(cells, new, small), new.select(*CELL, F.col("value").cast("bigint").alias("value"))
 
 
+def _not_before(now_ms: int) -> Column:
+    return F.greatest(F.lit(now_ms).cast("bigint"), F.col("_at")).alias("ts")
+
+
 def append_cells(
     cells: DataFrame, appends: DataFrame, now_ms: int, chunk: int = CHUNK
 ) -> tuple[DataFrame, DataFrame]:
-    """Join values to cells in ``seq`` order: (cells, new values).
+    """Join values to cells in ``seq`` order: (cells, new values), at the time that counters get too.
 
     Values are joined in runs of ``chunk`` first, so a cell with very many appends is worked
     on by many tasks and only its runs meet at the end.
@@ -92,9 +99,9 @@ def append_cells(
     )
     added = runs.groupBy(*CELL).agg(_in_order("_run", "_text").alias("_added"))
     small = is_small(appends)
-    stored = newest(restrict(cells, appends, CELL, small)).select(*CELL, F.col("value").alias("_old"))
+    stored = newest(restrict(cells, appends, CELL, small)).select(*CELL, F.col("ts").alias("_at"), F.col("value").alias("_old"))
     new = added.join(stored, CELL, "left").select(
-        *CELL, F.lit(now_ms).cast("bigint").alias("ts"),
+        *CELL, _not_before(now_ms),
         F.concat(F.coalesce("_old", F.lit("")), "_added").alias("value"),
     )
     return upsert(cells, new, small), new.select(*CELL, "value")

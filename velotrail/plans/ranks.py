@@ -14,8 +14,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from velotrail.plans import skew
 from velotrail.plans.scratch import write_out
-from velotrail.plans.skew import flag_hot, hot_keys
+from velotrail.plans.skew import PIECES, flag_hot, hot_keys
 
 _PART = "_part"
 _PLACE = "_place"
@@ -31,7 +32,7 @@ def _sorted_table(df: DataFrame, order: Sequence[Column], label: str, parts: int
     """
     told_apart = df.withColumns({"_content": F.xxhash64(*df.columns), "_copy": F.monotonically_increasing_id()})
     full = [*order, F.col("_content"), F.col("_copy")]
-    ranged = told_apart.repartitionByRange(parts, *full) if parts else told_apart.repartitionByRange(*full)
+    ranged = told_apart.repartitionByRange(parts or _ranges(df, df.count()), *full)
     placed = ranged.sortWithinPartitions(*full).drop("_content", "_copy").withColumn("_id", F.monotonically_increasing_id())
     return write_out(
         placed.withColumn(_PART, F.shiftright("_id", _ROW_BITS).cast("int"))
@@ -41,6 +42,11 @@ def _sorted_table(df: DataFrame, order: Sequence[Column], label: str, parts: int
     )
 
 
+def _ranges(df: DataFrame, rows: int) -> int:
+    """Ranges of at most about HOT_ROWS rows, and as many as other shuffles have."""
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows // skew.HOT_ROWS))
+
+
 def table_rank(
     df: DataFrame, order: Sequence[Column], rank: str = "rank", parts: int | None = None
 ) -> tuple[DataFrame, int]:
@@ -83,7 +89,8 @@ def group_rank(
         return _in_window(work, keys, order, rank, size, measures)
     marked = flag_hot(work, keys, hot)
     cold = _in_window(marked.filter(~F.col("_hot")).drop("_hot"), keys, order, rank, size, measures)
-    spread = _spread(marked.filter(F.col("_hot")).drop("_hot"), keys, order, rank, size, measures, parts)
+    hot_parts = parts or _ranges(df, hot.agg(F.sum(PIECES)).first()[0] * (skew.HOT_ROWS if hot_rows is None else hot_rows))
+    spread = _spread(marked.filter(F.col("_hot")).drop("_hot"), keys, order, rank, size, measures, hot_parts)
     return cold.unionByName(spread)
 
 

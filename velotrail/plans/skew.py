@@ -12,15 +12,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: A key with fewer rows than this is never split.
+#: A key with fewer rows than this is never split; a larger one is cut into pieces of about so many.
 HOT_ROWS = 5_000_000
 #: At most this many keys are split.
-MAX_HOT = 10_000
-#: Keys that a sketch tracks (its table has 65,536 places), and groups its merging starts with.
-TRACKED = 49_152
+MAX_HOT = 4_096
+#: Keys that a sketch tracks (its table has 8,192 places), and groups its merging starts with.
+TRACKED = 6_144
 MERGE_GROUPS = 256
-#: Pieces that a hot key is split into.
-SALTS = 64
 #: Up to this n a task sends so few rows of a key (Spark limits each window group before the
 #: shuffle) that even a key with a third of all rows is small where it arrives.
 PLAIN_TOP = 100
@@ -30,6 +28,8 @@ SMALL_BYTES = 32 * 1024 * 1024
 
 _SALT = "_salt"
 _HOT = "_hot"
+#: Pieces of a hot key.
+PIECES = "_pieces"
 
 
 def key_text(keys: Sequence[str]) -> Column:
@@ -38,11 +38,11 @@ def key_text(keys: Sequence[str]) -> Column:
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int | None = None) -> DataFrame | None:
-    """Texts of the keys with more than ``hot_rows`` rows (at most ``MAX_HOT`` of them), or None.
+    """Texts of the keys with more than ``hot_rows`` rows (at most ``MAX_HOT`` of them) with the pieces to cut them into, or None.
 
     A frequent-items sketch and not a count per key: what is shuffled does not grow with the
     number of keys.  Sketches of the tasks are merged in groups first.  It never misses a key
-    with more than ``7 / 65536`` of all rows, and counts exactly while there are few keys.
+    with more than ``7 / 8192`` of all rows, and counts exactly while there are few keys.
     """
     limit = HOT_ROWS if hot_rows is None else hot_rows
     texts = df.select(key_text(keys).alias("_text"))
@@ -52,31 +52,30 @@ def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int | None = None) ->
     sketches = parts.groupBy("_group").agg(F.expr(f"approx_top_k_accumulate(_text, {TRACKED})").alias("_sketch"))
     top = sketches.agg(F.expr(f"approx_top_k_estimate(approx_top_k_combine(_sketch, {TRACKED}), {MAX_HOT})").alias("_top"))
     items = top.first()["_top"]  # no more than MAX_HOT
-    found = [(t.item,) for t in items if t["count"] - (t.item == "") > limit]
-    return df.sparkSession.createDataFrame(found, "_hot_text string") if found else None
+    counts = [(t.item, t["count"] - (t.item == "")) for t in items]
+    found = [(text, max(2, -(-n // max(limit, 1)))) for text, n in counts if n > limit]
+    return df.sparkSession.createDataFrame(found, f"_hot_text string, {PIECES} bigint") if found else None
 
 
-def flag_hot(df: DataFrame, keys: Sequence[str], hot: DataFrame, name: str = _HOT) -> DataFrame:
-    """``df`` with a true/false column; ``hot`` has at most MAX_HOT rows, so it is broadcast."""
+def flag_hot(df: DataFrame, keys: Sequence[str], hot: DataFrame, name: str = _HOT, pieces: bool = False) -> DataFrame:
+    """``df`` with a true/false column; ``hot`` has at most MAX_HOT rows, so it is broadcast.
+
+    ``pieces`` keeps the number of pieces of hot keys as a column too.
+    """
     marks = F.broadcast(hot.withColumn(name, F.lit(True)))
-    return (
+    flagged = (
         df.withColumn("_key_text", key_text(keys))
         .join(marks, F.col("_key_text") == F.col("_hot_text"), "left")
         .drop("_key_text", "_hot_text")
         .withColumn(name, F.coalesce(F.col(name), F.lit(False)))
     )
+    return flagged if pieces else flagged.drop(PIECES)
 
 
 def is_small(df: DataFrame) -> bool:
-    """Reads at most SMALL_ROWS + 1 rows to prove that ``df`` may be broadcast."""
-    n, size = (
-        df.limit(SMALL_ROWS + 1)
-        .agg(
-            F.count(F.lit(1)),
-            F.sum(F.octet_length(F.to_json(F.struct(*df.columns)))),
-        )
-        .first()
-    )
+    """Whether ``df`` may be broadcast: its rows and bytes, added up in every task."""
+    sizes = [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 8 for c in df.columns]
+    n, size = df.agg(F.count(F.lit(1)), F.sum(sum(sizes, F.lit(0)))).first()
     return n <= SMALL_ROWS and (size or 0) <= SMALL_BYTES
 
 
@@ -105,16 +104,16 @@ def skew_join(
     if hot is None:
         return big.join(small, keys, how)
     rest = [c for c in big.columns if c not in keys] or keys
-    salted = flag_hot(big, keys, hot).withColumn(
-        _SALT, F.when(F.col(_HOT), F.pmod(F.xxhash64(*rest), F.lit(SALTS))).otherwise(F.lit(0).cast("bigint"))
-    ).drop(_HOT)
-    copies = flag_hot(small, keys, hot).withColumn(
+    salted = flag_hot(big, keys, hot, pieces=True).withColumn(
+        _SALT, F.when(F.col(_HOT), F.pmod(F.xxhash64(*rest), F.col(PIECES))).otherwise(F.lit(0).cast("bigint"))
+    ).drop(_HOT, PIECES)
+    copies = flag_hot(small, keys, hot, pieces=True).withColumn(
         _SALT,
         F.explode(
-            F.when(F.col(_HOT), F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint")))
+            F.when(F.col(_HOT), F.sequence(F.lit(0).cast("bigint"), F.col(PIECES) - 1))
             .otherwise(F.array(F.lit(0).cast("bigint")))
         ),
-    ).drop(_HOT)
+    ).drop(_HOT, PIECES)
     return salted.join(copies, [*keys, _SALT], how).drop(_SALT)
 
 
@@ -164,9 +163,9 @@ def top_n(
     out = df
     if hot is not None:
         rest = [c for c in df.columns if c not in keys] or keys
-        pieces = flag_hot(df, keys, hot).withColumn(
-            _SALT, F.when(F.col(_HOT), F.pmod(F.xxhash64(*rest), F.lit(SALTS)))
-        ).drop(_HOT)
+        pieces = flag_hot(df, keys, hot, pieces=True).withColumn(
+            _SALT, F.when(F.col(_HOT), F.pmod(F.xxhash64(*rest), F.col(PIECES)))
+        ).drop(_HOT, PIECES)
         by_piece = Window.partitionBy(*keys, _SALT).orderBy(*order)
         # Rows of ordinary keys have no piece and are settled by the second step alone.
         cold = pieces.filter(F.col(_SALT).isNull())

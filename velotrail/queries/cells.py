@@ -128,7 +128,7 @@ def scan_at_as_of(spark, sf):
     SELECT {_COLS} FROM versions WHERE rn <= 2""")
 def scan_spec(spark, sf):
     return ops.scan(
-        cells(spark, sf), "1000001", "1000140", columns=["move", "position"],
+        cells(spark, sf), "1000139", "1000000", columns=["move", "position"],
         time_limits=(MID_MS - 864000000, MID_MS + 864000000), where=F.col("value") > "17",
         max_versions=2, reversed=True,
     )
@@ -137,7 +137,62 @@ def scan_spec(spark, sf):
 @query("scan_limit", with_(CELLS, NEWEST) + f"""
     SELECT {_COLS} FROM newest WHERE row_key IN (SELECT DISTINCT row_key FROM newest ORDER BY row_key LIMIT 10)""")
 def scan_limit(spark, sf):
-    return ops.scan_limit(ops.scan(cells(spark, sf)), 10)
+    return ops.scan(cells(spark, sf), limit=10)
+
+
+@query("scan_reversed", with_(CELLS, NEWEST) + f"""
+    SELECT {_COLS} FROM newest WHERE row_key <= '1000100' AND row_key > '1000003'
+      AND row_key IN (SELECT DISTINCT row_key FROM newest WHERE row_key <= '1000100' AND row_key > '1000003' ORDER BY row_key DESC LIMIT 20)""")
+def scan_reversed(spark, sf):
+    """From the larger key down."""
+    return ops.scan(cells(spark, sf), "1000100", "1000003", reversed=True, limit=20)
+
+
+@query("scan_family_time_range", with_(CELLS.replace("cells AS", "stored AS") + f""", cells AS (SELECT * FROM stored
+      WHERE CASE family WHEN 'move' THEN ts >= {MID_MS} ELSE ts < {MID_MS} END)""", NEWEST) + f"SELECT {_COLS} FROM newest")
+def scan_family_time_range(spark, sf):
+    """A family's own time range instead of the general one."""
+    own = spark.createDataFrame([("move", MID_MS, None)], "family string, min_ts bigint, max_ts bigint")
+    return ops.scan(cells(spark, sf), time_limits=(None, MID_MS), family_limits=own)
+
+
+def _limited_requests(spark, sf):
+    """Requests with limits of their own by their position."""
+    by = F.col("pos") % 4
+    return requests(spark, sf).select("pos", "row_key").withColumns({
+        "columns": F.when(by == 0, F.array(F.lit("move"), F.lit("position:error"))),
+        "ts": F.lit(None).cast("bigint"),
+        "min_ts": F.when(by == 1, F.lit(MID_MS)),
+        "max_ts": F.when(by == 2, F.lit(MID_MS)),
+        "n": F.when(by == 3, F.lit(2)),
+    })
+
+
+_MEETS = f"""c.row_key = r.row_key AND CASE r.pos % 4 WHEN 0 THEN c.family = 'move' OR c.qualifier = 'error'
+    WHEN 1 THEN c.ts >= {MID_MS} WHEN 2 THEN c.ts < {MID_MS} ELSE true END"""
+
+
+@query("rows_get_limits", with_(CELLS, REQUESTS) + f"""
+    SELECT r.pos, r.row_key, f.family, f.qualifier, f.ts, f.value FROM requests r LEFT JOIN
+      (SELECT r.pos, c.*, row_number() OVER (PARTITION BY r.pos, c.family, c.qualifier ORDER BY c.ts DESC) AS rn FROM requests r JOIN cells c ON {_MEETS}) f
+      ON r.pos = f.pos AND rn <= CASE r.pos % 4 WHEN 3 THEN 2 ELSE 1 END""")
+def rows_get_limits(spark, sf):
+    return ops.rows_get_ordered(cells(spark, sf), _limited_requests(spark, sf))
+
+
+@query("rows_exist_limits", with_(CELLS, REQUESTS) + f"""
+    SELECT pos, row_key, EXISTS (SELECT 1 FROM cells c WHERE {_MEETS}) AS found FROM requests r""")
+def rows_exist_limits(spark, sf):
+    return ops.rows_exist(cells(spark, sf), _limited_requests(spark, sf)).select("pos", "row_key", "found")
+
+
+@query("cell_versions_limits", with_(CELLS, REQUESTS) + f"""
+    SELECT r.pos, c.* FROM requests r JOIN cells c USING (row_key, family, qualifier)
+    WHERE r.pos % 4 <> 1 OR ts <= {MID_MS}
+    QUALIFY row_number() OVER (PARTITION BY r.pos ORDER BY ts DESC) <= r.pos % 3 + 1""")
+def cell_versions_limits(spark, sf):
+    asked = requests(spark, sf).withColumns({"n": (F.col("pos") % 3 + 1).cast("int"), "ts": F.when(F.col("pos") % 4 == 1, F.lit(MID_MS))})
+    return ops.cell_versions_ordered(cells(spark, sf), asked)
 
 
 def _column(family, qualifier):
@@ -145,26 +200,38 @@ def _column(family, qualifier):
 
 
 @query("row_result_map", with_(CELLS, NEWEST) + f"""
-    SELECT row_key, CAST(0 AS BIGINT) AS part, CAST(count(*) AS INTEGER) AS n, {_column('move', 'click')}, {_column('move', 'view')},
+    SELECT row_key, CAST(count(*) AS INTEGER) AS n, {_column('move', 'click')}, {_column('move', 'view')},
       {_column('position', 'error')}, {_column('position', 'purchase')}, {_column('position', 'signup')},
       max(CASE WHEN qualifier = 'click' THEN ts END) AS click_ts FROM newest GROUP BY row_key""")
 def row_result_map(spark, sf):
     """The map column, shown by its size and by what it holds for each column."""
-    rows = ops.as_row_map(ops.newest(cells(spark, sf)), count_in=cells(spark, sf))
+    rows = ops.as_row_map(ops.newest(cells(spark, sf)))
     names = ("move:click", "move:view", "position:error", "position:purchase", "position:signup")
     cell = {n: F.try_element_at("columns", F.lit(n)) for n in names}
     return rows.select(
-        "row_key", "part", F.size("columns").alias("n"), *[c["value"].alias(n.split(":")[1]) for n, c in cell.items()],
+        "row_key", F.size("columns").alias("n"), *[c["value"].alias(n.split(":")[1]) for n, c in cell.items()],
         cell["move:click"]["ts"].alias("click_ts"),
     )
 
 
 @query("row_result_sorted", with_(CELLS, NEWEST) + """
-    SELECT row_key, CAST(0 AS BIGINT) AS part, string_agg(family || ':' || qualifier || '=' || value || '@' || CAST(ts AS VARCHAR), ';'
+    SELECT row_key, string_agg(family || ':' || qualifier || '=' || value || '@' || CAST(ts AS VARCHAR), ';'
       ORDER BY family || ':' || qualifier) AS columns FROM newest GROUP BY row_key""")
 def row_result_sorted(spark, sf):
     """The sorted list, joined to text."""
-    rows = ops.as_row_list(ops.newest(cells(spark, sf)), count_in=cells(spark, sf))
+    return _shown(ops.as_row_list(ops.newest(cells(spark, sf)))).select("row_key", "columns")
+
+
+@query("row_result_parts", with_(CELLS, NEWEST) + """
+    SELECT row_key, part, string_agg(name || '=' || value || '@' || CAST(ts AS VARCHAR), ';' ORDER BY name) AS columns
+    FROM (SELECT *, family || ':' || qualifier AS name,
+      (row_number() OVER (PARTITION BY row_key ORDER BY family, qualifier) - 1) // 2 AS part FROM newest) GROUP BY row_key, part""")
+def row_result_parts(spark, sf):
+    """Results of two columns each, which the caller asks for."""
+    return _shown(ops.as_row_list(ops.newest(cells(spark, sf)), batch=2, count_in=cells(spark, sf)))
+
+
+def _shown(rows):
     shown = F.transform("columns", lambda e: F.concat(
         e["column"], F.lit("="), e["cell"]["value"], F.lit("@"), e["cell"]["ts"].cast("string")))
-    return rows.select("row_key", "part", F.array_join(shown, ";").alias("columns"))
+    return rows.withColumn("columns", F.array_join(shown, ";"))

@@ -87,6 +87,15 @@ def increment_values(spark, sf):
     return _increments(spark, sf)[1]
 
 
+@query("increment_late_clock", with_(*_COUNTED) + f"""
+    , after AS (SELECT {_CELL}, greatest({MID_MS}, coalesce(newest.ts, {MID_MS})) AS ts, CAST(counted.value AS VARCHAR) AS value
+      FROM counted LEFT JOIN newest USING ({_CELL}))
+    SELECT {_COLS} FROM cells WHERE ({_CELL}, ts) NOT IN (SELECT ({_CELL}, ts) FROM after) UNION ALL SELECT {_COLS} FROM after""")
+def increment_late_clock(spark, sf):
+    """The clock is behind many stored times; the counted value is the newest all the same."""
+    return mut.increment_cells(cells(spark, sf), _changes(spark, sf, "event_id % 10 AS amount"), MID_MS)[0]
+
+
 _JOINED = (
     CELLS, NEWEST, _changes_sql("'|' || CAST(event_id AS VARCHAR) AS value"),
     f"added AS (SELECT {_CELL}, string_agg(value, '' ORDER BY seq) AS value FROM changes GROUP BY {_CELL})",
