@@ -98,11 +98,11 @@ def test_language_without_training_rows(spark):
 def test_em_finds_the_labellers_that_are_right():
     rng = np.random.default_rng(1)
     truth = rng.random(20_000) < 0.8
-    accuracy = np.array([0.95, 0.9, 0.85, 0.8, 0.75, 0.7, 0.65, 0.6])
-    right = rng.random((20_000, 8)) < accuracy
+    accuracy = np.array([0.95, 0.9, 0.85, 0.8, 0.75, 0.7, 0.65, 0.6, 0.9])
+    right = rng.random((20_000, 9)) < accuracy
     votes = np.where(right == truth[:, None], 2, 0)
     votes[rng.random(votes.shape) < 0.3] = 1
-    patterns, place, counts = np.unique((votes * 3 ** np.arange(8)).sum(axis=1), return_inverse=True, return_counts=True)
+    patterns, place, counts = np.unique((votes * 3 ** np.arange(9)).sum(axis=1), return_inverse=True, return_counts=True)
     prior, found, posterior = estimate(patterns, counts)
     assert prior == pytest.approx(0.8, abs=0.03)
     assert np.abs(found - accuracy).max() < 0.05

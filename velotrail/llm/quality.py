@@ -1,7 +1,7 @@
 """Quality classifier from weak labels.
 
 Overlapping heuristic labellers look at every document and vote good, bad or not at all.  Expectation-maximisation over the
-counts of vote patterns (at most 3 ** 8, whatever the table's size) estimates how often each labeller is right and gives
+counts of vote patterns (at most 3 ** 9, whatever the table's size) estimates how often each labeller is right and gives
 each pattern a posterior.  The posteriors of a sample train a hashed linear scorer on the shapes of the text, which judges
 all documents.  Where human labels say which documents are toxic, a second hashed linear scorer on words and their
 beginnings learns that from a sample of them.
@@ -28,7 +28,7 @@ FEW = 30
 STOP_WORDS = ("the of and to in is that it for was on are as with his they at be this from have or by one had not but what all were "
               "der die das und ist nicht ein eine zu den mit von im auf sich le la les de des et un une est que pour dans en du qui sur "
               "el los las y del se por con una para su al lo como").split()
-LABELLERS = ("upper", "symbols", "marks", "repeats", "bare", "stops", "ends", "length")
+LABELLERS = ("upper", "symbols", "marks", "repeats", "runs", "bare", "stops", "ends", "length")
 
 UPPER, LOWER, SYMBOL, MARK = (np.zeros(256, dtype=bool) for _ in range(4))
 UPPER[65:91] = True
@@ -60,11 +60,24 @@ class Texts:
     def of_words(self, flag: np.ndarray) -> np.ndarray:
         return _share(per_text(np.add, flag.astype(np.int64), self.first), self.words)
 
-    def repeats(self) -> np.ndarray:
+    def same(self) -> np.ndarray:
+        """Whether each word is the one before it."""
         same = np.zeros(len(self.hash), bool)
         same[1:] = self.hash[1:] == self.hash[:-1]
         same[self.first[:-1][self.words > 0]] = False
-        return self.of_words(same)
+        return same
+
+    def repeats(self) -> np.ndarray:
+        return self.of_words(self.same())
+
+    def runs(self) -> np.ndarray:
+        """Whether a word stands four times in a row."""
+        same = self.same()
+        four = same.copy()
+        for back in (1, 2):
+            four[back:] &= same[:-back]
+            four[:back] = False
+        return per_text(np.maximum, four, self.first)
 
     def votes(self) -> np.ndarray:
         """1, -1 or 0 of each labeller for each text."""
@@ -80,11 +93,13 @@ class Texts:
         stop = self.of_words(stops[place] == self.hash)
         bare = self.of_words(wordy[self.ends] == wordy[self.starts])
         upper, symbols, marks, repeats = _share(upper, upper + lower), _share(self.count(SYMBOL), seen), _share(self.count(MARK), self.words), self.repeats()
+        run = self.runs()
         rules = {
             "upper": (some & (upper < 0.25), some & (upper > 0.45)),
             "symbols": (some & (symbols < 0.01), some & (symbols > 0.04)),
             "marks": (some & (marks < 0.2), some & (marks > 0.6)),
             "repeats": (some & (repeats < 0.03), some & (repeats > 0.1)),
+            "runs": (many & ~run, some & run),
             "bare": (some & (bare < 0.05), some & (bare > 0.2)),
             "stops": (many & (stop > 0.05), many & (stop < 0.01)),
             "ends": (many & (ends > 0.01) & (ends < 0.3), many & ((ends == 0) | (ends > 0.6))),
@@ -127,29 +142,33 @@ def _pattern(votes: np.ndarray) -> np.ndarray:
 def estimate(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200) -> tuple[float, np.ndarray, np.ndarray]:
     """EM over vote patterns: share of good documents, accuracy of each labeller, posterior of each pattern.
 
-    Labellers are independent given the truth; how often each votes bad, not at all or good is estimated for good and for bad
-    documents.  At the start a bad vote weighs as much as three good ones, since each kind of junk is seen by few labellers.
-    A labeller's accuracy is the expected share of its votes that are right.
+    Labellers are independent given the truth; how often each votes bad or good, when it votes, is estimated for good and for
+    bad documents, and not voting says nothing.  At the start any bad vote makes a document bad, since each kind of junk is
+    seen by few labellers.  A labeller's accuracy is the expected share of its votes that are right.
     """
     votes = patterns[:, None] // 3 ** np.arange(len(LABELLERS)) % 3
-    cast = np.stack([votes == v for v in range(3)], axis=2).astype(float)
-    posterior = np.where((votes == 2).sum(axis=1) > 3 * (votes == 0).sum(axis=1), 0.95, 0.05)
+    cast = np.stack([votes == 0, votes == 2], axis=2).astype(float)
+    posterior = np.where((votes == 0).any(axis=1), 0.05, 0.95)
     for _ in range(rounds):
         classes = counts * (1 - posterior), counts * posterior
         prior = (classes[1].sum() + 1) / (counts.sum() + 2)
         # A tenth of a vote each way keeps all probabilities above 0.
-        bad, good = (np.log(np.einsum("p,pjv->jv", w, cast) + 0.1) - np.log(w.sum() + 0.3) for w in classes)
+        times = [np.einsum("p,pjv->jv", w, cast) + 0.1 for w in classes]
+        bad, good = (np.log(t) - np.log(t.sum(axis=1, keepdims=True)) for t in times)
         odds = np.log(prior) - np.log(1 - prior) + np.einsum("pjv,jv->p", cast, good - bad)
         posterior = 1 / (1 + np.exp(-np.clip(odds, -50, 50)))
-    told = np.einsum("p,pjv->jv", counts * posterior, cast)[:, 2] + np.einsum("p,pjv->jv", counts * (1 - posterior), cast)[:, 0]
-    return float(prior), told / np.maximum(np.einsum("p,pjv->jv", counts, cast)[:, [0, 2]].sum(axis=1), 1e-9), posterior
+    told = np.einsum("p,pjv->jv", counts * posterior, cast)[:, 1] + np.einsum("p,pjv->jv", counts * (1 - posterior), cast)[:, 0]
+    return float(prior), told / np.maximum(np.einsum("p,pjv->j", counts, cast), 1e-9), posterior
 
 
-def fit_linear(at: np.ndarray, slot: np.ndarray, value: np.ndarray, target: np.ndarray, size: int, decay: float, rounds: int = 150) -> tuple[np.ndarray, float]:
+def fit_linear(at: np.ndarray, slot: np.ndarray, value: np.ndarray, target: np.ndarray, size: int, decay: float, rounds: int = 400) -> tuple[np.ndarray, float]:
     """Sparse logistic regression (accelerated proximal gradient, L1); rows are slot[at[k]:at[k + 1]]."""
     rows = len(target)
     row = np.repeat(np.arange(rows), np.diff(at))
     weight = np.where(target > 0.5, 0.5 / max(target.sum(), 1), 0.5 / max((1 - target).sum(), 1))
+    # A slot whose rows cannot push harder than the decay stays 0 for good.
+    alive = (np.bincount(slot, weights=value * weight[row], minlength=size) > decay)[slot]
+    slot, value, row = slot[alive], value[alive], row[alive]
     step = 4.0 / max(float(np.bincount(row, weights=value**2, minlength=rows).max(initial=0)) + 1, 1)
     w, bias, past, past_bias = np.zeros(size), 0.0, np.zeros(size), 0.0
     for k in range(rounds):
@@ -163,6 +182,8 @@ def fit_linear(at: np.ndarray, slot: np.ndarray, value: np.ndarray, target: np.n
     return w.astype(np.float32), float(bias)
 
 
+#: L1 strength of the word scorer: about six toxic documents must share a word for it to count.
+DECAY = 2e-3
 #: Scale of shape frequencies, which are small numbers.
 SCALE = 20.0
 EXTRA = 1 << SHAPE_BITS
@@ -277,7 +298,7 @@ def train(docs: DataFrame, labels: DataFrame | None = None, max_train: int = MAX
                                    "target double, slots array<int>, vals array<float>"))
         if terms and 0 < terms[0].mean() < 1:
             target, at, slot, value = terms
-            toxic = fit_linear(at, slot, value, target, 1 << WORD_BITS, 1e-4)
+            toxic = fit_linear(at, slot, value, target, 1 << WORD_BITS, DECAY)
     report = dict(zip(LABELLERS, right.tolist(), strict=True))
     return (prior, report), (known, shape, toxic)
 
