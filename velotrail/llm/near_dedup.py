@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from velotrail.llm.spans import U64, mix, parts, per_text, shingle_sets, signed, stream
 from velotrail.llm.tables import components, join_groups, map_batches, small, write_out
 
-WIDTH, PERCENT, BANDS, ROWS = 2, 80, 12, 3
+WIDTH, PERCENT, BANDS, ROWS = 2, 80, 14, 3
 CLASS = "doc_id long, class long, n_shingles long, left array<long>, right array<long>"
 
 
@@ -311,6 +311,7 @@ def near_classes(docs: DataFrame, width: int, percent: int, bands: int, rows: in
     else:
         linked = classes.select("class", "first_id", "size").join(small(roots, 32), "class", "left")
         lowest = linked.filter("root IS NOT NULL").groupBy("root").agg(F.min("first_id").alias("least"))
+        lowest = small(write_out(lowest, "lowest"), 32)
         groups = linked.join(lowest, "root", "left").select("class", F.coalesce("least", "first_id").alias("component_id"), "size")
     return members.select("doc_id", "class", "n_shingles"), write_out(groups, "components")
 
