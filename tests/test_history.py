@@ -1,4 +1,5 @@
 import glob
+import random
 import re
 
 import pytest
@@ -89,6 +90,21 @@ def test_pages_until_empty_equal_all_pages_at_once(spark):
     assert numbered == [(i, k) for i, block in enumerate(seen) for k in block]
 
 
+def test_byte_ranges_equal_every_pair(spark):
+    rng = random.Random(4)
+    keys = {"".join(rng.choice("01289@:/-a") for _ in range(rng.randrange(8))) for _ in range(1500)}
+    keys |= {f"{i}@{t}" for i in range(95, 130) for t in ("000000", "5", "/")} | {f"{i}" for i in range(0, 130)}
+    ids = [str(i) for i in range(1, 130)] + ["007", "0", "10", "1999", "9999"]
+    history = spark.createDataFrame([(k,) for k in sorted(keys)], "row_key string")
+    asked = spark.createDataFrame(list(enumerate(ids)), "pos int, vehicle_id string")
+    want = []
+    for pos, i in enumerate(ids):
+        low, high = hist.byte_range(i)
+        want += [(pos, k) for k in keys if low <= k < high]
+    assert len(want) > 200
+    assert rows(hist.track_history(history, asked, mode="bytes"), "pos", "row_key") == sorted(want, key=repr)
+
+
 def test_last_of_first_n_is_not_the_newest(spark):
     stored = hist.newest_rows(hist.history_rows(stamped(spark, *[(f"a@{t},{BODY}", 1) for t in range(10, 20)])))
     assert rows(hist.last_of_first_n(stored, 3), "vehicle_id", "row_key") == [("a", "a@12")]

@@ -1,5 +1,6 @@
 """The plans for hot keys give what the ordinary plans give."""
 
+import os
 import random
 
 import pytest
@@ -152,3 +153,13 @@ def test_sizes_are_added_up_where_the_rows_are(spark):
     assert skew.is_small(df) and skew.is_small(df.filter("id < 0"))
     assert not skew.is_small(spark.range(skew.SMALL_ROWS + 1))
     assert not skew.is_small(spark.range(40).withColumn("text", F.expr("repeat('x', 1000000)")))
+
+
+def test_scratch_is_freed(spark, tmp_path):
+    df = spark.range(10)
+    with scratch.scratch_scope(spark):
+        ranked, total = ranks.table_rank(df, [F.col("id").desc()])
+        kept = ranked.inputFiles()
+        ranked.write.parquet(str(tmp_path / "out"))
+    assert total == 10 and spark.read.parquet(str(tmp_path / "out")).count() == 10
+    assert kept and not any(os.path.exists(f.removeprefix("file://").removeprefix("file:")) for f in kept)

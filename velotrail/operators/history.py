@@ -81,29 +81,64 @@ def byte_range(vehicle_id: str) -> tuple[str, str]:
 
 
 def _in_byte_ranges(history: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows of each requested range, as an equality join on the text that its two ends share.
-
-    Every key between two keys begins with their common prefix, so a row only meets the
-    requests whose prefix it has.
-    """
+    """Rows of each requested range, by an equality join on the few ids whose range can hold a key."""
     following = (F.col("vehicle_id").cast("decimal(38,0)") + 1).cast("decimal(38,0)").cast("string")
     ranges = ids.select(
-        "pos", F.concat("vehicle_id", F.lit("@000000")).alias("_start"), F.concat(following, F.lit("@000000")).alias("_stop")
+        "pos", F.col("vehicle_id").alias("_id"), F.concat("vehicle_id", F.lit("@000000")).alias("_start"),
+        F.concat(following, F.lit("@000000")).alias("_stop"),
     ).filter("_start < _stop")
+    plain = F.col("_id").rlike("^[1-9][0-9]*$")
+    near = _by_neighbours(history, ranges.filter(plain))
+    return near.unionByName(_by_shared_prefix(history, ranges.filter(~plain))).drop("_id", "_start", "_stop")
+
+
+def _inside(met: DataFrame) -> DataFrame:
+    return met.filter((F.col("row_key") >= F.col("_start")) & (F.col("row_key") < F.col("_stop")))
+
+
+def _nothing(history: DataFrame, ranges: DataFrame) -> DataFrame:
+    columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in ranges.schema.fields]
+    return history.select("*", *columns).filter(F.lit(False))
+
+
+def _by_neighbours(history: DataFrame, ranges: DataFrame) -> DataFrame:
+    """For ids without leading zeros: a key lies between an id of w digits and the next one only if the first w characters
+    are one of the two, or lie between them in byte order.  That leaves two ids for each width."""
+    widths = sorted(r[0] for r in ranges.select(F.length("_id")).distinct().collect())  # no more than an id has digits
+    if not widths:
+        return _nothing(history, ranges)
+    found = []
+    for w in widths:
+        first = F.substring("row_key", 1, w)
+        digits = F.regexp_extract(first, "^[0-9]*", 0)
+        after = F.substring("row_key", F.length(digits) + 1, F.lit(1))
+        own = digits.cast("decimal(38,0)")
+        below = (F.rpad(digits, w, "0").cast("decimal(38,0)") - 1).cast("decimal(38,0)").cast("string")
+        found.append(
+            F.when(F.length(digits) == w, F.array(digits, (own - 1).cast("decimal(38,0)").cast("string")))
+            .when(after > "9", F.array(F.rpad(digits, w, "9"))).otherwise(F.array(below))
+        )
+    rows = history.withColumn("_id", F.explode(F.array_distinct(F.flatten(F.array(*found)))))
+    return _inside(match(rows, ranges, ["_id"]))
+
+
+def _by_shared_prefix(history: DataFrame, ranges: DataFrame) -> DataFrame:
+    """For other ids, whose ranges may be wide: an equality join on the text that the two ends share.
+
+    Every key between two keys begins with their common prefix, so a row only meets the requests whose prefix it has.
+    """
     shared = F.size(F.filter(
         F.sequence(F.lit(1), F.length("_start")),
         lambda i: F.substring("_start", F.lit(1), i) == F.substring("_stop", F.lit(1), i),
     ))
     ranges = ranges.withColumn("_shared", shared).withColumn("_prefix", F.substring("_start", F.lit(1), F.col("_shared")))
-    lengths = sorted(r[0] for r in ranges.select("_shared").distinct().collect())  # no more than an id has digits
+    lengths = sorted(r[0] for r in ranges.select("_shared").distinct().collect())
     if not lengths:
-        return history.filter(F.lit(False)).withColumn("pos", F.lit(None).cast(ids.schema["pos"].dataType))
+        return _nothing(history, ranges.drop("_shared", "_prefix"))
     rows = history.withColumn("_shared", F.explode(F.lit(lengths))).withColumn(
         "_prefix", F.substring("row_key", F.lit(1), F.col("_shared"))
     )
-    met = match(rows, ranges, ["_shared", "_prefix"])
-    inside = (F.col("row_key") >= F.col("_start")) & (F.col("row_key") < F.col("_stop"))
-    return met.filter(inside).drop("_shared", "_prefix", "_start", "_stop")
+    return _inside(match(rows, ranges, ["_shared", "_prefix"])).drop("_shared", "_prefix")
 
 
 def page(rows: DataFrame, n: int, after: str | None = None, key: str = "row_key") -> DataFrame:

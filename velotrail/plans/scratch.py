@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
+_owned: ContextVar[list[str] | None] = ContextVar("owned", default=None)
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -30,5 +34,22 @@ def write_out(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, label)
     schema = df.schema
+    owned = _owned.get()
+    if owned is not None:
+        owned.append(path)
     df.write.parquet(path)
     return spark.read.schema(schema).parquet(path)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Tables written out inside are deleted at the end; results must have been written or counted by then."""
+    token = _owned.set([])
+    try:
+        yield
+    finally:
+        paths = _owned.get()
+        _owned.reset(token)
+        for path in paths:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -142,10 +142,15 @@ def sink_recent_two_runs(spark, sf):
 
 @query("sink_topic", with_(LINES) + "SELECT line AS value FROM lines")
 def sink_topic(spark, sf):
-    """The records of a topic, landed as text files."""
+    """The records that ``to_topic`` sends, from a stream with a checkpoint into files.
+
+    Spark's Kafka package is not there, so only the format differs; delivery to a broker is not shown.
+    """
     path = scratch_path(spark, "topic")
-    src.to_files(lines(spark, sf), path)
-    return spark.read.text(path)
+    sent = src.message(_stream(spark, sf)).writeStream.format("parquet").option("path", path).option(
+        "checkpointLocation", scratch_path(spark, "state"))
+    _finish(sent.trigger(availableNow=True).start())
+    return spark.read.schema("value string").parquet(path)
 
 
 _LATE = f"""CAST(sum({NOW_MS} - event_ms) AS DOUBLE) AS total_ms, CAST(sum({NOW_MS} - event_ms) AS DOUBLE) / count(*) AS avg_ms"""
