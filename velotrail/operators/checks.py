@@ -1,23 +1,24 @@
 """Conditional changes: mutate a row only if a stored value passes a check.
 
 A chain is a set of checks that can influence each other: all checks of a row, or of one
-cell where every check of the row changes only the cell it looks at.  Chains of one check are
-answered by a join.  Longer chains must run in ``seq`` order; they are sorted within
-partitions and folded as a stream that holds just the current chain's cell values.
+cell where every check of the row changes only the cell it looks at.  A check whose cell no
+earlier check of its chain may change is answered by a join.  Only the others must run in ``seq``
+order: with the changes of answered checks among them they are sorted within partitions and
+folded as a stream that holds just the current chain's cell values.  A chain is one stream in
+one task; one of n such checks costs n steps there, whatever the cluster.
 """
 
 from __future__ import annotations
 
-import json
 import operator
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from velotrail.operators.cells import CELL, newest, restrict
-from velotrail.operators.mutations import mutate_rows
+from velotrail.operators.mutations import ROW_FAMILY, mutate_rows
 from velotrail.plans.scratch import write_out
 from velotrail.plans.skew import is_small, skew_join
 
@@ -90,22 +91,42 @@ def _outcome(cells: DataFrame, checks: DataFrame, mutations: DataFrame, small: b
     # Stored values may be of any length, so it is left to Spark whether to broadcast them.
     sized = skew_join(asked.drop("_own"), states, CELL, small_side=False, skewed=not small)
 
-    answers = sized.filter(F.col("_length") == 1).select(
-        "seq", "row_key", holds(F.col("_stored"), F.col("op"), F.col("expected")).alias("passed")
-    )
-    acts = sized.filter(F.col("_length") > 1).select(
+    passed = holds(F.col("_stored"), F.col("op"), F.col("expected")).alias("passed")
+    single = sized.filter(F.col("_length") == 1).select("seq", "row_key", passed)
+    free = _unchanged(sized.filter(F.col("_length") > 1), asked, small).withColumn("passed", F.when(F.col("_free"), passed))
+    answers = single.unionByName(free.filter("_free").select("seq", "row_key", "passed"))
+
+    # Chains that have checks to run, with the changes of the answered ones.
+    open_ = free.filter(~F.col("_free")).select(*_CHAIN).distinct()
+    acts = free.filter(~F.col("_free") | (F.col("passed") & (F.size("steps") > 0))).join(open_, _CHAIN, "left_semi")
+    steps_type = f"array<{_STEP}>"
+    stream = acts.select(
         *_CHAIN, F.lit(True).alias("check"), F.col("seq").cast("bigint").alias("seq"), "family", "qualifier", "op",
-        "expected", F.coalesce(F.to_json("steps", {"ignoreNullFields": "false"}), F.lit("")).alias("steps"),
+        "expected", "passed", F.col("steps").cast(steps_type).alias("steps"),
     )
-    begin = states.filter((F.col("_length") > 1) & F.col("_stored").isNotNull()).select(
+    begin = states.filter((F.col("_length") > 1) & F.col("_stored").isNotNull()).join(open_, _CHAIN, "left_semi").select(
         *_CHAIN, F.lit(False).alias("check"), F.lit(0).cast("bigint").alias("seq"), "family", "qualifier",
-        F.lit("").alias("op"), F.col("_stored").alias("expected"), F.lit("").alias("steps"),
+        F.lit("").alias("op"), F.col("_stored").alias("expected"), F.lit(None).cast("boolean").alias("passed"),
+        F.lit(None).cast(steps_type).alias("steps"),
     )
-    stream = begin.unionByName(acts).repartition(*_CHAIN).sortWithinPartitions(*_CHAIN, "check", "seq")
-    folded = stream.mapInPandas(_fold_functions()[1], "seq bigint, row_key string, passed boolean")
+    # By a hash of the chain: both parts are already placed by the chain itself, but not by the same tasks.
+    together = begin.unionByName(stream).repartition(F.xxhash64(*_CHAIN))
+    stream = together.sortWithinPartitions(*_CHAIN, "check", "seq")
+    folded = stream.mapInArrow(_fold_functions()[1], "seq bigint, row_key string, passed boolean")
     return answers.unionByName(folded)
 
 
+def _unchanged(sized: DataFrame, asked: DataFrame, small: bool) -> DataFrame:
+    """``sized`` with ``_free``: no earlier check of the row has a step on the check's cell or on its whole family."""
+    steps = asked.select("row_key", "seq", F.explode("steps").alias("s")).select("row_key", "seq", "s.family", "s.qualifier")
+    by_cell = steps.filter(F.col("qualifier").isNotNull()).groupBy(*CELL).agg(F.min("seq").alias("_cell_first"))
+    by_family = steps.filter(F.col("qualifier").isNull()).groupBy(*ROW_FAMILY).agg(F.min("seq").alias("_family_first"))
+    marked = skew_join(sized, by_cell, CELL, "left", small_side=small)
+    marked = skew_join(marked, by_family, ROW_FAMILY, "left", small_side=small)
+    first = F.least("_cell_first", "_family_first")  # nulls are left out
+    return marked.withColumn("_free", F.coalesce(first >= F.col("seq"), F.lit(True))).drop("_cell_first", "_family_first")
+
+
 def _fold_functions():
     """(passes, fold).  Made inside a function so that they travel to the workers by value and
     need no copy of this package there."""
@@ -130,24 +151,30 @@ def _fold_functions():
                 state.pop((s["family"], s["qualifier"]), None)
         return state
 
-    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Run sorted chains: rows that are no check set a cell's value before the checks begin."""
         chain, state = None, {}
         for batch in batches:
             out = []
-            for row, cf, cq, check, seq, family, qualifier, op, expected, steps in batch.itertuples(index=False):
+            for row, cf, cq, check, seq, family, qualifier, op, expected, known, steps in zip(
+                *(c.to_pylist() for c in batch.columns), strict=True
+            ):
                 if (row, cf, cq) != chain:
                     chain, state = (row, cf, cq), {}
-                if not isinstance(expected, str):
-                    expected = None
                 if not check:
                     state[family, qualifier] = expected
                     continue
-                passed = passes(state.get((family, qualifier)), op, expected)
-                out.append((seq, row, passed))
+                passed = known
+                if known is None:
+                    passed = passes(state.get((family, qualifier)), op, expected)
+                    out.append((seq, row, passed))
                 if passed and steps:
-                    state = apply(state, json.loads(steps))
-            yield pd.DataFrame(out, columns=["seq", "row_key", "passed"])
+                    state = apply(state, steps)
+            columns = list(zip(*out, strict=True)) or [(), (), ()]
+            kinds = (pa.int64(), pa.string(), pa.bool_())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], ["seq", "row_key", "passed"]
+            )
 
     return passes, fold
 
