@@ -69,15 +69,22 @@ def near(data, width, percent):
 
 
 def keep_lines(data, min_chars, min_docs):
-    """Kept text of each row."""
+    """Kept text and number of dropped lines of each row."""
+    def key(line):
+        return line.strip(BLANKS).translate(FOLD)
+
     holders = {}
     for doc, text, *_ in data:
         for line in (text or "").split("\n"):
-            key = line.strip(BLANKS).translate(FOLD)
-            if doc is not None and len(key) >= min_chars:
-                holders.setdefault(key, set()).add(doc)
-    gone = {k: max(v) for k, v in holders.items() if len(v) >= min_docs}
-    return ["\n".join(x for x in (t or "").split("\n") if d is None or gone.get(x.strip(BLANKS).translate(FOLD), d) == d) for d, t, *_ in data]
+            if doc is not None and len(key(line)) >= min_chars:
+                holders.setdefault(key(line), set()).add(doc)
+    last = {k: max(v) for k, v in holders.items() if len(v) >= min_docs}
+    out = []
+    for doc, text, *_ in data:
+        lines = (text or "").split("\n")
+        stay = [x for x in lines if doc is None or last.get(key(x), doc) == doc]
+        out.append(("\n".join(stay), len(lines) - len(stay)))
+    return out
 
 
 def words(text):

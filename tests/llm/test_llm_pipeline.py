@@ -40,7 +40,7 @@ def test_stages_equal_plain_versions(spark):
     kept = stage["language"](spark, docs, SF)
     assert rows_of(kept) == sorted(data)
     kept = stage["lines"](spark, kept, SF)
-    data = [(r[0], t, r[2], r[3], len(t)) for r, t in zip(data, keep_lines(data, 20, 3), strict=True)]
+    data = [(r[0], t, r[2], r[3], len(t)) for r, (t, _) in zip(data, keep_lines(data, 20, 3), strict=True)]
     assert rows_of(kept) == sorted(data)
     kept = stage["near_copies"](spark, kept, SF)
     group = near(data, 5, 80)

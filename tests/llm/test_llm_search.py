@@ -3,7 +3,7 @@ import random
 import re
 
 import pytest
-from brute import BASE, contamination, empty, frame, rows
+from brute import contamination, empty, frame, rows
 from pyspark.sql import functions as F
 
 from velotrail.llm.decontaminate import clean_documents, decontaminate
@@ -106,7 +106,3 @@ def test_native_plan(spark):
     text = df._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", text)
     assert hashlib.sha256(b"").hexdigest() == spark.range(1).select(F.sha2(span_list(F.expr("array()").cast(df.schema["spans"].dataType)), 256)).first()[0]
-
-
-def test_long_base(spark):
-    assert contamination(BASE, ITEMS)[1] == 25

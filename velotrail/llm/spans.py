@@ -15,7 +15,9 @@ import pyarrow.compute as pc
 
 U64 = np.uint64
 #: Bytes hashed at a time; spans beyond this length are hashed one by one.
-SEGMENT = 1 << 20
+SEGMENT = 1 << 17
+#: Bytes of text that are taken apart at a time.
+PART = 1 << 20
 #: A-Z count as a-z.
 FOLD = np.arange(256, dtype=np.uint8)
 FOLD[65:91] += 32
@@ -54,7 +56,7 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return (np.frombuffer(data, np.uint8, size, int(at[0])) if size else np.zeros(0, np.uint8)), at - at[0]
 
 
-def parts(column: pa.Array, most: int = 4 << 20):
+def parts(column: pa.Array, most: int = PART):
     """Slices (begin, end) of the column with at most so many bytes, or one text."""
     _, at = utf8(column)
     begin = 0
@@ -83,17 +85,16 @@ def kept(name: str) -> dict:
     return sys.__dict__.setdefault("velotrail_llm", {}).setdefault(name, {})
 
 
-def _powers(seed: int, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Random value of each byte; powers of an odd number and of its inverse modulo 2**64."""
-    known = kept("powers").get(seed)
-    if known is None or len(known[1]) < n:
-        base = int(stream(seed + 1, 1)[0]) | 1
-        up = np.full(n, base, dtype=U64)
-        down = np.full(n, pow(base, -1, 1 << 64), dtype=U64)
-        up[0] = down[0] = 1
-        known = stream(seed, 256), np.multiply.accumulate(up), np.multiply.accumulate(down)
-        kept("powers")[seed] = known
-    return known
+def _powers() -> tuple[np.ndarray, np.ndarray]:
+    """Powers of an odd number and of its inverse modulo 2**64, for two segments."""
+    known = kept("powers")
+    if not known:
+        base = int(stream(1, 1)[0]) | 1
+        for name, factor in (("up", base), ("down", pow(base, -1, 1 << 64))):
+            steps = np.full(2 * SEGMENT + 1, factor, dtype=U64)
+            steps[0] = 1
+            known[name] = np.multiply.accumulate(steps)
+    return known["up"], known["down"]
 
 
 def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 11) -> np.ndarray:
@@ -106,12 +107,11 @@ def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 1
     which = np.flatnonzero(~long)
     if len(which) < len(starts):
         starts, ends = starts[which], ends[which]
-    k = 0
+    k, value, (up, down) = 0, stream(seed, 256), _powers()
     while k < len(starts):
         first = int(starts[k])
         e = int(np.searchsorted(starts, first + SEGMENT))
         last = int(ends[e - 1])
-        value, up, down = _powers(seed, 2 * SEGMENT + 1)
         bytes_ = FOLD[data[first:last]]
         sums = np.zeros(last - first + 1, dtype=U64)
         np.cumsum(value[bytes_] * up[: last - first], out=sums[1:])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -19,7 +20,21 @@ HOT = 1024
 def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     """``mapInArrow`` with batches of BATCH_ROWS rows; the setting stays, since the plan is made later."""
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    return df.mapInArrow(fn, schema)
+    return df.mapInArrow(_tidy(fn), schema)
+
+
+def _tidy(fn):
+    """``fn``, after which the worker, that waits for the next task, gives freed memory back to the system."""
+
+    def run(batches):
+        yield from fn(batches)
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL(None).malloc_trim(0)
+        except (AttributeError, OSError):
+            pass  # another C library than glibc
+
+    return run
 
 
 def join_groups(rows: DataFrame, groups: DataFrame, key: str, size: str, total: int) -> DataFrame:
