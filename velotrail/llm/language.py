@@ -26,7 +26,7 @@ MODEL_CELLS = 8_000_000
 SHARPNESS = 10.0
 #: A language's limit lies SPREAD times as far above the median cross-entropy of its training rows as this quantile, and at
 #: least MARGIN above it; texts of n characters get SHORT / sqrt(n) more, since short ones vary more.
-CALIBRATED, SPREAD, MARGIN, SHORT = 0.999, 2.0, 1.0, 3.0
+CALIBRATED, SPREAD, MARGIN, SHORT = 0.999, 2.0, 1.0, 8.0
 UNKNOWN = "und"
 ORDER = 4
 BEGIN, END = "\x02", "\x03"
