@@ -11,6 +11,8 @@ more, documents are searched slice by slice and the hits of a document are put t
 
 from __future__ import annotations
 
+from itertools import chain
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -173,19 +175,21 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, id
     """
     text = F.col(text_col).cast("string")
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("row"), text.alias("text"))
-    slices = list(_slices(benchmark, width, item_col, item_text_col, slice_bytes))
-    if len(slices) < 2:
-        tables = slices[0] if slices else docs.sparkSession.sparkContext.broadcast([])
-        found = map_batches(rows, _search(tables, False), FOUND)
+    nothing = docs.sparkSession.sparkContext.broadcast([])
+    slices = _slices(benchmark, width, item_col, item_text_col, slice_bytes)
+    first, second = next(slices, nothing), next(slices, None)
+    if second is None:
+        found = map_batches(rows, _search(first, False), FOUND)
     else:
-        per = [write_out(map_batches(rows, _search(tables, True), FOUND).dropDuplicates(["doc_id", "row"]), "hits") for tables in slices]
-        union = per[0]
-        for more in per[1:]:
-            union = union.union(more)
+        union = None
+        for tables in chain((first, second), slices):
+            own = write_out(map_batches(rows, _search(tables, True), FOUND).dropDuplicates(["doc_id", "row"]), "hits")
+            union = own if union is None else union.union(own)
+            tables.unpersist()
         hit = union.groupBy("doc_id", "row").agg(F.first("n_words").alias("n_words"), F.collect_list("hits").alias("hits"),
                                                  F.collect_list("items").alias("items"))
         hit = map_batches(hit, _merge, FOUND).select("doc_id", "row", F.col("hits").alias("h"), F.col("items").alias("i"))
-        plain = map_batches(rows, _search(docs.sparkSession.sparkContext.broadcast([]), False), FOUND)
+        plain = map_batches(rows, _search(nothing, False), FOUND)
         found = plain.join(hit, plain.doc_id.eqNullSafe(hit.doc_id) & (plain.row == hit.row), "left").select(
             plain.doc_id, "n_words", F.coalesce("h", "hits").alias("hits"), F.coalesce("i", "items").alias("items"))
     n_hit = F.aggregate("hits", F.lit(0).cast("long"), lambda n, h: n + h["end"] - h["start"])
@@ -195,6 +199,10 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, id
 def clean_documents(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, text_col: str = "text",
                     item_col: str = "item_id", item_text_col: str = "text", slice_bytes: int = SLICE_BYTES) -> DataFrame:
     """The rows of ``docs`` without a hit word, with all their columns."""
+    at, waiting = docs.columns.index(text_col), None
     for tables in _slices(benchmark, width, item_col, item_text_col, slice_bytes):
-        docs = map_batches(docs, _keep(tables, docs.columns.index(text_col)), docs.schema)
+        if waiting is not None:
+            docs = write_out(docs, "clean")
+            waiting.unpersist()
+        docs, waiting = map_batches(docs, _keep(tables, at), docs.schema), tables
     return docs
