@@ -53,7 +53,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str | None = None,
                        F.monotonically_increasing_id().alias("row"))
     ordered = rows.repartitionByRange("doc_id", "row").sortWithinPartitions("doc_id", "row").select("doc_id", "text")
     (map_batches(ordered, _tokenised(tokenizer or default_tokenizer(), end_id), FILE).write
-     .option("compression", "zstd").option("orc.stripe.size", STRIPE).option("orc.row.index.stride", STRIDE)
+     .option("compression", "lz4").option("orc.stripe.size", STRIPE).option("orc.row.index.stride", STRIDE)
      .option("orc.bloom.filter.columns", "doc_id").option("orc.bloom.filter.fpp", "0.01").orc(path))
 
 
