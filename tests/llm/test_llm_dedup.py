@@ -127,3 +127,27 @@ def test_long_texts_are_cut_at_newlines(spark, monkeypatch):
     data = [(k, "\n".join(f"a rather long line with number {(k * j) % 40}" for j in range(60)), None, None, 0) for k in range(1, 9)]
     got = {r.doc_id: r.kept for r in line_dedup(frame(spark, data)).collect()}
     assert got == {r[0]: t for r, (t, _) in zip(data, keep_lines(data, 20, 3), strict=True)}
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 4, 5])
+@pytest.mark.parametrize("min_docs", [2, 3, 4])
+def test_lines_that_batches_cut(size, min_docs):
+    """Sorted rows in batches of few rows, one document holding most lines, against all rows at once."""
+    import pyarrow as pa
+
+    from velotrail.llm.line_dedup import LINE, _stream
+
+    names = [c.split()[0] for c in LINE.split(", ")]
+    rng = random.Random(10 * size + min_docs)
+    for _ in range(60):
+        held = {(h // 2, h % 2, 99, position) for h in range(8) for position in range(rng.randrange(3))}
+        held |= {(h // 2, h % 2, rng.randrange(1, 100), rng.randrange(50)) for h in range(8) for _ in range(rng.randrange(6))}
+        # Equal documents and hashes as they come from the sort; a document's row id is its id.
+        data = [(a, b, doc, doc, position, False) for a, b, doc, position in sorted(held, key=lambda x: (x[0], x[1], -x[2], x[3]))]
+        docs = {}
+        for a, b, doc, *_ in data:
+            docs.setdefault((a, b), set()).add(doc)
+        want = {(doc, position) for a, b, doc, _, position, _ in data if len(docs[a, b]) >= min_docs and doc != max(docs[a, b])}
+        batches = [pa.RecordBatch.from_arrays([pa.array(list(c)) for c in zip(*data[k : k + size], strict=True)], names) for k in range(0, len(data), size)]
+        got = {(doc, position) for out in _stream(min_docs)(iter(batches)) for doc, _, position in zip(*(c.to_pylist() for c in out.columns), strict=True)}
+        assert got == want

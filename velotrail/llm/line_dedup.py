@@ -129,7 +129,8 @@ def _stream(min_docs: int):
                 out.append([c[drop & ~told] for c in rows[2:5]])
                 open_ = (h1 == h1[-1]) & (h2 == h2[-1])
                 first = np.ones(len(rank), bool)
-                first[1:] = (rank[1:] != rank[:-1]) | (ids[1:] != ids[:-1])
+                # The hash counts too: a document can be the only holder of one hash and the largest holder of the next.
+                first[1:] = (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1]) | (ids[1:] != ids[:-1])
                 # One row of each document counts it; undecided rows stay until the hash has min_docs documents.
                 needed = open_ & (rank < min_docs) & (first | ((rank > 0) & ~drop))
                 held = [c[needed] for c in [*rows[:5], told | drop]]
