@@ -7,7 +7,7 @@ import pytest
 from brute import empty, frame, rows
 from pyspark.sql import functions as F
 
-from velotrail.llm.language import END, BEGIN, _grams, accepted_documents, build_model, identify
+from velotrail.llm.language import END, BEGIN, _grams, accepted_documents, build_model, gram_counts, identify, train
 from velotrail.llm.quality import estimate, judge_quality
 from velotrail.llm.sharding import hilbert_index, hilbert_shards, write_shards
 from velotrail.plans.scratch import scratch_path
@@ -94,6 +94,33 @@ def test_language_without_training_rows(spark):
     assert {r.lang_pred for r in identify(none).collect()} == {"und"}
 
 
+def test_rare_grams_and_small_languages_stay(spark):
+    """However few cells a slice may have, each language is learned, and from all its grams."""
+    big = [("big", " ".join(f"{a}{b}na" for a in "bdfgk" for b in "aeiou"))] * 40
+    docs = spark.createDataFrame([*big, ("small", "zwölf Boxkämpfer jagen"), (None, "Quer über zwölf banana"), ("none", None)], "lang string, text string")
+    every = gram_counts(docs.filter("lang IS NOT NULL AND text IS NOT NULL")).toArrow()
+    want = build_model(np.array(every["lang"].to_pylist(), dtype=object), every["gram"].to_numpy(), every["n"].to_numpy())
+    for cells in (10, 100, 8_000_000):
+        table = train(docs, cells)
+        assert table.langs == ["big", "small"]
+        parts = [table.slice(k) for k in range(table.slices)]
+        assert (table.slices > 1) == (cells < 1000)
+        code = np.concatenate([g for g, _ in parts])
+        assert len(code) == len(np.unique(code)) == len(np.unique(np.concatenate([_grams(t.lower().split())[0] for t in {b[1] for b in big} | {"zwölf Boxkämpfer jagen", "Quer über zwölf banana"}])))
+        np.testing.assert_allclose(np.concatenate([p for _, p in parts]), want.log_p(code), atol=1e-4)
+
+
+def test_languages_by_slices_are_the_same(spark):
+    odd = [(10**6 + k, t, lang) for k, (t, lang) in enumerate([(None, "en"), ("12 345 !?", None), ("мир труд май июнь", None), ("The the of and", None)])]
+    docs = docs_of(spark).select("doc_id", "text", "lang").unionByName(spark.createDataFrame([*odd, odd[3], (None, "The of and", "en")], "doc_id long, text string, lang string"))
+    whole, parts = (sorted((tuple(r) for r in identify(docs, **more).collect()), key=repr) for more in ({}, {"model_cells": 20_000}))
+    assert len(whole) == len(parts) == 1006
+    for a, b in zip(whole, parts, strict=True):
+        assert a[:3] == b[:3] and a[5:] == b[5:] and a[3:5] == pytest.approx(b[3:5], abs=1e-9)
+    kept = accepted_documents(docs, model_cells=20_000)
+    assert sorted(kept.collect(), key=repr) == sorted(accepted_documents(docs).collect(), key=repr) and kept.schema == docs.schema
+
+
 def test_em_finds_the_labellers_that_are_right():
     rng = np.random.default_rng(1)
     truth = rng.random(20_000) < 0.8

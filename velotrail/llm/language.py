@@ -1,12 +1,13 @@
 """Language identification by interpolated Kneser-Ney character models, one for each language.
 
 Texts are read as words (runs of letters and characters beyond ASCII, lower-cased) between three begin marks and an end
-mark.  Spark counts the 4-grams of all training rows; of lower orders Kneser-Ney needs only the distinct 4-grams.  The
-models are sorted arrays of n-gram hashes with a log probability for each language, found by binary search: an n-gram that no
-language has seen falls back on its context's weight and the next order.  The language with the lowest cross-entropy for
-each character is chosen.  Cross-entropies of the training rows give each language a limit, beyond which a text is rejected.
+mark.  Spark counts the 4-grams of all training rows, and from them, order by order, the continuation counts, context totals
+and probabilities, nothing left out: a table with a log probability for each language of every 4-gram that any row holds.
+The language with the lowest cross-entropy for each character is chosen.  Cross-entropies of the training rows give each
+language a limit, beyond which a text is rejected.
 
-What is broadcast is bounded: MODEL_CELLS probabilities.  When there are more n-grams, those with the smallest counts go.
+The table is broadcast in slices of at most about MODEL_CELLS probabilities, by hash of the 4-gram.  There is one slice for usual
+corpora; with more, texts are read slice by slice and the sums of a text are put together.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from velotrail.llm.spans import U64, hashes, mix, parts, per_text, runs, utf8
-from velotrail.llm.tables import map_batches, write_out
+from velotrail.llm.tables import map_batches, small, write_out
 
 MODEL_CELLS = 8_000_000
 #: How sharply the score tells languages apart, by cross-entropy.
@@ -33,7 +34,8 @@ BEGIN, END = "\x02", "\x03"
 #: A-Z, a-z and every byte of a character beyond ASCII.
 LETTER = np.zeros(256, dtype=bool)
 LETTER[65:91] = LETTER[97:123] = LETTER[128:] = True
-SCORED = "doc_id long, held_out boolean, lang string, lang_pred string, score double, entropy double, n_chars long"
+TOTALS = "doc_id long, held_out boolean, lang string, row long, n_chars long, sums array<double>"
+SCORED = "doc_id long, held_out boolean, lang string, row long, lang_pred string, score double, entropy double, n_chars long"
 
 
 def _grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -58,7 +60,8 @@ def _distinct(data, starts, ends, word):
 def _counts(batches):
     for batch in batches:
         langs, column = batch.column(0).dictionary_encode(), batch.column(1)
-        names, index = langs.dictionary.to_pylist(), langs.indices.to_numpy(zero_copy_only=False)
+        names = [*langs.dictionary.to_pylist(), None]
+        index = langs.indices.fill_null(len(names) - 1).to_numpy(zero_copy_only=False)
         for begin, end in parts(column):
             data, at = utf8(column.slice(begin, end - begin))
             starts, ends, first = runs(data, at, LETTER)
@@ -70,11 +73,11 @@ def _counts(batches):
                 code, of_word = _grams(words)
                 grams, place = np.unique(code, return_inverse=True)
                 n = np.bincount(place, weights=count[of_word]).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array([names[lang]] * len(grams)), pa.array(grams.view(np.int64)), pa.array(n)], ["lang", "gram", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array([names[lang]] * len(grams), pa.string()), pa.array(grams.view(np.int64)), pa.array(n)], ["lang", "gram", "n"])
 
 
 def gram_counts(docs: DataFrame) -> DataFrame:
-    """(lang, gram, n) over all rows of docs (lang, text), neither null."""
+    """(lang, gram, n) over all rows of docs (lang, text); grams of rows without language have a null lang."""
     return map_batches(docs.select("lang", "text"), _counts, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
@@ -115,7 +118,7 @@ class Model:
 
 
 def build_model(lang: np.ndarray, gram: np.ndarray, n: np.ndarray) -> Model:
-    """Kneser-Ney models from 4-gram counts; lang holds strings, gram 64-bit codes."""
+    """Kneser-Ney models from 4-gram counts in arrays; lang holds strings, gram 64-bit codes.  ``train`` does the same in Spark."""
     langs = sorted(set(lang.tolist()))
     units = len(np.unique(gram.view(U64) & U64(0xFFFF))) + 1 if len(gram) else 1
     floor = float(np.log(1.0 / units))
@@ -163,95 +166,187 @@ def build_model(lang: np.ndarray, gram: np.ndarray, n: np.ndarray) -> Model:
     return Model(langs, grams, contexts, floor)
 
 
-def train(docs: DataFrame, model_cells: int = MODEL_CELLS) -> Model:
-    """docs: lang, text.  Rows without either are left out."""
-    counts = write_out(gram_counts(docs.filter("lang IS NOT NULL AND text IS NOT NULL")), "grams")
-    sizes = counts.groupBy("lang", F.floor(F.log2("n")).alias("size")).agg(F.count("*").alias("grams")).collect()
-    langs = len({r.lang for r in sizes})
-    most = model_cells // max(1, langs)
-    least = max([0, *(r.size for r in sizes)])
-    total = 0
-    for size in sorted({r.size for r in sizes}, reverse=True):
-        total += sum(r.grams for r in sizes if r.size == size)
-        if total > most:
-            break
-        least = size
-    table = counts.filter(F.col("n") >= 1 << int(least)).toArrow()
-    return build_model(np.array(table["lang"].to_pylist(), dtype=object), table["gram"].to_numpy(), table["n"].to_numpy())
-
-
-def _judge(column: pa.Array, model: Model) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
-    """Of each text: the language, its score, the cross-entropy, and the characters read."""
-    names, scores, entropies, sizes = [], [], [], []
+@dataclass
+class Table:
+    """gram, slice, log_p (array<float>, by language) of every 4-gram that any row holds."""
+
+    langs: list[str]
+    rows: DataFrame | None
+    slices: int
+
+    def slice(self, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Sorted 4-grams and a row of log probabilities for each."""
+        if self.rows is None:
+            return np.zeros(0, U64), np.zeros((0, 0), np.float32)
+        table = self.rows.filter(F.col("slice") == k).select("gram", "log_p").toArrow().combine_chunks()
+        gram = table["gram"].to_numpy().view(U64)
+        log_p = table["log_p"].combine_chunks().flatten().to_numpy().reshape(len(gram), len(self.langs))
+        order = np.argsort(gram)
+        return gram[order], log_p[order]
+
+
+def _per_language(langs: list[str], value) -> Column:
+    return F.array(*[value(j) for j in range(len(langs))])
+
+
+def _seen(j: int) -> Column:
+    return F.sum((F.col("n")[j] > 0).cast("double"))
+
+
+def _context(gram: str = "gram") -> Column:
+    return F.shiftrightunsigned(gram, 16)
+
+
+def _probability(k: int, langs: list[str], off: list[float], lower) -> Column:
+    """Of rows with n, total and kinds (of the context): discounted share, and what is left times the lower order's."""
+    def one(j):
+        n, total, kinds = F.col("n")[j], F.col("total")[j], F.col("kinds")[j]
+        return F.when(total > 0, F.greatest(n - off[j], F.lit(0.0)) / total + off[j] * kinds / total * lower(j)).otherwise(lower(j))
+
+    return _per_language(langs, one)
+
+
+def train(docs: DataFrame, model_cells: int = MODEL_CELLS) -> Table:
+    """docs: lang, text.  Rows without text are left out; of rows without language only the 4-grams are taken, to be scored.
+
+    No join key holds more than 65,536 rows, whatever the texts: grams that share a context differ in one unit, as do
+    grams that share a suffix.
+    """
+    spark = docs.sparkSession
+    counts = write_out(gram_counts(docs.filter("text IS NOT NULL")), "grams")
+    langs = sorted(r.lang for r in counts.select("lang").filter("lang IS NOT NULL").distinct().collect())
+    if not langs:
+        return Table([], None, 1)
+    # Of each order the grams of all rows, with a count for each language; 0 where the language has not learned it.
+    orders = {ORDER: write_out(counts.groupBy("gram").agg(_per_language(langs, lambda j: F.sum(
+        F.when(F.col("lang") == langs[j], F.col("n")).otherwise(0)).cast("double")).alias("n")), "order")}
+    for k in range(ORDER - 1, 0, -1):
+        # Kneser-Ney counts in how many contexts an n-gram continues.
+        suffix = F.col("gram").bitwiseAND(F.lit((1 << 16 * k) - 1).cast("long"))
+        orders[k] = write_out(orders[k + 1].groupBy(suffix.alias("gram")).agg(_per_language(langs, _seen).alias("n")), "order")
+    units = orders[1].filter(F.exists("n", lambda x: x > 0)).count() + 1
+    p = None
+    for k in range(1, ORDER + 1):
+        ones = orders[k].agg(*[_per_language(langs, lambda j, v=v: F.sum((F.col("n")[j] == v).cast("double"))) for v in (1, 2)]).first()
+        off = [min(max(once / (once + 2 * twice), 0.1), 0.95) if once else 0.5 for once, twice in zip(*ones, strict=True)]
+        sums = [_per_language(langs, lambda j: F.sum(F.col("n")[j])).alias("total"), _per_language(langs, _seen).alias("kinds")]
+        if k == 1:
+            around = spark.createDataFrame([orders[1].agg(*sums).first()], "total array<double>, kinds array<double>")
+            p = orders[1].crossJoin(F.broadcast(around)).select("gram", _probability(k, langs, off, lambda j: F.lit(1.0 / units)).alias("p"))
+            continue
+        around = orders[k].groupBy(_context().alias("context")).agg(*sums)
+        below = F.col("gram").bitwiseAND(F.lit((1 << 16 * (k - 1)) - 1).cast("long"))
+        both = orders[k].withColumns({"context": _context(), "below": below}).join(around, "context")
+        both = both.join(p.select(F.col("gram").alias("below"), F.col("p").alias("lower")), "below")
+        p = both.select("gram", _probability(k, langs, off, lambda j: F.col("lower")[j]).alias("p"))
+    slices = -(-orders[ORDER].count() * len(langs) // model_cells)
+    table = p.select("gram", F.pmod(F.xxhash64("gram"), F.lit(slices)).cast("int").alias("slice"),
+                     F.transform("p", lambda x: F.log(x)).cast("array<float>").alias("log_p"))
+    if slices > 1:  # a slice is read from the files that hold it
+        table = table.repartitionByRange("slice", "gram").sortWithinPartitions("slice", "gram")
+    return Table(langs, write_out(table, "model"), slices)
+
+
+def _read(column: pa.Array, n_langs: int, grams: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of each text: the characters read (0 without a letter), and the sum of log probabilities by language of the 4-grams in this slice."""
+    sizes, sums = [np.zeros(0, np.int64)], [np.zeros((0, n_langs))]
     for begin, end in parts(column):
         own = column.slice(begin, end - begin)
         data, at = utf8(own)
         starts, ends, first = runs(data, at, LETTER)
         words, number, _ = _distinct(data, starts, ends, hashes(data, starts, ends))
         code, of = _grams(words) if words else (np.zeros(0, U64), np.zeros(0, np.int64))
-        log_p = model.log_p(code)
+        place, there = _find(grams, code)
         length = np.bincount(of, minlength=len(words))
-        each = np.zeros((len(words), len(model.langs)))
-        for j in range(len(model.langs)):
-            each[:, j] = np.bincount(of, weights=log_p[:, j], minlength=len(words))
+        of, place = (of, place) if there.all() else (of[there], place[there])
+        each = np.zeros((len(words), n_langs))
+        for j in range(n_langs):
+            each[:, j] = np.bincount(of, weights=values[place, j], minlength=len(words))
         size = per_text(np.add, length[number].astype(np.int64), first) if len(number) else np.zeros(end - begin, np.int64)
-        total = np.column_stack([per_text(np.add, each[number, j], first) if len(number) else np.zeros(end - begin) for j in range(len(model.langs))]) \
-            if model.langs else np.zeros((end - begin, 0))
-        plain = per_text(np.maximum, data < 128, at) if len(data) else np.zeros(end - begin, bool)
-        ascii_letter = per_text(np.maximum, LETTER[data] & (data < 128), at) if len(data) else plain
-        for t in range(end - begin):
-            known = size[t] > 0 and (ascii_letter[t] or any(c.isalpha() for c in own[t].as_py() or ""))
-            if not known or not model.langs:
-                names.append(UNKNOWN), scores.append(0.0), entropies.append(None if not known else 0.0), sizes.append(int(size[t]) if known else 0)
-                continue
-            h = -total[t] / size[t]
-            best = int(np.argmin(h))
-            names.append(model.langs[best])
-            scores.append(float(1.0 / np.exp(-SHARPNESS * (h - h[best])).sum()))
-            entropies.append(float(h[best]))
-            sizes.append(int(size[t]))
-    return names, scores, entropies, sizes
-
-
-def _score(model):
+        total = np.zeros((end - begin, n_langs))
+        for j in range(n_langs if len(number) else 0):
+            total[:, j] = per_text(np.add, each[number, j], first)
+        ascii_letter = per_text(np.maximum, LETTER[data] & (data < 128), at) if len(data) else np.zeros(end - begin, bool)
+        for t in np.flatnonzero((size > 0) & ~ascii_letter):
+            if not any(c.isalpha() for c in own[t].as_py() or ""):
+                size[t] = 0
+        sizes.append(size), sums.append(total)
+    return np.concatenate(sizes), np.concatenate(sums)
+
+
+def _totals(model, n_langs: int):
     def run(batches):
         for batch in batches:
-            names, scores, entropies, sizes = _judge(batch.column(3), Model(*model.value))
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:3], pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(entropies, pa.float64()), pa.array(sizes, pa.int64())],
-                [c.split()[0] for c in SCORED.split(", ")])
+            sizes, sums = _read(batch.column(4), n_langs, *model.value)
+            at = pa.array(np.arange(len(sizes) + 1, dtype=np.int32) * n_langs)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(sizes), pa.ListArray.from_arrays(at, pa.array(sums.ravel()))],
+                                             [c.split()[0] for c in TOTALS.split(", ")])
 
     return run
 
 
-def _accept(model, limits: dict[str, float], at: int):
+def _choose(langs: list[str]):
     def run(batches):
         for batch in batches:
-            judged = zip(*_judge(batch.column(at).cast(pa.string()), Model(*model.value)), strict=True)
-            yield batch.filter(pa.array([h is not None and not h > limits.get(name, np.inf) + SHORT / max(n, 1) ** 0.5 for name, _, h, n in judged], pa.bool_()))
+            size, n = batch.column(4).to_numpy(zero_copy_only=False), batch.num_rows
+            known, names, score, entropy = size > 0, [UNKNOWN] * n, np.zeros(n), np.zeros(n)
+            if langs and n:
+                h = -batch.column(5).flatten().to_numpy(zero_copy_only=False).reshape(n, len(langs)) / np.maximum(size, 1)[:, None]
+                best, least = h.argmin(axis=1), h.min(axis=1)
+                names = [langs[b] if k else UNKNOWN for b, k in zip(best.tolist(), known.tolist(), strict=True)]
+                score = np.where(known, 1.0 / np.exp(-SHARPNESS * (h - least[:, None])).sum(axis=1), 0.0)
+                entropy = least
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(names, pa.string()), pa.array(score), pa.array(entropy, mask=~known), batch.column(4)],
+                                             [c.split()[0] for c in SCORED.split(", ")])
 
     return run
 
 
+def _scores(rows: DataFrame, table: Table) -> DataFrame:
+    """SCORED of each of ``rows`` (doc_id, held_out, lang, row, text)."""
+    spark = rows.sparkSession
+    if table.slices == 1:
+        # Plain values, since broadcasts are unpickled by name.
+        totals = map_batches(rows, _totals(spark.sparkContext.broadcast(table.slice(0)), len(table.langs)), TOTALS)
+        return write_out(map_batches(totals, _choose(table.langs), SCORED), "languages")
+    union = None
+    for k in range(table.slices):
+        model = spark.sparkContext.broadcast(table.slice(k))
+        own = map_batches(rows, _totals(model, len(table.langs)), TOTALS).select("doc_id", "row", "n_chars", F.lit(k).alias("slice"), "sums")
+        own = write_out(own.dropDuplicates(["doc_id", "row"]), "sums")
+        model.unpersist()
+        union = own if union is None else union.union(own)
+    # The same order of addition every time.
+    each = union.groupBy("doc_id", "row").agg(F.first("n_chars").alias("n_chars"), F.array_sort(F.collect_list(F.struct("slice", "sums"))).alias("each"))
+    sums = _per_language(table.langs, lambda j: F.aggregate("each", F.lit(0.0), lambda x, own: x + own["sums"][j])).alias("sums")
+    each = each.select(F.col("doc_id").alias("d"), F.col("row").alias("r"), "n_chars", sums)
+    plain = rows.drop("text")
+    totals = plain.join(each, plain.doc_id.eqNullSafe(each.d) & (plain.row == each.r)).select(*[c.split()[0] for c in TOTALS.split(", ")])
+    return write_out(map_batches(totals, _choose(table.langs), SCORED), "languages")
+
+
 def held_out(id_: Column) -> Column:
     """Rows that nothing is learned from: crc32 of the id as text leaves 2 when divided by 4; rows without id are learned from."""
     return F.coalesce(F.crc32(F.encode(id_.cast("string"), "UTF-8")) % 4 == 2, F.lit(False))
 
 
-def _fit(docs: DataFrame, id_col: str, text_col: str, lang_col: str):
-    """(scores of all rows, broadcast model, limit of each language)."""
+def _fit(docs: DataFrame, id_col: str, text_col: str, lang_col: str, model_cells: int):
+    """SCORED of all rows, and whether each is rejected."""
+    text = F.col(text_col).cast("string")
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), held_out(F.col(id_col)).alias("held_out"),
-                       F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
-    # Plain values, since broadcasts are unpickled by name.
-    model = docs.sparkSession.sparkContext.broadcast(train(rows.filter("not held_out")).values())
-    scored = write_out(map_batches(rows, _score(model), SCORED), "languages")
+                       F.col(lang_col).cast("string").alias("lang"), F.xxhash64(text).alias("row"), text.alias("text"))
+    table = train(rows.select(F.when(~F.col("held_out"), F.col("lang")).alias("lang"), "text"), model_cells)
+    scored = _scores(rows, table)
     learned = scored.filter("not held_out AND lang = lang_pred AND entropy IS NOT NULL").groupBy("lang").agg(
         F.percentile_approx("entropy", [0.5, CALIBRATED], 10_000).alias("at"))
-    limits = {r.lang: r.at[0] + max(MARGIN, SPREAD * (r.at[1] - r.at[0])) for r in learned.collect()}
-    return scored, model, limits
+    limit = F.lit(None).cast("double")
+    for r in learned.collect():
+        limit = F.when(F.col("lang_pred") == r.lang, r.at[0] + max(MARGIN, SPREAD * (r.at[1] - r.at[0]))).otherwise(limit)
+    beyond = F.col("entropy").isNull() | F.coalesce(F.col("entropy") > limit + SHORT / F.sqrt(F.greatest("n_chars", F.lit(1))), F.lit(False))
+    return scored.withColumn("rejected", beyond)
 
 
-def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", model_cells: int = MODEL_CELLS) -> DataFrame:
     """One row per row of ``docs``: doc_id, held_out, lang_pred, score, entropy, n_chars, rejected.
 
     Learned from the texts and non-null languages of rows that are not held out.  ``lang_pred`` is a learned language, the
@@ -259,15 +354,14 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     nothing could be learned.  ``rejected``: ``und`` for want of letters, or beyond the language's limit.  Repeated rows count
     as often as they occur.  Other columns are not read; an empty table gives an empty result.
     """
-    scored, _, limits = _fit(docs, id_col, text_col, lang_col)
-    limit = F.lit(None).cast("double")
-    for lang, value in limits.items():
-        limit = F.when(F.col("lang_pred") == lang, value).otherwise(limit)
-    beyond = F.col("entropy").isNull() | F.coalesce(F.col("entropy") > limit + SHORT / F.sqrt(F.greatest("n_chars", F.lit(1))), F.lit(False))
-    return scored.select("doc_id", "held_out", "lang_pred", "score", "entropy", "n_chars", beyond.alias("rejected"))
+    return _fit(docs, id_col, text_col, lang_col, model_cells).select("doc_id", "held_out", "lang_pred", "score", "entropy", "n_chars", "rejected")
 
 
-def accepted_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+def accepted_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", model_cells: int = MODEL_CELLS) -> DataFrame:
     """The rows of ``docs`` that are not rejected, with all their columns."""
-    _, model, limits = _fit(docs, id_col, text_col, lang_col)
-    return map_batches(docs, _accept(model, limits, docs.columns.index(text_col)), docs.schema)
+    mark = "_" * (1 + max(len(c) for c in docs.columns))  # no column has this name or one that begins with it
+    rejected = write_out(_fit(docs, id_col, text_col, lang_col, model_cells).filter("rejected").select(
+        F.col("doc_id").alias(f"{mark}d"), F.col("row").alias(f"{mark}r")).distinct(), "rejected")
+    keys = docs.select("*", F.col(id_col).cast("long").alias(f"{mark}doc"), F.xxhash64(F.col(text_col).cast("string")).alias(f"{mark}row"))
+    same = F.col(f"{mark}doc").eqNullSafe(F.col(f"{mark}d")) & (F.col(f"{mark}row") == F.col(f"{mark}r"))
+    return keys.join(small(rejected, 64), same, "left_anti").select(*docs.columns)
