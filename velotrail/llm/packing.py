@@ -14,7 +14,6 @@ from __future__ import annotations
 import zlib
 from bisect import bisect_right, insort
 
-import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -94,8 +93,7 @@ def _steps(windows: list[list[tuple[int, int, int]]], size: int) -> list[tuple[i
 
 def _pack(path: str, end_id: int, tiers: tuple[int, ...], group_tokens: int, step_windows: int):
     def run(batches):
-        encode, part = encoder(path).encode, TaskContext.get().partitionId()
-        end = np.array([end_id], "<u4").tobytes()
+        encode, part = encoder(path).encode_all, TaskContext.get().partitionId()
         held: dict[int, tuple[int | None, bytes]] = {}
         packer, waiting, serial, steps = _Packer(tiers), 0, part << 40, part << 40
 
@@ -122,12 +120,12 @@ def _pack(path: str, end_id: int, tiers: tuple[int, ...], group_tokens: int, ste
 
         number = 0
         for batch in batches:
-            for doc_id, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                ids = encode(text or "") + end
-                held[number] = doc_id, ids
-                packer.add(number, len(ids) // 4)
+            ids, at = encode(batch.column(1), end_id)
+            for doc_id, s, e in zip(batch.column(0).to_pylist(), at[:-1].tolist(), at[1:].tolist(), strict=True):
+                held[number] = doc_id, ids[s:e].tobytes()
+                packer.add(number, e - s)
                 number += 1
-                waiting += len(ids) // 4
+                waiting += e - s
                 if waiting >= group_tokens:
                     yield from flush(False)
                     waiting = 0

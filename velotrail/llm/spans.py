@@ -21,6 +21,8 @@ PART = 1 << 20
 #: A-Z count as a-z.
 FOLD = np.arange(256, dtype=np.uint8)
 FOLD[65:91] += 32
+#: Every byte as it is.
+SAME = np.arange(256, dtype=np.uint8)
 #: Space and \x09 to \x0D.
 BLANK = np.zeros(256, dtype=bool)
 BLANK[[32, *range(9, 14)]] = True
@@ -97,12 +99,12 @@ def _powers() -> tuple[np.ndarray, np.ndarray]:
     return known["up"], known["down"]
 
 
-def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 11) -> np.ndarray:
-    """64-bit hash of each span with A-Z folded; starts ascend, spans don't overlap."""
+def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 11, fold: np.ndarray = FOLD) -> np.ndarray:
+    """64-bit hash of each span with A-Z folded (with SAME nothing is); starts ascend, spans don't overlap."""
     out = np.zeros(len(starts), dtype=U64)
     long = ends - starts > SEGMENT
     for k in np.flatnonzero(long):
-        folded = FOLD[data[starts[k] : ends[k]]].tobytes()
+        folded = fold[data[starts[k] : ends[k]]].tobytes()
         out[k] = int.from_bytes(hashlib.blake2b(folded, digest_size=8, salt=seed.to_bytes(8, "little")).digest(), "little")
     which = np.flatnonzero(~long)
     if len(which) < len(starts):
@@ -112,7 +114,7 @@ def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 1
         first = int(starts[k])
         e = int(np.searchsorted(starts, first + SEGMENT))
         last = int(ends[e - 1])
-        bytes_ = FOLD[data[first:last]]
+        bytes_ = fold[data[first:last]]
         sums = np.zeros(last - first + 1, dtype=U64)
         np.cumsum(value[bytes_] * up[: last - first], out=sums[1:])
         s, t = starts[k:e] - first, ends[k:e] - first
