@@ -1,0 +1,84 @@
+import random
+import re
+
+from brute import LONG, empty, frame, rows
+
+from velotrail.llm.line_quality import PHRASES, RULES, SENTENCE_ENDS, SEPARATORS, SYMBOLS, line_quality
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def plain_failures(line, earlier):
+    """The rules that a line fails, word by word."""
+    w = WORD.findall(line)
+    if not w:
+        return set()
+    upper = len(re.findall("[A-ZÀ-ÖØ-Þ]", line))
+    letters = upper + len(re.findall("[a-zß-öø-ÿ]", line))
+    separators = sum(x in SEPARATORS for x in w)
+    folded = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in line)
+    found = {
+        "punctuation": w[-1][-1] not in SENTENCE_ENDS and len(w) < 40,
+        "navigation": separators >= 2 and separators * 10 >= len(w),
+        "symbols": 10 * sum(c in SYMBOLS for c in line) > len(w),
+        "shouting": letters >= 10 and 10 * upper > 6 * letters or 4 * sum(x.endswith(("!!", "??")) for x in w) > len(w),
+        "stutter": len(w) >= 4 and 2 * sum(a == b for a, b in zip(w, w[1:])) >= len(w),
+        "boilerplate": any(p in folded for p in PHRASES),
+        "repeated": line in earlier,
+    }
+    return {rule for rule, fails in found.items() if fails}
+
+
+def plain(text, least_words=50):
+    text = text or ""
+    w, lines = WORD.findall(text), text.split("\n")
+    windows = list(zip(w, w[1:], w[2:]))
+    places = {}
+    for k, x in enumerate(windows):
+        places.setdefault(x, []).append(k)
+    hit = {k + j for own in places.values() if len(own) > 1 for k in own for j in range(3)}
+    fails, earlier = [], set()
+    for line in lines:
+        fails.append(plain_failures(line, earlier))
+        earlier.add(line)
+    chars = [sum(map(len, WORD.findall(x))) for x in lines]
+    lost = sum(c for c, f in zip(chars, fails) if f)
+    failed = len(w) < least_words or 100 * len(hit) > 50 * len(w)
+    return (len(w), sum(chars), sum(c in SYMBOLS for c in text), sum("repeated" in f for f in fails), len(hit), len(lines), sum(map(bool, fails)), lost,
+            *[sum(r in f for f in fails) for r in RULES], failed, not failed and 100 * lost <= 50 * sum(chars),
+            "\n".join(x for x, f in zip(lines, fails) if not f))
+
+
+def random_texts(n):
+    rng = random.Random(7)
+    words = ["one", "Two", "THREE", "é", "ÉTÉ", "×÷", "a|b", "|", "»", "·", "#", "***", "what??", "no!!", "end.", "fin»", "“quote”", "。", "read", "more", "Read More",
+             "lorem ipsum", "\t", "  ", "x1", "$5", "\x0b"]
+    for _ in range(n):
+        lines = [" ".join(rng.choice(words) for _ in range(rng.randrange(9))) + rng.choice(["", ".", "!", " "]) for _ in range(rng.randrange(1, 12))]
+        lines.append(" ".join(rng.choice(words) for _ in range(rng.randrange(30, 70))))
+        yield "\n".join(rng.choice(lines) for _ in range(rng.randrange(1, 15)))
+
+
+def test_measures_and_verdict_equal_a_plain_version(spark):
+    data = rows() + [(1000 + k, t, None, None, None) for k, t in enumerate(random_texts(400))]
+    got = line_quality(frame(spark, data).repartition(3), least_words=5).collect()
+    want = sorted(((r[0], *plain(r[1], 5)) for r in data), key=repr)
+    assert sorted((tuple(r) for r in got), key=repr) == want
+    assert any(w[-2] for w in want) and any(not w[-2] for w in want)
+
+
+def test_lost_text_rejects(spark):
+    """A page of menus and notices goes, the same page with enough sentences stays, without them."""
+    menu = "\n".join(["Home | News | Contact", "SUBSCRIBE NOW AND SAVE", "All rights reserved.", "Sign up for news"] * 6)
+    rng = random.Random(11)
+    prose = "\n".join(" ".join(f"word{rng.randrange(500)}" for _ in range(15)) + "." for _ in range(40))
+    mixed = prose + "\n" + menu
+    got = {r.doc_id: r for r in line_quality(frame(spark, [(1, menu + LONG[:20], None, None, 0), (2, mixed, None, None, 0), (3, prose, None, None, 0)])).collect()}
+    assert not got[1].kept and got[2].kept and got[3].kept
+    assert got[2].clean_text == prose == got[3].clean_text
+    assert got[2].n_failed_lines == 24 and got[2].failed_navigation == 6
+
+
+def test_no_rows_and_no_texts(spark):
+    assert line_quality(empty(spark)).count() == 0
+    assert {r.clean_text for r in line_quality(frame(spark, rows()), texts=False).collect()} == {None}

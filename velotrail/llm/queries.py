@@ -11,6 +11,7 @@ from velotrail.llm.decontaminate import decontaminate
 from velotrail.llm.exact_dedup import exact_dedup
 from velotrail.llm.language import identify
 from velotrail.llm.line_dedup import line_dedup
+from velotrail.llm.line_quality import PHRASES, line_quality
 from velotrail.llm.near_dedup import near_dedup
 from velotrail.llm.packing import pack
 from velotrail.llm.pii import BASE, find_private, span_list
@@ -147,3 +148,41 @@ def op7_language(spark, sf_dir):
 @query
 def op3_weak_quality(spark, sf_dir):
     return judge_quality(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+@query
+def op13_line_quality(spark, sf_dir):
+    return line_quality(documents(spark, sf_dir), texts=False).drop("clean_text")
+
+
+_WORD = "[^\\x20\\x09-\\x0D]+"
+_FAILED = {
+    "punctuation": r"""n < 40 AND NOT regexp_matches(w[n], '[.!?:;"'')\]}…”’»。！？]$')""",
+    "navigation": "len(list_filter(w, lambda x: x IN ('|', '>', '/', '»', '·', '•'))) >= greatest(2, n / 10.0)",
+    "symbols": "10 * symbols > n",
+    "shouting": r"""(upper + lower >= 10 AND 10 * upper > 6 * (upper + lower))
+      OR 4 * len(list_filter(w, lambda x: regexp_matches(x, '(!!|\?\?)$'))) > n""",
+    "stutter": "n >= 4 AND 2 * len(list_filter(range(2, n + 1), lambda i: w[i] = w[i - 1])) >= n",
+    "boilerplate": f"regexp_matches({FOLDED.replace("coalesce(text, '')", 'line')}, '{'|'.join(PHRASES)}')",
+    "repeated": "again",
+}
+_LATIN = "length(regexp_replace(line, '[^{}]', '', 'g'))"
+ORACLES["op13_line_quality"] = f"""
+WITH docs AS (SELECT doc_id, coalesce(text, '') AS t, row_number() OVER () AS r FROM documents),
+lines AS (SELECT r, unnest(string_split(t, chr(10))) AS line, unnest(range(len(string_split(t, chr(10))))) AS position FROM docs),
+measured AS (SELECT *, regexp_extract_all(line, '{_WORD}') AS w, {_LATIN.format('#*$%&|<>')} AS symbols, {_LATIN.format('A-ZÀ-ÖØ-Þ')} AS upper,
+  {_LATIN.format('a-zß-öø-ÿ')} AS lower, row_number() OVER (PARTITION BY r, line ORDER BY position) > 1 AS again FROM lines),
+sized AS (SELECT *, len(w) AS n, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS chars FROM measured),
+judged AS (SELECT r, n, chars, symbols, again, {', '.join(f'n > 0 AND coalesce({sql}, false) AS failed_{rule}' for rule, sql in _FAILED.items())} FROM sized),
+sums AS (SELECT r, sum(n)::BIGINT AS n_words, sum(chars)::BIGINT AS word_chars, sum(symbols)::BIGINT AS n_symbols, count(*) FILTER (WHERE n > 0 AND again) AS n_dup_lines,
+  count(*) AS n_lines, count(*) FILTER (WHERE {' OR '.join(f'failed_{rule}' for rule in _FAILED)}) AS n_failed_lines,
+  coalesce(sum(chars) FILTER (WHERE {' OR '.join(f'failed_{rule}' for rule in _FAILED)}), 0)::BIGINT AS lost_chars,
+  {', '.join(f'count(*) FILTER (WHERE failed_{rule}) AS failed_{rule}' for rule in _FAILED)} FROM judged GROUP BY r),
+words AS (SELECT r, regexp_extract_all(t, '{_WORD}') AS w FROM docs),
+windows AS (SELECT r, p, w[p] || ' ' || w[p + 1] || ' ' || w[p + 2] AS key FROM (SELECT r, w, unnest(range(1, len(w) - 1)) AS p FROM words WHERE len(w) >= 3)),
+repeats AS (SELECT r, p FROM (SELECT r, p, count(*) OVER (PARTITION BY r, key) AS times FROM windows) WHERE times > 1),
+found AS (SELECT r, count(DISTINCT place) AS n_repeat_words FROM (SELECT r, unnest([p, p + 1, p + 2]) AS place FROM repeats) GROUP BY r),
+whole AS (SELECT doc_id, sums.* EXCLUDE r, coalesce(n_repeat_words, 0) AS n_repeat_words FROM docs JOIN sums USING (r) LEFT JOIN found USING (r))
+SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+  NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND 100 * lost_chars <= 50 * word_chars AS kept
+FROM whole"""
