@@ -18,6 +18,7 @@ from velotrail.llm.pii import BASE, find_private, span_list
 from velotrail.llm.quality import judge_quality
 from velotrail.llm.sharding import hilbert_shards
 from velotrail.llm.token_files import read_token_files, token_checksums, write_token_files
+from velotrail.llm.variants import spelling_variants
 from velotrail.plans.scratch import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -186,3 +187,32 @@ whole AS (SELECT doc_id, sums.* EXCLUDE r, coalesce(n_repeat_words, 0) AS n_repe
 SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
   NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND 100 * lost_chars <= 50 * word_chars AS kept
 FROM whole"""
+
+
+@query
+def op12_spelling_variants(spark, sf_dir):
+    return spelling_variants(documents(spark, sf_dir))
+
+
+# Checksums byte by byte, from the table of the usual polynomial.
+_TABLE = """list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+  lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END))"""
+_BYTES = "list_transform(range(octet_length(encode({0}))), lambda k: ('0x' || substr(hex(encode({0})), 2 * k + 1, 2))::BIGINT)"
+_CRC = f"xor(list_reduce(list_prepend(4294967295, {_BYTES}), lambda c, b: xor(c >> 8, t[xor(c % 256, b) + 1])), 4294967295)"
+ORACLES["op12_spelling_variants"] = f"""
+WITH RECURSIVE crc AS MATERIALIZED (SELECT {_TABLE} AS t),
+runs AS (SELECT doc_id, unnest(regexp_extract_all({FOLDED}, '[A-Za-zÀ-ÿ]+')) AS run FROM documents),
+counted AS (SELECT run, coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run AS name, count(*) AS n FROM runs WHERE length(run) >= 7 GROUP BY ALL),
+hashed AS (SELECT run, n, {_CRC.format('name')} AS h FROM counted, crc),
+spoilt AS (SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n FROM hashed),
+words AS MATERIALIZED (SELECT word, sum(n)::BIGINT AS n FROM spoilt WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+places AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS p FROM words),
+less AS MATERIALIZED (SELECT word, n, p, length(word) AS size, substr(word, 1, p - 1) || substr(word, p + 1) AS rest FROM places),
+near AS (SELECT a.word, b.word AS other, b.n AS other_n FROM less a JOIN less b ON a.size = b.size AND a.p = b.p AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT a.word, w.word, w.n FROM less a JOIN words w ON a.rest = w.word
+  UNION SELECT w.word, a.word, a.n FROM less a JOIN words w ON a.rest = w.word),
+best AS (SELECT word, other, other_n, count(*) OVER (PARTITION BY word) AS n_near, row_number() OVER (PARTITION BY word ORDER BY other_n DESC, other) AS place FROM near),
+forms AS MATERIALIZED (SELECT words.word, n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 10 * n THEN other END AS form,
+  CASE WHEN other_n >= 10 * n THEN other_n END AS form_n FROM words LEFT JOIN best ON best.word = words.word AND place = 1),
+chain(word, root) AS (SELECT word, word FROM forms UNION SELECT chain.word, form FROM chain JOIN forms ON forms.word = root WHERE form IS NOT NULL)
+SELECT forms.*, root FROM forms JOIN chain USING (word) JOIN (SELECT word AS root FROM forms WHERE form IS NULL) USING (root)"""
