@@ -19,6 +19,7 @@ from velotrail.llm.quality import judge_quality
 from velotrail.llm.sharding import hilbert_shards
 from velotrail.llm.token_files import read_token_files, token_checksums, write_token_files
 from velotrail.llm.variants import spelling_variants
+from velotrail.llm.whitening import whiten
 from velotrail.plans.scratch import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -189,6 +190,11 @@ SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
 FROM whole"""
 
 
+@query
+def op11_whitening(spark, sf_dir):
+    return whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 @query
 def op12_spelling_variants(spark, sf_dir):
     return spelling_variants(documents(spark, sf_dir))
