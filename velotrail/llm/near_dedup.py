@@ -23,7 +23,7 @@ from velotrail.llm.spans import U64, mix, parts, per_text, shingle_sets, signed,
 from velotrail.llm.tables import components, join_groups, map_batches, small, write_out
 
 WIDTH, PERCENT, BANDS, ROWS = 2, 80, 14, 3
-CLASS = "doc_id long, class long, n_shingles long, left array<long>, right array<long>"
+CLASS = "doc_id long, row long, class long, n_shingles long, left array<long>, right array<long>"
 
 
 def class_of(value: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -53,15 +53,15 @@ def mix_light(x: np.ndarray, salt, factor) -> np.ndarray:
 def _classes(width: int, bands: int, rows: int):
     def run(batches):
         for batch in batches:
-            for begin, end in parts(batch.column(1)):
-                value, at = shingle_sets(batch.column(1).slice(begin, end - begin), width)
+            for begin, end in parts(batch.column(2)):
+                value, at = shingle_sets(batch.column(2).slice(begin, end - begin), width)
                 n = np.diff(at)
                 sides = [_bands(value, at, bands, rows, collection) for collection in (0, 1)]
                 edges = pa.array(np.arange(end - begin + 1, dtype=np.int32) * bands)
                 sides = [pa.ListArray.from_arrays(edges, pa.array(signed(side.ravel()))) for side in sides]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(begin, end - begin), pa.array(signed(class_of(value, at)), mask=(n == 0)), pa.array(n.astype(np.int64)), *sides],
-                    ["doc_id", "class", "n_shingles", "left", "right"])
+                    [*(c.slice(begin, end - begin) for c in batch.columns[:2]), pa.array(signed(class_of(value, at)), mask=(n == 0)),
+                     pa.array(n.astype(np.int64)), *sides], ["doc_id", "row", "class", "n_shingles", "left", "right"])
 
     return run
 
@@ -291,7 +291,7 @@ def _linked(met: DataFrame, sets: DataFrame, percent: int) -> DataFrame | None:
 
 
 def near_classes(docs: DataFrame, width: int, percent: int, bands: int, rows: int) -> tuple[DataFrame, DataFrame]:
-    """docs (doc_id not null, text) -> (doc_id, class, n_shingles) of each row, and (class, component_id, size) of each class."""
+    """docs (doc_id not null, row, text) -> (doc_id, row, class, n_shingles) of each row, and (class, component_id, root, size) of each class."""
     members = write_out(map_batches(docs, _classes(width, bands, rows), CLASS), "near-classes")
     classes = write_out(members.filter("class IS NOT NULL").groupBy("class").agg(
         F.min("doc_id").alias("first_id"), F.count("*").alias("size"), F.first("n_shingles").alias("n"),
@@ -307,13 +307,13 @@ def near_classes(docs: DataFrame, width: int, percent: int, bands: int, rows: in
     open_ = write_out(met.join(small(known.select("class", "n", "shared"), 64), "class"), "open")
     roots = _linked(open_, sets, percent)
     if roots is None:
-        groups = classes.select("class", F.col("first_id").alias("component_id"), "size")
+        groups = classes.select("class", F.col("first_id").alias("component_id"), F.col("class").alias("root"), "size")
     else:
         linked = classes.select("class", "first_id", "size").join(small(roots, 32), "class", "left")
         lowest = linked.filter("root IS NOT NULL").groupBy("root").agg(F.min("first_id").alias("least"))
         lowest = small(write_out(lowest, "lowest"), 32)
-        groups = linked.join(lowest, "root", "left").select("class", F.coalesce("least", "first_id").alias("component_id"), "size")
-    return members.select("doc_id", "class", "n_shingles"), write_out(groups, "components")
+        groups = linked.join(lowest, "root", "left").select("class", F.coalesce("least", "first_id").alias("component_id"), F.coalesce("root", "class").alias("root"), "size")
+    return members.select("doc_id", "row", "class", "n_shingles"), write_out(groups, "components")
 
 
 def near_dedup(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS,
@@ -326,21 +326,45 @@ def near_dedup(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, band
     that repeat an id are kept or dropped together; rows without id stand alone and stay, with no component.  Other columns
     are not read; an empty table gives an empty result.  Classes are told apart by 64 bits.
     """
-    own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    judged = _judged(docs, width, percent, bands, rows, id_col, text_col)
+    return judged.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def _judged(docs: DataFrame, width: int, percent: int, bands: int, rows: int, id_col: str, text_col: str) -> DataFrame:
+    """What ``near_dedup`` returns, with a hash of the text as ``row`` and the component's number as ``root`` (null: linked with nothing)."""
+    text = F.col(text_col).cast("string")
+    own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("row"), text.alias("text"))
     members, groups = near_classes(own.filter("doc_id IS NOT NULL"), width, percent, bands, rows)
     total = max(members.count(), 1)
-    linked = join_groups(members.filter("class IS NOT NULL"), groups, "class", "size", total).select("doc_id", "n_shingles", "component_id")
-    empty = members.filter("class IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    linked = join_groups(members.filter("class IS NOT NULL"), groups, "class", "size", total).select("doc_id", "row", "root", "n_shingles", "component_id")
+    none = F.lit(None).cast("long")
+    empty = members.filter("class IS NULL").select("doc_id", "row", none.alias("root"), "n_shingles", F.col("doc_id").alias("component_id"))
     strays = map_batches(own.filter("doc_id IS NULL"), _classes(width, 1, 1), CLASS).select(
-        "doc_id", "n_shingles", F.lit(None).cast("long").alias("component_id"))
+        "doc_id", "row", none.alias("root"), "n_shingles", none.alias("component_id"))
     every = linked.unionByName(empty).unionByName(strays)
-    return every.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
+    return every.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
 def without_near_copies(docs: DataFrame, width: int = 5, percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS,
                         id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that ``near_dedup`` keeps, with all their columns."""
-    judged = near_dedup(docs, width, percent, bands, rows, id_col, text_col)
-    gone = write_out(judged.filter("not kept").select("doc_id").distinct(), "near-copies")
-    mark = "_" * (1 + max(len(c) for c in docs.columns))
-    return docs.join(small(gone.withColumnRenamed("doc_id", mark), 32), F.col(id_col).cast("long") == F.col(mark), "left_anti")
+    """One row of each group of near copies, with all its columns, and all rows that have none.
+
+    Of a group the smallest id stays; where several of its rows have that id, the one whose text has the smallest hash, and
+    any one of rows alike in id and text.  Another text under the id of a near copy is judged for itself.  Rows without id and
+    texts without words (null, empty, blank) stay, repeated or not.  An empty table gives an empty result.
+    """
+    judged = write_out(_judged(docs, width, percent, bands, rows, id_col, text_col), "judged")
+    stays = judged.filter("kept AND root IS NOT NULL")
+    repeated = stays.groupBy("root").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "row")).alias("best")).filter("n > 1")
+    repeated = write_out(repeated.select("root", F.col("best.doc_id").alias("doc_id"), F.col("best.row").alias("best")), "repeated")
+    others = stays.join(small(repeated.select("root", "best"), 32), "root").filter("row <> best")
+    gone = write_out(judged.filter("not kept").select("doc_id", "row").union(others.select("doc_id", "row")).distinct(), "near-copies")
+    names = docs.columns
+    mark = "_" * (1 + max(len(c) for c in names))  # no column has this name or one that begins with it
+    doc, row = f"{mark}doc", f"{mark}row"
+    keys = docs.select("*", F.col(id_col).cast("long").alias(doc), F.xxhash64(F.col(text_col).cast("string")).alias(row))
+    keys = keys.join(small(gone.toDF(doc, row), 48), [doc, row], "left_anti")
+    if repeated.limit(1).count():
+        again = small(repeated.select(F.col("doc_id").alias(doc), F.col("best").alias(row)), 48)
+        keys = keys.join(again, [doc, row], "left_anti").unionByName(keys.join(again, [doc, row], "left_semi").dropDuplicates([doc, row]))
+    return keys.select(*names)

@@ -6,27 +6,34 @@ import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from velotrail.llm.spans import kept
 from velotrail.plans.scratch import write_out
 
-#: Rows handed to Python at a time, so that batches of long texts stay small.
-BATCH_ROWS = 1000
+#: Rows and bytes handed to Python at a time, so that batches of long texts stay small; one row may be larger.
+BATCH_ROWS, BATCH_BYTES = 1000, 8 << 20
 #: A group with more than 1/HOT of the rows is joined by broadcast.  There can be HOT such groups at most.
 HOT = 1024
 
 
 def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    """``mapInArrow`` with batches of BATCH_ROWS rows; the setting stays, since the plan is made later."""
+    """``mapInArrow`` with batches of BATCH_ROWS rows and BATCH_BYTES; the settings stay, since the plan is made later."""
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return df.mapInArrow(_tidy(fn), schema)
 
 
 def _tidy(fn):
-    """``fn``, after which the worker, that waits for the next task, gives freed memory back to the system."""
+    """``fn``, in a worker that keeps nothing of other stages, and after which it gives freed memory back to the system."""
 
     def run(batches):
+        stage, last = TaskContext.get().stageId(), kept("stage")
+        if last.get("id") != stage:
+            kept("encoders").clear()
+            last["id"] = stage
         yield from fn(batches)
         pa.default_memory_pool().release_unused()
         try:
