@@ -8,7 +8,9 @@ two words one edit apart, that whose prefix ends earlier has a pivot that stands
 Where such a pivot stands, the edit is on one side of it, and all on the other side is equal: an edit behind it leaves the
 beginning up to the pivot, an edit before it leaves the rest from the pivot on.  So pivots are not looked up by their
 gram and place alone but by the gram with its equal side, which fixes its place, among words at most one character longer or
-shorter.  The candidates are confirmed by their edit distance.
+shorter.  Where that is short (less than SURE characters), the other side is halved: the edit leaves one half, which belongs to
+the key too.  The word that is looked up halves by its own length; the others are filed under the halves of all lengths that
+one edit gives.  The candidates are confirmed by their edit distance.
 
 A word's form is its much more frequent neighbour; forms are followed to the last by doubling their steps.
 """
@@ -32,6 +34,8 @@ LEAST_LENGTH, LEAST_COUNT, TIMES = 7, 2, 10
 #: Edits, characters of a gram, grams of a prefix.
 EDITS, GRAM = 1, 2
 PREFIX = EDITS * GRAM + 1
+#: Equal characters that make a key by themselves.
+SURE = 6
 #: Every so many pairs of document and run, by their checksum, lose a character; 0: none.
 DAMAGED = 31
 #: Characters that are searched at a time, and words that are counted in a task before they are sent on.
@@ -115,8 +119,25 @@ def choose_pivots(places: list[tuple[int, int]]) -> list[int]:
     return best[-1][EDITS + 1][1]
 
 
+def keys_of(word: str, place: int, shifts: tuple[int, ...]) -> set[str]:
+    """Keys of the gram at ``place``: either side with it, and a half of a long other side, for other sides longer by ``shifts``."""
+    out = set()
+    # The other side is read away from the gram, so the second pair is turned round.
+    for mark, equal, rest in (("<", word[: place + GRAM], word[place + GRAM :]), (">", word[place:][::-1], word[:place][::-1])):
+        if len(equal) >= SURE:
+            out.add(mark + equal)
+            continue
+        for size in (len(rest) + s for s in shifts):
+            near, far = size // 2, size - size // 2
+            if 0 <= near <= len(rest):
+                out.add(f"{mark}{equal}<{rest[:near]}")
+            if 0 <= far <= len(rest):
+                out.add(f"{mark}{equal}>{rest[len(rest) - far :]}")
+    return out
+
+
 def _entries(order: dict[str, tuple[int, int]]):
-    """Of each word: its prefix grams and pivots, each with either side of the word."""
+    """Of each word: the keys of its prefix grams, and which of them its pivots are looked up by."""
 
     def run(batches):
         for batch in batches:
@@ -125,14 +146,13 @@ def _entries(order: dict[str, tuple[int, int]]):
                 grams = sorted((order[word[k : k + GRAM]][0], k) for k in range(len(word) - GRAM + 1))
                 last = grams[min(PREFIX, len(grams)) - 1][0]
                 first = sorted(k for _, k in grams[:PREFIX])
-                pivots = set(choose_pivots([(k, order[word[k : k + GRAM]][1]) for k in first]))
-                for rank, k in grams:
-                    if rank > last:
-                        break
-                    out += [(f"<{word[: k + GRAM]}", word, n, last, k in pivots), (f">{word[k:]}", word, n, last, k in pivots)]
+                pivots = choose_pivots([(k, order[word[k : k + GRAM]][1]) for k in first])
+                wanted = set().union(*[keys_of(word, k, (0,)) for k in pivots])
+                filed = set().union(*[keys_of(word, k, (-1, 0, 1)) for rank, k in grams if rank <= last])
+                out += [(key, word, n, last, key in wanted) for key in sorted(filed)]
             columns = list(zip(*out, strict=True)) if out else [()] * 5
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.string(), pa.int64(), pa.int64(), pa.bool_()), strict=True)],
-                                             ["side", "word", "n", "last", "pivot"])
+                                             ["key", "word", "n", "last", "wanted"])
 
     return run
 
@@ -143,10 +163,10 @@ def near_words(words: DataFrame, hot_rows: int | None = None) -> DataFrame:
     counted = map_batches(words.select("word"), _gram_counts, "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n"))
     ranked = sorted((r.n, r.gram) for r in counted.collect())
     order = {gram: (rank, n) for rank, (n, gram) in enumerate(ranked)}
-    entries = write_out(map_batches(words.select("word", "n"), _entries(order), "side string, word string, n long, last long, pivot boolean"), "grams")
-    left = entries.filter("pivot").drop("pivot")
-    right = entries.select("side", F.col("word").alias("near"), F.col("n").alias("near_n"), F.col("last").alias("near_last"))
-    met = match(left, right, ["side"], hot_rows).filter(
+    entries = write_out(map_batches(words.select("word", "n"), _entries(order), "key string, word string, n long, last long, wanted boolean"), "grams")
+    left = entries.filter("wanted").drop("wanted")
+    right = entries.select("key", F.col("word").alias("near"), F.col("n").alias("near_n"), F.col("last").alias("near_last"))
+    met = match(left, right, ["key"], hot_rows).filter(
         (F.col("last") <= F.col("near_last")) & (F.abs(F.length("word") - F.length("near")) <= EDITS) & (F.col("word") != F.col("near")))
     pairs = met.filter(F.levenshtein("word", "near", EDITS) == EDITS)
     turned = pairs.select(F.col("near").alias("word"), F.col("near_n").alias("n"), F.col("word").alias("near"), F.col("n").alias("near_n"))
