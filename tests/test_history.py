@@ -1,6 +1,6 @@
 import glob
+import os
 import random
-import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -127,11 +127,8 @@ def test_table_of_batches(spark, tmp_path):
 
 
 def live_batches(spark, path):
-    """The batches that a read of the table takes, chosen by their folders alone."""
-    found = tables._live(spark, path, tables.HISTORY_SCHEMA, tables._state(spark, path))
-    chosen = re.findall(r"PartitionFilters: \[[^]]*batch_id", plan(tables.read_history(spark, path)))
-    assert chosen or not tables._state(spark, path).version
-    return rows(found.select("run", "batch_id").distinct())
+    """The batches that a read of the table takes besides the settled copy."""
+    return list(tables.snapshot(spark, path).batches)
 
 
 def test_calls_without_a_run_keep_every_row(spark, tmp_path):
@@ -167,6 +164,76 @@ def test_settled_copies_replace_their_batches(spark, tmp_path):
     assert tables.read_history(spark, path).filter("arrival_ms = 30").count() == 20
 
 
+def keys(frame):
+    return sorted(r.row_key for r in frame.collect())
+
+
+def test_a_batch_may_come_late_or_again(spark, tmp_path):
+    """Batches 0 and 5, a copy of both, then batch 3, then batch 0 with another row; names may hold any characters."""
+    path, run = str(tmp_path / "h"), "day 1/~%a"
+    for batch_id in (0, 5):
+        tables.write_history(stamped(spark, (f"1@{batch_id}00,{BODY}", 1)), path, 2, run=run, batch_id=batch_id)
+    assert tables.compact_history(spark, path, 2, newest=True)
+    assert live_batches(spark, path) == []
+    tables.write_history(stamped(spark, (f"1@300,{BODY}", 1)), path, 2, run=run, batch_id=3)
+    assert keys(tables.read_history(spark, path)) == ["1@000", "1@300", "1@500"]
+    tables.write_history(stamped(spark, (f"1@700,{BODY}", 1)), path, 2, run=run, batch_id=0)
+    assert live_batches(spark, path) == [(run, 0), (run, 3)]
+    for _ in range(2):
+        assert keys(tables.read_history(spark, path)) == ["1@000", "1@300", "1@500", "1@700"]
+        tables.compact_history(spark, path, 2, newest=True)
+    # A batch that is in no copy yet is replaced.
+    for n in (1, 2):
+        tables.write_history(stamped(spark, (f"2@{n},{BODY}", 1)), path, 2, run=run, batch_id=9)
+    assert keys(tables.read_history(spark, path))[-1] == "2@2" and len(keys(tables.read_history(spark, path))) == 5
+
+
+def test_snapshots_hold_still(spark, tmp_path):
+    """Pages read around new batches and copies equal one scan."""
+    path = str(tmp_path / "h")
+    for k in range(3):
+        tables.write_history(stamped(spark, *[(f"{v}@{k * 10 + t},{BODY}", 1) for v in "ab" for t in range(5)]), path, 2, run="r", batch_id=k)
+    tables.compact_history(spark, path, 2)
+    at = tables.snapshot(spark, path)
+    want, seen, last, n = keys(tables.read_history(spark, path)), [], None, 0
+    while True:
+        block = [r.row_key for r in hist.page(tables.read_history(spark, path, at=at), 7, last).collect()]
+        if not block:
+            break
+        seen, last, n = seen + block, block[-1], n + 1
+        tables.write_history(stamped(spark, *[(f"{v}@{n},{BODY}", 9) for v in "abc"]), path, 2, run="r", batch_id=10 + n)
+        tables.compact_history(spark, path, 2, newest=n % 2 == 0)
+    assert seen == want and len(keys(tables.read_history(spark, path))) > len(want)
+
+
+def test_clean_tables_keep_every_row(spark, tmp_path):
+    path = str(tmp_path / "h")
+    for k in range(3):
+        tables.write_history(stamped(spark, (f"{k}@1,{BODY}", 1)), path, 2, run="r", batch_id=k)
+        tables.write_history(stamped(spark, (f"c{k}@1,{BODY}", 1)), path, 2)
+        tables.compact_history(spark, path, 2)
+    tables.write_history(stamped(spark, (f"late@1,{BODY}", 1)), path, 2, run="r", batch_id=0)
+    want = keys(tables.read_history(spark, path))
+    assert tables.clean_table(spark, path) == 4  # r 1 and the three calls; r 0 is there again, r 2 in no copy yet
+    assert keys(tables.read_history(spark, path)) == want and len(want) == 7
+    assert len(glob.glob(f"{path}/settled/*")) == 1 and len(glob.glob(f"{path}/live/*/*")) == 2
+    assert tables.clean_table(spark, path) == 0
+    assert tables.clean_table(spark, path + "-none") == 0
+
+
+def test_reads_do_not_grow_with_past_calls(spark, tmp_path):
+    path = str(tmp_path / "h")
+    tables.write_history(stamped(spark, (f"0@1,{BODY}", 1)), path, 1)
+    tables.compact_history(spark, path, 1)
+    before = plan(tables.read_history(spark, path))
+    for k in range(12):
+        tables.write_history(stamped(spark, (f"{k}@1,{BODY}", 1)), path, 1)
+    tables.compact_history(spark, path, 1)
+    after = plan(tables.read_history(spark, path))
+    assert len(after) <= len(before) + 50 and tables.read_history(spark, path).count() == 12
+    assert os.listdir(f"{path}/log") and len([f for f in os.listdir(f"{path}/log") if f.startswith("batch")]) == 0
+
+
 def test_lookup_reads_one_bucket(spark, tmp_path):
     path = str(tmp_path / "h")
     tables.write_history(stamped(spark, *[(f"v{i}@1,{BODY}", 10) for i in range(50)]), path, buckets=8)

@@ -118,6 +118,20 @@ def sink_history_two_runs(spark, sf):
     return tables.read_history(spark, path).select(*HISTORY_COLUMNS)
 
 
+@query("sink_history_backfill", with_(LINES, TRACK, HISTORY) + "SELECT * FROM history")
+def sink_history_backfill(spark, sf):
+    """Batches 0 and 5 of a run, a settled copy of both, then batch 3; half of batch 0 comes again."""
+    path = scratch_path(spark, "history")
+    every = _stored(spark, sf).withColumn("third", F.pmod(F.xxhash64("line"), F.lit(3)))
+    parts = [every.filter(F.col("third") == k).drop("third") for k in range(3)]
+    tables.write_history(parts[0], path, buckets=8, run="day", batch_id=0)
+    tables.write_history(parts[1], path, buckets=8, run="day", batch_id=5)
+    tables.compact_history(spark, path, buckets=8, newest=True)
+    tables.write_history(parts[2], path, buckets=8, run="day", batch_id=3)
+    tables.write_history(parts[0].filter(F.pmod(F.xxhash64("line", F.lit(1)), F.lit(2)) == 0), path, buckets=8, run="day", batch_id=0)
+    return tables.read_history(spark, path).select(*HISTORY_COLUMNS)
+
+
 _TOP = """kept AS (SELECT vehicle_id, score, member, line, arrival_ms FROM recent
   QUALIFY row_number() OVER (PARTITION BY vehicle_id ORDER BY score DESC, member DESC) <= 5)"""
 

@@ -1,25 +1,22 @@
 """History and recent tables in parquet folders, written batch by batch.
 
-A table has three folders.  ``live/run=<id>/batch_id=<n>`` holds the batches: a run is one stream (by its checkpoint) or one
-call, so nothing that another writer brought is ever replaced; repeating a batch of a run overwrites its folder alone and
-changes nothing.  ``settled/version=<k>`` holds settled copies, and ``manifest/version=<k>``, written last, says which batches
-of which runs a copy covers.  Reading takes the newest copy with the batches that it does not cover, and settles keys that
-appear several times: newest write for the history, highest ``n`` for the recent set.  Nothing is read and overwritten in place.
+A batch belongs to a run: one stream (by its checkpoint) or one call, so nothing that another writer brought is ever replaced;
+repeating a batch of a run overwrites its folder alone and changes nothing.  Reading takes the newest settled copy with the
+batches that are in none (``sources.log``), and settles keys that appear several times: newest write for the history, highest
+``n`` for the recent set.  So it does no harm if a batch is in a copy and comes once more.  Nothing is read and overwritten in
+place.
 """
 
 from __future__ import annotations
 
-import uuid
-from dataclasses import dataclass
-
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from velotrail.operators.distribute import union_sources
 from velotrail.operators.history import HISTORY, bucket_of, history_rows, newest_rows
 from velotrail.operators.parse import parse_line
 from velotrail.operators.recent import keep_last_n, merge_members, recent_set, with_member
+from velotrail.sources.log import BATCH_SCHEMA, CALL, Log, Snapshot, new_run, stored
 
 BUCKETS = 64
 HISTORY_SCHEMA = (
@@ -27,22 +24,9 @@ HISTORY_SCHEMA = (
     "angle string, velocity string, arrival_ms bigint, bucket int"
 )
 RECENT_SCHEMA = "vehicle_id string, score double, line string, arrival_ms bigint, bucket int"
-BATCH_SCHEMA = "run string, batch_id bigint"
-MANIFEST_SCHEMA = "run string, upto bigint, version bigint"
 
 # The member is ``line@arrival`` and is made again on reading.
 STORED = ("vehicle_id", "score", "line", "arrival_ms")
-#: Runs of single calls; their one batch is complete once it is there.
-CALL = "call-"
-
-
-def new_run() -> str:
-    """A run of its own for one call."""
-    return CALL + uuid.uuid4().hex
-
-
-def _batch_folder(path: str, run: str | None, batch_id: int) -> str:
-    return f"{path.rstrip('/')}/live/run={run or new_run()}/batch_id={batch_id}"
 
 
 def _save(rows: DataFrame, folder: str, order: list[str], buckets: int) -> None:
@@ -51,73 +35,46 @@ def _save(rows: DataFrame, folder: str, order: list[str], buckets: int) -> None:
     placed.sortWithinPartitions("bucket", *order).write.mode("overwrite").partitionBy("bucket").parquet(folder)
 
 
-def _stored(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """The files below ``path``, none if it is not there yet."""
-    try:
-        return spark.read.schema(schema).option("basePath", path).parquet(path)
-    except AnalysisException as exc:
-        if exc.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
-
-
-@dataclass
-class _State:
-    """The newest settled copy and what it covers."""
-
-    version: int
-    covered: dict[str, int]
-
-    def is_covered(self) -> Column:
-        """On partition columns alone, so that covered batches are not even listed for reading."""
-        if not self.covered:
-            return F.lit(False)
-        upto = F.create_map(*[F.lit(x) for pair in sorted(self.covered.items()) for x in pair])
-        return F.col("batch_id") <= F.coalesce(F.element_at(upto, F.col("run")), F.lit(-1))
-
+def _add(rows: DataFrame, path: str, order: list[str], buckets: int, run: str | None, batch_id: int) -> None:
+    log, run = Log(rows.sparkSession, path), run or new_run()
+    _save(rows, log.folder(run, batch_id), order, buckets)
+    log.add(run, batch_id)
 
-def _state(spark: SparkSession, path: str) -> _State:
-    """One row for each run."""
-    rows = _stored(spark, f"{path.rstrip('/')}/manifest", MANIFEST_SCHEMA)
-    version = rows.agg(F.max("version")).first()[0]
-    if version is None:
-        return _State(0, {})
-    return _State(version, {r.run: r.upto for r in rows.filter(F.col("version") == version).collect()})
 
+def _rows(log: Log, schema: str, now: Snapshot, settled: bool = False) -> DataFrame:
+    """What a snapshot stands for; the batches of all runs are read by their folders."""
+    copy = stored(log.spark, log.settled(now.version), schema) if now.version else log.spark.createDataFrame([], schema)
+    if settled or not now.batches:
+        return copy
+    live = stored(log.spark, f"{log.path}/live", f"{schema}, {BATCH_SCHEMA}", [log.folder(*b) for b in now.batches])
+    return union_sources(copy, live.drop("run", "batch_id"))
 
-def _live(spark: SparkSession, path: str, schema: str, state: _State) -> DataFrame:
-    rows = _stored(spark, f"{path.rstrip('/')}/live", f"{schema}, {BATCH_SCHEMA}")
-    return rows.filter(~state.is_covered())
 
+def _compact(spark: SparkSession, path: str, schema: str, settle, order: list[str], buckets: int, newest: bool) -> bool:
+    """Write a new settled copy.  False if there is nothing new to cover."""
+    log = Log(spark, path)
+    now = log.snapshot()
+    last = {run: n for run, n in now.batches}  # batches ascend
+    taken = [(run, n) for run, n in now.batches if newest or run.startswith(CALL) or n < last[run]]
+    if not taken:
+        return False
+    rows = _rows(log, schema, Snapshot(now.version, tuple(taken)))
+    _save(settle(rows), log.settled(now.version + 1), order, buckets)
+    log.settle(now.version + 1, taken)
+    return True
 
-def _settled(spark: SparkSession, path: str, schema: str, state: _State) -> DataFrame:
-    if not state.version:
-        return spark.createDataFrame([], schema)
-    return _stored(spark, f"{path.rstrip('/')}/settled/version={state.version}", schema)
 
+def snapshot(spark: SparkSession, path: str) -> Snapshot:
+    """What the table holds now, for reads that must agree whatever is written between them (see ``clean_table``)."""
+    return Log(spark, path).snapshot()
 
-def _rows(spark: SparkSession, path: str, schema: str, settled: bool) -> DataFrame:
-    state = _state(spark, path)
-    copy = _settled(spark, path, schema, state)
-    return copy if settled else union_sources(copy, _live(spark, path, schema, state).drop("run", "batch_id"))
 
+def clean_table(spark: SparkSession, path: str) -> int:
+    """Delete batches that the newest settled copy holds, and older copies; returns the number of batches.
 
-def _compact(spark: SparkSession, path: str, schema: str, settle, order: list[str], buckets: int, newest: bool) -> bool:
-    """Write a new settled copy and then its manifest.  False if there is nothing new to cover."""
-    state = _state(spark, path)
-    live = _live(spark, path, schema, state)
-    last = {r.run: r.last for r in live.groupBy("run").agg(F.max("batch_id").alias("last")).collect()}
-    covered = {run: n if newest or run.startswith(CALL) else n - 1 for run, n in last.items()}
-    covered = {run: n for run, n in covered.items() if n > state.covered.get(run, -1)}
-    if not covered:
-        return False
-    after = _State(state.version + 1, {**state.covered, **covered})
-    rows = union_sources(_settled(spark, path, schema, state), live.filter(after.is_covered()).drop("run", "batch_id"))
-    root = path.rstrip("/")
-    _save(settle(rows), f"{root}/settled/version={after.version}", order, buckets)
-    manifest = spark.createDataFrame(sorted(after.covered.items()), "run string, upto bigint")
-    manifest.coalesce(1).write.mode("overwrite").parquet(f"{root}/manifest/version={after.version}")
-    return True
+    Not while someone reads an older snapshot or writes a batch of the copy again.
+    """
+    return Log(spark, path).clean()
 
 
 def write_history(
@@ -125,26 +82,28 @@ def write_history(
 ) -> None:
     """Put a batch of stamped lines (line, arrival_ms) into the history table.
 
-    Without ``run`` every call adds a batch of its own; name run and batch only to repeat one.
+    Without ``run`` every call adds a batch of its own.  Batches may come in any order; one that is repeated replaces what it
+    brought, or, once a settled copy holds that, adds to it.
     """
     rows = newest_rows(history_rows(lines, mode)).select(*HISTORY)
-    _save(rows, _batch_folder(path, run, batch_id), ["row_key"], buckets)
+    _add(rows, path, ["row_key"], buckets, run, batch_id)
 
 
-def read_history(spark: SparkSession, path: str, settled: bool = False) -> DataFrame:
+def read_history(spark: SparkSession, path: str, settled: bool = False, at: Snapshot | None = None) -> DataFrame:
     """The table with one row per key; filters on vehicle_id, row_key and bucket reach the files.
 
-    ``settled``: only what the newest settled copy holds, whose keys are unique: a plain scan, no shuffle.
+    ``settled``: only what the newest settled copy holds, whose keys are unique: a plain scan, no shuffle.  ``at``: as it was
+    at a ``snapshot``.
     """
-    rows = _rows(spark, path, HISTORY_SCHEMA, settled)
+    log = Log(spark, path)
+    rows = _rows(log, HISTORY_SCHEMA, at or log.snapshot(), settled)
     return rows if settled else newest_rows(rows)
 
 
 def compact_history(spark: SparkSession, path: str, buckets: int = BUCKETS, newest: bool = False) -> bool:
-    """Settle the table into a new copy; its batches are not read any more.
+    """Settle the table into a new copy; the batches in it are not read any more.
 
-    The newest batch of a stream may still be written and stays out; ``newest`` is for tables that no stream writes to now.
-    One compaction at a time.  Covered batches and older copies may be deleted when nobody reads them.
+    The newest batch of a stream may be repeated and stays out, unless ``newest``.  One compaction at a time.
     """
     return _compact(spark, path, HISTORY_SCHEMA, lambda rows: newest_rows(rows).select(*HISTORY), ["row_key"], buckets, newest)
 
@@ -157,12 +116,15 @@ def write_recent(
     parsed = parse_line(lines, mode=mode)
     track = parsed if mode == "strict" else parsed[0]
     kept = keep_last_n(recent_set(track, dedup), n, count_in=track)
-    _save(kept.select(*STORED), _batch_folder(path, run, batch_id), ["vehicle_id", "score", "line"], buckets)
+    _add(kept.select(*STORED), path, ["vehicle_id", "score", "line"], buckets, run, batch_id)
 
 
-def read_recent(spark: SparkSession, path: str, n: int = 1000, dedup: str = "line", settled: bool = False) -> DataFrame:
-    """The ``n`` newest members per vehicle; ``settled`` as for the history, with the ``n`` of the compaction."""
-    rows = _rows(spark, path, RECENT_SCHEMA, settled)
+def read_recent(
+    spark: SparkSession, path: str, n: int = 1000, dedup: str = "line", settled: bool = False, at: Snapshot | None = None
+) -> DataFrame:
+    """The ``n`` newest members per vehicle; ``settled`` and ``at`` as for the history, ``settled`` with the ``n`` of the compaction."""
+    log = Log(spark, path)
+    rows = _rows(log, RECENT_SCHEMA, at or log.snapshot(), settled)
     return with_member(rows) if settled else keep_last_n(merge_members(rows, dedup), n, count_in=rows)
 
 
@@ -176,20 +138,24 @@ def compact_recent(
     return _compact(spark, path, RECENT_SCHEMA, settle, ["vehicle_id", "score", "line"], buckets, newest)
 
 
+def _plain_folder(path: str, run: str | None, batch_id: int) -> str:
+    return f"{path.rstrip('/')}/live/run={run or new_run()}/batch_id={batch_id}"
+
+
 def write_rejects(lines: DataFrame, path: str, split_key: bool = True, run: str | None = None, batch_id: int = 0) -> None:
     """The lines that a lenient batch leaves out, with the reason."""
     _, rejects = parse_line(lines, mode="lenient", split_key=split_key)
-    rejects.write.mode("overwrite").parquet(_batch_folder(path, run, batch_id))
+    rejects.write.mode("overwrite").parquet(_plain_folder(path, run, batch_id))
 
 
 def read_rejects(spark: SparkSession, path: str) -> DataFrame:
-    return _stored(spark, f"{path.rstrip('/')}/live", f"line string, reason string, {BATCH_SCHEMA}")
+    return stored(spark, f"{path.rstrip('/')}/live", f"line string, reason string, {BATCH_SCHEMA}")
 
 
 def write_metrics(metrics: DataFrame, path: str, run: str | None = None, batch_id: int = 0) -> None:
     """One row of batch statistics under the batch's own folder."""
-    metrics.coalesce(1).write.mode("overwrite").parquet(_batch_folder(path, run, batch_id))
+    metrics.coalesce(1).write.mode("overwrite").parquet(_plain_folder(path, run, batch_id))
 
 
 def read_metrics(spark: SparkSession, path: str) -> DataFrame:
-    return _stored(spark, f"{path.rstrip('/')}/live", f"n bigint, total_ms double, avg_ms double, {BATCH_SCHEMA}")
+    return stored(spark, f"{path.rstrip('/')}/live", f"n bigint, total_ms double, avg_ms double, {BATCH_SCHEMA}")
