@@ -80,15 +80,20 @@ def random_words(rng, n):
     return {w: rng.choice([1, 2, 5, 10, 30, 100, 1000, 10000]) for w in out}
 
 
-@pytest.mark.parametrize(("seed", "hot_rows"), [(1, None), (2, 3), (3, 50)])
-def test_pairs_and_forms_equal_all_pairs(spark, monkeypatch, seed, hot_rows):
-    """Few letters make many near words, ties, chains and grams that a word holds twice; small limits split hot keys."""
-    from velotrail.plans import skew
-
-    monkeypatch.setattr(skew, "SMALL_ROWS", 0 if hot_rows else skew.SMALL_ROWS)
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_pairs_and_forms_equal_all_pairs(spark, seed):
+    """Few letters make many near words, ties, chains and grams that a word holds twice."""
     words = random_words(random.Random(seed), 500)
     df = spark.createDataFrame(sorted(words.items()), "word string, n long")
-    assert result(variants_of(df, hot_rows=hot_rows)) == plain(words, 10)
+    assert result(variants_of(df)) == plain(words, 10)
+
+
+@pytest.mark.parametrize("sure", [2, 4, 99])
+def test_keys_of_any_length(spark, monkeypatch, sure):
+    monkeypatch.setattr(variants, "SURE", sure)
+    words = random_words(random.Random(sure), 300)
+    df = spark.createDataFrame(sorted(words.items()), "word string, n long")
+    assert result(variants_of(df)) == plain(words, 10)
 
 
 def test_no_pair_twice(spark):

@@ -9,8 +9,8 @@ Where such a pivot stands, the edit is on one side of it, and all on the other s
 beginning up to the pivot, an edit before it leaves the rest from the pivot on.  So pivots are not looked up by their
 gram and place alone but by the gram with its equal side, which fixes its place, among words at most one character longer or
 shorter.  Where that is short (less than SURE characters), the other side is halved: the edit leaves one half, which belongs to
-the key too.  The word that is looked up halves by its own length; the others are filed under the halves of all lengths that
-one edit gives.  The candidates are confirmed by their edit distance.
+the key too.  A word is filed under the halves of its own length, and looked up by those of all lengths that one edit gives.
+The candidates are confirmed by their edit distance.  Keys with very many words are left to Spark's splitting of skewed joins.
 
 A word's form is its much more frequent neighbour; forms are followed to the last by doubling their steps.
 """
@@ -27,7 +27,6 @@ from pyspark.sql import functions as F
 
 from velotrail.llm.tables import map_batches
 from velotrail.plans.scratch import write_out
-from velotrail.plans.skew import match
 
 #: Code points and occurrences that a word has at least; how many times as frequent a form is.
 LEAST_LENGTH, LEAST_COUNT, TIMES = 7, 2, 10
@@ -136,8 +135,8 @@ def keys_of(word: str, place: int, shifts: tuple[int, ...]) -> set[str]:
     return out
 
 
-def _entries(order: dict[str, tuple[int, int]]):
-    """Of each word: the keys of its prefix grams, and which of them its pivots are looked up by."""
+def _entries(order: dict[str, tuple[int, int]], pivots: bool):
+    """Of each word: the keys of its pivots, or of its prefix grams, and the rank of the last gram of its prefix."""
 
     def run(batches):
         for batch in batches:
@@ -145,32 +144,40 @@ def _entries(order: dict[str, tuple[int, int]]):
             for word, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 grams = sorted((order[word[k : k + GRAM]][0], k) for k in range(len(word) - GRAM + 1))
                 last = grams[min(PREFIX, len(grams)) - 1][0]
-                first = sorted(k for _, k in grams[:PREFIX])
-                pivots = choose_pivots([(k, order[word[k : k + GRAM]][1]) for k in first])
-                wanted = set().union(*[keys_of(word, k, (0,)) for k in pivots])
-                filed = set().union(*[keys_of(word, k, (-1, 0, 1)) for rank, k in grams if rank <= last])
-                out += [(key, word, n, last, key in wanted) for key in sorted(filed)]
-            columns = list(zip(*out, strict=True)) if out else [()] * 5
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.string(), pa.int64(), pa.int64(), pa.bool_()), strict=True)],
-                                             ["key", "word", "n", "last", "wanted"])
+                if pivots:
+                    places = choose_pivots([(k, order[word[k : k + GRAM]][1]) for k in sorted(k for _, k in grams[:PREFIX])])
+                else:
+                    places = [k for rank, k in grams if rank <= last]
+                keys = set().union(*[keys_of(word, k, (-1, 0, 1) if pivots else (0,)) for k in places])
+                out += [(key, word, n, last) for key in keys]
+            columns = list(zip(*out, strict=True)) if out else [()] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.string(), pa.int64(), pa.int32()), strict=True)],
+                                             ["key", "word", "n", "last"])
 
     return run
 
 
-def near_words(words: DataFrame, hot_rows: int | None = None) -> DataFrame:
+def near_words(words: DataFrame) -> DataFrame:
     """(word, n, near, near_n) of all pairs of ``words`` (word, n; words are distinct and have at least four characters) that are one edit apart, both ways."""
     # LETTERS are 116 characters, 90 when A-Z are folded, so grams are 8,100 at most.
     counted = map_batches(words.select("word"), _gram_counts, "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n"))
     ranked = sorted((r.n, r.gram) for r in counted.collect())
     order = {gram: (rank, n) for rank, (n, gram) in enumerate(ranked)}
-    entries = write_out(map_batches(words.select("word", "n"), _entries(order), "key string, word string, n long, last long, wanted boolean"), "grams")
-    left = entries.filter("wanted").drop("wanted")
-    right = entries.select("key", F.col("word").alias("near"), F.col("n").alias("near_n"), F.col("last").alias("near_last"))
-    met = match(left, right, ["key"], hot_rows).filter(
+    made = "key string, word string, n long, last int"
+    # Keys are told apart by 64 bits: what meets by chance is not confirmed.
+    wanted = map_batches(words.select("word", "n"), _entries(order, True), made).select(F.xxhash64("key").alias("key"), "word", "n", "last")
+    filed = map_batches(words.select("word", "n"), _entries(order, False), made).select(
+        F.xxhash64("key").alias("key"), F.col("word").alias("near"), F.col("n").alias("near_n"), F.col("last").alias("near_last"))
+    met = wanted.join(filed, "key").filter(
         (F.col("last") <= F.col("near_last")) & (F.abs(F.length("word") - F.length("near")) <= EDITS) & (F.col("word") != F.col("near")))
-    pairs = met.filter(F.levenshtein("word", "near", EDITS) == EDITS)
-    turned = pairs.select(F.col("near").alias("word"), F.col("near_n").alias("n"), F.col("word").alias("near"), F.col("n").alias("near_n"))
-    return pairs.select("word", "n", "near", "near_n").union(turned).dropDuplicates(["word", "near"])
+    found = met.filter(F.levenshtein("word", "near", EDITS) == EDITS)
+    # A pair is found by several keys, and from both ends when both prefixes end alike.
+    first = F.col("word") < F.col("near")
+    pairs = found.select(*[F.when(first, F.col(a)).otherwise(F.col(b)).alias(c) for a, b, c in (
+        ("word", "near", "a"), ("near", "word", "b"), ("n", "near_n", "a_n"), ("near_n", "n", "b_n"))]).dropDuplicates(["a", "b"])
+    both = F.array(F.struct(F.col("a").alias("word"), F.col("a_n").alias("n"), F.col("b").alias("near"), F.col("b_n").alias("near_n")),
+                   F.struct(F.col("b").alias("word"), F.col("b_n").alias("n"), F.col("a").alias("near"), F.col("a_n").alias("near_n")))
+    return pairs.select(F.inline(both))
 
 
 def _roots(forms: DataFrame) -> DataFrame:
@@ -187,9 +194,9 @@ def _roots(forms: DataFrame) -> DataFrame:
         roots = step.select("word", "root")
 
 
-def variants_of(words: DataFrame, times: int = TIMES, hot_rows: int | None = None) -> DataFrame:
+def variants_of(words: DataFrame, times: int = TIMES) -> DataFrame:
     """(word, n, n_near, form, form_n, root) of ``words`` (word, n)."""
-    near = near_words(words, hot_rows)
+    near = near_words(words)
     rival: Column = F.struct((-F.col("near_n")).alias("less"), F.col("near"))
     best = near.groupBy("word").agg(F.count("*").alias("n_near"), F.min(rival).alias("best"))
     joined = words.join(best, "word", "left")
@@ -201,7 +208,7 @@ def variants_of(words: DataFrame, times: int = TIMES, hot_rows: int | None = Non
 
 
 def spelling_variants(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_length: int = LEAST_LENGTH, least_count: int = LEAST_COUNT,
-                      times: int = TIMES, damaged: int = DAMAGED, hot_rows: int | None = None) -> DataFrame:
+                      times: int = TIMES, damaged: int = DAMAGED) -> DataFrame:
     """One row per word of the texts: word, n, n_near, form, form_n, root.
 
     Words are maximal runs of LETTERS with A-Z folded (see ``word_counts`` for the damage done to some), of at least
@@ -214,4 +221,4 @@ def spelling_variants(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     if least_length < PREFIX + 1:
         raise ValueError(f"words of less than {PREFIX + 1} characters have too few grams")
     words = write_out(word_counts(docs, id_col, text_col, least_length, damaged).filter(F.col("n") >= least_count), "words")
-    return variants_of(words, times, hot_rows)
+    return variants_of(words, times)
