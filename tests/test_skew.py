@@ -163,3 +163,17 @@ def test_scratch_is_freed(spark, tmp_path):
         ranked.write.parquet(str(tmp_path / "out"))
     assert total == 10 and spark.read.parquet(str(tmp_path / "out")).count() == 10
     assert kept and not any(os.path.exists(f.removeprefix("file://").removeprefix("file:")) for f in kept)
+
+
+def test_hot_keys_with_more_partitions_than_sketches(spark):
+    """Tasks of the last step that get no sketch; partitions are not put together."""
+    names = {"spark.sql.shuffle.partitions": "50", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in names}
+    for name, value in names.items():
+        spark.conf.set(name, value)
+    try:
+        df = spark.createDataFrame([("a",)] * 30 + [("b",)], "k string").repartition(3)
+        assert [r[0] for r in skew.hot_keys(df, ["k"], 10).collect()] == ["a"]
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
