@@ -51,7 +51,7 @@ def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int | None = None) ->
     parts = texts.withColumn("_group", F.pmod(F.spark_partition_id(), F.lit(MERGE_GROUPS)))
     sketches = parts.groupBy("_group").agg(F.expr(f"approx_top_k_accumulate(_text, {TRACKED})").alias("_sketch"))
     # A group, since without one a task that has no sketch would make an empty buffer, which Spark cannot pass on.
-    top = sketches.groupBy(F.lit(0)).agg(F.expr(f"approx_top_k_estimate(approx_top_k_combine(_sketch, {TRACKED}), {MAX_HOT})").alias("_top"))
+    top = sketches.groupBy(F.pmod("_group", F.lit(1))).agg(F.expr(f"approx_top_k_estimate(approx_top_k_combine(_sketch, {TRACKED}), {MAX_HOT})").alias("_top"))
     items = top.first()["_top"]  # no more than MAX_HOT
     counts = [(t.item, t["count"] - (t.item == "")) for t in items]
     found = [(text, max(2, -(-n // max(limit, 1)))) for text, n in counts if n > limit]
