@@ -27,9 +27,10 @@ from velotrail.operators.recent import (
 )
 from velotrail.sources.lines import to_files, to_topic, track_lines
 from velotrail.sources.tables import (
-    compact_history, compact_recent, read_history, read_metrics, read_recent, read_rejects, write_history,
+    clean_table, compact_history, compact_recent, read_history, read_metrics, read_recent, read_rejects, snapshot, write_history,
     write_metrics, write_recent, write_rejects,
 )
 from velotrail.streaming.jobs import start, start_history, start_latency, start_recent
+from velotrail.streaming.state import read_recent_state, start_recent_state
 
 __all__ = [name for name in dir() if not name.startswith("_") and name not in ("functions", "operators", "plans", "sources", "streaming")]

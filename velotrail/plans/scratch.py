@@ -53,3 +53,17 @@ def scratch_scope(spark: SparkSession) -> Iterator[None]:
         for path in paths:
             folder = spark._jvm.org.apache.hadoop.fs.Path(path)
             folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextmanager
+def setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    """A session setting that holds inside and is as before at the end."""
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)

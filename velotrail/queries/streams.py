@@ -17,7 +17,7 @@ from velotrail.queries.inputs import (
 from velotrail.queries.registry import query
 from velotrail.sources import lines as src
 from velotrail.sources import tables
-from velotrail.streaming import jobs
+from velotrail.streaming import jobs, state
 
 
 def _stream(spark, sf):
@@ -194,6 +194,14 @@ def st_recent(spark, sf):
     return tables.read_recent(spark, path, n=5).select(*RECENT_COLUMNS)
 
 
+@query("st_recent_state", with_(LINES, TRACK, RECENT, _TOP) + "SELECT * FROM kept")
+def st_recent_state(spark, sf):
+    """The sets as keyed state, read from the state store."""
+    checkpoint = scratch_path(spark, "state")
+    _finish(state.start_recent_state(_stream(spark, sf), checkpoint, n=5, available_now=True))
+    return state.read_recent_state(spark, checkpoint, n=5).select(*RECENT_COLUMNS)
+
+
 @query("st_latency", with_(LINES, TRACK) + f"SELECT CAST(0 AS BIGINT) AS batch_id, count(*) AS n, {_LATE} FROM track")
 def st_latency(spark, sf):
     path = scratch_path(spark, "metrics")

@@ -33,6 +33,7 @@ def start(
     checkpoint: str,
     interval_ms: int = 2000,
     available_now: bool = False,
+    output: str = "append",
 ) -> StreamingQuery:
     """Run ``sink(batch, batch_id)`` each ``interval_ms``, or over all that is there and stop.
 
@@ -46,7 +47,7 @@ def start(
         finally:
             held.unpersist()
 
-    writer = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
+    writer = stream.writeStream.outputMode(output).foreachBatch(handle).option("checkpointLocation", checkpoint)
     trigger = {"availableNow": True} if available_now else {"processingTime": f"{int(interval_ms)} milliseconds"}
     return writer.trigger(**trigger).start()
 
@@ -78,7 +79,10 @@ def start_recent(
     buckets: int = BUCKETS, mode: str = "strict", parallelism: int | None = None,
     rejects: str | None = None, **when,
 ) -> StreamingQuery:
-    """The recent-set job and its trimmer in one: each batch keeps ``n`` points per vehicle."""
+    """Each batch adds at most ``n`` points per vehicle to a table that other jobs may write too; ``compact_recent`` trims it.
+
+    For a set that is never larger than ``n`` see ``streaming.state``.
+    """
     def sink(batch: DataFrame, batch_id: int) -> None:
         run = run_of(batch.sparkSession, checkpoint)
         spread = batch.repartition(parallelism) if parallelism else batch
