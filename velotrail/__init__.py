@@ -25,6 +25,9 @@ from velotrail.operators.parse import (
 from velotrail.operators.recent import (
     keep_last_n, key_slices, latest_position, rank_range, recent_set, recent_track, set_keys, set_size, trimmed_rows,
 )
+from velotrail.sources.cell_table import (
+    compact_cells, read_cells, write_appends, write_deletes, write_increments, write_mutations, write_puts,
+)
 from velotrail.sources.lines import to_files, to_topic, track_lines
 from velotrail.sources.tables import (
     clean_table, compact_history, compact_recent, read_history, read_metrics, read_recent, read_rejects, snapshot, write_history,

@@ -27,9 +27,14 @@ def upsert(cells: DataFrame, new: DataFrame, small_side: bool | None = None) ->
 
 def put_cells(cells: DataFrame, puts: DataFrame, now_ms: int) -> DataFrame:
     """Upsert; the time is that of the cell (``ts``), else of the put (``put_ts``), else now."""
+    return upsert(cells, stamped_puts(puts, now_ms), is_small(puts))
+
+
+def stamped_puts(puts: DataFrame, now_ms: int) -> DataFrame:
+    """The versions that a batch of puts sets; of several values for one, the largest."""
     times = [F.col(c) for c in ("ts", "put_ts") if c in puts.columns]
     stamped = puts.withColumn("ts", F.coalesce(*times, F.lit(now_ms).cast("bigint")))
-    return upsert(cells, stamped.groupBy(*VERSION).agg(F.max("value").alias("value")), is_small(puts))
+    return stamped.groupBy(*VERSION).agg(F.max("value").alias("value"))
 
 
 def mutate_rows(cells: DataFrame, mutations: DataFrame, ts: int, small_side: bool | None = None) -> DataFrame:
@@ -40,6 +45,20 @@ def mutate_rows(cells: DataFrame, mutations: DataFrame, ts: int, small_side: boo
     cell is left, so each cell's changes fold into one row before anything is joined.
     """
     small = is_small(mutations) if small_side is None else small_side
+    judged, per_family = folded_mutations(mutations, small)
+    at = F.lit(ts).cast("bigint")
+    marks = judged.select(*CELL, "_deleted", "_put")
+    marked = skew_join(cells, marks, CELL, "left", small_side=small)
+    marked = skew_join(marked, per_family, ROW_FAMILY, "left", small_side=small)
+    gone = (
+        (F.coalesce(F.col("_deleted"), F.lit(False)) | F.col("_family_seq").isNotNull()) & (F.col("ts") <= at)
+    ) | (F.coalesce(F.col("_put"), F.lit(False)) & (F.col("ts") == at))
+    new = judged.filter("_put").select(*CELL, at.alias("ts"), F.col("_last.value").alias("value"))
+    return marked.filter(~gone).select(*CELLS).unionByName(new)
+
+
+def folded_mutations(mutations: DataFrame, small: bool) -> tuple[DataFrame, DataFrame]:
+    """One row per cell (_last, _deleted, _put: whether its last put stands) and one per family that is deleted."""
     delete = F.col("op") == "delete"
     per_cell = mutations.filter(F.col("qualifier").isNotNull()).groupBy(*CELL).agg(
         F.max(F.struct("seq", "op", "value")).alias("_last"), F.max(delete).alias("_deleted")
@@ -52,15 +71,7 @@ def mutate_rows(cells: DataFrame, mutations: DataFrame, ts: int, small_side: boo
         (F.col("_last.op") == "put")
         & (F.col("_family_seq").isNull() | (F.col("_last.seq") > F.col("_family_seq"))),
     )
-    at = F.lit(ts).cast("bigint")
-    marks = judged.select(*CELL, "_deleted", "_put")
-    marked = skew_join(cells, marks, CELL, "left", small_side=small)
-    marked = skew_join(marked, per_family, ROW_FAMILY, "left", small_side=small)
-    gone = (
-        (F.coalesce(F.col("_deleted"), F.lit(False)) | F.col("_family_seq").isNotNull()) & (F.col("ts") <= at)
-    ) | (F.coalesce(F.col("_put"), F.lit(False)) & (F.col("ts") == at))
-    new = judged.filter("_put").select(*CELL, at.alias("ts"), F.col("_last.value").alias("value"))
-    return marked.filter(~gone).select(*CELLS).unionByName(new)
+    return judged, per_family
 
 
 def increment_cells(cells: DataFrame, increments: DataFrame, now_ms: int) -> tuple[DataFrame, DataFrame]:
@@ -68,8 +79,7 @@ def increment_cells(cells: DataFrame, increments: DataFrame, now_ms: int) -> tup
 
     The new version is at ``now_ms``, or at the stored version's time if that is later, so that it is the newest.
     """
-    amount = F.coalesce(F.col("amount"), F.lit(1)) if "amount" in increments.columns else F.lit(1)
-    sums = increments.groupBy(*CELL).agg(F.sum(amount.cast("bigint")).alias("_sum"))
+    sums = summed(increments)
     small = is_small(sums)
     stored = newest(restrict(cells, sums, CELL, small)).select(*CELL, F.col("ts").alias("_at"), F.col("value").alias("_old"))
     number = F.col("_old").try_cast("bigint")
@@ -81,6 +91,12 @@ def increment_cells(cells: DataFrame, increments: DataFrame, now_ms: int) -> tup
     return upsert(cells, new, small), new.select(*CELL, F.col("value").cast("bigint").alias("value"))
 
 
+def summed(increments: DataFrame) -> DataFrame:
+    """The sum of the amounts (default 1) of each cell."""
+    amount = F.coalesce(F.col("amount"), F.lit(1)) if "amount" in increments.columns else F.lit(1)
+    return increments.groupBy(*CELL).agg(F.sum(amount.cast("bigint")).alias("_sum"))
+
+
 def _not_before(now_ms: int) -> Column:
     return F.greatest(F.lit(now_ms).cast("bigint"), F.col("_at")).alias("ts")
 
@@ -88,7 +104,19 @@ def _not_before(now_ms: int) -> Column:
 def append_cells(
     cells: DataFrame, appends: DataFrame, now_ms: int, chunk: int = CHUNK
 ) -> tuple[DataFrame, DataFrame]:
-    """Join values to cells in ``seq`` order: (cells, new values), at the time that counters get too.
+    """Join values to cells in ``seq`` order: (cells, new values), at the time that counters get too."""
+    added = joined_values(appends, chunk)
+    small = is_small(appends)
+    stored = newest(restrict(cells, appends, CELL, small)).select(*CELL, F.col("ts").alias("_at"), F.col("value").alias("_old"))
+    new = added.join(stored, CELL, "left").select(
+        *CELL, _not_before(now_ms),
+        F.concat(F.coalesce("_old", F.lit("")), "_added").alias("value"),
+    )
+    return upsert(cells, new, small), new.select(*CELL, "value")
+
+
+def joined_values(appends: DataFrame, chunk: int = CHUNK) -> DataFrame:
+    """The values of each cell joined in ``seq`` order.
 
     Values are joined in runs of ``chunk`` first, so a cell with very many appends is worked
     on by many tasks and only its runs meet at the end.
@@ -97,14 +125,7 @@ def append_cells(
     runs = ranked.withColumn("_run", whole_parts(F.col("_rank"), chunk)).groupBy(*CELL, "_run").agg(
         _in_order("seq", "value").alias("_text")
     )
-    added = runs.groupBy(*CELL).agg(_in_order("_run", "_text").alias("_added"))
-    small = is_small(appends)
-    stored = newest(restrict(cells, appends, CELL, small)).select(*CELL, F.col("ts").alias("_at"), F.col("value").alias("_old"))
-    new = added.join(stored, CELL, "left").select(
-        *CELL, _not_before(now_ms),
-        F.concat(F.coalesce("_old", F.lit("")), "_added").alias("value"),
-    )
-    return upsert(cells, new, small), new.select(*CELL, "value")
+    return runs.groupBy(*CELL).agg(_in_order("_run", "_text").alias("_added"))
 
 
 def _in_order(order: str, value: str) -> Column:

@@ -6,8 +6,10 @@ from pyspark.sql import functions as F
 
 from velotrail.operators import checks as chk
 from velotrail.operators import mutations as mut
+from velotrail.plans.scratch import scratch_path
 from velotrail.queries.inputs import CELLS, MID_MS, NEWEST, NOW_MS, REQUESTS, cells, events, requests, with_
-from velotrail.queries.registry import query
+from velotrail.queries.registry import ORACLES, query
+from velotrail.sources import cell_table as store
 
 _COLS = "row_key, family, qualifier, ts, value"
 _CELL = "row_key, family, qualifier"
@@ -39,8 +41,11 @@ _PUT_VALUE = "CAST(30 + event_id % 7 AS STRING)"
       f"puts AS (SELECT {_CELL}, ts, max(value) AS value FROM changes GROUP BY {_CELL}, ts)") + f"""
     SELECT {_COLS} FROM cells ANTI JOIN puts USING ({_CELL}, ts) UNION ALL SELECT {_COLS} FROM puts""")
 def put_cells(spark, sf):
-    puts = _changes(spark, sf, f"CAST({_PUT_TS} AS BIGINT) AS ts", f"CAST({_PUT_DEFAULT} AS BIGINT) AS put_ts", f"{_PUT_VALUE} AS value")
-    return mut.put_cells(cells(spark, sf), puts, NOW_MS)
+    return mut.put_cells(cells(spark, sf), _puts(spark, sf), NOW_MS)
+
+
+def _puts(spark, sf):
+    return _changes(spark, sf, f"CAST({_PUT_TS} AS BIGINT) AS ts", f"CAST({_PUT_DEFAULT} AS BIGINT) AS put_ts", f"{_PUT_VALUE} AS value")
 
 
 _OP = "CASE WHEN event_id % 10 IN (7, 9) THEN 'delete' ELSE 'put' END"
@@ -58,10 +63,13 @@ _OP = "CASE WHEN event_id % 10 IN (7, 9) THEN 'delete' ELSE 'put' END"
     SELECT {_CELL}, {MID_MS} AS ts, value FROM per_cell LEFT JOIN per_family USING (row_key, family)
     WHERE op = 'put' AND (family_seq IS NULL OR seq > family_seq)""")
 def mutate_rows(spark, sf):
+    return mut.mutate_rows(cells(spark, sf), _mutations(spark, sf), MID_MS)
+
+
+def _mutations(spark, sf):
     changes = _changes(spark, sf, f"{_OP} AS op", "concat('m', CAST(event_id AS STRING)) AS value", "event_id")
     whole_family = F.col("event_id") % 100 == 99
-    changes = changes.withColumn("qualifier", F.when(~whole_family, F.col("qualifier"))).drop("event_id")
-    return mut.mutate_rows(cells(spark, sf), changes, MID_MS)
+    return changes.withColumn("qualifier", F.when(~whole_family, F.col("qualifier"))).drop("event_id")
 
 
 _COUNTED = (
@@ -167,10 +175,13 @@ _WHEN = f"CASE WHEN pos % 7 IN (0, 1, 2) THEN {MID_MS} WHEN pos % 7 IN (4, 5) TH
       OR d.kind = 'column' AND d.family = m.family AND d.qualifier = m.qualifier AND (m.ts = d.ts OR d.ts IS NULL AND m.is_newest)))""")
 def delete_typed(spark, sf):
     table = cells(spark, sf)
+    return mut.delete_typed(table, _typed_deletes(spark, sf, table))
+
+
+def _typed_deletes(spark, sf, table):
     first = table.groupBy("row_key", "family", "qualifier").agg(F.min("ts").alias("first_ts"))
-    deletes = requests(spark, sf).join(first, ["row_key", "family", "qualifier"], "left").selectExpr(
+    return requests(spark, sf).join(first, ["row_key", "family", "qualifier"], "left").selectExpr(
         "row_key", "family", "qualifier", f"{_KIND} AS kind", f"CAST({_WHEN} AS BIGINT) AS ts")
-    return mut.delete_typed(table, deletes)
 
 
 @query("retain_versions", with_(CELLS) + f"""
@@ -282,3 +293,55 @@ def check_and_mutate(spark, sf):
     UNION ALL SELECT pos * 2 + 1, row_key, second_passed FROM answered""")
 def check_and_mutate_outcome(spark, sf):
     return _mixed(spark, sf)[1]
+
+
+# The same changes made to a stored table, in batches of a run: the cells are batch 0.
+def _table(spark, sf):
+    path = scratch_path(spark, "cells")
+    store.write_puts(cells(spark, sf), path, NOW_MS, "r", 0, buckets=8)
+    return path
+
+
+@query("stored_put_cells", ORACLES["put_cells"])
+def stored_put_cells(spark, sf):
+    """A copy is made between the batches."""
+    path = _table(spark, sf)
+    store.compact_cells(spark, path, buckets=8)
+    store.write_puts(_puts(spark, sf), path, NOW_MS, "r", 1, buckets=8)
+    return store.read_cells(spark, path)
+
+
+@query("stored_mutate_rows", ORACLES["mutate_rows"])
+def stored_mutate_rows(spark, sf):
+    """Deletes are marks that stay beside the batch they hide."""
+    path = _table(spark, sf)
+    store.write_mutations(_mutations(spark, sf), path, MID_MS, "r", 1, buckets=8)
+    return store.read_cells(spark, path)
+
+
+@query("stored_delete_typed", ORACLES["delete_typed"])
+def stored_delete_typed(spark, sf):
+    """The marks are cleared by a copy."""
+    path = _table(spark, sf)
+    store.write_deletes(_typed_deletes(spark, sf, cells(spark, sf)), path, None, "r", 1, buckets=8)
+    store.compact_cells(spark, path, buckets=8)
+    return store.read_cells(spark, path)
+
+
+@query("stored_increment_cells", ORACLES["increment_cells"])
+def stored_increment_cells(spark, sf):
+    """The batch is written twice, and a third time when a copy holds it; it counts once."""
+    path, amounts = _table(spark, sf), _changes(spark, sf, "event_id % 10 AS amount")
+    for _ in range(2):
+        store.write_increments(amounts, path, NOW_MS, "r", 1, buckets=8)
+    store.compact_cells(spark, path, buckets=8)
+    store.write_increments(amounts, path, NOW_MS, "r", 1, buckets=8)
+    return store.read_cells(spark, path)
+
+
+@query("stored_append_cells", ORACLES["append_cells"])
+def stored_append_cells(spark, sf):
+    path, values = _table(spark, sf), _changes(spark, sf, "concat('|', CAST(event_id AS STRING)) AS value")
+    for _ in range(2):
+        store.write_appends(values, path, NOW_MS, "r", 1, buckets=8)
+    return store.read_cells(spark, path)

@@ -82,13 +82,25 @@ class Log:
         for run, n in batches:
             self._drop(f"log/batch~{quote(run, safe='')}~{n}")
 
+    def covered(self, run: str, batch_id: int) -> bool:
+        """Whether a copy has taken the batch."""
+        rows = stored(self.spark, f"{self.path}/covered", f"{BATCH_SCHEMA}, version bigint")
+        return bool(rows.filter((F.col("run") == run) & (F.col("batch_id") == batch_id)).limit(1).count())
+
     def clean(self) -> int:
         """Delete the batches that the newest copy holds, and older copies; the number of batches deleted.
 
-        Not while someone reads an older snapshot or writes a covered batch again.
+        Not while someone reads an older snapshot or writes a covered batch again.  That batches of named runs were taken stays
+        known.
         """
         now = self.snapshot()
         rows = stored(self.spark, f"{self.path}/covered", f"{BATCH_SCHEMA}, version bigint").filter(F.col("version") <= now.version)
+        rows = rows.filter(F.col("version") >= 0)
+        named = rows.filter(~F.col("run").startswith(CALL)).select("run", "batch_id")
+        if named.limit(1).count():
+            # Version -1, -2, ... are what cleaning has put together: one file for each time.
+            least = min(0, stored(self.spark, f"{self.path}/covered", f"{BATCH_SCHEMA}, version bigint").agg(F.min("version")).first()[0])
+            named.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/covered/version={least - 1}")
         gone = 0
         for run, n in {(r.run, r.batch_id) for r in rows.toLocalIterator()} - set(now.batches):
             self._drop(self.folder(run, n).removeprefix(f"{self.path}/"))
