@@ -4,6 +4,7 @@ import pytest
 from brute import FOLD, TEXTS, empty, frame, keep_lines, near, rows, sha, shingles
 
 from velotrail.llm import exact_dedup as exact_module
+from velotrail.llm import near_dedup as near_module
 from velotrail.llm.exact_dedup import exact_dedup
 from velotrail.llm.line_dedup import line_dedup, without_repeated_lines
 from velotrail.llm.near_dedup import near_dedup, without_near_copies
@@ -86,6 +87,45 @@ def test_near_groups_that_need_several_rounds(spark):
     assert got == want
 
 
+@pytest.mark.parametrize("percent", [60, 80, 95])
+def test_near_members_of_large_buckets(spark, monkeypatch, percent):
+    """Buckets that one task does not compare: templates with links, chains and texts that share much but not enough."""
+    monkeypatch.setattr(near_module, "BLOCK", 3)
+    rng = random.Random(percent)
+    word = lambda: f"v{rng.randrange(10**6)}"
+    data = []
+    for shared, n in ((100, 40), (60, 25), (30, 15)):
+        template = [word() for _ in range(shared)]
+        for _ in range(n):
+            text = list(template)
+            for at in rng.sample(range(shared), rng.randrange(max(1, shared * (100 - percent) // 60))):
+                text[at] = word()
+            data.append(" ".join(text[: rng.randrange(shared - 12, shared + 1)]))
+    data = [(k, t, None, None, 0) for k, t in enumerate(data)]
+    want = near(data, 2, percent)
+    assert {r.doc_id: r.component_id for r in near_dedup(frame(spark, data), percent=percent, bands=14 if percent > 70 else 24).collect()} == want
+    assert len(data) // 10 < len(set(want.values())) < len(data)
+
+
+def test_near_template_families_have_few_candidates(spark, monkeypatch):
+    """Texts on one template, none similar enough: all fall into the same buckets, and almost none meet."""
+    monkeypatch.setattr(near_module, "BLOCK", 16)
+    met, verified = [], near_module._verified
+    monkeypatch.setattr(near_module, "_verified", lambda pairs, sets, percent: met.append(pairs.count()) or verified(pairs, sets, percent))
+    rng = random.Random(4)
+    template = [f"t{k}" for k in range(100)]
+    data = []
+    for k in range(800):
+        text = list(template)
+        for _ in range(40):
+            text.insert(rng.randrange(len(text)), f"own{k}x{rng.randrange(10**6)}")
+        data.append((k, " ".join(text), None, None, 0))
+    got = near_dedup(frame(spark, data), 1).collect()
+    assert all(r.kept for r in got)
+    # The first step meets the two ends of each bucket; 800 texts have 320,000 pairs.
+    assert len(met) == 2 and met[1] < 800 and met[0] < 800 * 14 * 2
+
+
 def test_near_stage_keeps_one_of_each_group(spark):
     data = rows()
     kept = without_near_copies(frame(spark, data))

@@ -4,12 +4,17 @@ Two small collections of sub-signatures (``BANDS`` each, of ``ROWS`` minhashes)
 each: BANDS * BANDS tables of 2 * ROWS minhashes from 2 * BANDS * ROWS of them.  Two texts with similarity J meet in some
 table unless one collection fails, with probability about 2 * (1 - J**ROWS) ** BANDS.
 
-Texts with equal sets form a class, and only classes take part.  Classes that share a key form a bucket.  A bucket's members
-are not paired with one another.  First all meet the one that shares most keys, which joins groups of near copies; members of
-one component need no further test.  What is left of a bucket streams through one task, which compares members of different
-components by the low 32 bits of their shingles and lets out only links that join two of them, so what it returns is no
-longer than the bucket.  Of a long bucket BLOCK members meet all the others, which go on to the next round, until nothing is
-left.  So no pair in a bucket is lost.  All links are confirmed on the full sets.
+Texts with equal sets form a class, and only classes take part.  Classes that share a key form a bucket; its members are not
+paired with one another.  First come the tables whose two sub-signatures have the same number, BANDS of them: there all meet the
+first and the last class of their bucket, which joins groups of near copies.  Members of one component need no further test, so
+of all tables only buckets with several components are left.  A bucket of up to BLOCK members streams through one task, which
+compares the full sets of members of different components and lets out only links that join two of them.
+
+The members of larger buckets meet by shared shingles.  All shingles are ordered, rare ones first (by a table of counts of fixed
+size: any fixed order gives the same links).  Two similar sets have their first common shingle so early that what lies behind it
+is still long enough, in both, for the sets' sizes.  A set is filed under the shingles up to there, for each band of sizes that a
+partner may have, and looked up likewise; so texts made from one template, which share much but not enough, have few keys
+in common.  These pairs are confirmed on the full sets, too.  No pair in a bucket is lost.
 """
 
 from __future__ import annotations
@@ -71,7 +76,7 @@ KEPT = 100_000
 
 
 def _repeated(batches):
-    """Rows sorted by key: those whose key has another row next to it, by bucket.
+    """Rows (key, class, root) sorted by key: those of keys with several roots, by bucket.
 
     Buckets with the same members get the same number.  The first and last key of a partition may go on in another one,
     and very long ones are not kept: these go under their own key.
@@ -80,28 +85,28 @@ def _repeated(batches):
     def emit(member, bucket):
         return pa.RecordBatch.from_arrays([pa.array(bucket), pa.array(member)], ["bucket", "class"])
 
-    key = member = np.zeros(0, np.int64)
+    key = member = root = np.zeros(0, np.int64)
     passing = None
     for batch in batches:
-        key, member = (np.concatenate([old, c.to_numpy(zero_copy_only=False)]) for old, c in zip((key, member), batch.columns[:2], strict=True))
+        key, member, root = (np.concatenate([old, c.to_numpy(zero_copy_only=False)]) for old, c in zip((key, member, root), batch.columns, strict=True))
         if not len(key):
             continue
         passing = key[0] if passing is None else passing
         n = int(np.argmax(key != passing)) if key[-1] != passing else len(key)
         if key[0] == passing:
             yield emit(member[:n], key[:n])
-            key, member = key[n:], member[n:]
+            key, member, root = key[n:], member[n:], root[n:]
         begin = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
         if len(begin) > 1:
             last = begin[-1]
             own, size = member[:last], np.diff(begin)
             code = signed(mix(np.add.reduceat(mix(own.view(U64)), begin[:-1]) + size.astype(U64)))
-            many = np.repeat(size > 1, size)
+            many = np.repeat(np.minimum.reduceat(root[:last], begin[:-1]) != np.maximum.reduceat(root[:last], begin[:-1]), size)
             yield emit(own[many], np.repeat(code, size)[many])
-            key, member = key[last:], member[last:]
+            key, member, root = key[last:], member[last:], root[last:]
         if len(key) > KEPT:
             yield emit(member, key)
-            passing, key, member = key[0], key[:0], member[:0]
+            passing, key, member, root = key[0], key[:0], member[:0], root[:0]
     yield emit(member, key)
 
 
@@ -111,9 +116,8 @@ def _sets(width: int):
             for begin, end in parts(batch.column(0)):
                 value, at = shingle_sets(batch.column(0).slice(begin, end - begin), width)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(signed(class_of(value, at))),
-                     *[pa.array([x[s:e].tobytes() for s, e in zip(at[:-1], at[1:], strict=True)], pa.binary()) for x in (value, value.astype(np.uint32))]],
-                    ["class", "set", "low"])
+                    [pa.array(signed(class_of(value, at))), pa.array([value[s:e].tobytes() for s, e in zip(at[:-1], at[1:], strict=True)], pa.binary())],
+                    ["class", "set"])
 
     return run
 
@@ -131,10 +135,20 @@ def _similar(percent: int):
     return run
 
 
+def _pivot_pairs(classes: DataFrame, percent: int) -> DataFrame:
+    """(a, b) of classes and the first and last class of their buckets, in the tables of like-numbered sub-signatures."""
+    keys = classes.select("class", "n", F.posexplode(F.arrays_zip("left", "right")).alias("i", "s")).select(F.xxhash64("i", "s.left", "s.right").alias("key"), "class", "n")
+    own = F.struct("class", "n")
+    ends = keys.groupBy("key").agg(F.array_distinct(F.array(F.min(own), F.max(own))).alias("ends")).filter(F.size("ends") > 1)
+    met = keys.join(ends.select("key", F.explode("ends").alias("end")), "key")
+    near = (F.col("class") != F.col("end.class")) & (100 * F.least("n", "end.n") >= percent * F.greatest("n", "end.n"))
+    return met.filter(near).select(F.least("class", "end.class").alias("a"), F.greatest("class", "end.class").alias("b")).distinct()
+
+
 def _buckets(classes: DataFrame) -> DataFrame:
-    """(bucket, class) of classes that share a table key with another."""
-    keys = (classes.select("class", "left", F.posexplode("right").alias("j", "r")).select("class", "j", "r", F.posexplode("left").alias("i", "l"))
-            .select(F.xxhash64("i", "l", "j", "r").alias("key"), "class"))
+    """(bucket, class) of classes (class, root, left, right) that share a table key with one of another root."""
+    keys = (classes.select("class", "root", "left", F.posexplode("right").alias("j", "r")).select("class", "root", "j", "r", F.posexplode("left").alias("i", "l"))
+            .select(F.xxhash64("i", "l", "j", "r").alias("key"), "class", "root"))
     # Sorting by key and class lets a key with very many classes spread over partitions.
     ordered = keys.repartitionByRange("key", "class").sortWithinPartitions("key", "class")
     return map_batches(ordered, _repeated, "bucket long, class long").distinct()
@@ -162,28 +176,19 @@ def _merged(roots: DataFrame | None, links: DataFrame) -> DataFrame:
     return write_out(before.select("class", F.coalesce("new", "root").alias("root")).union(fresh), "roots")
 
 
-#: Members of a bucket that meet one another in a round; in a longer one, so many meet all the others.  Their shingles in all.
+#: Members of a bucket that one task compares, and their shingles in all; larger ones meet by shared shingles.
 BLOCK, BLOCK_SHINGLES = 2048, 4 << 20
 
 
 class _Block:
-    """Members of one bucket, and which component each is in."""
-
-    def __init__(self, percent: int):
-        self.percent, self.members, self.sizes, self.roots, self.low, self.total = percent, [], [], [], [], 0
-
-    def full(self) -> bool:
-        return len(self.members) >= BLOCK or self.total >= BLOCK_SHINGLES
+    """Members of one bucket with their full sets, and which component each is in."""
 
-    def add(self, member: int, root: int, low: np.ndarray) -> None:
-        self.members.append(member), self.sizes.append(len(low)), self.roots.append(root), self.low.append(low)
-        self.total += len(low)
-
-    def close(self) -> None:
-        self.size, self.root = np.array(self.sizes), np.array(self.roots)
-        self.vocabulary, self.place = np.unique(np.concatenate(self.low), return_inverse=True)
+    def __init__(self, percent: int, members: list[int], roots: list[int], sets: list[np.ndarray]):
+        self.percent, self.members, self.root = percent, members, np.array(roots)
+        self.size = np.array([len(x) for x in sets])
+        vocabulary, self.place = np.unique(np.concatenate(sets), return_inverse=True)
         self.begin = np.concatenate([[0], np.cumsum(self.size)])[:-1]
-        self.mark = np.zeros(len(self.vocabulary), dtype=bool)
+        self.mark = np.zeros(len(vocabulary), dtype=bool)
 
     def links(self, places: np.ndarray, size: int, root: int, may: np.ndarray):
         """Members that join another component to that of a set; the components are one from then on."""
@@ -209,85 +214,130 @@ class _Block:
                 yield self.members[k], other
             may[k] = True
 
-    def with_late(self, member: int, root: int, low: np.ndarray):
-        at = np.minimum(np.searchsorted(self.vocabulary, low), len(self.vocabulary) - 1)
-        for other in self.links(at[self.vocabulary[at] == low], len(low), root, np.ones(len(self.members), bool)):
-            yield member, other
-
 
 def _meet(percent: int):
-    """Rows sorted by bucket: links that join components, and members of long buckets that go on, as (bucket, class)."""
+    """Rows (bucket, class, root, set) sorted by bucket: links that join components."""
+
+    def links(held):
+        return pa.RecordBatch.from_arrays([pa.array([f(x) for x in found], pa.int64()) for f in (min, max)], ["a", "b"]) if (
+            found := list(_Block(percent, *held).among())) else None
 
     def run(batches):
-        now, block, closed, out = None, None, False, []
+        now, held = None, ([], [], [])
         for batch in batches:
-            for bucket, member, root, low in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                low = np.frombuffer(low, np.uint32)
+            for bucket, member, root, own in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if bucket != now:
-                    if block and not closed:
-                        block.close()
-                        out += [(*x, False) for x in block.among()]
-                    now, block, closed = bucket, _Block(percent), False
-                if not block.full():
-                    block.add(member, root, low)
-                    continue
-                if not closed:
-                    block.close()
-                    closed = True
-                    out += [(*x, False) for x in block.among()]
-                out += [(*x, False) for x in block.with_late(member, root, low)]
-                out.append((bucket, member, True))
-            yield _pairs_out(out)
-            out = []
-        if block and not closed:
-            block.close()
-            yield _pairs_out([(*x, False) for x in block.among()])
+                    if now is not None and (out := links(held)) is not None:
+                        yield out
+                    now, held = bucket, ([], [], [])
+                for column, value in zip(held, (member, root, np.frombuffer(own, U64)), strict=True):
+                    column.append(value)
+        if now is not None and (out := links(held)) is not None:
+            yield out
+
+    return run
+
+
+#: Slots of the table of counts that orders shingles, and how much larger the next band of sizes is.
+SLOTS, STEP = 1 << 20, 1.05
+
+
+def _slot(shingles: np.ndarray) -> np.ndarray:
+    return (mix(shingles) & U64(SLOTS - 1)).astype(np.int64)
+
+
+def _slot_counts(batches):
+    count = np.zeros(SLOTS, np.int64)
+    for batch in batches:
+        for own in batch.column(0).to_pylist():
+            np.add.at(count, _slot(np.frombuffer(own, U64)), 1)
+    there = np.flatnonzero(count)
+    yield pa.RecordBatch.from_arrays([pa.array(there.astype(np.int32)), pa.array(count[there])], ["slot", "n"])
+
+
+def _bands_of_sizes() -> np.ndarray:
+    """The least size of each band."""
+    edges = [1]
+    while edges[-1] < 1 << 31:
+        edges.append(max(edges[-1] + 1, int(edges[-1] * STEP)))
+    return np.array(edges, np.int64)
+
+
+def overlap(percent: int, a, b):
+    """Common shingles that sets of sizes a and b need to be similar."""
+    return -(-percent * (a + b) // (100 + percent))
+
+
+def _filed(percent: int, counts, short: bool):
+    """Rows (class, root, set): a key for each early shingle and band of partner sizes; ``rest`` is what lies from the shingle on.
+
+    ``short``: the partner is as large or larger, else as large or smaller.
+    """
+
+    def run(batches):
+        count, edges = counts.value, _bands_of_sizes()
+        for batch in batches:
+            for member, root, own in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                own = np.frombuffer(own, U64)
+                n = len(own)
+                own = own[np.lexsort((own, count[_slot(own)]))]
+                band = int(np.searchsorted(edges, n, "right")) - 1
+                most = 100 * n // percent if short else n
+                least = n if short else -(-percent * n // 100)
+                keys, rests = [], []
+                for other in range(int(np.searchsorted(edges, least, "right")) - 1, int(np.searchsorted(edges, most, "right"))):
+                    need = int(overlap(percent, n, max(least, int(edges[other]))))
+                    if need > n:
+                        continue
+                    both = (band, other) if short else (other, band)
+                    keys.append(mix(own[: n - need + 1] + U64((both[0] << 32) + both[1]) * U64(0x9E3779B97F4A7C15)))
+                    rests.append(n - np.arange(n - need + 1))
+                key = signed(np.concatenate(keys)) if keys else np.zeros(0, np.int64)
+                k = len(key)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(key), pa.array(np.full(k, member, np.int64)), pa.array(np.full(k, root, np.int64)), pa.array(np.full(k, n, np.int32)),
+                     pa.array((np.concatenate(rests) if rests else np.zeros(0, np.int64)).astype(np.int32))], ["key", "class", "root", "n", "rest"])
 
     return run
 
 
-def _pairs_out(rows):
-    a, b, late = zip(*rows, strict=True) if rows else ((), (), ())
-    a, b, late = np.array(a, np.int64), np.array(b, np.int64), np.array(late, bool)
-    return pa.RecordBatch.from_arrays([pa.array(np.where(late, a, np.minimum(a, b))), pa.array(np.where(late, b, np.maximum(a, b))), pa.array(late)],
-                                      ["a", "b", "late"])
+def _by_shingles(members: DataFrame, percent: int) -> DataFrame:
+    """(a, b) of members (class, root, set) of different roots that may be similar: all that are, and few others."""
+    spark = members.sparkSession
+    counts = map_batches(members.select("set"), _slot_counts, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    table = np.zeros(SLOTS, np.int64)
+    table[counts["slot"].to_numpy()] = counts["n"].to_numpy()
+    shared = spark.sparkContext.broadcast(table)  # 8 MB, whatever the data
+    made = "key long, class long, root long, n int, rest int"
+    short, long_ = (map_batches(members.select("class", "root", "set"), _filed(percent, shared, side), made) for side in (True, False))
+    short = short.toDF("key", "a", "a_root", "a_n", "a_rest")
+    long_ = long_.toDF("key", "b", "b_root", "b_n", "b_rest")
+    need = F.ceil(percent * (F.col("a_n") + F.col("b_n")) / (100 + percent))
+    apart = (F.col("a_root") != F.col("b_root")) & (F.struct("a_n", "a") < F.struct(F.col("b_n").alias("a_n"), F.col("b").alias("a")))
+    met = short.join(long_, "key").filter(apart & (F.least("a_rest", "b_rest") >= need))
+    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return write_out(map_batches(_of_pair(pairs, sets, "set"), _similar(percent), "a long, b long"), "links")
 
 
-def _open(rows: DataFrame, roots: DataFrame | None) -> DataFrame:
-    """(bucket, class, shared, root) of buckets whose members are in different components; of equal buckets, one."""
-    rows = rows.join(small(roots, 32), "class", "left") if roots is not None else rows.withColumn("root", F.col("class"))
-    rows = rows.select("bucket", "class", "shared", F.coalesce("root", "class").alias("root"))
-    kinds = rows.groupBy("bucket").agg(F.min("root").alias("least"), F.max("root").alias("most"), F.count("*").alias("size"),
+def _open(met: DataFrame, classes: DataFrame) -> DataFrame:
+    """(bucket, class, root, large) of buckets (bucket, class) with several roots; of equal buckets, one.  classes: class, root, n."""
+    rows = met.join(small(classes, 48), "class")
+    kinds = rows.groupBy("bucket").agg(F.min("root").alias("least"), F.max("root").alias("most"), F.count("*").alias("size"), F.sum("n").alias("shingles"),
                                        F.bit_xor(F.xxhash64("class")).alias("one"), F.bit_xor(F.xxhash64("class", F.lit(1))).alias("two"))
-    chosen = kinds.filter("least <> most").groupBy("size", "one", "two").agg(F.min("bucket").alias("bucket")).select("bucket")
-    return write_out(rows.join(chosen, "bucket", "left_semi"), "open")
+    large = (F.col("size") > BLOCK) | (F.col("shingles") > BLOCK_SHINGLES)
+    chosen = kinds.filter("least <> most").groupBy("size", "one", "two").agg(F.min("bucket").alias("bucket"), F.max(large).alias("large"))
+    return rows.join(chosen.select("bucket", "large"), "bucket").select("bucket", "class", "root", "large")
 
 
-def _linked(met: DataFrame, sets: DataFrame, percent: int) -> DataFrame | None:
-    """(class, root) of all classes with links.  met: bucket, class, n, shared; sets: class, set, low."""
-    # All members with the one that is in most buckets: this joins groups of near copies.
-    best = met.groupBy("bucket").agg(F.max(F.struct("shared", "class", "n")).alias("best"))
-    best = small(write_out(best.select("bucket", F.col("best.class").alias("pivot"), F.col("best.n").alias("pivot_n")), "pivots"), 48)
-    pairs = met.join(best, "bucket").filter((F.col("class") != F.col("pivot")) & (100 * F.least("n", "pivot_n") >= percent * F.greatest("n", "pivot_n")))
-    pairs = write_out(pairs.select(F.least("class", "pivot").alias("a"), F.greatest("class", "pivot").alias("b")).distinct(), "pairs")
-    found = _verified(pairs, sets, percent)
-    roots = _merged(None, found) if found.limit(1).count() else None
-    open_ = _open(met.join(best.withColumnRenamed("pivot", "class"), ["bucket", "class"], "left_anti"), roots)
-    # The members that are left with one another.
-    while open_.limit(1).count():
-        rows = open_.join(sets.select("class", "low"), "class").select("bucket", "class", "root", "low", "shared")
-        rows = rows.repartition("bucket").sortWithinPartitions("bucket", F.desc("shared"), "class").drop("shared")
-        out = write_out(map_batches(rows, _meet(percent), "a long, b long, late boolean"), "meetings")
-        found = _verified(out.filter("not late").select("a", "b").distinct(), sets, percent)
-        if found.limit(1).count():
-            roots = _merged(roots, found)
-        late = out.filter("late").select(F.col("a").alias("bucket"), F.col("b").alias("class"))
-        open_ = _open(open_.drop("root").join(late, ["bucket", "class"], "left_semi"), roots)
-    return roots
+def _sets_of(docs: DataFrame, classes: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
+    """(class, set) of the ``wanted`` classes, from the texts of their first ids."""
+    known = write_out(classes.join(small(wanted, 16), "class", "left_semi").select("class", "first_id"), "known")
+    texts = docs.join(small(known.select(F.col("first_id").alias("doc_id")).distinct(), 32), "doc_id", "left_semi").select("text")
+    sets = map_batches(texts, _sets(width), "class long, set binary").join(small(known.select("class"), 16), "class", "left_semi")
+    return write_out(sets.dropDuplicates(["class"]), "sets")
 
 
 def near_classes(docs: DataFrame, width: int, percent: int, bands: int, rows: int) -> tuple[DataFrame, DataFrame]:
@@ -296,16 +346,27 @@ def near_classes(docs: DataFrame, width: int, percent: int, bands: int, rows: in
     classes = write_out(members.filter("class IS NOT NULL").groupBy("class").agg(
         F.min("doc_id").alias("first_id"), F.count("*").alias("size"), F.first("n_shingles").alias("n"),
         F.first("left").alias("left"), F.first("right").alias("right")), "classes")
-    met = write_out(_buckets(classes), "buckets")
-    # The more buckets a class is in, the more classes it resembles.
-    shared = met.groupBy("class").agg(F.count("*").alias("shared"))
-    known = write_out(classes.select("class", "first_id", "n").join(shared, "class"), "met-classes")
-    ids = write_out(known.select(F.col("first_id").alias("doc_id")).distinct(), "met-ids")
-    texts = docs.join(small(ids, 32), "doc_id", "left_semi").select("text")
-    sets = map_batches(texts, _sets(width), "class long, set binary, low binary").join(small(known.select("class"), 32), "class", "left_semi")
-    sets = write_out(sets.dropDuplicates(["class"]), "sets")
-    open_ = write_out(met.join(small(known.select("class", "n", "shared"), 64), "class"), "open")
-    roots = _linked(open_, sets, percent)
+    # Groups of near copies, by the ends of buckets.
+    pairs = write_out(_pivot_pairs(classes, percent), "pairs")
+    seen = write_out(pairs.select(F.col("a").alias("class")).union(pairs.select("b")).distinct(), "seen")
+    sets = _sets_of(docs, classes, seen, width)
+    found = _verified(pairs, sets, percent)
+    roots = _merged(None, found) if found.limit(1).count() else None
+    # What is left in the buckets of all tables.
+    rooted = classes.join(small(roots, 32), "class", "left") if roots is not None else classes.withColumn("root", F.lit(None).cast("long"))
+    rooted = rooted.withColumn("root", F.coalesce("root", "class"))
+    met = write_out(_buckets(rooted), "buckets")
+    ids = write_out(met.select("class").distinct(), "met")
+    open_ = write_out(_open(met, write_out(rooted.select("class", "root", "n").join(small(ids, 16), "class", "left_semi"), "met-classes")), "open")
+    more = write_out(open_.select("class").distinct().join(small(seen, 16), "class", "left_anti"), "more")
+    sets = sets.union(_sets_of(docs, classes, more, width))
+    rest = open_.filter("not large").join(sets, "class").select("bucket", "class", "root", "set")
+    links = write_out(map_batches(rest.repartition("bucket").sortWithinPartitions("bucket", "class"), _meet(percent), "a long, b long"), "links")
+    if open_.filter("large").limit(1).count():
+        large = write_out(open_.filter("large").select("class", "root").distinct().join(sets, "class"), "large")
+        links = links.union(_verified(write_out(_by_shingles(large, percent), "pairs"), sets, percent))
+    if links.limit(1).count():
+        roots = _merged(roots, links)
     if roots is None:
         groups = classes.select("class", F.col("first_id").alias("component_id"), F.col("class").alias("root"), "size")
     else:
