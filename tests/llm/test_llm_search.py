@@ -1,6 +1,9 @@
 import hashlib
+import os
 import random
 import re
+import zlib
+from collections import Counter, defaultdict
 
 import pytest
 from brute import contamination, empty, frame, rows
@@ -9,6 +12,10 @@ from pyspark.sql import functions as F
 from velotrail.llm.decontaminate import clean_documents, decontaminate
 from velotrail.llm.pii import BASE as KINDS
 from velotrail.llm.pii import find_private, mod97, span_list
+from velotrail.llm.queries import QUERIES
+from velotrail.llm.sharding import hilbert_shards
+
+SF = "/root/testdata/sf0.001"
 
 ITEMS = [(1, " ".join(f"w{k}" for k in range(5, 30))), (2, "Other OTHER other"), (3, None), (4, "?!"), (5, "été"), (None, "and a line"),
          (6, " ".join(f"W{k}" for k in range(10, 20))), (10, " ".join(f"w{k}" for k in range(10, 20))), (6, "other other other")]
@@ -101,6 +108,68 @@ def test_account_numbers_and_context(spark):
     assert spark.range(1).select(mod97(F.lit("GB82WEST12345698765432"))).first()[0]
 
 
+def test_account_numbers_end_where_their_country_says(spark):
+    """Before a capital word, with blanks between or without; longer and shorter runs are none."""
+    texts = ["DE89370400440532013000 AND more", "DE89 3704 0044 0532 0130 00 BIC COBADEFF", "DE893704004405320130001", "DE8937040044053201300",
+             "XX89370400440532013000", "NO9386011117947 IS short", "MT84 MALT 0110 0001 2345 MTLC AST0 01S", "GB82WEST12345698765432GB82WEST12345698765432"]
+    got = {r.doc_id: [(x.start, x.end) for x in r.spans if x.kind == "iban"] for r in find_private(frame(spark, [(k, t, None, None, 0) for k, t in enumerate(texts)])).collect()}
+    assert got == {0: [(0, 22)], 1: [(0, 27)], 2: [], 3: [], 4: [], 5: [(0, 15)], 6: [(0, 38)], 7: []}
+
+
+def test_context_words_are_whole(spark):
+    def score(text, kind):
+        (row,) = find_private(frame(spark, [(1, text, None, None, 0)])).collect()
+        return next(x.score for x in row.spans if x.kind == kind)
+
+    phone, far = "+1 555 123 4567", "x" * 39
+    for text, raised in ((f"tel {phone}", True), (f"hotel {phone}", False), (f"{phone} tel", True), (f"{phone} telling", False), (f"Tel: {phone}", True),
+                         (f"ho tel {'x' * 35} {phone}", True), (f"hotel {'x' * 35} {phone}", False), (f"{phone} {'x' * 35} tel", True),
+                         (f"{phone} {'x' * 35} telly", False), (f"tel {far} {phone}", False), (f"\u00e9tel {phone}", False), ("relationship with 10.0.0.1", None)):
+        if raised is None:
+            assert score(text, "ip") == 0.6
+        else:
+            assert score(text, "phone") == pytest.approx(0.8 if raised else 0.7), text
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
+def test_private_query_counts_base_spans(spark):
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    for r in QUERIES["op10_private_spans"](spark, SF).collect():
+        base = base_spans(texts[r.doc_id])
+        kinds = Counter(x.split(":")[0] for x in base.split(",") if x)
+        assert (r.n_email, r.n_ip, r.n_card, r.n_phone) == tuple(kinds[k] for k in ("email", "ip", "card", "phone"))
+        assert r.base_sha256 == hashlib.sha256(base.encode()).hexdigest()
+        assert set(base.split(",")) - {""} <= set(r.spans.split(","))
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
+def test_shard_query_keeps_equal_texts_together(spark):
+    texts = {r.doc_id: (r.text or "").encode() for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    got = QUERIES["op9_hilbert_shards"](spark, SF).collect()
+    assert sorted(r.doc_id for r in got) == sorted(texts)
+    shards, groups = defaultdict(list), defaultdict(set)
+    for r in got:
+        assert (r.size, r.text_crc32, r.law, r.grown_shard) == (len(texts[r.doc_id]) + 8, zlib.crc32(texts[r.doc_id]), "rows", None)
+        shards[r.shard].append(r.slot)
+        groups[texts[r.doc_id]].add(r.shard)
+    assert set(shards) == set(range(24)) and all(sorted(s) == list(range(len(s))) for s in shards.values())
+    assert max(map(len, shards.values())) - min(map(len, shards.values())) <= 1
+    count = Counter(texts.values())
+    copies = [len(s) == 1 for t, s in groups.items() if count[t] > 1]
+    assert len(copies) >= 5 and sum(copies) >= 0.9 * len(copies)
+
+
+def test_shards_of_columns_with_clashing_names(spark):
+    data = [(k, str(k % 7), k % 5, k, k, k) for k in range(100)]
+    df = spark.createDataFrame(data, "doc_id long, lang string, n int, __place long, __part long, __rank long")
+    for law in ("rows", "bytes"):
+        placed = hilbert_shards(df, ["lang", "n"], ["doc_id"], 4, law, "doc_id" if law == "bytes" else None)
+        assert placed.columns == [*df.columns, "shard", "slot"]
+        assert sorted((r.doc_id, r["__place"], r["__rank"]) for r in placed.collect()) == [(k, k, k) for k in range(100)]
+    with pytest.raises(ValueError):
+        hilbert_shards(df, ["lang", "n"], ["doc_id"], bits=32)
+
+
 def test_native_plan(spark):
     df = find_private(frame(spark, rows()))
     text = df._jdf.queryExecution().executedPlan().toString()

@@ -46,7 +46,15 @@ IP = r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 IP_PARTS = r"^0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])(?:\.0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])){3}$"
 CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
-IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])"
+#: Account numbers by the registered length of their country.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FK FI FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+    26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE",
+    31: "MT SC", 32: "LC", 33: "RU",
+}
+IBAN = (r"(?<![A-Za-z0-9])(?:" + "|".join(f"(?:{countries.replace(' ', '|')})[0-9]{{2}}(?:\\x20?[A-Z0-9]){{{length - 4}}}"
+                                         for length, countries in IBAN_LENGTHS.items()) + r")(?![A-Za-z0-9])")
 
 
 @dataclass(frozen=True)
@@ -59,6 +67,10 @@ class Kind:
     score: float
     words: tuple[str, ...]
 
+    def context(self) -> str:
+        """One of the words, between characters that are no letters or digits."""
+        return rf"[^\p{{L}}\p{{N}}](?:{'|'.join(self.words)})[^\p{{L}}\p{{N}}]"
+
     def valid(self, match: Column) -> Column:
         digits = _digits(match)
         if self.name == "ip":
@@ -119,7 +131,7 @@ def find_private(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     Starts and ends are code points, ends exclusive.  Matches of a kind are its pattern's leftmost ones that don't overlap;
     those that fail the kind's test are dropped and not tried again.  The score is the kind's, raised by 0.1 (1 at most)
-    when one of its context words stands within NEAR code points.  Spans come by start, then by kind in the order of KINDS.
+    when one of its context words stands, as a whole word, within NEAR code points.  Spans come by start, then by kind in the order of KINDS.
     Null counts as empty and has no spans; repeated rows are judged alike.  Other columns are not read.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
@@ -138,10 +150,12 @@ def find_private(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     every = F.array_sort(F.concat(*[F.coalesce(f"{k.name}_spans", empty) for k in KINDS]))
 
     def scored(x: Column) -> Column:
-        near = F.lower(F.concat(F.substring(F.col("text"), F.greatest(F.lit(1), x["start"] + 1 - NEAR), F.least(F.lit(NEAR), x["start"])), F.lit(" "),
-                                F.substring(F.col("text"), x["end"] + 1, F.lit(NEAR))))
+        # One code point more on either side shows whether a word goes on there; a space stands for the end of the text.
+        left = F.substring(F.col("text"), F.greatest(F.lit(1), x["start"] - NEAR), F.least(F.lit(NEAR + 1), x["start"]))
+        right = F.substring(F.col("text"), x["end"] + 1, F.lit(NEAR + 1))
+        near = F.lower(F.concat(F.when(x["start"] <= NEAR, " ").otherwise(""), left, F.lit(" "), right, F.when(F.length(right) <= NEAR, " ").otherwise("")))
         score = reduce(lambda rest, k: F.when(x["kind"] == k.name, F.least(F.lit(1.0), F.lit(k.score) + F.when(
-            reduce(Column.__or__, [near.contains(w) for w in k.words]), 0.1).otherwise(0.0))).otherwise(rest), KINDS, F.lit(0.0))
+            near.rlike(k.context()), 0.1).otherwise(0.0))).otherwise(rest), KINDS, F.lit(0.0))
         return F.struct(x["kind"].alias("kind"), x["start"].alias("start"), x["end"].alias("end"), x["match"].alias("match"), score.alias("score"))
 
     return rows.select("doc_id", "text", every.alias("spans")).withColumn("spans", F.transform("spans", scored))

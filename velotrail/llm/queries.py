@@ -105,9 +105,10 @@ FROM docs LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)"""
 def op9_hilbert_shards(spark, sf_dir):
     text = F.coalesce("text", F.lit(""))
     rows = documents(spark, sf_dir).select(
-        "doc_id", "lang", "source", (F.octet_length(text) + 8).cast("long").alias("size"),
-        F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"))
-    placed = hilbert_shards(rows, ["lang", "source", "size", "doc_id"], ["text_crc32", "doc_id"])
+        "doc_id", "lang", (F.octet_length(text) + 8).cast("long").alias("size"), F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"))
+    # A cell of the checksum is the third axis: rows with equal texts lie side by side, whatever their ids and sources.
+    rows = rows.withColumn("text_cell", F.col("text_crc32").cast("string"))
+    placed = hilbert_shards(rows, ["lang", "size", "text_cell"], ["text_crc32", "doc_id"])
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
                          F.lit(None).cast("int").alias("grown_shard"))
 

@@ -78,33 +78,38 @@ def hilbert_shards(rows: DataFrame, dims: list[str], ties: list[str], shards: in
     in them get any order.  Absent values count as cell 0 and come first.  An empty table gives an empty result; columns named
     shard or slot are replaced.
     """
+    if bits * len(dims) > 62:
+        raise ValueError(f"{len(dims)} dimensions of {bits} bits don't fit the curve's index")
     rows = rows.drop("shard", "slot")
-    own, axes = rows.columns, [f"__axis{k}" for k in range(len(dims))]
+    own = rows.columns
+    mark = "_" * (1 + max(len(c) for c in own))  # no column has this name or one that begins with it
+    place, part, at, size, rank, run = (mark + x for x in ("place", "part", "at", "size", "rank", "run"))
+    axes = [f"{mark}axis{k}" for k in range(len(dims))]
     cells = rows.withColumns(dict(zip(axes, _cells(rows, dims, bits).values(), strict=True)))
-    placed = hilbert_index(cells, axes, bits, "__place").drop(*axes)
-    order = ["__place", *ties]
+    placed = hilbert_index(cells, axes, bits, place).drop(*axes)
+    order = [place, *ties]
     # The row number in a partition is the low part of the id.
     table = placed.repartitionByRange(*order).sortWithinPartitions(*order).withColumns(
-        {"__part": F.spark_partition_id(), "__at": F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))})
-    table = write_out(table.withColumn("__size", F.col(size_col).cast("long") if size_col else F.lit(1).cast("long")), "curve")
-    earlier = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    sums = table.groupBy("__part").agg(F.count("*").alias("n"), F.sum("__size").alias("s"))
+        {part: F.spark_partition_id(), at: F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))})
+    table = write_out(table.withColumn(size, F.col(size_col).cast("long") if size_col else F.lit(1).cast("long")), "curve")
+    earlier = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    sums = table.groupBy(part).agg(F.count("*").alias("n"), F.sum(size).alias("s"))
     # One row for each partition.
-    bases = sums.select("__part", *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"__{c}_before") for c in ("n", "s")],
-                        *[F.sum(c).over(whole).alias(f"__{c}_all") for c in ("n", "s")])
-    ranked = table.join(F.broadcast(bases), "__part").withColumn("__rank", F.col("__n_before") + F.col("__at"))
+    bases = sums.select(part, *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"{mark}{c}_before") for c in ("n", "s")],
+                        *[F.sum(c).over(whole).alias(f"{mark}{c}_all") for c in ("n", "s")])
+    ranked = table.join(F.broadcast(bases), part).withColumn(rank, F.col(f"{mark}n_before") + F.col(at))
     if law == "rows":
-        first = F.expr(f"(shard * __n_all + {shards} - 1) div {shards}")
-        return (ranked.withColumn("shard", F.expr(f"(__rank * {shards}) div __n_all").cast("int"))
-                .withColumn("slot", F.col("__rank") - first).select(*own, "shard", "slot"))
-    running = F.col("__s_before") + F.sum("__size").over(
-        Window.partitionBy("__part").orderBy("__at").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("__size")
-    ranked = ranked.withColumn("__run", running).withColumn(
-        "shard", F.least(F.lit(shards - 1), F.expr(f"((__run + __size div 2) * {shards}) div greatest(__s_all, 1)")).cast("int"))
+        first = F.expr(f"(shard * {mark}n_all + {shards} - 1) div {shards}")
+        return (ranked.withColumn("shard", F.expr(f"({rank} * {shards}) div {mark}n_all").cast("int"))
+                .withColumn("slot", F.col(rank) - first).select(*own, "shard", "slot"))
+    running = F.col(f"{mark}s_before") + F.sum(size).over(
+        Window.partitionBy(part).orderBy(at).rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col(size)
+    ranked = ranked.withColumn(run, running).withColumn(
+        "shard", F.least(F.lit(shards - 1), F.expr(f"(({run} + {size} div 2) * {shards}) div greatest({mark}s_all, 1)")).cast("int"))
     ranked = write_out(ranked, "cut")
-    firsts = ranked.groupBy("shard").agg(F.min("__rank").alias("__first"))
-    return ranked.join(F.broadcast(firsts), "shard").withColumn("slot", F.col("__rank") - F.col("__first")).select(*own, "shard", "slot")
+    firsts = ranked.groupBy("shard").agg(F.min(rank).alias(f"{mark}first"))
+    return ranked.join(F.broadcast(firsts), "shard").withColumn("slot", F.col(rank) - F.col(f"{mark}first")).select(*own, "shard", "slot")
 
 
 def write_shards(docs: DataFrame, path: str, dims: list[str], ties: list[str], shards: int = 24, bits: int = BITS) -> None:
