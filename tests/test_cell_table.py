@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from helpers import rows
+from helpers import plan, rows
 from velotrail.operators import mutations as mut
 from velotrail.sources import cell_table as ct
 
@@ -54,14 +54,14 @@ def test_batches_equal_changes_of_a_frame(spark, tmp_path, seed):
             assert of_table(path, "r", batch_id)
         if rng.random() < 0.3:
             n = rng.choice([None, 3])
-            assert ct.compact_cells(spark, path, n, buckets=4)
+            assert ct.compact_cells(spark, path, n)
             frame = spark.createDataFrame(mut.retain_versions(frame, n or 0).collect(), CELLS)
             assert not of_table(path, "r", batch_id)  # the copy has it
         if batch_id % 2:
             assert rows(ct.read_cells(spark, path)) == rows(frame), batch_id
     assert rows(ct.read_cells(spark, path)) == rows(frame)
     one = spark.createDataFrame([("r2",), ("r9",), ("r2",)], "row_key string")
-    assert rows(ct.read_cells(spark, path, keys=one)) == rows(frame.filter("row_key = 'r2'"))
+    assert rows(ct.read_cells(spark, path, keys=one, buckets=4)) == rows(frame.filter("row_key = 'r2'"))
 
 
 def cell(spark, *data):
@@ -116,3 +116,46 @@ def test_the_last_batch_of_a_stream_may_stay_out(spark, tmp_path):
     assert ct.compact_cells(spark, path, newest=False)
     assert [n for _, n in ct.Log(spark, path).snapshot().batches] == [3, 2]
     assert ct.read_cells(spark, path).count() == 4
+
+
+def opened(frame):
+    return len(frame.inputFiles())
+
+
+def test_ranges_and_keys_open_few_files(spark, tmp_path):
+    """A copy of several files: a range, a prefix and some keys, with a batch behind the copy and without."""
+    path, names = str(tmp_path / "c"), [f"{a}{k:03d}" for a in "abé\U0010ffff" for k in range(60)]
+    table = spark.createDataFrame([(k, "f", "q", 1, "v") for k in names], CELLS)
+    ct.write_puts(table, path, 0, buckets=4)
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        ct.compact_cells(spark, path)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    every = opened(ct.read_cells(spark, path))
+    assert every >= 6
+    keys = spark.createDataFrame([("a007",), ("b012",), (None,), ("zz",)], "row_key string")
+    for late in (False, True):
+        if late:
+            ct.write_deletes(spark.createDataFrame([("a005", None, None, 9, "row")], f"{CELL}, ts bigint, kind string"), path, buckets=4)
+            names = [n for n in names if n != "a005"]
+        found = ct.read_cells(spark, path, start="a003", stop="a010")
+        assert sorted(r.row_key for r in found.collect()) == [n for n in names if "a003" <= n < "a010"]
+        assert opened(found) <= 2 + late
+        for prefix in ("b01", "é", "\U0010ffff", "x"):
+            found = ct.read_cells(spark, path, prefix=prefix)
+            assert sorted(r.row_key for r in found.collect()) == [n for n in names if n.startswith(prefix)]
+            assert opened(found) <= every // 2 + late
+        found = ct.read_cells(spark, path, keys=keys, buckets=4)
+        assert sorted(r.row_key for r in found.collect()) == ["a007", "b012"]
+        assert opened(found) <= 3 + late
+
+
+def test_requested_rows_open_their_buckets_only(spark, tmp_path):
+    path = str(tmp_path / "c")
+    ct.write_puts(spark.createDataFrame([(f"k{n}", "f", "q", 1, "v") for n in range(50)], CELLS), path, 0, buckets=8)
+    keys = spark.createDataFrame([("k7",)], "row_key string")
+    found = ct.read_cells(spark, path, keys=keys, buckets=8)
+    assert [r.row_key for r in found.collect()] == ["k7"]
+    assert "dynamicpruning" in plan(found)

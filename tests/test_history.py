@@ -244,6 +244,21 @@ def test_lookup_reads_one_bucket(spark, tmp_path):
     assert "EqualTo(vehicle_id,v7)" in scan
 
 
+def test_frames_of_ids_open_their_buckets_only(spark, tmp_path, monkeypatch):
+    path, lines = str(tmp_path / "h"), stamped(spark, *[(f"v{i}@{t},{BODY}", 10) for i in range(50) for t in range(3)])
+    tables.write_history(lines, path, buckets=8)
+    tables.compact_history(spark, path, buckets=8)
+    tables.write_history(lines.withColumn("arrival_ms", F.lit(20).cast("bigint")), path, buckets=8)
+    ids = spark.createDataFrame([(0, "v7"), (1, "v9"), (2, "v7"), (3, "none")], "pos int, vehicle_id string")
+    for small in (True, False):
+        if not small:
+            monkeypatch.setattr(skew, "SMALL_ROWS", 0)
+        found = hist.track_history(tables.read_history(spark, path, ids=ids, buckets=8), ids)
+        want = hist.track_history(tables.read_history(spark, path), ids)
+        assert rows(found, "pos", "row_key", "arrival_ms") == rows(want, "pos", "row_key", "arrival_ms") and found.count() == 9
+        assert (plan(found).count("dynamicpruning") >= 2) or not small
+
+
 def test_hot_bucket_is_written_by_several_tasks(spark, tmp_path):
     path, settings = str(tmp_path / "h"), {"advisoryPartitionSizeInBytes": "4k", "coalescePartitions.enabled": "false"}
     for name, value in settings.items():

@@ -306,7 +306,7 @@ def _table(spark, sf):
 def stored_put_cells(spark, sf):
     """A copy is made between the batches."""
     path = _table(spark, sf)
-    store.compact_cells(spark, path, buckets=8)
+    store.compact_cells(spark, path)
     store.write_puts(_puts(spark, sf), path, NOW_MS, "r", 1, buckets=8)
     return store.read_cells(spark, path)
 
@@ -324,7 +324,7 @@ def stored_delete_typed(spark, sf):
     """The marks are cleared by a copy."""
     path = _table(spark, sf)
     store.write_deletes(_typed_deletes(spark, sf, cells(spark, sf)), path, None, "r", 1, buckets=8)
-    store.compact_cells(spark, path, buckets=8)
+    store.compact_cells(spark, path)
     return store.read_cells(spark, path)
 
 
@@ -334,7 +334,7 @@ def stored_increment_cells(spark, sf):
     path, amounts = _table(spark, sf), _changes(spark, sf, "event_id % 10 AS amount")
     for _ in range(2):
         store.write_increments(amounts, path, NOW_MS, "r", 1, buckets=8)
-    store.compact_cells(spark, path, buckets=8)
+    store.compact_cells(spark, path)
     store.write_increments(amounts, path, NOW_MS, "r", 1, buckets=8)
     return store.read_cells(spark, path)
 

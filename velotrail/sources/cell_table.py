@@ -9,24 +9,29 @@ a copy holds is not taken again; a new one acts after the copy, whatever its num
 
 What is added and marked is folded by batch when it is written, so on reading a cell has one addition and a key one mark for
 each batch since the last copy, however many the batch brought.
+
+A copy is in key order, and ``index/version=<k>`` has the least and greatest key of each of its files: a range, a prefix or a few
+keys open only the files that may hold them, and in these Bloom filters on the keys leave out blocks.  Batches lie in buckets by
+row key.
 """
 
 from __future__ import annotations
 
 import sys
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from velotrail.operators.cells import CELL, CELLS, VERSION, newest, restrict
+from velotrail.operators.cells import CELL, CELLS, VERSION, newest, restrict, scan_range
 from velotrail.operators.history import bucket_of
 from velotrail.operators.mutations import (
     CHUNK, DELETE_KINDS, ROW_FAMILY, expire_ttl, folded_mutations, joined_values, retain_versions, stamped_puts, summed,
 )
 from velotrail.plans.skew import is_small, skew_join, top_n
-from velotrail.sources.log import BATCH_SCHEMA, CALL, Log, Snapshot, new_run, stored
+from velotrail.sources.log import BATCH_SCHEMA, CALL, Log, Snapshot, new_run, only, stored
 
 # The fold travels to the workers as code, so that executors need not have this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -35,6 +40,9 @@ BUCKETS = 64
 ROW = "row_key string, family string, qualifier string, ts bigint, value string"
 #: ``kind`` is the scope of a mark ('row', 'family', 'columns', 'column') or of an addition ('count', 'text').
 OPERATIONS = f"{ROW}, kind string, op string, bucket int"
+INDEX = "file string, least string, greatest string"
+#: So many keys are looked up in the index; more read all files.
+LOOKED_UP = 1000
 FOREVER = (1 << 63) - 1
 #: Columns by which operations are ordered: batches, and in one batch marks before all else.
 ORDER = ("batch_id", "run", "late")
@@ -102,7 +110,7 @@ def write_deletes(
     open_ = single.filter(F.col("ts").isNull())
     exact = single.filter(F.col("ts").isNotNull()).select(*VERSION)
     if open_.limit(1).count():
-        there = _resolved(log, _before(log, run, batch_id), only=open_.select("row_key").distinct())
+        there = _resolved(log, _before(log, run, batch_id), _Part(keys=open_, buckets=buckets))
         exact = exact.unionByName(newest(restrict(there, open_, CELL)).select(*VERSION))
     rows = rows.unionByName(exact.distinct().withColumn("kind", F.lit("column")))
     return _write(rows.withColumn("value", none).withColumn("op", F.lit("mark")), path, buckets, run, batch_id)
@@ -124,14 +132,64 @@ def write_appends(
     return _write(rows, path, buckets, run, batch_id)
 
 
-def read_cells(spark: SparkSession, path: str, at: Snapshot | None = None, keys: DataFrame | None = None) -> DataFrame:
-    """The cells that are there (CELLS), now or at a ``snapshot``; with ``keys`` (row_key) only those rows, of few buckets."""
+@dataclass(frozen=True)
+class _Part:
+    """Rows that are asked for: those in ``keys`` (row_key), and of keys from ``start`` to before ``stop``."""
+
+    keys: DataFrame | None = None
+    start: str = ""
+    stop: str | None = None
+    buckets: int = BUCKETS
+
+    def of(self, rows: DataFrame, bucketed: bool = True) -> DataFrame:
+        rows = scan_range(rows, self.start, self.stop)
+        if self.keys is None:
+            return rows
+        return only(rows, self.keys, "row_key", self.buckets) if bucketed else restrict(rows, self.keys, ["row_key"])
+
+    def files(self, log: Log, version: int) -> list[str] | None:
+        """The files of a copy that may hold such rows; None: not worth a look."""
+        few = None if self.keys is None else self.keys.select("row_key").distinct().limit(LOOKED_UP + 1).collect()
+        few = None if few is None or len(few) > LOOKED_UP else sorted(r.row_key for r in few if r.row_key is not None)
+        if few is None and not self.start and self.stop is None:
+            return None
+        index = stored(log.spark, f"{log.path}/index/version={version}", INDEX)
+        if self.start:
+            index = index.filter(F.col("greatest") >= self.start)
+        if self.stop is not None:
+            index = index.filter(F.col("least") < self.stop)
+        if few is not None:
+            index = index.filter(F.exists(F.array(*map(F.lit, few)).cast("array<string>"), lambda k: k.between(F.col("least"), F.col("greatest"))))
+        return [r.file for r in index.select("file").collect()]
+
+
+def read_cells(
+    spark: SparkSession, path: str, at: Snapshot | None = None, keys: DataFrame | None = None, start: str = "", stop: str | None = None,
+    prefix: str | None = None, buckets: int = BUCKETS,
+) -> DataFrame:
+    """The cells that are there (CELLS), now or at a ``snapshot``.
+
+    Only rows in ``keys`` (row_key), from ``start`` to before ``stop``, with ``prefix``, if given; ``buckets`` are those that
+    batches were written with.
+    """
+    if prefix:
+        start, end = max(start, prefix), _behind(prefix)
+        stop = end if stop is None else stop if end is None else min(stop, end)
     log = Log(spark, path)
-    return _resolved(log, at or log.snapshot(), keys)
+    return _resolved(log, at or log.snapshot(), _Part(keys, start, stop, buckets))
+
+
+def _behind(prefix: str) -> str | None:
+    """The first key behind all that begin with the prefix."""
+    own = prefix.rstrip("\U0010ffff")
+    if not own:
+        return None
+    last = ord(own[-1]) + 1
+    return own[:-1] + chr(0xE000 if last == 0xD800 else last)
 
 
 def compact_cells(
-    spark: SparkSession, path: str, n: int | None = None, ttl_s: int | None = None, now_ms: int | None = None, newest: bool = True, buckets: int = BUCKETS
+    spark: SparkSession, path: str, n: int | None = None, ttl_s: int | None = None, now_ms: int | None = None, newest: bool = True
 ) -> bool:
     """Write a new copy of what is there, with the newest ``n`` versions of a cell and none older than ``ttl_s``, if given.
 
@@ -147,30 +205,32 @@ def compact_cells(
     taken = [(r, n_) for r, n_ in now.batches if not open_ or (n_, r) < min(open_)]
     if not taken:
         return False
-    cells = _resolved(log, Snapshot(now.version, tuple(taken)))
+    cells = _resolved(log, Snapshot(now.version, tuple(taken)), _Part())
     if ttl_s is not None:
         cells = expire_ttl(cells, ttl_s, now_ms)
     if n:
         cells = retain_versions(cells, n)
-    placed = cells.withColumn("bucket", bucket_of(F.col("row_key"), buckets)).hint("rebalance", "bucket")
-    placed.sortWithinPartitions("bucket", *VERSION).write.mode("overwrite").partitionBy("bucket").parquet(log.settled(now.version + 1))
-    log.settle(now.version + 1, taken)
+    version = now.version + 1
+    ordered = cells.repartitionByRange(*VERSION).sortWithinPartitions(*VERSION)
+    ordered.write.mode("overwrite").option("parquet.bloom.filter.enabled#row_key", "true").parquet(log.settled(version))
+    copy = stored(spark, log.settled(version), ROW)
+    index = copy.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.min("row_key").alias("least"), F.max("row_key").alias("greatest"))
+    index.coalesce(1).write.mode("overwrite").parquet(f"{log.path}/index/version={version}")
+    log.settle(version, taken)
     return True
 
 
-def _resolved(log: Log, now: Snapshot, only: DataFrame | None = None) -> DataFrame:
+def _resolved(log: Log, now: Snapshot, part: _Part) -> DataFrame:
     """The cells that a snapshot stands for."""
-
-    def of(rows: DataFrame) -> DataFrame:
-        return rows if only is None else skew_join(rows, only.select("row_key").distinct(), ["row_key"], "left_semi")
-
-    copy = stored(log.spark, log.settled(now.version), f"{ROW}, bucket int") if now.version else log.spark.createDataFrame([], ROW)
+    copy = log.spark.createDataFrame([], ROW)
+    if now.version:
+        copy = part.of(stored(log.spark, log.settled(now.version), ROW, part.files(log, now.version)), bucketed=False)
     first = copy.select(*CELLS, F.lit(-1).cast("bigint").alias("batch_id"), F.lit("").alias("run"), F.lit(1).alias("late"))
     if not now.batches:
-        return of(first).select(*CELLS)
+        return first.select(*CELLS)
     live = stored(log.spark, f"{log.path}/live", f"{OPERATIONS}, {BATCH_SCHEMA}", [log.folder(*b) for b in now.batches])
-    live = of(live.withColumn("late", (F.col("op") != "mark").cast("int")))
-    puts = of(first).unionByName(live.filter("op = 'put'").select(*CELLS, *ORDER))
+    live = part.of(live).withColumn("late", (F.col("op") != "mark").cast("int"))
+    puts = first.unionByName(live.filter("op = 'put'").select(*CELLS, *ORDER))
     marks = live.filter("op = 'mark'").select(*VERSION, "kind", *ORDER)
     added = live.filter("op = 'add'").select(*CELLS, "kind", *ORDER)
     # The kinds of operations are folders, so these read nothing where there is none.

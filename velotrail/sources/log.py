@@ -22,6 +22,9 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from velotrail.operators.history import bucket_of
+from velotrail.plans.skew import is_small
+
 #: Runs of single calls; their one batch is complete once it is there.
 CALL = "call-"
 BATCH_SCHEMA = "run string, batch_id bigint"
@@ -108,6 +111,7 @@ class Log:
         for text in self._names("copy"):
             if int(text) < now.version:
                 self._drop(f"settled/version={text}")
+                self._drop(f"index/version={text}")
                 self._drop(f"log/copy~{text}")
             self._drop(f"covered/version={text}")
         return gone
@@ -123,3 +127,11 @@ def stored(spark: SparkSession, path: str, schema: str, paths: list[str] | None
         if exc.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], schema)
+
+
+def only(rows: DataFrame, ids: DataFrame, key: str, buckets: int) -> DataFrame:
+    """The stored ``rows`` whose ``key`` is in ``ids``.  A few ids are broadcast with their buckets, and other buckets are not opened."""
+    asked = ids.select(key).distinct().withColumn("bucket", bucket_of(F.col(key), buckets))
+    # Spark prunes partitions at run time only if the other side has a comparison.
+    asked = asked.filter(F.col("bucket") < buckets)
+    return rows.join(F.broadcast(asked) if is_small(asked) else asked, ["bucket", key], "left_semi").select(*rows.columns)

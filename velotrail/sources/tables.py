@@ -16,7 +16,7 @@ from velotrail.operators.distribute import union_sources
 from velotrail.operators.history import HISTORY, bucket_of, history_rows, newest_rows
 from velotrail.operators.parse import parse_line
 from velotrail.operators.recent import keep_last_n, merge_members, recent_set, with_member
-from velotrail.sources.log import BATCH_SCHEMA, CALL, Log, Snapshot, new_run, stored
+from velotrail.sources.log import BATCH_SCHEMA, CALL, Log, Snapshot, new_run, only, stored
 
 BUCKETS = 64
 HISTORY_SCHEMA = (
@@ -41,13 +41,16 @@ def _add(rows: DataFrame, path: str, order: list[str], buckets: int, run: str |
     log.add(run, batch_id)
 
 
-def _rows(log: Log, schema: str, now: Snapshot, settled: bool = False) -> DataFrame:
+def _rows(log: Log, schema: str, now: Snapshot, settled: bool = False, ids: DataFrame | None = None, buckets: int = BUCKETS) -> DataFrame:
     """What a snapshot stands for; the batches of all runs are read by their folders."""
-    copy = stored(log.spark, log.settled(now.version), schema) if now.version else log.spark.createDataFrame([], schema)
+    def of(rows: DataFrame) -> DataFrame:
+        return rows if ids is None else only(rows, ids, "vehicle_id", buckets)
+
+    copy = of(stored(log.spark, log.settled(now.version), schema)) if now.version else log.spark.createDataFrame([], schema)
     if settled or not now.batches:
         return copy
     live = stored(log.spark, f"{log.path}/live", f"{schema}, {BATCH_SCHEMA}", [log.folder(*b) for b in now.batches])
-    return union_sources(copy, live.drop("run", "batch_id"))
+    return union_sources(copy, of(live.drop("run", "batch_id")))
 
 
 def _compact(spark: SparkSession, path: str, schema: str, settle, order: list[str], buckets: int, newest: bool) -> bool:
@@ -89,14 +92,17 @@ def write_history(
     _add(rows, path, ["row_key"], buckets, run, batch_id)
 
 
-def read_history(spark: SparkSession, path: str, settled: bool = False, at: Snapshot | None = None) -> DataFrame:
+def read_history(
+    spark: SparkSession, path: str, settled: bool = False, at: Snapshot | None = None, ids: DataFrame | None = None, buckets: int = BUCKETS
+) -> DataFrame:
     """The table with one row per key; filters on vehicle_id, row_key and bucket reach the files.
 
     ``settled``: only what the newest settled copy holds, whose keys are unique: a plain scan, no shuffle.  ``at``: as it was
-    at a ``snapshot``.
+    at a ``snapshot``.  ``ids``: only the vehicles in a frame (vehicle_id); with few of them only their buckets are opened, of
+    the ``buckets`` that the table was written with.
     """
     log = Log(spark, path)
-    rows = _rows(log, HISTORY_SCHEMA, at or log.snapshot(), settled)
+    rows = _rows(log, HISTORY_SCHEMA, at or log.snapshot(), settled, ids, buckets)
     return rows if settled else newest_rows(rows)
 
 
@@ -120,11 +126,12 @@ def write_recent(
 
 
 def read_recent(
-    spark: SparkSession, path: str, n: int = 1000, dedup: str = "line", settled: bool = False, at: Snapshot | None = None
+    spark: SparkSession, path: str, n: int = 1000, dedup: str = "line", settled: bool = False, at: Snapshot | None = None,
+    ids: DataFrame | None = None, buckets: int = BUCKETS,
 ) -> DataFrame:
-    """The ``n`` newest members per vehicle; ``settled`` and ``at`` as for the history, ``settled`` with the ``n`` of the compaction."""
+    """The ``n`` newest members per vehicle; the rest as for the history, ``settled`` with the ``n`` of the compaction."""
     log = Log(spark, path)
-    rows = _rows(log, RECENT_SCHEMA, at or log.snapshot(), settled)
+    rows = _rows(log, RECENT_SCHEMA, at or log.snapshot(), settled, ids, buckets)
     return with_member(rows) if settled else keep_last_n(merge_members(rows, dedup), n, count_in=rows)
 
 
