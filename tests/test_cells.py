@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from helpers import rows
+from helpers import plan, rows
 from velotrail.operators import cells as ops
 from velotrail.operators import mutations as mut
 from velotrail.plans import skew
@@ -132,3 +132,16 @@ def test_requests_with_limits_of_their_own(spark, table):
     assert got[:3] == [(0, "angle", 30), (0, "angle", 20), (1, "angle", 20)]
     assert got[-1] == (3, None, None)
     assert [r.found for r in ops.rows_exist(table, asked).collect()] == [True, True, got[3][1] is not None, False]
+
+
+def test_limits_of_requests_reach_the_scan(spark, tmp_path):
+    table = spark.createDataFrame([(f"r{k % 5}", "f", "q", k, str(k)) for k in range(100)], "row_key string, family string, qualifier string, ts bigint, value string")
+    table.write.parquet(str(tmp_path / "c"))
+    table = spark.read.parquet(str(tmp_path / "c"))
+    asked = spark.createDataFrame([(0, "r1", 10, 50, 2), (1, "r2", 20, 60, 1)], "pos int, row_key string, min_ts bigint, max_ts bigint, n int")
+    got = [(r.pos, r.ts) for r in ops.rows_get_ordered(table, asked).collect()]
+    assert got == [(0, 46), (0, 41), (1, 57)]
+    met = ops._limited(table, asked, ["row_key"], "exact")
+    assert "GreaterThanOrEqual(ts,10)" in plan(met) and "LessThan(ts,60)" in plan(met)
+    open_ = asked.unionByName(spark.createDataFrame([(2, "r1", None, 50, 1)], asked.schema))
+    assert "GreaterThanOrEqual(ts" not in plan(ops._limited(table, open_, ["row_key"], "exact"))

@@ -90,6 +90,15 @@ def test_pages_until_empty_equal_all_pages_at_once(spark):
     assert numbered == [(i, k) for i, block in enumerate(seen) for k in block]
 
 
+def test_a_page_settles_only_its_rows(spark, tmp_path):
+    path = str(tmp_path / "h")
+    for k in range(2):
+        tables.write_history(stamped(spark, *[(f"v{i:03d}@1,{BODY}", k) for i in range(300)]), path, buckets=2)
+    found = hist.page(tables.read_history(spark, path), 5, "v100@1")
+    assert [r.row_key for r in found.collect()] == [f"v{i}@1" for i in range(101, 106)]
+    assert "LessThanOrEqual(row_key,v105@1)" in plan(found) and "GreaterThan(row_key,v100@1)" in plan(found)
+
+
 def test_byte_ranges_equal_every_pair(spark):
     rng = random.Random(4)
     keys = {"".join(rng.choice("01289@:/-a") for _ in range(rng.randrange(8))) for _ in range(1500)}

@@ -84,6 +84,29 @@ def test_latency_per_batch(spark, tmp_path, feed):
     assert rows(tables.read_metrics(spark, path), "batch_id", "n", "total_ms", "avg_ms") == [(0, 2, 170.0, 85.0), (1, 1, 60.0, 60.0)]
 
 
+def jobs_of(spark, group, work):
+    """Number of Spark jobs that ``work`` runs."""
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        work()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+
+def test_statistics_come_with_the_write(spark, tmp_path, feed):
+    feed(*points("ab", [10, 20], 5))
+    feed((f"a@40,{BODY}", 41), ("broken", 1))
+    for name, job, now, want in (("h", jobs.start_history, 100, [(0, 4, 340.0, 85.0), (1, 1, 60.0, 60.0)]),
+                                 ("r", jobs.start_recent, None, [(0, 4, 20.0, 5.0), (1, 1, 1.0, 1.0)])):
+        metrics = str(tmp_path / f"{name}m")
+        finish(job(feed.stream(), str(tmp_path / name), str(tmp_path / f"{name}s"), mode="lenient", buckets=2, metrics=metrics, now_ms=now, available_now=True))
+        assert rows(tables.read_metrics(spark, metrics), "batch_id", "n", "total_ms", "avg_ms") == want
+    lines = spark.createDataFrame(points("ab", range(5)), SCHEMA)
+    plain = jobs_of(spark, "plain", lambda: tables.write_history(lines, str(tmp_path / "p1"), 2))
+    assert jobs_of(spark, "watched", lambda: tables.write_history(lines, str(tmp_path / "p2"), 2, latency=tables.Latency(9))) == plain
+
+
 def test_strict_stream_fails_and_lenient_goes_on(spark, tmp_path, feed):
     feed((f"a@1,{BODY}", 1), ("broken", 1), (f"a@2,{BODY}", 1))
     strict = jobs.start_history(feed.stream(), str(tmp_path / "h1"), str(tmp_path / "s1"), available_now=True)

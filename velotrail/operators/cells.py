@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from velotrail.functions.text import whole_parts
 from velotrail.plans.ranks import group_rank
+from velotrail.plans.scratch import write_out
 from velotrail.plans.skew import is_small, match, skew_join, top_n
 
 CELL = ["row_key", "family", "qualifier"]
@@ -119,9 +120,32 @@ def rows_get(
 LIMITS = ("columns", "ts", "min_ts", "max_ts", "n")
 
 
+def _widest(cells: DataFrame, requests: DataFrame, at: str) -> DataFrame:
+    """The cells between the widest time limits of all requests, so that the others are not even read."""
+    limits = ("ts", "min_ts", "max_ts")
+    wanted = [F.count("*").alias("all")]
+    for name in limits:
+        if name in requests.columns:
+            wanted += [F.count(name).alias(name), F.min(name).alias(f"{name}_low"), F.max(name).alias(f"{name}_high")]
+    if len(wanted) == 1:
+        return cells
+    found = requests.agg(*wanted).first()
+    for name in limits:
+        if name not in requests.columns or not found["all"] or found[name] < found["all"]:
+            continue  # a request without this limit
+        if name == "max_ts":
+            cells = cells.filter(F.col("ts") < found[f"{name}_high"])
+        elif name == "min_ts" or at == "exact":
+            cells = cells.filter(F.col("ts") >= found[f"{name}_low"])
+        if name == "ts":
+            cells = cells.filter(F.col("ts") <= found["ts_high"])
+    return cells
+
+
 def _limited(cells: DataFrame, requests: DataFrame, keys: Sequence[str], at: str) -> DataFrame:
     """The cells that each request (pos, keys and any of LIMITS, null = no limit) asks for, with its pos."""
     given = [c for c in LIMITS if c in requests.columns]
+    cells = _widest(cells, requests, at)
     asked = requests.select("pos", *keys, *[F.col(c).alias(f"_{c}") for c in given])
     met = match(cells.select(*CELLS), asked, keys)
     tests = {
@@ -168,6 +192,7 @@ def _versions_asked(met: DataFrame) -> DataFrame:
     if "_n" not in met.columns:
         best = met.groupBy(*by).agg(F.max(F.struct("ts", "value")).alias("_w"))
         return best.select(*by, "_w.ts", "_w.value")
+    met = write_out(met, "asked")  # the join is counted and ranked, and must not run twice
     ranked = group_rank(met, by, [F.col("ts").desc()], "_rank")
     return ranked.filter(F.col("_rank") < F.coalesce(F.col("_n"), F.lit(1)))
 
@@ -270,17 +295,19 @@ def scan(
         out = out.filter(where)
     key = F.col("row_key").desc() if reversed else F.col("row_key").asc()
     if limit is not None:
-        keys = out.select("row_key").distinct().orderBy(key).limit(limit)
-        edge = keys.agg((F.min if reversed else F.max)("row_key")).first()[0]
-        out = out.filter(F.lit(False) if edge is None else F.col("row_key") >= edge if reversed else F.col("row_key") <= edge)
+        out = scan_limit(out, limit, reversed)
     return versions(out, max_versions).orderBy(key, "family", "qualifier", F.col("ts").desc())
 
 
 def scan_limit(scanned: DataFrame, n: int, reversed: bool = False) -> DataFrame:
-    """The cells of the first ``n`` rows of a scan."""
+    """The cells of the first ``n`` rows of a scan.
+
+    The last of these rows is found among the keys alone; what lies behind it is filtered out of the scan before it is settled.
+    """
     key = F.col("row_key").desc() if reversed else F.col("row_key").asc()
     first = scanned.select("row_key").distinct().orderBy(key).limit(n)
-    return skew_join(scanned, first, ["row_key"], "left_semi")
+    edge = first.agg((F.min if reversed else F.max)("row_key")).first()[0]
+    return scanned.filter(F.lit(False) if edge is None else F.col("row_key") >= edge if reversed else F.col("row_key") <= edge)
 
 
 def _row_chunks(cells: DataFrame, batch: int, count_in: DataFrame | None) -> DataFrame:

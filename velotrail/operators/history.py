@@ -142,8 +142,13 @@ def _by_shared_prefix(history: DataFrame, ranges: DataFrame) -> DataFrame:
 
 
 def page(rows: DataFrame, n: int, after: str | None = None, key: str = "row_key") -> DataFrame:
-    """The next ``n`` rows behind key ``after``; an empty page ends the scan."""
+    """The next ``n`` rows behind key ``after``; an empty page ends the scan.
+
+    First the page's last key is found among the keys alone; then only rows up to it are settled and sorted, however many follow.
+    """
     rest = rows if after is None else rows.filter(F.col(key) > after)
+    last = rest.select(key).orderBy(key).limit(n).agg(F.max(key)).first()[0]
+    rest = rest.filter(F.lit(False) if last is None else F.col(key) <= last)
     return rest.orderBy(key).limit(n)
 
 

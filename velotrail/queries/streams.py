@@ -202,6 +202,14 @@ def st_recent_state(spark, sf):
     return state.read_recent_state(spark, checkpoint, n=5).select(*RECENT_COLUMNS)
 
 
+@query("st_history_metrics", with_(LINES, TRACK) + f"SELECT CAST(0 AS BIGINT) AS batch_id, count(*) AS n, {_LATE} FROM track")
+def st_history_metrics(spark, sf):
+    """The statistics that come with the write of the history."""
+    path, metrics = scratch_path(spark, "history"), scratch_path(spark, "metrics")
+    _finish(jobs.start_history(_stream(spark, sf), path, scratch_path(spark, "state"), buckets=8, metrics=metrics, now_ms=NOW_MS, available_now=True))
+    return tables.read_metrics(spark, metrics).drop("run")
+
+
 @query("st_latency", with_(LINES, TRACK) + f"SELECT CAST(0 AS BIGINT) AS batch_id, count(*) AS n, {_LATE} FROM track")
 def st_latency(spark, sf):
     path = scratch_path(spark, "metrics")

@@ -9,7 +9,7 @@ place.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from velotrail.operators.distribute import union_sources
@@ -80,15 +80,39 @@ def clean_table(spark: SparkSession, path: str) -> int:
     return Log(spark, path).clean()
 
 
+class Latency:
+    """Count, total and average of (now - sent) of the lines of a batch, taken while the batch is written.
+
+    ``now_ms``: a clock, or None for the arrival of each line.
+    """
+
+    def __init__(self, now_ms: int | None = None):
+        self._observation, self._now = Observation(), now_ms
+
+    def watch(self, track: DataFrame) -> DataFrame:
+        now = F.col("arrival_ms") if self._now is None else F.lit(self._now).cast("bigint")
+        late = (now - F.col("event_ms")).cast("double")
+        return track.observe(self._observation, F.count(F.lit(1)).alias("n"), F.sum(late).alias("total_ms"), F.avg(late).alias("avg_ms"))
+
+    def save(self, spark: SparkSession, path: str, run: str | None, batch_id: int) -> None:
+        """Nothing for a batch without lines."""
+        found = self._observation.get
+        if found["n"]:
+            row = spark.createDataFrame([(found["n"], found["total_ms"], found["avg_ms"])], "n bigint, total_ms double, avg_ms double")
+            write_metrics(row, path, run, batch_id)
+
+
 def write_history(
-    lines: DataFrame, path: str, buckets: int = BUCKETS, mode: str = "strict", run: str | None = None, batch_id: int = 0
+    lines: DataFrame, path: str, buckets: int = BUCKETS, mode: str = "strict", run: str | None = None, batch_id: int = 0,
+    latency: Latency | None = None,
 ) -> None:
     """Put a batch of stamped lines (line, arrival_ms) into the history table.
 
     Without ``run`` every call adds a batch of its own.  Batches may come in any order; one that is repeated replaces what it
-    brought, or, once a settled copy holds that, adds to it.
+    brought, or, once a settled copy holds that, adds to it.  ``latency`` gets the statistics of its lines.
     """
-    rows = newest_rows(history_rows(lines, mode)).select(*HISTORY)
+    parsed = history_rows(lines, mode)
+    rows = newest_rows(latency.watch(parsed) if latency else parsed).select(*HISTORY)
     _add(rows, path, ["row_key"], buckets, run, batch_id)
 
 
@@ -116,12 +140,12 @@ def compact_history(spark: SparkSession, path: str, buckets: int = BUCKETS, newe
 
 def write_recent(
     lines: DataFrame, path: str, n: int = 1000, dedup: str = "line", buckets: int = BUCKETS, mode: str = "strict",
-    run: str | None = None, batch_id: int = 0,
+    run: str | None = None, batch_id: int = 0, latency: Latency | None = None,
 ) -> None:
     """Add a batch of stamped lines to the recent sets; at most ``n`` per vehicle are written.  Runs as for the history."""
     parsed = parse_line(lines, mode=mode)
     track = parsed if mode == "strict" else parsed[0]
-    kept = keep_last_n(recent_set(track, dedup), n, count_in=track)
+    kept = keep_last_n(recent_set(latency.watch(track) if latency else track, dedup), n, count_in=track)
     _add(kept.select(*STORED), path, ["vehicle_id", "score", "line"], buckets, run, batch_id)
 
 

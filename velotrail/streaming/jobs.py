@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from velotrail.operators.latency import batch_latency
 from velotrail.operators.parse import parse_line
-from velotrail.sources.tables import BUCKETS, write_history, write_metrics, write_recent, write_rejects
+from velotrail.sources.tables import BUCKETS, Latency, write_history, write_metrics, write_recent, write_rejects
 
 
 def with_arrival(lines: DataFrame) -> DataFrame:
@@ -64,11 +64,15 @@ def _keep_rejects(batch: DataFrame, batch_id: int, mode: str, path: str | None,
 
 def start_history(
     lines: DataFrame, path: str, checkpoint: str, buckets: int = BUCKETS, mode: str = "strict",
-    rejects: str | None = None, **when,
+    rejects: str | None = None, metrics: str | None = None, now_ms: int | None = None, **when,
 ) -> StreamingQuery:
+    """Each batch into the history table; ``metrics`` names a folder for its statistics, taken while it is written."""
     def sink(batch: DataFrame, batch_id: int) -> None:
         run = run_of(batch.sparkSession, checkpoint)
-        write_history(batch, path, buckets, mode, run, batch_id)
+        latency = Latency(now_ms) if metrics else None
+        write_history(batch, path, buckets, mode, run, batch_id, latency)
+        if latency:
+            latency.save(batch.sparkSession, metrics, run, batch_id)
         _keep_rejects(batch, batch_id, mode, rejects, run, split_key=False)
 
     return start(with_arrival(lines), sink, checkpoint, **when)
@@ -77,16 +81,19 @@ def start_history(
 def start_recent(
     lines: DataFrame, path: str, checkpoint: str, n: int = 1000, dedup: str = "line",
     buckets: int = BUCKETS, mode: str = "strict", parallelism: int | None = None,
-    rejects: str | None = None, **when,
+    rejects: str | None = None, metrics: str | None = None, now_ms: int | None = None, **when,
 ) -> StreamingQuery:
     """Each batch adds at most ``n`` points per vehicle to a table that other jobs may write too; ``compact_recent`` trims it.
 
-    For a set that is never larger than ``n`` see ``streaming.state``.
+    For a set that is never larger than ``n`` see ``streaming.state``.  ``metrics`` as for the history.
     """
     def sink(batch: DataFrame, batch_id: int) -> None:
         run = run_of(batch.sparkSession, checkpoint)
         spread = batch.repartition(parallelism) if parallelism else batch
-        write_recent(spread, path, n, dedup, buckets, mode, run, batch_id)
+        latency = Latency(now_ms) if metrics else None
+        write_recent(spread, path, n, dedup, buckets, mode, run, batch_id, latency)
+        if latency:
+            latency.save(batch.sparkSession, metrics, run, batch_id)
         _keep_rejects(batch, batch_id, mode, rejects, run)
 
     return start(with_arrival(lines), sink, checkpoint, **when)
