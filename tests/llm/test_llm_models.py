@@ -7,7 +7,7 @@ import pytest
 from brute import empty, frame, rows
 from pyspark.sql import functions as F
 
-from velotrail.llm.language import END, BEGIN, _grams, accepted_documents, build_model, gram_counts, identify, train
+from velotrail.llm.language import BEGIN, END, SHARPNESS, _grams, accepted_documents, identify, load, log_p, train
 from velotrail.llm.quality import estimate, judge_quality
 from velotrail.llm.sharding import hilbert_index, hilbert_shards, write_shards
 from velotrail.plans.scratch import scratch_path
@@ -46,23 +46,77 @@ def kneser_ney(words, units):
     return p
 
 
-def test_model_equals_definition():
-    words = {"x": ["banana", "ban", "nab", "banana"], "y": ["été", "tête", "bat"]}
-    lang, gram, n = [], [], []
-    for name, own in words.items():
-        code, _ = _grams(own)
-        for g, times in Counter(code.tolist()).items():
-            lang.append(name), gram.append(g), n.append(times)
-    model = build_model(np.array(lang, dtype=object), np.array(gram, np.uint64).view(np.int64), np.array(n))
-    assert model.langs == ["x", "y"]
-    code, _ = _grams(["banana", "tab", "zé", "q"])
-    got = model.log_p(code)
-    units = len({c for own in words.values() for w in own for c in w + END}) + 1
-    for j, name in enumerate(model.langs):
-        p = kneser_ney(words[name], units)
-        for k, c in enumerate(code.tolist()):
+TEXTS = {"x": ["Banana ban", "nab; BANANA"], "y": ["été tête", "bat"], "z": ["\U0001f600 bat", None]}
+
+
+def small_docs(spark):
+    return spark.createDataFrame([(lang, t) for lang, own in TEXTS.items() for t in own] + [(None, "unknown"), ("none", None)], "lang string, text string")
+
+
+def plain_models():
+    """P of each language, by the definition, and the words of a text."""
+    def words(text):
+        return [w.lower() for w in re.findall(r"[A-Za-z\u0080-\U0010ffff]+", text or "")]
+
+    own = {lang: [w for t in texts for w in words(t)] for lang, texts in TEXTS.items()}
+    def marks(w):
+        return np.frombuffer(w.encode("utf-16-le"), np.uint16).tolist() + [END]
+
+    units = len({u for ws in own.values() for w in ws for u in marks(w)}) + 1
+    return {lang: kneser_ney(["".join(map(chr, np.frombuffer(w.encode("utf-16-le"), np.uint16))) for w in ws], units) for lang, ws in own.items()}, words
+
+
+def test_models_equal_the_definition(spark):
+    """Grams that a language has, that only others have, and that none has."""
+    models, (plain, _) = train(small_docs(spark)), plain_models()
+    assert models.langs == ["x", "y", "z"] and len(models.slices) == 1
+    code, _ = _grams(["banana", "tab", "zé", "q", "été", "bat"])
+    for name, model in zip(models.langs, models.slice(0), strict=True):
+        assert all((np.diff(keys.astype(object)) > 0).all() for own in model[0] for keys in (own[0], own[2]))
+        for c, got in zip(code.tolist(), log_p(model, code), strict=True):
             text = "".join(chr(c >> s & 0xFFFF) for s in (48, 32, 16, 0))
-            assert got[k, j] == pytest.approx(np.log(p(text)), abs=1e-4), text
+            assert got == pytest.approx(np.log(plain[name](text)), abs=1e-4), text
+
+
+def test_predictions_and_scores_equal_the_definition(spark):
+    """Every text is read with the models of the learned ones, word by word."""
+    learned = [(k, t, lang) for k, (lang, t) in enumerate((lang, t) for lang, own in TEXTS.items() for t in own)]
+    free = iter(k for k in range(1000, 2000) if zlib.crc32(str(k).encode()) % 4 != 2)
+    learned = [(next(free), t, lang) for _, t, lang in learned]
+    held = iter(k for k in range(2000, 3000) if zlib.crc32(str(k).encode()) % 4 == 2)
+    asked = [(next(held), t, "y") for t in ("ban", "Tête-à-tête", "abba zz", "", None, "12", "bat bat nab", "\U0001f600\U0001f600")]
+    got = {r.doc_id: r for r in identify(spark.createDataFrame(learned + asked, "doc_id long, text string, lang string")).collect()}
+    plain, words = plain_models()
+    for doc_id, text, _ in learned + asked:
+        grams = ["".join(chr(c >> s & 0xFFFF) for s in (48, 32, 16, 0)) for c in (_grams(words(text))[0].tolist() if words(text) else [])]
+        if not any(c.isalpha() for c in text or ""):
+            assert (got[doc_id].lang_pred, got[doc_id].score) == ("und", 0.0)
+            continue
+        h = {lang: -sum(np.log(p(g)) for g in grams) / len(grams) for lang, p in plain.items()}
+        best = min(sorted(h), key=h.get)
+        assert got[doc_id].lang_pred == best and got[doc_id].n_chars == len(grams)
+        assert got[doc_id].entropy == pytest.approx(h[best], abs=1e-4)
+        assert got[doc_id].score == pytest.approx(1 / sum(np.exp(-SHARPNESS * (x - h[best])) for x in h.values()), abs=1e-3)
+
+
+def test_stored_models_read_other_texts(spark):
+    path = scratch_path(spark, "models")
+    made = train(small_docs(spark), path=path)
+    again = load(spark, path, entries=1)
+    assert again.langs == made.langs and again.slices == [["x"], ["y"], ["z"]] and again.floor == made.floor
+    code, _ = _grams(["banana", "neverseen"])
+    for k, model in enumerate(made.slice(0)):
+        (own,) = again.slice(k)
+        assert (log_p(own, code) == log_p(model, code)).all()
+
+
+def test_foreign_texts_are_rejected(spark):
+    """Other languages and scripts, as long as a sentence; short ones may pass for the nearest language."""
+    foreign = ["Съешь же ещё этих мягких французских булок, да выпей чаю", "いろはにほへとちりぬるをわかよたれそつねならむ", "Zażółć gęślą jaźń i pchnij w tę łódź jeża lub ośm skrzyń fig " * 3,
+               "Þetta er íslenskur texti sem á ekki heima hér og er nógu langur til að þekkjast " * 3, "xkq zvw qqj jjx wvk zzq kxj qvx wwz kkq jvz xxw " * 4]
+    docs = docs_of(spark).select("doc_id", "text", "lang").unionByName(spark.createDataFrame([(10**6 + k, t, None) for k, t in enumerate(foreign)], "doc_id long, text string, lang string"))
+    got = {r.doc_id: r.rejected for r in identify(docs).filter("doc_id >= 1000000").collect()}
+    assert all(got.values()), got
 
 
 def test_languages_of_held_out_documents(spark):
@@ -95,29 +149,29 @@ def test_language_without_training_rows(spark):
 
 
 def test_rare_grams_and_small_languages_stay(spark):
-    """However few cells a slice may have, each language is learned, and from all its grams."""
+    """However few entries a slice may have, each language is learned, and from all its grams."""
     big = [("big", " ".join(f"{a}{b}na" for a in "bdfgk" for b in "aeiou"))] * 40
     docs = spark.createDataFrame([*big, ("small", "zwölf Boxkämpfer jagen"), (None, "Quer über zwölf banana"), ("none", None)], "lang string, text string")
-    every = gram_counts(docs.filter("lang IS NOT NULL AND text IS NOT NULL")).toArrow()
-    want = build_model(np.array(every["lang"].to_pylist(), dtype=object), every["gram"].to_numpy(), every["n"].to_numpy())
-    for cells in (10, 100, 8_000_000):
-        table = train(docs, cells)
-        assert table.langs == ["big", "small"]
-        parts = [table.slice(k) for k in range(table.slices)]
-        assert (table.slices > 1) == (cells < 1000)
-        code = np.concatenate([g for g, _ in parts])
-        assert len(code) == len(np.unique(code)) == len(np.unique(np.concatenate([_grams(t.lower().split())[0] for t in {b[1] for b in big} | {"zwölf Boxkämpfer jagen", "Quer über zwölf banana"}])))
-        np.testing.assert_allclose(np.concatenate([p for _, p in parts]), want.log_p(code), atol=1e-4)
+    whole = train(docs)
+    for entries in (10, 100, 8_000_000):
+        models = train(docs, entries)
+        assert models.langs == ["big", "small"] and len(models.slices) == (2 if entries < 1000 else 1)
+        for k, name in enumerate(models.langs):
+            (model,) = models.slice(k) if entries < 1000 else models.slice(0)[k : k + 1]
+            own = {"big": big[0][1], "small": "zwölf boxkämpfer jagen"}[name]
+            grams, _ = _grams(own.lower().split())
+            assert len(model[0][3][0]) == len(np.unique(grams))
+            np.testing.assert_allclose(log_p(model, grams), log_p(whole.slice(0)[k], grams))
 
 
 def test_languages_by_slices_are_the_same(spark):
     odd = [(10**6 + k, t, lang) for k, (t, lang) in enumerate([(None, "en"), ("12 345 !?", None), ("мир труд май июнь", None), ("The the of and", None)])]
     docs = docs_of(spark).select("doc_id", "text", "lang").unionByName(spark.createDataFrame([*odd, odd[3], (None, "The of and", "en")], "doc_id long, text string, lang string"))
-    whole, parts = (sorted((tuple(r) for r in identify(docs, **more).collect()), key=repr) for more in ({}, {"model_cells": 20_000}))
+    whole, parts = (sorted((tuple(r) for r in identify(docs, **more).collect()), key=repr) for more in ({}, {"model_entries": 20_000}))
     assert len(whole) == len(parts) == 1006
     for a, b in zip(whole, parts, strict=True):
         assert a[:3] == b[:3] and a[5:] == b[5:] and a[3:5] == pytest.approx(b[3:5], abs=1e-9)
-    kept = accepted_documents(docs, model_cells=20_000)
+    kept = accepted_documents(docs, model_entries=20_000)
     assert sorted(kept.collect(), key=repr) == sorted(accepted_documents(docs).collect(), key=repr) and kept.schema == docs.schema
 
 

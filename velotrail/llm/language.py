@@ -1,13 +1,15 @@
 """Language identification by interpolated Kneser-Ney character models, one for each language.
 
 Texts are read as words (runs of letters and characters beyond ASCII, lower-cased) between three begin marks and an end
-mark.  Spark counts the 4-grams of all training rows, and from them, order by order, the continuation counts, context totals
-and probabilities, nothing left out: a table with a log probability for each language of every 4-gram that any row holds.
+mark.  ``train`` lets Spark count the 4-grams of each language's rows and, order by order, the continuation counts, context
+totals, probabilities and back-off weights of all grams that the language has, nothing left out, and stores them.  A model is
+for each order the sorted hashes of its grams with their log probabilities and of its contexts with their log weights;
+``score`` reads texts with it, also such as were never trained on: a gram that a model lacks is backed off, down to a floor.
 The language with the lowest cross-entropy for each character is chosen.  Cross-entropies of the training rows give each
 language a limit, beyond which a text is rejected.
 
-The table is broadcast in slices of at most about MODEL_CELLS probabilities, by hash of the 4-gram.  There is one slice for usual
-corpora; with more, texts are read slice by slice and the sums of a text are put together.
+Models are broadcast in slices of whole languages with about MODEL_ENTRIES entries (or one language).  There is one slice for
+usual corpora; with more, texts are read slice by slice and the sums of a text are put together.
 """
 
 from __future__ import annotations
@@ -16,13 +18,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from velotrail.llm.spans import U64, hashes, mix, parts, per_text, runs, utf8
 from velotrail.llm.tables import map_batches, small, write_out
 
-MODEL_CELLS = 8_000_000
+#: Entries of the models in a slice, 12 bytes each; languages that can be told apart.
+MODEL_ENTRIES, MAX_LANGUAGES = 8_000_000, 10_000
 #: How sharply the score tells languages apart, by cross-entropy.
 SHARPNESS = 10.0
 #: A language's limit lies SPREAD times as far above the median cross-entropy of its training rows as this quantile, and at
@@ -83,172 +86,138 @@ def gram_counts(docs: DataFrame) -> DataFrame:
 
 def _find(table: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Place of each wanted hash in the sorted table, and whether it is there."""
-    at = np.searchsorted(table, wanted)
+    order = np.argsort(wanted)  # neighbours in the table are looked up one after the other
+    at = np.empty(len(wanted), np.int64)
+    at[order] = np.searchsorted(table, wanted[order])
     at[at == len(table)] = 0
     return at, (table[at] == wanted) if len(table) else np.zeros(len(wanted), bool)
 
 
-@dataclass
-class Model:
-    """For each order: sorted hashes of n-grams and their log probabilities, of contexts and their log weights."""
+#: One language: for each order (hashes of grams, log probabilities, hashes of contexts, log weights), and the floor.
+Model = tuple[list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]], float]
 
-    langs: list[str]
-    grams: list[tuple[np.ndarray, np.ndarray]]
-    contexts: list[tuple[np.ndarray, np.ndarray]]
-    floor: float
 
-    def values(self) -> tuple:
-        return self.langs, self.grams, self.contexts, self.floor
-
-    def log_p(self, code: np.ndarray) -> np.ndarray:
-        """Log probability of the last unit after the others, a column for each language."""
-        out = np.zeros((len(code), len(self.langs)), dtype=np.float32)
-        left = np.arange(len(code))
-        for order in range(ORDER, 0, -1):
-            own = code[left] & U64((1 << 16 * order) - 1)
-            at, there = _find(self.grams[order][0], mix(own))
-            out[left[there]] += self.grams[order][1][at[there]]
-            left, own = left[~there], own[~there]
-            if not len(left):
-                return out
-            at, there = _find(self.contexts[order][0], mix(own >> U64(16)))
-            out[left[there]] += self.contexts[order][1][at[there]]
-        out[left] += self.floor
-        return out
-
-
-def build_model(lang: np.ndarray, gram: np.ndarray, n: np.ndarray) -> Model:
-    """Kneser-Ney models from 4-gram counts in arrays; lang holds strings, gram 64-bit codes.  ``train`` does the same in Spark."""
-    langs = sorted(set(lang.tolist()))
-    units = len(np.unique(gram.view(U64) & U64(0xFFFF))) + 1 if len(gram) else 1
-    floor = float(np.log(1.0 / units))
-    tables = []
-    for name in langs:
-        own = lang == name
-        code, count = gram[own].view(U64), n[own].astype(np.float64)
-        order = np.argsort(code)
-        orders = {ORDER: (code[order], count[order])}
-        for k in range(ORDER - 1, 0, -1):
-            # Kneser-Ney counts in how many contexts an n-gram continues.
-            lower, times = np.unique(orders[k + 1][0] & U64((1 << 16 * k) - 1), return_counts=True)
-            orders[k] = lower, times.astype(np.float64)
-        tables.append(orders)
-    grams: list = [None] * (ORDER + 1)
-    contexts: list = [None] * (ORDER + 1)
-    below = None
-    for k in range(1, ORDER + 1):
-        every = np.unique(np.concatenate([t[k][0] for t in tables])) if tables else np.zeros(0, U64)
-        around = np.unique(every >> U64(16))
-        weight = np.zeros((len(around), len(langs)), dtype=np.float32)
-        p = np.zeros((len(every), len(langs)))
-        if k > 1:
-            at = np.searchsorted(below[0], every & U64((1 << 16 * (k - 1)) - 1))
-            lower = below[1][at]
-        else:
-            lower = np.full((len(every), len(langs)), 1.0 / units)
-        for j, orders in enumerate(t[k] for t in tables):
-            code, count = orders
-            once, twice = (count == 1).sum(), (count == 2).sum()
-            off = min(max(once / (once + 2 * twice), 0.1), 0.95) if once else 0.5
-            context, place = np.unique(code >> U64(16), return_inverse=True)
-            total, kinds = np.bincount(place, weights=count), np.bincount(place)
-            here = np.searchsorted(around, context)
-            gamma = np.ones(len(around))
-            gamma[here] = off * kinds / total
-            weight[:, j] = np.log(gamma)
-            p[:, j] = gamma[np.searchsorted(around, every >> U64(16))] * lower[:, j]
-            p[np.searchsorted(every, code), j] += (count - off) / total[place]
-        below = every, p
-        for store, keys, values in ((grams, every, np.log(p).astype(np.float32)), (contexts, around, weight)):
-            hash_ = mix(keys)
-            order = np.argsort(hash_)
-            store[k] = hash_[order], values[order]
-    return Model(langs, grams, contexts, floor)
+def log_p(model: Model, code: np.ndarray) -> np.ndarray:
+    """Log probability of the last unit of each gram after the others."""
+    orders, floor = model
+    out, left = np.zeros(len(code)), np.arange(len(code))
+    for order in range(ORDER, 0, -1):
+        grams, values, contexts, weights = orders[order - 1]
+        own = code[left] & U64((1 << 16 * order) - 1)
+        at, there = _find(grams, mix(own))
+        out[left[there]] += values[at[there]]
+        left, own = left[~there], own[~there]
+        if not len(left):
+            return out
+        at, there = _find(contexts, mix(own >> U64(16)))
+        out[left[there]] += weights[at[there]]
+    out[left] += floor
+    return out
 
 
 @dataclass
-class Table:
-    """gram, slice, log_p (array<float>, by language) of every 4-gram that any row holds."""
+class Models:
+    """``rows``: lang, kind ('gram', 'context'), size (the order), code, value, sorted, in one folder."""
 
-    langs: list[str]
     rows: DataFrame | None
-    slices: int
+    langs: list[str]
+    floor: float
+    #: Languages of each slice, in order of their names.
+    slices: list[list[str]]
 
-    def slice(self, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Sorted 4-grams and a row of log probabilities for each."""
-        if self.rows is None:
-            return np.zeros(0, U64), np.zeros((0, 0), np.float32)
-        table = self.rows.filter(F.col("slice") == k).select("gram", "log_p").toArrow().combine_chunks()
-        gram = table["gram"].to_numpy().view(U64)
-        log_p = table["log_p"].combine_chunks().flatten().to_numpy().reshape(len(gram), len(self.langs))
-        order = np.argsort(gram)
-        return gram[order], log_p[order]
+    def slice(self, k: int) -> list[Model]:
+        """The models of the slice's languages."""
+        if not self.slices:
+            return []
+        table = self.rows.filter(F.col("lang").isin(self.slices[k])).select("lang", "kind", "size", "code", "value").toArrow()
+        lang, kind, size = (table[c].combine_chunks().dictionary_encode() for c in ("lang", "kind", "size"))
+        code, value = table["code"].to_numpy().view(U64), table["value"].to_numpy()
+        number = {name: n for n, name in enumerate(lang.dictionary.to_pylist())}
+        gram = np.array(kind.dictionary.to_pylist(), object)[kind.indices.to_numpy()] == "gram"
+        order = np.array(size.dictionary.to_pylist(), np.int64)[size.indices.to_numpy()]
+        of = lang.indices.to_numpy()
 
+        def arrays(own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            hash_ = mix(code[own])
+            by_hash = np.argsort(hash_)
+            return hash_[by_hash], value[own][by_hash]
 
-def _per_language(langs: list[str], value) -> Column:
-    return F.array(*[value(j) for j in range(len(langs))])
+        return [([(*arrays((of == number[name]) & gram & (order == k)), *arrays((of == number[name]) & ~gram & (order == k))) for k in range(1, ORDER + 1)],
+                 self.floor) for name in self.slices[k]]
 
 
-def _seen(j: int) -> Column:
-    return F.sum((F.col("n")[j] > 0).cast("double"))
+def _models(rows: DataFrame, entries: int) -> Models:
+    """Models of a stored table."""
+    sizes = sorted((r.lang, r.n) for r in rows.filter("kind <> 'floor'").groupBy("lang").agg(F.count("*").alias("n")).limit(MAX_LANGUAGES + 1).collect())
+    if len(sizes) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    slices, room = [], 0
+    for name, n in sizes:
+        if not slices or room + n > entries:
+            slices, room = [*slices, []], 0
+        slices[-1].append(name)
+        room += n
+    floor = rows.filter("kind = 'floor'").first()
+    return Models(rows, [name for name, _ in sizes], floor.value if floor else 0.0, slices)
 
 
-def _context(gram: str = "gram") -> Column:
-    return F.shiftrightunsigned(gram, 16)
+MODEL = "lang string, kind string, size int, code long, value float"
+
 
+def load(spark: SparkSession, path: str, entries: int = MODEL_ENTRIES) -> Models:
+    """Models that ``train`` wrote to ``path``."""
+    return _models(spark.read.schema(MODEL).parquet(path), entries)
 
-def _probability(k: int, langs: list[str], off: list[float], lower) -> Column:
-    """Of rows with n, total and kinds (of the context): discounted share, and what is left times the lower order's."""
-    def one(j):
-        n, total, kinds = F.col("n")[j], F.col("total")[j], F.col("kinds")[j]
-        return F.when(total > 0, F.greatest(n - off[j], F.lit(0.0)) / total + off[j] * kinds / total * lower(j)).otherwise(lower(j))
 
-    return _per_language(langs, one)
+def _context(gram: str = "gram") -> Column:
+    return F.shiftrightunsigned(gram, 16)
 
 
-def train(docs: DataFrame, model_cells: int = MODEL_CELLS) -> Table:
-    """docs: lang, text.  Rows without text are left out; of rows without language only the 4-grams are taken, to be scored.
+def train(docs: DataFrame, entries: int = MODEL_ENTRIES, path: str | None = None) -> Models:
+    """docs: lang, text.  Rows without text or language are left out; ``path`` is a new folder, by default in the scratch folder.
 
-    No join key holds more than 65,536 rows, whatever the texts: grams that share a context differ in one unit, as do
-    grams that share a suffix.
+    No join key holds more than 65,536 rows, whatever the texts: grams of a language that share a context differ in one unit,
+    as do grams that share a suffix.
     """
     spark = docs.sparkSession
-    counts = write_out(gram_counts(docs.filter("text IS NOT NULL")), "grams")
-    langs = sorted(r.lang for r in counts.select("lang").filter("lang IS NOT NULL").distinct().collect())
-    if not langs:
-        return Table([], None, 1)
-    # Of each order the grams of all rows, with a count for each language; 0 where the language has not learned it.
-    orders = {ORDER: write_out(counts.groupBy("gram").agg(_per_language(langs, lambda j: F.sum(
-        F.when(F.col("lang") == langs[j], F.col("n")).otherwise(0)).cast("double")).alias("n")), "order")}
+    orders = {ORDER: write_out(gram_counts(docs.filter("text IS NOT NULL AND lang IS NOT NULL")), "grams")}
     for k in range(ORDER - 1, 0, -1):
         # Kneser-Ney counts in how many contexts an n-gram continues.
         suffix = F.col("gram").bitwiseAND(F.lit((1 << 16 * k) - 1).cast("long"))
-        orders[k] = write_out(orders[k + 1].groupBy(suffix.alias("gram")).agg(_per_language(langs, _seen).alias("n")), "order")
-    units = orders[1].filter(F.exists("n", lambda x: x > 0)).count() + 1
-    p = None
+        orders[k] = write_out(orders[k + 1].groupBy("lang", suffix.alias("gram")).agg(F.count("*").alias("n")), "order")
+    units = orders[1].select("gram").distinct().count() + 1
+    floor = float(np.log(1.0 / units))
+    found = spark.createDataFrame([("", "floor", 0, 0, floor)], MODEL)
+    below = None
     for k in range(1, ORDER + 1):
-        ones = orders[k].agg(*[_per_language(langs, lambda j, v=v: F.sum((F.col("n")[j] == v).cast("double"))) for v in (1, 2)]).first()
-        off = [min(max(once / (once + 2 * twice), 0.1), 0.95) if once else 0.5 for once, twice in zip(*ones, strict=True)]
-        sums = [_per_language(langs, lambda j: F.sum(F.col("n")[j])).alias("total"), _per_language(langs, _seen).alias("kinds")]
+        once, twice = (F.sum((F.col("n") == v).cast("double")) for v in (1, 2))
+        share = F.least(F.greatest(once / (once + 2 * twice), F.lit(0.1)), F.lit(0.95))
+        off = orders[k].groupBy("lang").agg(F.when(once > 0, share).otherwise(0.5).alias("off"))
+        around = orders[k].groupBy("lang", _context().alias("context")).agg(F.sum("n").alias("total"), F.count("*").alias("kinds"))
+        around = around.join(F.broadcast(off), "lang").withColumn("weight", F.col("off") * F.col("kinds") / F.col("total"))
+        around = write_out(around, "contexts")
+        both = orders[k].withColumn("context", _context()).join(around, ["lang", "context"])
         if k == 1:
-            around = spark.createDataFrame([orders[1].agg(*sums).first()], "total array<double>, kinds array<double>")
-            p = orders[1].crossJoin(F.broadcast(around)).select("gram", _probability(k, langs, off, lambda j: F.lit(1.0 / units)).alias("p"))
-            continue
-        around = orders[k].groupBy(_context().alias("context")).agg(*sums)
-        below = F.col("gram").bitwiseAND(F.lit((1 << 16 * (k - 1)) - 1).cast("long"))
-        both = orders[k].withColumns({"context": _context(), "below": below}).join(around, "context")
-        both = both.join(p.select(F.col("gram").alias("below"), F.col("p").alias("lower")), "below")
-        p = both.select("gram", _probability(k, langs, off, lambda j: F.col("lower")[j]).alias("p"))
-    slices = -(-orders[ORDER].count() * len(langs) // model_cells)
-    table = p.select("gram", F.pmod(F.xxhash64("gram"), F.lit(slices)).cast("int").alias("slice"),
-                     F.transform("p", lambda x: F.log(x)).cast("array<float>").alias("log_p"))
-    if slices > 1:  # a slice is read from the files that hold it
-        table = table.repartitionByRange("slice", "gram").sortWithinPartitions("slice", "gram")
-    return Table(langs, write_out(table, "model"), slices)
-
-
-def _read(column: pa.Array, n_langs: int, grams: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Of each text: the characters read (0 without a letter), and the sum of log probabilities by language of the 4-grams in this slice."""
+            both = both.withColumn("lower", F.lit(1.0 / units))
+        else:
+            suffix = F.col("gram").bitwiseAND(F.lit((1 << 16 * (k - 1)) - 1).cast("long"))
+            both = both.withColumn("suffix", suffix).join(below.select("lang", F.col("gram").alias("suffix"), F.col("p").alias("lower")), ["lang", "suffix"])
+        p = F.greatest(F.col("n") - F.col("off"), F.lit(0.0)) / F.col("total") + F.col("weight") * F.col("lower")
+        below = write_out(both.select("lang", "gram", p.alias("p")), "probabilities")
+        size = F.lit(k).alias("size")
+        found = found.union(below.select("lang", F.lit("gram"), size, "gram", F.log("p").cast("float")))
+        found = found.union(around.select("lang", F.lit("context"), size, "context", F.log("weight").cast("float")))
+    # A slice is read from the files that hold its languages.
+    ordered = found.repartitionByRange("lang", "kind", "size", "code").sortWithinPartitions("lang", "kind", "size", "code")
+    if path is None:
+        return _models(write_out(ordered, "model"), entries)
+    ordered.write.parquet(path)
+    return load(spark, path, entries)
+
+
+def _read(column: pa.Array, models: list[Model]) -> tuple[np.ndarray, np.ndarray]:
+    """Of each text: the characters read (0 without a letter), and the sum of log probabilities by each of the models."""
+    n_langs = len(models)
     sizes, sums = [np.zeros(0, np.int64)], [np.zeros((0, n_langs))]
     for begin, end in parts(column):
         own = column.slice(begin, end - begin)
@@ -256,12 +225,11 @@ def _read(column: pa.Array, n_langs: int, grams: np.ndarray, values: np.ndarray)
         starts, ends, first = runs(data, at, LETTER)
         words, number, _ = _distinct(data, starts, ends, hashes(data, starts, ends))
         code, of = _grams(words) if words else (np.zeros(0, U64), np.zeros(0, np.int64))
-        place, there = _find(grams, code)
+        kinds, place = np.unique(code, return_inverse=True)
         length = np.bincount(of, minlength=len(words))
-        of, place = (of, place) if there.all() else (of[there], place[there])
         each = np.zeros((len(words), n_langs))
-        for j in range(n_langs):
-            each[:, j] = np.bincount(of, weights=values[place, j], minlength=len(words))
+        for j, model in enumerate(models):
+            each[:, j] = np.bincount(of, weights=log_p(model, kinds)[place], minlength=len(words))
         size = per_text(np.add, length[number].astype(np.int64), first) if len(number) else np.zeros(end - begin, np.int64)
         total = np.zeros((end - begin, n_langs))
         for j in range(n_langs if len(number) else 0):
@@ -274,11 +242,12 @@ def _read(column: pa.Array, n_langs: int, grams: np.ndarray, values: np.ndarray)
     return np.concatenate(sizes), np.concatenate(sums)
 
 
-def _totals(model, n_langs: int):
+def _totals(models):
     def run(batches):
+        own = models.value
         for batch in batches:
-            sizes, sums = _read(batch.column(4), n_langs, *model.value)
-            at = pa.array(np.arange(len(sizes) + 1, dtype=np.int32) * n_langs)
+            sizes, sums = _read(batch.column(4), own)
+            at = pa.array(np.arange(len(sizes) + 1, dtype=np.int32) * len(own))
             yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(sizes), pa.ListArray.from_arrays(at, pa.array(sums.ravel()))],
                                              [c.split()[0] for c in TOTALS.split(", ")])
 
@@ -302,27 +271,24 @@ def _choose(langs: list[str]):
     return run
 
 
-def _scores(rows: DataFrame, table: Table) -> DataFrame:
-    """SCORED of each of ``rows`` (doc_id, held_out, lang, row, text)."""
-    spark = rows.sparkSession
-    if table.slices == 1:
-        # Plain values, since broadcasts are unpickled by name.
-        totals = map_batches(rows, _totals(spark.sparkContext.broadcast(table.slice(0)), len(table.langs)), TOTALS)
-        return write_out(map_batches(totals, _choose(table.langs), SCORED), "languages")
+def score(rows: DataFrame, models: Models) -> DataFrame:
+    """SCORED of each of ``rows`` (doc_id, held_out, lang, row, text); the models need not have seen them."""
+    broadcast = rows.sparkSession.sparkContext.broadcast
+    if len(models.slices) <= 1:
+        totals = map_batches(rows, _totals(broadcast(models.slice(0))), TOTALS)
+        return write_out(map_batches(totals, _choose(models.langs), SCORED), "languages")
     union = None
-    for k in range(table.slices):
-        model = spark.sparkContext.broadcast(table.slice(k))
-        own = map_batches(rows, _totals(model, len(table.langs)), TOTALS).select("doc_id", "row", "n_chars", F.lit(k).alias("slice"), "sums")
+    for k in range(len(models.slices)):
+        own_models = broadcast(models.slice(k))
+        own = map_batches(rows, _totals(own_models), TOTALS).select("doc_id", "row", "n_chars", F.lit(k).alias("slice"), "sums")
         own = write_out(own.dropDuplicates(["doc_id", "row"]), "sums")
-        model.unpersist()
+        own_models.unpersist()
         union = own if union is None else union.union(own)
-    # The same order of addition every time.
     each = union.groupBy("doc_id", "row").agg(F.first("n_chars").alias("n_chars"), F.array_sort(F.collect_list(F.struct("slice", "sums"))).alias("each"))
-    sums = _per_language(table.langs, lambda j: F.aggregate("each", F.lit(0.0), lambda x, own: x + own["sums"][j])).alias("sums")
-    each = each.select(F.col("doc_id").alias("d"), F.col("row").alias("r"), "n_chars", sums)
+    each = each.select(F.col("doc_id").alias("d"), F.col("row").alias("r"), "n_chars", F.flatten(F.transform("each", lambda x: x["sums"])).alias("sums"))
     plain = rows.drop("text")
     totals = plain.join(each, plain.doc_id.eqNullSafe(each.d) & (plain.row == each.r)).select(*[c.split()[0] for c in TOTALS.split(", ")])
-    return write_out(map_batches(totals, _choose(table.langs), SCORED), "languages")
+    return write_out(map_batches(totals, _choose(models.langs), SCORED), "languages")
 
 
 def held_out(id_: Column) -> Column:
@@ -330,13 +296,12 @@ def held_out(id_: Column) -> Column:
     return F.coalesce(F.crc32(F.encode(id_.cast("string"), "UTF-8")) % 4 == 2, F.lit(False))
 
 
-def _fit(docs: DataFrame, id_col: str, text_col: str, lang_col: str, model_cells: int):
+def _fit(docs: DataFrame, id_col: str, text_col: str, lang_col: str, model_entries: int):
     """SCORED of all rows, and whether each is rejected."""
     text = F.col(text_col).cast("string")
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), held_out(F.col(id_col)).alias("held_out"),
                        F.col(lang_col).cast("string").alias("lang"), F.xxhash64(text).alias("row"), text.alias("text"))
-    table = train(rows.select(F.when(~F.col("held_out"), F.col("lang")).alias("lang"), "text"), model_cells)
-    scored = _scores(rows, table)
+    scored = score(rows, train(rows.filter("not held_out").select("lang", "text"), model_entries))
     learned = scored.filter("not held_out AND lang = lang_pred AND entropy IS NOT NULL").groupBy("lang").agg(
         F.percentile_approx("entropy", [0.5, CALIBRATED], 10_000).alias("at"))
     limit = F.lit(None).cast("double")
@@ -346,7 +311,7 @@ def _fit(docs: DataFrame, id_col: str, text_col: str, lang_col: str, model_cells
     return scored.withColumn("rejected", beyond)
 
 
-def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", model_cells: int = MODEL_CELLS) -> DataFrame:
+def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", model_entries: int = MODEL_ENTRIES) -> DataFrame:
     """One row per row of ``docs``: doc_id, held_out, lang_pred, score, entropy, n_chars, rejected.
 
     Learned from the texts and non-null languages of rows that are not held out.  ``lang_pred`` is a learned language, the
@@ -354,13 +319,17 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     nothing could be learned.  ``rejected``: ``und`` for want of letters, or beyond the language's limit.  Repeated rows count
     as often as they occur.  Other columns are not read; an empty table gives an empty result.
     """
-    return _fit(docs, id_col, text_col, lang_col, model_cells).select("doc_id", "held_out", "lang_pred", "score", "entropy", "n_chars", "rejected")
+    return _fit(docs, id_col, text_col, lang_col, model_entries).select("doc_id", "held_out", "lang_pred", "score", "entropy", "n_chars", "rejected")
 
 
-def accepted_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", model_cells: int = MODEL_CELLS) -> DataFrame:
-    """The rows of ``docs`` that are not rejected, with all their columns."""
+def accepted_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", model_entries: int = MODEL_ENTRIES) -> DataFrame:
+    """The rows of ``docs`` that ``identify`` does not reject, with all their columns.
+
+    Null texts and texts without a letter go; rows alike in id and text are judged alike, and so are rows without id.  If no
+    row has a language, all go; an empty table gives an empty result.
+    """
     mark = "_" * (1 + max(len(c) for c in docs.columns))  # no column has this name or one that begins with it
-    rejected = write_out(_fit(docs, id_col, text_col, lang_col, model_cells).filter("rejected").select(
+    rejected = write_out(_fit(docs, id_col, text_col, lang_col, model_entries).filter("rejected").select(
         F.col("doc_id").alias(f"{mark}d"), F.col("row").alias(f"{mark}r")).distinct(), "rejected")
     keys = docs.select("*", F.col(id_col).cast("long").alias(f"{mark}doc"), F.xxhash64(F.col(text_col).cast("string")).alias(f"{mark}row"))
     same = F.col(f"{mark}doc").eqNullSafe(F.col(f"{mark}d")) & (F.col(f"{mark}row") == F.col(f"{mark}r"))
