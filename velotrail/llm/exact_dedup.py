@@ -3,7 +3,8 @@
 Pass 1 counts, in blocks of a Bloom filter, slots hit once and slots hit more often.  Slots grow with the rows, a row's
 slots lie in one block, and blocks are merged by block, so no task or group holds the whole filter.  Pass 2 tests every
 row against the slots hit more often: equal texts share all slots, so a row with a slot hit once has no copy and passes
-straight through.  Blocks reach the tasks in slices of SLICE_BLOCKS blocks; a table with more blocks is tested slice by slice.
+straight through.  Blocks reach the tasks in slices of SLICE_BLOCKS blocks.  The digests of a task are written in order of their
+slices, so with more slices each reads its own digests only: every row is tested once, whatever the number of slices.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from velotrail.llm.tables import join_groups, map_batches, write_out
 
 #: Slots of a block and slots for each row; hash functions.
 BLOCK_SLOTS, ROW_SLOTS, PROBES = 1 << 16, 16, 4
-DIGESTS = "row long, doc_id long, digest binary, head long"
+DIGESTS = "row long, doc_id long, digest binary, head long, slice int"
 #: Blocks that are broadcast at once: 32 MB, enough for 16 million rows.
 SLICE_BLOCKS = 4096
 
@@ -33,12 +34,16 @@ def _places(head: np.ndarray, blocks: int) -> tuple[np.ndarray, np.ndarray]:
     return block.astype(np.int64), ((start[:, None] + step[:, None] * np.arange(PROBES, dtype=U64)) & U64(0xFFFF)).astype(np.int64)
 
 
-def _digests(batches):
-    for batch in batches:
-        keys = [hashlib.sha256((t or "").encode().lower()).digest() for t in batch.column(2).to_pylist()]
-        heads = np.frombuffer(b"".join(k[:8] for k in keys), np.int64)
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(keys, pa.binary()), pa.array(heads)],
-                                         ["row", "doc_id", "digest", "head"])
+def _digests(blocks: int):
+    def run(batches):
+        for batch in batches:
+            keys = [hashlib.sha256((t or "").encode().lower()).digest() for t in batch.column(2).to_pylist()]
+            heads = np.frombuffer(b"".join(k[:8] for k in keys), np.int64)
+            slices = (_places(heads, blocks)[0] // SLICE_BLOCKS).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(keys, pa.binary()), pa.array(heads), pa.array(slices)],
+                                             ["row", "doc_id", "digest", "head", "slice"])
+
+    return run
 
 
 def _hits(blocks: int):
@@ -101,21 +106,21 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     spark = docs.sparkSession
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("doc_id"),
                        F.col(text_col).cast("string").alias("text"))
-    rows = write_out(map_batches(rows, _digests, DIGESTS), "digests")
-    total = rows.count()
+    total = rows.select("row").count()
     blocks = max(1, -(-total * ROW_SLOTS // BLOCK_SLOTS))
+    slices = -(-blocks // SLICE_BLOCKS)
+    rows = map_batches(rows, _digests(blocks), DIGESTS)
+    rows = write_out(rows.sortWithinPartitions("slice") if slices > 1 else rows, "digests")
     hits = map_batches(rows.select("head"), _hits(blocks), "block long, hit binary, more binary")
     bits = write_out(map_batches(hits.repartition("block").sortWithinPartitions("block"), _merge, "block long, bits binary"), "bloom")
 
     tested = []
-    for first in range(0, blocks, SLICE_BLOCKS):
-        last = min(first + SLICE_BLOCKS, blocks)
+    for k in range(slices):
+        first, last = k * SLICE_BLOCKS, min((k + 1) * SLICE_BLOCKS, blocks)
         found = dict(bits.filter(F.col("block").between(first, last - 1)).collect())
         none = bytes(BLOCK_SLOTS // 8)
         filter_ = spark.sparkContext.broadcast((first, b"".join(bytes(found.get(b, none)) for b in range(first, last))))
-        own = rows
-        if blocks > SLICE_BLOCKS:
-            own = map_batches(rows, _of_slice(first, last, blocks), DIGESTS)
+        own = rows.filter(F.col("slice") == k) if slices > 1 else rows
         tested.append(write_out(map_batches(own, _test(filter_, blocks), f"{DIGESTS}, maybe boolean"), "tested"))
         filter_.unpersist()
     table = tested[0]
@@ -131,11 +136,3 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                                              F.lit(True).alias("kept"), "digest", F.lit(False).alias("shuffled"))
     return alone.unionByName(joined).select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"), "shuffled")
 
-
-def _of_slice(first: int, last: int, blocks: int):
-    def run(batches):
-        for batch in batches:
-            block, _ = _places(batch.column(3).to_numpy(zero_copy_only=False), blocks)
-            yield batch.filter(pa.array((block >= first) & (block < last)))
-
-    return run
