@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from helpers import rows
 from test_streaming import BODY, SCHEMA, feed, finish, points  # noqa: F401 (a fixture)
-from velotrail.operators import parse, recent
+from velotrail.operators import latency, parse, recent
 from velotrail.streaming import state
 
 
@@ -83,3 +83,26 @@ def test_settings_are_as_before(spark, tmp_path, feed):  # noqa: F811
     finish(state.start_recent_state(feed.stream(), str(tmp_path / "s"), available_now=True))
     assert spark.conf.get(state.PROVIDER) == before
     assert state.read_recent_state(spark, str(tmp_path / "s")).filter(F.col("vehicle_id") == "a").count() == 1
+
+
+def test_running_reports_equal_the_batch_reports(spark, tmp_path, feed):  # noqa: F811
+    """Batches in order of arrival, of any size, with a restart; late events and equal arrivals."""
+    rng, lines, at = random.Random(8), [], 0
+    for k in range(160):
+        at += rng.randrange(3)
+        lines.append((f"{rng.choice('aab')}@{at - rng.randrange(-5, 40)},{BODY[:-1]}{k % 10}", at))
+    cuts = sorted({*(rng.randrange(160) for _ in range(7)), 0, 160})
+    cuts = [0, *[c for c in cuts if 0 < c < 160 and lines[c][1] != lines[c - 1][1]], 160]  # equal arrivals come in one batch
+    jobs = {"delays": lambda: state.start_delay_report(feed.stream(), str(tmp_path / "d"), str(tmp_path / "ds"), 500, every=7, available_now=True),
+            "marks": lambda: state.start_progress_marks(feed.stream(), str(tmp_path / "m"), str(tmp_path / "ms"), every=9, available_now=True)}
+    for a, b in zip(cuts, cuts[1:], strict=False):
+        feed(*lines[a:b])
+        if a in (cuts[2], cuts[-2]):
+            for job in jobs.values():
+                finish(job())
+    track = parse.parse_line(spark.read.schema(SCHEMA).parquet(feed.folder))
+    want = latency.delay_report(track, 500, every=7)
+    assert rows(state.read_delay_report(spark, str(tmp_path / "d")), *want.columns) == rows(want) and want.count() > 15
+    marks = latency.progress_marks(track, every=9, by="vehicle_id")
+    assert rows(state.read_progress_marks(spark, str(tmp_path / "m")), *marks.columns) == rows(marks)
+    assert state.read_delay_report(spark, str(tmp_path / "none")).count() == 0

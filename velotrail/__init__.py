@@ -34,6 +34,8 @@ from velotrail.sources.tables import (
     write_metrics, write_recent, write_rejects,
 )
 from velotrail.streaming.jobs import start, start_history, start_latency, start_recent
-from velotrail.streaming.state import read_recent_state, start_recent_state
+from velotrail.streaming.state import (
+    read_delay_report, read_progress_marks, read_recent_state, start_delay_report, start_progress_marks, start_recent_state,
+)
 
 __all__ = [name for name in dir() if not name.startswith("_") and name not in ("functions", "operators", "plans", "sources", "streaming")]

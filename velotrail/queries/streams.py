@@ -14,7 +14,7 @@ from velotrail.plans.scratch import scratch_path
 from velotrail.queries.inputs import (
     HISTORY, LINES, NOW_MS, RECENT, REPLAYED, TRACK, events_stream, lines, lines_of, with_,
 )
-from velotrail.queries.registry import query
+from velotrail.queries.registry import ORACLES, query
 from velotrail.sources import lines as src
 from velotrail.sources import tables
 from velotrail.streaming import jobs, state
@@ -210,6 +210,21 @@ def st_history_metrics(spark, sf):
     return tables.read_metrics(spark, metrics).drop("run")
 
 
+@query("st_delay_report", ORACLES["delay_report"])
+def st_delay_report(spark, sf):
+    """The running report of a stream."""
+    path = scratch_path(spark, "delays")
+    _finish(state.start_delay_report(_stream(spark, sf), path, scratch_path(spark, "state"), NOW_MS, every=20, available_now=True))
+    return state.read_delay_report(spark, path)
+
+
+@query("st_progress_marks", ORACLES["progress_marks_by_vehicle"])
+def st_progress_marks(spark, sf):
+    path = scratch_path(spark, "marks")
+    _finish(state.start_progress_marks(_stream(spark, sf), path, scratch_path(spark, "state"), every=10, available_now=True))
+    return state.read_progress_marks(spark, path)
+
+
 @query("st_latency", with_(LINES, TRACK) + f"SELECT CAST(0 AS BIGINT) AS batch_id, count(*) AS n, {_LATE} FROM track")
 def st_latency(spark, sf):
     path = scratch_path(spark, "metrics")

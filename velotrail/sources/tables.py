@@ -190,3 +190,12 @@ def write_metrics(metrics: DataFrame, path: str, run: str | None = None, batch_i
 
 def read_metrics(spark: SparkSession, path: str) -> DataFrame:
     return stored(spark, f"{path.rstrip('/')}/live", f"n bigint, total_ms double, avg_ms double, {BATCH_SCHEMA}")
+
+
+def write_report(rows: DataFrame, path: str, run: str | None = None, batch_id: int = 0) -> None:
+    """What a batch completes, under the batch's own folder."""
+    rows.write.mode("overwrite").parquet(_plain_folder(path, run, batch_id))
+
+
+def read_report(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    return stored(spark, f"{path.rstrip('/')}/live", f"{schema}, {BATCH_SCHEMA}").drop("run", "batch_id")
