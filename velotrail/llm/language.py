@@ -195,7 +195,6 @@ def train(docs: DataFrame, entries: int = MODEL_ENTRIES, path: str | None = None
         off = orders[k].groupBy("lang").agg(F.when(once > 0, share).otherwise(0.5).alias("off"))
         around = orders[k].groupBy("lang", _context().alias("context")).agg(F.sum("n").alias("total"), F.count("*").alias("kinds"))
         around = around.join(F.broadcast(off), "lang").withColumn("weight", F.col("off") * F.col("kinds") / F.col("total"))
-        around = write_out(around, "contexts")
         both = orders[k].withColumn("context", _context()).join(around, ["lang", "context"])
         if k == 1:
             both = both.withColumn("lower", F.lit(1.0 / units))
@@ -203,7 +202,7 @@ def train(docs: DataFrame, entries: int = MODEL_ENTRIES, path: str | None = None
             suffix = F.col("gram").bitwiseAND(F.lit((1 << 16 * (k - 1)) - 1).cast("long"))
             both = both.withColumn("suffix", suffix).join(below.select("lang", F.col("gram").alias("suffix"), F.col("p").alias("lower")), ["lang", "suffix"])
         p = F.greatest(F.col("n") - F.col("off"), F.lit(0.0)) / F.col("total") + F.col("weight") * F.col("lower")
-        below = write_out(both.select("lang", "gram", p.alias("p")), "probabilities")
+        below = both.select("lang", "gram", p.alias("p"))
         size = F.lit(k).alias("size")
         found = found.union(below.select("lang", F.lit("gram"), size, "gram", F.log("p").cast("float")))
         found = found.union(around.select("lang", F.lit("context"), size, "context", F.log("weight").cast("float")))
