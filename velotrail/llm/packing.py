@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from velotrail.llm.tables import map_batches
 from velotrail.llm.tokens import default_tokenizer, encoder
 
-WINDOW, TIERS, GROUP_TOKENS, STEP_WINDOWS = 2048, (2048, 1024, 512, 256), 1 << 21, 16
+WINDOW, TIERS, GROUP_TOKENS, STEP_WINDOWS = 2048, (2048, 1024, 512, 256), 1 << 20, 16
 #: The last window of a task is cut down to this size.
 LEAST = 64
 PIECE = ("doc_id long, start long, length long, ids binary, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "

@@ -20,12 +20,12 @@ import pyarrow as pa
 
 from velotrail.llm.spans import SAME, U64, hashes, kept, parts, utf8
 
-#: Pieces of the table and ids in it, together about 45 MB; a full table starts anew.
-PIECES, POOL = 1_500_000, 5_000_000
+#: Pieces of the table and ids in it, together about 35 MB; a full table starts anew.
+PIECES, POOL = 1_000_000, 3_500_000
 #: Bits of a hash by which the table is entered.
 ENTRY = 20
 #: Bytes of text that are encoded at a time; longer texts are cut.
-PART = 1 << 21
+PART = 1 << 20
 #: Characters that go through the whole tokenizer at once.
 PIECE = 1 << 16
 _CUT = re.compile(r"(?= \S)")
