@@ -6,9 +6,10 @@ table unless one collection fails, with probability about 2 * (1 - J**ROWS) ** B
 
 Texts with equal sets form a class, and only classes take part.  Classes that share a key form a bucket; its members are not
 paired with one another.  First come the tables whose two sub-signatures have the same number, BANDS of them: there all meet the
-first and the last class of their bucket, which joins groups of near copies.  Members of one component need no further test, so
-of all tables only buckets with several components are left.  A bucket of up to BLOCK members streams through one task, which
-compares the full sets of members of different components and lets out only links that join two of them.
+first and the last class of their bucket, by one of some orders, which joins groups of near copies.  Members of one component
+need no further test, so only buckets with several components are left, of the same tables and then of all.  A bucket of up to
+BLOCK members streams through one task, which compares the full sets of members of different components and lets out only
+links that join two of them.
 
 The members of larger buckets meet by shared shingles.  All shingles are ordered, rare ones first (by a table of counts of fixed
 size: any fixed order gives the same links).  Two similar sets have their first common shingle so early that what lies behind it
@@ -28,6 +29,8 @@ from velotrail.llm.spans import U64, mix, parts, per_text, shingle_sets, signed,
 from velotrail.llm.tables import components, join_groups, map_batches, small, write_out
 
 WIDTH, PERCENT, BANDS, ROWS = 2, 80, 14, 3
+#: Orders by which buckets have a first and a last class.
+ORDERS = 4
 CLASS = "doc_id long, row long, class long, n_shingles long, left array<long>, right array<long>"
 
 
@@ -76,38 +79,41 @@ KEPT = 100_000
 
 
 def _repeated(batches):
-    """Rows (key, class, root) sorted by key: those of keys with several roots, by bucket.
+    """Rows (key, class, root, n) sorted by key: those of keys with several roots, by bucket, and whether it is large.
 
     Buckets with the same members get the same number.  The first and last key of a partition may go on in another one,
-    and very long ones are not kept: these go under their own key.
+    and very long ones are not kept: these go under their own key, and how large they are is left open.
     """
 
-    def emit(member, bucket):
-        return pa.RecordBatch.from_arrays([pa.array(bucket), pa.array(member)], ["bucket", "class"])
+    def emit(bucket, rows, large=None):
+        sizes = pa.nulls(len(bucket), pa.bool_()) if large is None else pa.array(large)
+        return pa.RecordBatch.from_arrays([pa.array(bucket), *[pa.array(c) for c in rows], sizes], ["bucket", "class", "root", "n", "large"])
 
-    key = member = root = np.zeros(0, np.int64)
+    held = [np.zeros(0, np.int64)] * 4
     passing = None
     for batch in batches:
-        key, member, root = (np.concatenate([old, c.to_numpy(zero_copy_only=False)]) for old, c in zip((key, member, root), batch.columns, strict=True))
+        held = [np.concatenate([old, c.to_numpy(zero_copy_only=False)]) for old, c in zip(held, batch.columns, strict=True)]
+        key = held[0]
         if not len(key):
             continue
         passing = key[0] if passing is None else passing
         n = int(np.argmax(key != passing)) if key[-1] != passing else len(key)
         if key[0] == passing:
-            yield emit(member[:n], key[:n])
-            key, member, root = key[n:], member[n:], root[n:]
+            yield emit(key[:n], [c[:n] for c in held[1:]])
+            held = [c[n:] for c in held]
+        key, member, root, shingles = held
         begin = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
         if len(begin) > 1:
-            last = begin[-1]
-            own, size = member[:last], np.diff(begin)
-            code = signed(mix(np.add.reduceat(mix(own.view(U64)), begin[:-1]) + size.astype(U64)))
-            many = np.repeat(np.minimum.reduceat(root[:last], begin[:-1]) != np.maximum.reduceat(root[:last], begin[:-1]), size)
-            yield emit(own[many], np.repeat(code, size)[many])
-            key, member, root = key[last:], member[last:], root[last:]
-        if len(key) > KEPT:
-            yield emit(member, key)
-            passing, key, member, root = key[0], key[:0], member[:0], root[:0]
-    yield emit(member, key)
+            last, starts, size = begin[-1], begin[:-1], np.diff(begin)
+            code = signed(mix(np.add.reduceat(mix(member[:last].view(U64)), starts) + size.astype(U64)))
+            large = (size > BLOCK) | (np.add.reduceat(shingles[:last], starts) > BLOCK_SHINGLES)
+            many = np.repeat(np.minimum.reduceat(root[:last], starts) != np.maximum.reduceat(root[:last], starts), size)
+            yield emit(np.repeat(code, size)[many], [c[:last][many] for c in held[1:]], np.repeat(large, size)[many])
+            held = [c[last:] for c in held]
+        if len(held[0]) > KEPT:
+            yield emit(held[0], held[1:])
+            passing, held = held[0][0], [c[:0] for c in held]
+    yield emit(held[0], held[1:])
 
 
 def _sets(width: int):
@@ -137,21 +143,35 @@ def _similar(percent: int):
 
 def _pivot_pairs(classes: DataFrame, percent: int) -> DataFrame:
     """(a, b) of classes and the first and last class of their buckets, in the tables of like-numbered sub-signatures."""
-    keys = classes.select("class", "n", F.posexplode(F.arrays_zip("left", "right")).alias("i", "s")).select(F.xxhash64("i", "s.left", "s.right").alias("key"), "class", "n")
-    own = F.struct("class", "n")
+    keys = classes.select("class", "n", F.posexplode(F.arrays_zip("left", "right")).alias("i", "s"))
+    # In some orders, so that a class meets several others of a large group, and not the same in all tables.
+    keys = keys.select(F.xxhash64("i", "s.left", "s.right").alias("key"), F.xxhash64("class", F.col("i") % ORDERS).alias("place"), "class", "n")
+    own = F.struct("place", "class", "n")
     ends = keys.groupBy("key").agg(F.array_distinct(F.array(F.min(own), F.max(own))).alias("ends")).filter(F.size("ends") > 1)
     met = keys.join(ends.select("key", F.explode("ends").alias("end")), "key")
     near = (F.col("class") != F.col("end.class")) & (100 * F.least("n", "end.n") >= percent * F.greatest("n", "end.n"))
     return met.filter(near).select(F.least("class", "end.class").alias("a"), F.greatest("class", "end.class").alias("b")).distinct()
 
 
-def _buckets(classes: DataFrame) -> DataFrame:
-    """(bucket, class) of classes (class, root, left, right) that share a table key with one of another root."""
-    keys = (classes.select("class", "root", "left", F.posexplode("right").alias("j", "r")).select("class", "root", "j", "r", F.posexplode("left").alias("i", "l"))
-            .select(F.xxhash64("i", "l", "j", "r").alias("key"), "class", "root"))
+def _buckets(classes: DataFrame, every: bool) -> DataFrame:
+    """(bucket, class, root, large) of classes (class, root, n, left, right) that share a key with one of another root, in like-numbered tables or all."""
+    own = ("class", "root", "n")
+    if every:
+        pairs = classes.select(*own, "left", F.posexplode("right").alias("j", "r")).select(*own, "j", "r", F.posexplode("left").alias("i", "l"))
+    else:
+        pairs = classes.select(*own, F.posexplode(F.arrays_zip("left", "right")).alias("i", "s"))
+        pairs = pairs.select(*own, F.col("i").alias("j"), F.col("s.right").alias("r"), "i", F.col("s.left").alias("l"))
+    keys = pairs.select(F.xxhash64("i", "l", "j", "r").alias("key"), *own)
     # Sorting by key and class lets a key with very many classes spread over partitions.
     ordered = keys.repartitionByRange("key", "class").sortWithinPartitions("key", "class")
-    return map_batches(ordered, _repeated, "bucket long, class long").distinct()
+    met = write_out(map_batches(ordered, _repeated, "bucket long, class long, root long, n long, large boolean").distinct(), "buckets")
+    # The few that a partition's border cuts are put together.
+    cut = met.filter("large IS NULL")
+    kinds = cut.groupBy("bucket").agg(F.min("root").alias("least"), F.max("root").alias("most"), F.count("*").alias("size"), F.sum("n").alias("shingles"))
+    large = (F.col("size") > BLOCK) | (F.col("shingles") > BLOCK_SHINGLES)
+    kinds = kinds.filter("least <> most").select("bucket", large.alias("much"))
+    whole = cut.join(kinds, "bucket").select("bucket", "class", "root", F.col("much").alias("large"))
+    return met.filter("large IS NOT NULL").select("bucket", "class", "root", "large").union(whole)
 
 
 def _of_pair(pairs: DataFrame, table: DataFrame, column: str) -> DataFrame:
@@ -177,7 +197,7 @@ def _merged(roots: DataFrame | None, links: DataFrame) -> DataFrame:
 
 
 #: Members of a bucket that one task compares, and their shingles in all; larger ones meet by shared shingles.
-BLOCK, BLOCK_SHINGLES = 2048, 4 << 20
+BLOCK, BLOCK_SHINGLES = 256, 4 << 20
 
 
 class _Block:
@@ -322,16 +342,6 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return write_out(map_batches(_of_pair(pairs, sets, "set"), _similar(percent), "a long, b long"), "links")
 
 
-def _open(met: DataFrame, classes: DataFrame) -> DataFrame:
-    """(bucket, class, root, large) of buckets (bucket, class) with several roots; of equal buckets, one.  classes: class, root, n."""
-    rows = met.join(small(classes, 48), "class")
-    kinds = rows.groupBy("bucket").agg(F.min("root").alias("least"), F.max("root").alias("most"), F.count("*").alias("size"), F.sum("n").alias("shingles"),
-                                       F.bit_xor(F.xxhash64("class")).alias("one"), F.bit_xor(F.xxhash64("class", F.lit(1))).alias("two"))
-    large = (F.col("size") > BLOCK) | (F.col("shingles") > BLOCK_SHINGLES)
-    chosen = kinds.filter("least <> most").groupBy("size", "one", "two").agg(F.min("bucket").alias("bucket"), F.max(large).alias("large"))
-    return rows.join(chosen.select("bucket", "large"), "bucket").select("bucket", "class", "root", "large")
-
-
 def _sets_of(docs: DataFrame, classes: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     """(class, set) of the ``wanted`` classes, from the texts of their first ids."""
     known = write_out(classes.join(small(wanted, 16), "class", "left_semi").select("class", "first_id"), "known")
@@ -340,6 +350,16 @@ def _sets_of(docs: DataFrame, classes: DataFrame, wanted: DataFrame, width: int)
     return write_out(sets.dropDuplicates(["class"]), "sets")
 
 
+def _links(open_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b) that join the components of the members of each bucket."""
+    rest = open_.filter("not large").join(sets, "class").select("bucket", "class", "root", "set")
+    links = write_out(map_batches(rest.repartition("bucket").sortWithinPartitions("bucket", "class"), _meet(percent), "a long, b long"), "links")
+    if not open_.filter("large").limit(1).count():
+        return links
+    large = write_out(open_.filter("large").select("class", "root").distinct().join(sets, "class"), "large")
+    return links.union(_verified(write_out(_by_shingles(large, percent), "pairs"), sets, percent))
+
+
 def near_classes(docs: DataFrame, width: int, percent: int, bands: int, rows: int) -> tuple[DataFrame, DataFrame]:
     """docs (doc_id not null, row, text) -> (doc_id, row, class, n_shingles) of each row, and (class, component_id, root, size) of each class."""
     members = write_out(map_batches(docs, _classes(width, bands, rows), CLASS), "near-classes")
@@ -352,21 +372,16 @@ def near_classes(docs: DataFrame, width: int, percent: int, bands: int, rows: in
     sets = _sets_of(docs, classes, seen, width)
     found = _verified(pairs, sets, percent)
     roots = _merged(None, found) if found.limit(1).count() else None
-    # What is left in the buckets of all tables.
-    rooted = classes.join(small(roots, 32), "class", "left") if roots is not None else classes.withColumn("root", F.lit(None).cast("long"))
-    rooted = rooted.withColumn("root", F.coalesce("root", "class"))
-    met = write_out(_buckets(rooted), "buckets")
-    ids = write_out(met.select("class").distinct(), "met")
-    open_ = write_out(_open(met, write_out(rooted.select("class", "root", "n").join(small(ids, 16), "class", "left_semi"), "met-classes")), "open")
-    more = write_out(open_.select("class").distinct().join(small(seen, 16), "class", "left_anti"), "more")
-    sets = sets.union(_sets_of(docs, classes, more, width))
-    rest = open_.filter("not large").join(sets, "class").select("bucket", "class", "root", "set")
-    links = write_out(map_batches(rest.repartition("bucket").sortWithinPartitions("bucket", "class"), _meet(percent), "a long, b long"), "links")
-    if open_.filter("large").limit(1).count():
-        large = write_out(open_.filter("large").select("class", "root").distinct().join(sets, "class"), "large")
-        links = links.union(_verified(write_out(_by_shingles(large, percent), "pairs"), sets, percent))
-    if links.limit(1).count():
-        roots = _merged(roots, links)
+    # What is left in the buckets of the same tables, and then of all.
+    for every in (False, True):
+        rooted = classes.join(small(roots, 32), "class", "left") if roots is not None else classes.withColumn("root", F.lit(None).cast("long"))
+        rooted = rooted.withColumn("root", F.coalesce("root", "class"))
+        open_ = write_out(_buckets(rooted, every), "open")
+        more = write_out(open_.select("class").distinct().join(small(seen, 16), "class", "left_anti"), "more")
+        seen, sets = seen.union(more), sets.union(_sets_of(docs, classes, more, width))
+        links = _links(open_, sets, percent)
+        if links.limit(1).count():
+            roots = _merged(roots, links)
     if roots is None:
         groups = classes.select("class", F.col("first_id").alias("component_id"), F.col("class").alias("root"), "size")
     else:
