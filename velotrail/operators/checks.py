@@ -4,8 +4,9 @@ A chain is a set of checks that can influence each other: all checks of a row, o
 cell where every check of the row changes only the cell it looks at.  A check whose cell no
 earlier check of its chain may change is answered by a join.  Only the others must run in ``seq``
 order: with the changes of answered checks among them they are sorted within partitions and
-folded as a stream that holds just the current chain's cell values.  A chain is one stream in
-one task; one of n such checks costs n steps there, whatever the cluster.
+folded as a stream that holds just the current chain's cell values.  A long chain on one cell is
+cut into segments that run side by side (``chains``); one that touches several cells is one
+stream in one task, and of n such checks costs n steps there.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from velotrail.operators import chains as long_chains
 from velotrail.operators.cells import CELL, newest, restrict
 from velotrail.operators.mutations import ROW_FAMILY, mutate_rows
 from velotrail.plans.scratch import write_out
@@ -100,13 +102,18 @@ def _outcome(cells: DataFrame, checks: DataFrame, mutations: DataFrame, small: b
     open_ = free.filter(~F.col("_free")).select(*_CHAIN).distinct()
     acts = free.filter(~F.col("_free") | (F.col("passed") & (F.size("steps") > 0))).join(open_, _CHAIN, "left_semi")
     steps_type = f"array<{_STEP}>"
+    before = states.filter((F.col("_length") > 1) & F.col("_stored").isNotNull()).join(open_, _CHAIN, "left_semi").select(
+        *_CHAIN, "family", "qualifier", F.col("_stored").alias("expected"))
+    acts = acts.select(*_CHAIN, F.col("seq").cast("bigint").alias("seq"), "family", "qualifier", "op", "expected", "passed",
+                       F.col("steps").cast(steps_type).alias("steps"))
+    if checks.groupBy(*CELL).count().filter(F.col("count") > long_chains.SEGMENT).limit(1).count():
+        acts, before = _side_by_side(acts, before)
     stream = acts.select(
-        *_CHAIN, F.lit(True).alias("check"), F.col("seq").cast("bigint").alias("seq"), "family", "qualifier", "op",
-        "expected", "passed", F.col("steps").cast(steps_type).alias("steps"),
+        *_CHAIN, F.lit(True).alias("check"), "seq", "family", "qualifier", "op", "expected", "passed", "steps",
     )
-    begin = states.filter((F.col("_length") > 1) & F.col("_stored").isNotNull()).join(open_, _CHAIN, "left_semi").select(
+    begin = before.select(
         *_CHAIN, F.lit(False).alias("check"), F.lit(0).cast("bigint").alias("seq"), "family", "qualifier",
-        F.lit("").alias("op"), F.col("_stored").alias("expected"), F.lit(None).cast("boolean").alias("passed"),
+        F.lit("").alias("op"), "expected", F.lit(None).cast("boolean").alias("passed"),
         F.lit(None).cast(steps_type).alias("steps"),
     )
     # By a hash of the chain: both parts are already placed by the chain itself, but not by the same tasks.
@@ -116,6 +123,19 @@ def _outcome(cells: DataFrame, checks: DataFrame, mutations: DataFrame, small: b
     return answers.unionByName(folded)
 
 
+def _side_by_side(acts: DataFrame, before: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The acts and first values of all chains; long ones on one cell as several chains."""
+    # Chains on one cell have its names; those on several have none.
+    counts = acts.filter("_chain_qualifier <> ''").groupBy(*_CHAIN).count().filter(F.col("count") > long_chains.SEGMENT)
+    long_ = write_out(counts.select(*_CHAIN), "long-chains")
+    if not long_.limit(1).count():
+        return acts, before
+    few = F.broadcast(long_)  # a chain has more than SEGMENT checks
+    cut_acts, starts = long_chains.cut(acts.join(few, _CHAIN, "left_semi"), before.join(few, _CHAIN, "left_semi"))
+    return (acts.join(few, _CHAIN, "left_anti").unionByName(cut_acts),
+            before.join(few, _CHAIN, "left_anti").unionByName(starts))
+
+
 def _unchanged(sized: DataFrame, asked: DataFrame, small: bool) -> DataFrame:
     """``sized`` with ``_free``: no earlier check of the row has a step on the check's cell or on its whole family."""
     steps = asked.select("row_key", "seq", F.explode("steps").alias("s")).select("row_key", "seq", "s.family", "s.qualifier")
