@@ -274,8 +274,9 @@ def score(rows: DataFrame, models: Models) -> DataFrame:
     """SCORED of each of ``rows`` (doc_id, held_out, lang, row, text); the models need not have seen them."""
     broadcast = rows.sparkSession.sparkContext.broadcast
     if len(models.slices) <= 1:
-        totals = map_batches(rows, _totals(broadcast(models.slice(0))), TOTALS)
-        return write_out(map_batches(totals, _choose(models.langs), SCORED), "languages")
+        # Both steps in one function, since each Python step of a stage has a worker of its own, which stays.
+        sums, choose = _totals(broadcast(models.slice(0))), _choose(models.langs)
+        return write_out(map_batches(rows, lambda batches: choose(sums(batches)), SCORED), "languages")
     union = None
     for k in range(len(models.slices)):
         own_models = broadcast(models.slice(k))
