@@ -172,6 +172,27 @@ def test_source_arguments(spark, tmp_path):
         src.to_topic(src.track_lines(spark, "text", str(tmp_path)), "host:9092", "t")
 
 
+def test_topic_sink_arguments(spark, tmp_path, monkeypatch):
+    """What a topic gets and how, without a broker: a batch write, and a stream with its checkpoint."""
+    from unittest.mock import MagicMock
+
+    for streaming in (False, True):
+        lines, sent = MagicMock(isStreaming=streaming), MagicMock()
+        monkeypatch.setattr(src, "message", lambda given, lines=lines, sent=sent: sent if given is lines else None)
+        src.to_topic(lines, "host:9092", "bicycle_track", "/state" if streaming else None)
+        writer = sent.writeStream if streaming else sent.write
+        writer.format.assert_called_once_with("kafka")
+        options = writer.format.return_value.options
+        options.assert_called_once_with(**{"kafka.bootstrap.servers": "host:9092", "topic": "bicycle_track"})
+        if streaming:
+            options.return_value.option.assert_called_once_with("checkpointLocation", "/state")
+            options.return_value.option.return_value.start.assert_called_once_with()
+        else:
+            options.return_value.save.assert_called_once_with()
+    monkeypatch.undo()
+    assert src.message(spark.createDataFrame([("a", 1)], "line string, x int")).collect()[0].asDict() == {"value": "a"}
+
+
 def test_union_of_streams(spark, tmp_path, feed):
     from velotrail.operators.distribute import union_sources
 
