@@ -48,6 +48,15 @@ def test_hits_of_random_texts(spark):
         assert got == {r[0]: contamination(r[1], items, width) for r in data}
 
 
+def test_one_text_under_very_many_items(spark):
+    """The text is searched once, its items are joined to the documents that hit it."""
+    text = " ".join(f"w{k}" for k in range(80))
+    items = spark.range(100_000).selectExpr("id AS item_id", f"'{text}' AS text").unionByName(spark.createDataFrame([(-1, "w5 w6 w7"), (-1, text)], "item_id long, text string"))
+    data = [(1, "so w5 w6 w7 then", None, None, 0), (2, " ".join(f"w{k}" for k in range(30, 41)), None, None, 0), (3, "none", None, None, 0), (2, None, None, None, 0)]
+    found = decontaminate(frame(spark, data), items).select("doc_id", "n_hit", F.size("items").alias("n"), "contaminated").collect()
+    assert sorted(map(tuple, found)) == [(1, 3, 1, True), (2, 0, 0, False), (2, 11, 100_001, True), (3, 0, 0, False)]
+
+
 def test_no_benchmark_and_no_documents(spark):
     assert decontaminate(frame(spark, rows()), bench(spark, [])).filter("contaminated").count() == 0
     assert decontaminate(empty(spark), bench(spark, ITEMS)).count() == 0
