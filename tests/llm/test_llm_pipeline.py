@@ -60,3 +60,5 @@ def test_stages_take_odd_tables(spark):
             docs_after = stage(spark, docs, SF)
             assert docs_after.schema == docs.schema, name
             docs_after.collect()
+        pieces = corpus_pipeline.STAGES[-1][1](spark, docs, SF)
+        assert pieces.filter("start = 0").count() == docs.count()

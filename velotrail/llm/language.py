@@ -129,21 +129,20 @@ class Models:
         """The models of the slice's languages."""
         if not self.slices:
             return []
-        table = self.rows.filter(F.col("lang").isin(self.slices[k])).select("lang", "kind", "size", "code", "value").toArrow()
-        lang, kind, size = (table[c].combine_chunks().dictionary_encode() for c in ("lang", "kind", "size"))
+        own = self.slices[k]
+        number = F.array_position(F.array(*map(F.lit, own)), F.col("lang")).cast("int")
+        table = self.rows.filter(F.col("lang").isin(own) & (F.col("kind") != "floor")).select(
+            number.alias("lang"), (F.col("kind") == "gram").alias("gram"), "size", "code", "value").toArrow()
+        of, gram, order = (table[c].to_numpy() for c in ("lang", "gram", "size"))
         code, value = table["code"].to_numpy().view(U64), table["value"].to_numpy()
-        number = {name: n for n, name in enumerate(lang.dictionary.to_pylist())}
-        gram = np.array(kind.dictionary.to_pylist(), object)[kind.indices.to_numpy()] == "gram"
-        order = np.array(size.dictionary.to_pylist(), np.int64)[size.indices.to_numpy()]
-        of = lang.indices.to_numpy()
 
         def arrays(own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             hash_ = mix(code[own])
             by_hash = np.argsort(hash_)
             return hash_[by_hash], value[own][by_hash]
 
-        return [([(*arrays((of == number[name]) & gram & (order == k)), *arrays((of == number[name]) & ~gram & (order == k))) for k in range(1, ORDER + 1)],
-                 self.floor) for name in self.slices[k]]
+        return [([(*arrays((of == n) & gram & (order == k)), *arrays((of == n) & ~gram & (order == k))) for k in range(1, ORDER + 1)], self.floor)
+                for n in range(1, len(own) + 1)]
 
 
 def _models(rows: DataFrame, entries: int) -> Models:
@@ -202,10 +201,13 @@ def train(docs: DataFrame, entries: int = MODEL_ENTRIES, path: str | None = None
             suffix = F.col("gram").bitwiseAND(F.lit((1 << 16 * (k - 1)) - 1).cast("long"))
             both = both.withColumn("suffix", suffix).join(below.select("lang", F.col("gram").alias("suffix"), F.col("p").alias("lower")), ["lang", "suffix"])
         p = F.greatest(F.col("n") - F.col("off"), F.lit(0.0)) / F.col("total") + F.col("weight") * F.col("lower")
-        below = both.select("lang", "gram", p.alias("p"))
+        below = write_out(both.select("lang", "gram", p.alias("p")), "probabilities")
         size = F.lit(k).alias("size")
         found = found.union(below.select("lang", F.lit("gram"), size, "gram", F.log("p").cast("float")))
         found = found.union(around.select("lang", F.lit("context"), size, "context", F.log("weight").cast("float")))
+    models = _models(found, entries)
+    if path is None and len(models.slices) <= 1:
+        return models
     # A slice is read from the files that hold its languages.
     ordered = found.repartitionByRange("lang", "kind", "size", "code").sortWithinPartitions("lang", "kind", "size", "code")
     if path is None:

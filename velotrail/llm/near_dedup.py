@@ -7,9 +7,8 @@ table unless one collection fails, with probability about 2 * (1 - J**ROWS) ** B
 Texts with equal sets form a class, and only classes take part.  Classes that share a key form a bucket; its members are not
 paired with one another.  First come the tables whose two sub-signatures have the same number, BANDS of them: there all meet the
 first and the last class of their bucket, by one of some orders, which joins groups of near copies.  Members of one component
-need no further test, so only buckets with several components are left, of the same tables and then of all.  A bucket of up to
-BLOCK members streams through one task, which compares the full sets of members of different components and lets out only
-links that join two of them.
+need no further test, so of all tables only buckets with several components are left.  A bucket of up to BLOCK members streams
+through one task, which compares the full sets of members of different components and lets out only links that join two of them.
 
 The members of larger buckets meet by shared shingles.  All shingles are ordered, rare ones first (by a table of counts of fixed
 size: any fixed order gives the same links).  Two similar sets have their first common shingle so early that what lies behind it
@@ -153,14 +152,10 @@ def _pivot_pairs(classes: DataFrame, percent: int) -> DataFrame:
     return met.filter(near).select(F.least("class", "end.class").alias("a"), F.greatest("class", "end.class").alias("b")).distinct()
 
 
-def _buckets(classes: DataFrame, every: bool) -> DataFrame:
-    """(bucket, class, root, large) of classes (class, root, n, left, right) that share a key with one of another root, in like-numbered tables or all."""
+def _buckets(classes: DataFrame) -> DataFrame:
+    """(bucket, class, root, large) of classes (class, root, n, left, right) that share a table key with one of another root."""
     own = ("class", "root", "n")
-    if every:
-        pairs = classes.select(*own, "left", F.posexplode("right").alias("j", "r")).select(*own, "j", "r", F.posexplode("left").alias("i", "l"))
-    else:
-        pairs = classes.select(*own, F.posexplode(F.arrays_zip("left", "right")).alias("i", "s"))
-        pairs = pairs.select(*own, F.col("i").alias("j"), F.col("s.right").alias("r"), "i", F.col("s.left").alias("l"))
+    pairs = classes.select(*own, "left", F.posexplode("right").alias("j", "r")).select(*own, "j", "r", F.posexplode("left").alias("i", "l"))
     keys = pairs.select(F.xxhash64("i", "l", "j", "r").alias("key"), *own)
     # Sorting by key and class lets a key with very many classes spread over partitions.
     ordered = keys.repartitionByRange("key", "class").sortWithinPartitions("key", "class")
@@ -372,16 +367,13 @@ def near_classes(docs: DataFrame, width: int, percent: int, bands: int, rows: in
     sets = _sets_of(docs, classes, seen, width)
     found = _verified(pairs, sets, percent)
     roots = _merged(None, found) if found.limit(1).count() else None
-    # What is left in the buckets of the same tables, and then of all.
-    for every in (False, True):
-        rooted = classes.join(small(roots, 32), "class", "left") if roots is not None else classes.withColumn("root", F.lit(None).cast("long"))
-        rooted = rooted.withColumn("root", F.coalesce("root", "class"))
-        open_ = write_out(_buckets(rooted, every), "open")
-        more = write_out(open_.select("class").distinct().join(small(seen, 16), "class", "left_anti"), "more")
-        seen, sets = seen.union(more), sets.union(_sets_of(docs, classes, more, width))
-        links = _links(open_, sets, percent)
-        if links.limit(1).count():
-            roots = _merged(roots, links)
+    # What is left in the buckets of all tables.
+    rooted = classes.join(small(roots, 32), "class", "left") if roots is not None else classes.withColumn("root", F.lit(None).cast("long"))
+    open_ = write_out(_buckets(rooted.withColumn("root", F.coalesce("root", "class"))), "open")
+    more = write_out(open_.select("class").distinct().join(small(seen, 16), "class", "left_anti"), "more")
+    links = _links(open_, sets.union(_sets_of(docs, classes, more, width)), percent)
+    if links.limit(1).count():
+        roots = _merged(roots, links)
     if roots is None:
         groups = classes.select("class", F.col("first_id").alias("component_id"), F.col("class").alias("root"), "size")
     else:

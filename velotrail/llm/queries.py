@@ -58,7 +58,7 @@ def op4_token_files(spark, sf_dir):
 
 @query
 def op5_packing(spark, sf_dir):
-    return pack(documents(spark, sf_dir)).drop("ids", "step_id")
+    return pack(documents(spark, sf_dir)).drop("ids")
 
 
 @query

@@ -113,7 +113,10 @@ def hilbert_shards(rows: DataFrame, dims: list[str], ties: list[str], shards: in
 
 
 def write_shards(docs: DataFrame, path: str, dims: list[str], ties: list[str], shards: int = 24, bits: int = BITS) -> None:
-    """Write whole rows as one folder for each shard, each sorted along the curve."""
+    """Write whole rows as one folder for each shard, each sorted along the curve.
+
+    Columns named shard or slot are left out; whatever other names and nulls there are stay.  An empty table gives no files.
+    """
     own = [c for c in docs.columns if c not in ("shard", "slot")]
     placed = hilbert_shards(docs, dims, ties, shards, bits=bits)
     placed.repartitionByRange(shards, "shard", "slot").sortWithinPartitions("shard", "slot").select(*own, "shard").write.partitionBy("shard").parquet(path)
