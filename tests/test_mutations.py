@@ -8,11 +8,12 @@ import sys
 import pytest
 from pyspark.sql import functions as F
 
-from helpers import rows
+from helpers import plan, rows
 from velotrail.operators import cells as ops
 from velotrail.operators import checks as chk
 from velotrail.operators import mutations as mut
 from velotrail.plans import skew
+from velotrail.plans.scratch import write_out
 
 SCHEMA = "row_key string, family string, qualifier string, ts bigint, value string"
 CELL = "row_key string, family string, qualifier string"
@@ -219,6 +220,23 @@ def test_check_and_put_and_delete(spark, size):
     assert rows(after, "row_key", "family") == [("q", "f"), ("r", "f")]
 
 
+@pytest.mark.parametrize("result", ["cells", "outcome"])
+def test_many_checks_are_not_broadcast(spark, monkeypatch, tmp_path, result):
+    """With more rows than is_small allows, no step leaves it to Spark's guess of a table's size."""
+    monkeypatch.setattr(skew, "SMALL_ROWS", 2)
+    written = []
+    monkeypatch.setattr(chk, "write_out", lambda df, label: (written.append(df), write_out(df, label))[1])
+    table = frame(spark, {(k, "f", "a", 10): k for k in "pqrs"})
+    puts = spark.createDataFrame([(i, "pqrs"[i % 4], "f", "a", "pqrs"[i % 4] if i < 4 else "new", "f", "a", "new") for i in range(8)],
+                                 "seq bigint, " + CELL + ", expected string, put_family string, put_qualifier string, put_value string")
+    puts.write.parquet(str(tmp_path / "puts"))
+    both = chk.check_and_put(table, spark.read.parquet(str(tmp_path / "puts")), NOW)
+    assert rows(both[1], "seq", "passed") == [(i, True) for i in range(8)]
+    assert rows(both[0].filter(f"ts = {NOW}"), "row_key", "value") == [(k, "new") for k in "pqrs"]
+    for df in [both[0]] if result == "cells" else written:
+        assert "BroadcastExchange" not in plan(df)
+
+
 def test_workers_need_no_copy_of_the_package(tmp_path):
     from pyspark import cloudpickle
 

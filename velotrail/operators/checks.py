@@ -22,7 +22,7 @@ from velotrail.operators import chains as long_chains
 from velotrail.operators.cells import CELL, newest, restrict
 from velotrail.operators.mutations import ROW_FAMILY, mutate_rows
 from velotrail.plans.scratch import write_out
-from velotrail.plans.skew import is_small, skew_join
+from velotrail.plans.skew import is_small, shuffled, skew_join
 
 OPS = ("<", "<=", "=", "<>", ">=", ">", "exists")
 
@@ -60,7 +60,7 @@ def check_and_mutate(
     # Written once: the answers decide both results and must not be worked out twice.
     outcome = write_out(_outcome(cells, checks, mutations, small), "outcome")
     passed = outcome.filter("passed").select(F.col("seq").alias("_check"), "row_key")
-    applied = mutations.withColumnRenamed("seq", "_check").join(passed, "_check").withColumn(
+    applied = mutations.withColumnRenamed("seq", "_check").join(shuffled(passed, small), "_check").withColumn(
         "seq", F.struct("_check", "step")
     )
     latest = restrict(cells, checks, ["row_key"], small).agg(F.max("ts")).first()[0]
@@ -78,7 +78,7 @@ def _outcome(cells: DataFrame, checks: DataFrame, mutations: DataFrame, small: b
         F.coalesce("steps", F.array().cast(f"array<{_STEP}>")),
         lambda s: s["family"].eqNullSafe(F.col("family")) & s["qualifier"].eqNullSafe(F.col("qualifier")),
     )
-    asked = checks.join(steps, "seq", "left").withColumn("_own", own)
+    asked = checks.join(shuffled(steps, small), "seq", "left").withColumn("_own", own)
     per_cell = asked.groupBy(*CELL).agg(F.count(F.lit(1)).alias("_cell_n"), F.min("_own").alias("_cell_own"))
     per_row = per_cell.groupBy("row_key").agg(F.sum("_cell_n").alias("_row_n"), F.min("_cell_own").alias("_row_own"))
     chains = skew_join(per_cell, per_row, ["row_key"], small_side=small).select(
@@ -89,9 +89,10 @@ def _outcome(cells: DataFrame, checks: DataFrame, mutations: DataFrame, small: b
     )
     stored = newest(restrict(cells, checks, CELL, small)).select(*CELL, F.col("value").alias("_stored"))
     # One row per checked cell: its chain and its value before the checks.
-    states = chains.join(stored, CELL, "left")
-    # Stored values may be of any length, so it is left to Spark whether to broadcast them.
-    sized = skew_join(asked.drop("_own"), states, CELL, small_side=False, skewed=not small)
+    states = chains.join(shuffled(stored, small), CELL, "left")
+    # Stored values may be of any length, so with few checks it is left to Spark whether to broadcast them.
+    sized = asked.drop("_own")
+    sized = sized.join(states, CELL) if small else skew_join(sized, states, CELL, small_side=False)
 
     passed = holds(F.col("_stored"), F.col("op"), F.col("expected")).alias("passed")
     single = sized.filter(F.col("_length") == 1).select("seq", "row_key", passed)
@@ -99,7 +100,7 @@ def _outcome(cells: DataFrame, checks: DataFrame, mutations: DataFrame, small: b
     answers = single.unionByName(free.filter("_free").select("seq", "row_key", "passed"))
 
     # Chains that have checks to run, with the changes of the answered ones.
-    open_ = free.filter(~F.col("_free")).select(*_CHAIN).distinct()
+    open_ = shuffled(free.filter(~F.col("_free")).select(*_CHAIN).distinct(), small)
     acts = free.filter(~F.col("_free") | (F.col("passed") & (F.size("steps") > 0))).join(open_, _CHAIN, "left_semi")
     steps_type = f"array<{_STEP}>"
     before = states.filter((F.col("_length") > 1) & F.col("_stored").isNotNull()).join(open_, _CHAIN, "left_semi").select(

@@ -80,6 +80,15 @@ def is_small(df: DataFrame) -> bool:
     return n <= SMALL_ROWS and (size or 0) <= SMALL_BYTES
 
 
+def shuffled(df: DataFrame, small: bool = False) -> DataFrame:
+    """``df`` for the right side of a join: shuffled unless it is ``small``.
+
+    Spark guesses sizes from compressed files and knows nothing of rows that are made after reading, so
+    without a hint it would broadcast a table of any size through the driver.
+    """
+    return df if small else df.hint("merge")
+
+
 def skew_join(
     big: DataFrame,
     small: DataFrame,
@@ -103,7 +112,7 @@ def skew_join(
         return big.join(F.broadcast(small), keys, how)
     hot = hot_keys(big, keys, hot_rows) if skewed else None
     if hot is None:
-        return big.join(small, keys, how)
+        return big.join(shuffled(small), keys, how)
     rest = [c for c in big.columns if c not in keys] or keys
     salted = flag_hot(big, keys, hot, pieces=True).withColumn(
         _SALT, F.when(F.col(_HOT), F.pmod(F.xxhash64(*rest), F.col(PIECES))).otherwise(F.lit(0).cast("bigint"))
@@ -115,7 +124,7 @@ def skew_join(
             .otherwise(F.array(F.lit(0).cast("bigint")))
         ),
     ).drop(_HOT, PIECES)
-    return salted.join(copies, [*keys, _SALT], how).drop(_SALT)
+    return salted.join(shuffled(copies), [*keys, _SALT], how).drop(_SALT)
 
 
 def match(
