@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from velotrail.functions.text import whole_parts
 from velotrail.operators.cells import CELL, CELLS, VERSION, newest, restrict, versions
 from velotrail.plans.ranks import group_rank
-from velotrail.plans.skew import is_small, skew_join
+from velotrail.plans.skew import is_small, shuffled, skew_join
 
 ROW_FAMILY = ["row_key", "family"]
 CHUNK = 1000
@@ -85,7 +85,7 @@ def increment_cells(cells: DataFrame, increments: DataFrame, now_ms: int) -> tup
     number = F.col("_old").try_cast("bigint")
     bad = F.raise_error(F.concat(F.lit("no counter: "), F.col("_old"))).cast("bigint")
     old = F.when(F.col("_old").isNull(), F.lit(0).cast("bigint")).when(number.isNull(), bad).otherwise(number)
-    new = sums.join(stored, CELL, "left").select(
+    new = sums.join(shuffled(stored, small), CELL, "left").select(
         *CELL, _not_before(now_ms), (old + F.col("_sum")).cast("string").alias("value")
     )
     return upsert(cells, new, small), new.select(*CELL, F.col("value").cast("bigint").alias("value"))
@@ -108,7 +108,7 @@ def append_cells(
     added = joined_values(appends, chunk)
     small = is_small(appends)
     stored = newest(restrict(cells, appends, CELL, small)).select(*CELL, F.col("ts").alias("_at"), F.col("value").alias("_old"))
-    new = added.join(stored, CELL, "left").select(
+    new = added.join(shuffled(stored, small), CELL, "left").select(
         *CELL, _not_before(now_ms),
         F.concat(F.coalesce("_old", F.lit("")), "_added").alias("value"),
     )

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from velotrail.operators.history import bucket_of
-from velotrail.plans.skew import is_small
+from velotrail.plans.skew import is_small, shuffled
 
 #: Runs of single calls; their one batch is complete once it is there.
 CALL = "call-"
@@ -134,4 +134,4 @@ def only(rows: DataFrame, ids: DataFrame, key: str, buckets: int) -> DataFrame:
     asked = ids.select(key).distinct().withColumn("bucket", bucket_of(F.col(key), buckets))
     # Spark prunes partitions at run time only if the other side has a comparison.
     asked = asked.filter(F.col("bucket") < buckets)
-    return rows.join(F.broadcast(asked) if is_small(asked) else asked, ["bucket", key], "left_semi").select(*rows.columns)
+    return rows.join(F.broadcast(asked) if is_small(asked) else shuffled(asked), ["bucket", key], "left_semi").select(*rows.columns)
