@@ -3,9 +3,11 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from helpers import plan, rows
 from velotrail.operators import mutations as mut
+from velotrail.plans import skew
 from velotrail.sources import cell_table as ct
 
 CELLS = "row_key string, family string, qualifier string, ts bigint, value string"
@@ -159,3 +161,19 @@ def test_requested_rows_open_their_buckets_only(spark, tmp_path):
     found = ct.read_cells(spark, path, keys=keys, buckets=8)
     assert [r.row_key for r in found.collect()] == ["k7"]
     assert "dynamicpruning" in plan(found)
+
+
+def test_typed_deletes_are_worked_out_once_and_hot_keys_found_without_resolving(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(skew, "SMALL_ROWS", 0)
+    path, read = str(tmp_path / "t"), spark.sparkContext.accumulator(0)
+    kind = F.udf(lambda x: (read.add(1), x)[1], "string").asNondeterministic()
+    cells = spark.createDataFrame([("r", "f", "a", 1, "x"), ("r", "f", "a", 2, "y"), ("s", "f", "a", 1, "z"), ("t", "g", "b", 1, "w")], CELLS)
+    deletes = spark.createDataFrame([("r", "f", "a", None, "column"), ("s", None, None, 5, "row"), ("t", "g", None, 0, "family")],
+                                    "row_key string, family string, qualifier string, ts bigint, kind string")
+    ct.write_puts(cells, path, 9, "r", 0, buckets=2)
+    ct.write_deletes(deletes.withColumn("kind", kind("kind")), path, None, "r", 1, buckets=2)
+    assert read.value == 3
+    counted, real = [], skew.hot_keys
+    monkeypatch.setattr(skew, "hot_keys", lambda df, *args: (counted.append(df), real(df, *args))[1])
+    assert rows(ct.read_cells(spark, path), "row_key", "ts") == [("r", 1), ("t", 1)]
+    assert counted and not any("Aggregate" in plan(df) for df in counted)

@@ -97,20 +97,22 @@ def skew_join(
     small_side: bool | None = None,
     skewed: bool = True,
     hot_rows: int | None = None,
+    count_in: DataFrame | None = None,
 ) -> DataFrame:
     """``big JOIN small`` on ``keys`` where ``big`` (the left side) may have hot keys.
 
     ``how`` is any of inner, left, left_semi, left_anti: a left row meets exactly one copy of
     the right side, so splitting the left side does not change the result.  ``small_side`` is
     the answer of ``is_small`` if the caller has it; ``skewed=False`` says that ``keys`` are
-    unique on the left, so there is nothing to measure.
+    unique on the left, so there is nothing to measure.  ``count_in`` is a frame with the same keys that is cheaper to
+    count than ``big`` and has no fewer rows of a key.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join: {how}")
     keys = list(keys)
     if is_small(small) if small_side is None else small_side:
         return big.join(F.broadcast(small), keys, how)
-    hot = hot_keys(big, keys, hot_rows) if skewed else None
+    hot = hot_keys(big if count_in is None else count_in, keys, hot_rows) if skewed else None
     if hot is None:
         return big.join(shuffled(small), keys, how)
     rest = [c for c in big.columns if c not in keys] or keys

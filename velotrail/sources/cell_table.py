@@ -30,7 +30,8 @@ from velotrail.operators.history import bucket_of
 from velotrail.operators.mutations import (
     CHUNK, DELETE_KINDS, ROW_FAMILY, expire_ttl, folded_mutations, joined_values, retain_versions, stamped_puts, summed,
 )
-from velotrail.plans.skew import is_small, skew_join, top_n
+from velotrail.plans.scratch import write_out
+from velotrail.plans.skew import is_small, shuffled, skew_join, top_n
 from velotrail.sources.log import BATCH_SCHEMA, CALL, Log, Snapshot, new_run, only, stored
 
 # The fold travels to the workers as code, so that executors need not have this package installed.
@@ -95,6 +96,8 @@ def write_deletes(
     deletes: DataFrame, path: str, now_ms: int | None = None, run: str | None = None, batch_id: int | None = None, buckets: int = BUCKETS
 ) -> bool:
     """Deletes of a ``kind`` as for ``delete_typed``; the newest version of a cell is that before the batch."""
+    # Every kind reads them, so they are worked out once.
+    deletes = write_out(deletes.select(*[F.col(c).cast("string") for c in CELL], F.col("ts").cast("bigint"), "kind"), "deletes")
     strange = deletes.filter(~F.coalesce(F.col("kind").isin(*DELETE_KINDS), F.lit(False))).select("kind").first()
     if strange:
         raise ValueError(f"unknown kind of delete: {strange.kind}")
@@ -238,19 +241,22 @@ def _resolved(log: Log, now: Snapshot, part: _Part) -> DataFrame:
     if added.limit(1).count():
         puts = puts.unionByName(_worked_out(puts, marks if marked else None, added))
     best = puts.groupBy(*VERSION).agg(F.max(F.struct(*ORDER, "value")).alias("_put"))
-    return _unhidden(best, marks).select(*VERSION, F.col("_put.value").alias("value")) if marked else best.select(*VERSION, F.col("_put.value").alias("value"))
+    return _unhidden(best, marks, puts).select(*VERSION, F.col("_put.value").alias("value")) if marked else best.select(*VERSION, F.col("_put.value").alias("value"))
 
 
 def _when(rows: str | None = None) -> Column:
     return F.struct(*[F.col(f"{rows}.{c}" if rows else c) for c in ORDER])
 
 
-def _unhidden(best: DataFrame, marks: DataFrame) -> DataFrame:
-    """Versions that no later mark hides.  A key's marks are one row: one mark for each batch since the last copy."""
+def _unhidden(best: DataFrame, marks: DataFrame, puts: DataFrame) -> DataFrame:
+    """Versions that no later mark hides.  A key's marks are one row: one mark for each batch since the last copy.
+
+    Hot keys are looked for in ``puts``, which ``best`` was made of: that only reads keys.
+    """
     out = best
     for kind, keys in _SCOPES.items():
         own = marks.filter(F.col("kind") == kind).groupBy(*keys).agg(F.collect_list(F.struct(_when().alias("when"), "ts")).alias("_marks"))
-        met = skew_join(out, own, keys, "left")
+        met = skew_join(out, own, keys, "left", count_in=puts)
         hidden = F.exists("_marks", lambda m: (m["ts"] >= F.col("ts")) & (m["when"] > _when("_put")))
         out = met.filter(~F.coalesce(hidden, F.lit(False))).drop("_marks")
     exact = marks.filter("kind = 'column'").groupBy(*VERSION).agg(F.max(_when()).alias("_mark"))
@@ -272,7 +278,7 @@ def _worked_out(puts: DataFrame, marks: DataFrame | None, added: DataFrame) -> D
         for kind, keys in {**_SCOPES, "column": CELL}.items():
             own = marks.filter(F.col("kind") == kind)
             met = skew_join(cells, own.select(*keys, "ts", *ORDER), keys, skewed=False) if keys == CELL else own.select(
-                *keys, "ts", *ORDER).join(cells, keys)
+                *keys, "ts", *ORDER).join(shuffled(cells, small), keys)
             met = met.select(*VERSION, F.lit(None).cast("string").alias("value"), F.lit(kind).alias("kind"), *ORDER)
             wide = met if wide is None else wide.unionByName(met)
         events = events.unionByName(wide)
