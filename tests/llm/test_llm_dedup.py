@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 from brute import FOLD, TEXTS, empty, frame, keep_lines, near, rows, sha, shingles
 
@@ -126,6 +127,48 @@ def test_near_template_families_have_few_candidates(spark, monkeypatch):
     assert len(met) == 2 and met[1] < 800 and met[0] < 800 * 14 * 2
 
 
+def test_near_sketches_rule_out_no_link():
+    rng = random.Random(6)
+    number = lambda: rng.randrange(1 << 63)
+    base, sets = [number() for _ in range(300)], [[], [number()], [number() for _ in range(33)], [number() for _ in range(2000)]]
+    sets += [base[k:] + [number() for _ in range(k // 2)] for k in range(0, 120, 8)]
+    value, at = np.array([x for own in sets for x in sorted(own)], np.uint64), np.cumsum([0, *map(len, sets)])
+    sketches, passed = near_module._sketches(value, at).to_pylist(), 0
+    for k, a in enumerate(sets):
+        for m, b in enumerate(sets[:k]):
+            both = len(set(a) & set(b))
+            ok = near_module._may_link(80, [0, 1], [0, 1], [len(a), len(b)], [sketches[k], sketches[m]]).all()
+            similar = 100 * both >= 80 * (len(a) + len(b) - both) > 0
+            assert ok or not similar
+            assert not ok or 100 * both >= 70 * (len(a) + len(b) - both)
+            passed += similar
+    assert passed > 15
+    assert not near_module._may_link(80, [0, 1], [0, 0], [300, 300], [sketches[4]] * 2).any()
+
+
+def test_near_candidates_of_a_large_group_are_few(spark, monkeypatch):
+    """A group of near copies is compared with few ends of its buckets, and its sets meet where sketches leave a link open."""
+    met, verified, left, links = [], near_module._verified, [], near_module._links
+    monkeypatch.setattr(near_module, "_verified", lambda pairs, sets, percent: met.append(pairs.count()) or verified(pairs, sets, percent))
+    monkeypatch.setattr(near_module, "_links", lambda open_, sets, percent: left.append(open_.count()) or links(open_, sets, percent))
+    rng = random.Random(8)
+    word = lambda: f"v{rng.randrange(10**6)}"
+    group, template, data = [word() for _ in range(80)], [f"t{k}" for k in range(100)], []
+    for k in range(200):
+        text = list(group)
+        for at in rng.sample(range(80), 3):
+            text[at] = word()
+        data.append((k, " ".join(text), None, None, 0))
+    for k in range(200, 300):
+        text = list(template)
+        for _ in range(40):
+            text.insert(rng.randrange(len(text)), word())
+        data.append((k, " ".join(text), None, None, 0))
+    got = {r.doc_id: r.component_id for r in near_dedup(frame(spark, data), 1).collect()}
+    assert got == near(data, 1, 80)
+    assert met[0] <= near_module.NEAREST * len(data) and left[0] < 100
+
+
 def test_near_stage_keeps_one_of_each_group(spark):
     data = rows()
     kept = without_near_copies(frame(spark, data))

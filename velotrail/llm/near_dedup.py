@@ -6,15 +6,19 @@ table unless one collection fails, with probability about 2 * (1 - J**ROWS) ** B
 
 Texts with equal sets form a class, and only classes take part.  Classes that share a key form a bucket; its members are not
 paired with one another.  First come the tables whose two sub-signatures have the same number, BANDS of them: there all meet the
-first and the last class of their bucket, by one of some orders, which joins groups of near copies.  Members of one component
-need no further test, so of all tables only buckets with several components are left.  A bucket of up to BLOCK members streams
-through one task, which compares the full sets of members of different components and lets out only links that join two of them.
+first and the last class of their bucket, by one of some orders, and each is compared with those that it meets most often, which
+joins groups of near copies.  Members of one component need no further test, so of all tables only buckets with several
+components are left.  A bucket of up to BLOCK members streams through one task twice.  First with a sketch of each set, the parity
+of the number of its shingles in each of some slots: two sketches differ in no more bits than the sets differ in shingles, so
+members whose sketches differ too much from all of other components go, and no link with them.  Then the task compares the full sets
+of members of different components that are left and lets out only links that join two of them.
 
 The members of larger buckets meet by shared shingles.  All shingles are ordered, rare ones first (by a table of counts of fixed
 size: any fixed order gives the same links).  Two similar sets have their first common shingle so early that what lies behind it
 is still long enough, in both, for the sets' sizes.  A set is filed under the shingles up to there, for each band of sizes that a
 partner may have, and looked up likewise; so texts made from one template, which share much but not enough, have few keys
-in common.  These pairs are confirmed on the full sets, too.  No pair in a bucket is lost.
+in common.  Small sketches of the sets lie in the rows that meet and rule out most of what is not similar.  These pairs are
+confirmed on the full sets, too.  No pair in a bucket is lost.
 """
 
 from __future__ import annotations
@@ -30,7 +34,9 @@ from velotrail.llm.tables import components, join_groups, map_batches, small, wr
 WIDTH, PERCENT, BANDS, ROWS = 2, 80, 14, 3
 #: Orders by which buckets have a first and a last class.
 ORDERS = 4
-CLASS = "doc_id long, row long, class long, n_shingles long, left array<long>, right array<long>"
+#: Ends of buckets that a class is compared with at most, before all tables are looked at.
+NEAREST = 2
+CLASS = "doc_id long, row long, class long, n_shingles long, left array<long>, right array<long>, sketch binary"
 
 
 def class_of(value: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -57,6 +63,28 @@ def mix_light(x: np.ndarray, salt, factor) -> np.ndarray:
     return x ^ (x >> U64(32))
 
 
+def _sketch_words(n: np.ndarray) -> np.ndarray:
+    """64-bit words of the sketch of a set of n shingles: bits are a power of two from 2 * n on."""
+    return 1 << np.ceil(np.log2(np.maximum(n, 32) / 32)).astype(np.int64)
+
+
+def _sketches(value: np.ndarray, at: np.ndarray) -> pa.Array:
+    """Parity of the number of shingles in each slot; half of the slots is the sketch of half the size, if its halves are xored."""
+    n = np.diff(at)
+    words = _sketch_words(n)
+    begin = np.concatenate([[0], np.cumsum(words)])
+    slot = np.repeat(64 * begin[:-1], n) + (value & np.repeat(64 * words - 1, n).astype(U64)).view(np.int64)
+    bits = np.zeros(64 * int(begin[-1]), np.uint8)
+    np.add.at(bits, slot, np.uint8(1))
+    bits &= 1
+    edges = pa.py_buffer((8 * begin).astype(np.int32))
+    return pa.Array.from_buffers(pa.binary(), len(n), [None, edges, pa.py_buffer(np.packbits(bits, bitorder="little"))])
+
+
+def _folded(sketch: np.ndarray, words: int) -> np.ndarray:
+    return np.bitwise_xor.reduce(sketch.reshape(-1, words), axis=0)
+
+
 def _classes(width: int, bands: int, rows: int):
     def run(batches):
         for batch in batches:
@@ -68,7 +96,7 @@ def _classes(width: int, bands: int, rows: int):
                 sides = [pa.ListArray.from_arrays(edges, pa.array(signed(side.ravel()))) for side in sides]
                 yield pa.RecordBatch.from_arrays(
                     [*(c.slice(begin, end - begin) for c in batch.columns[:2]), pa.array(signed(class_of(value, at)), mask=(n == 0)),
-                     pa.array(n.astype(np.int64)), *sides], ["doc_id", "row", "class", "n_shingles", "left", "right"])
+                     pa.array(n.astype(np.int64)), *sides, _sketches(value, at)], ["doc_id", "row", "class", "n_shingles", "left", "right", "sketch"])
 
     return run
 
@@ -141,7 +169,7 @@ def _similar(percent: int):
 
 
 def _pivot_pairs(classes: DataFrame, percent: int) -> DataFrame:
-    """(a, b) of classes and the first and last class of their buckets, in the tables of like-numbered sub-signatures."""
+    """(a, b) of classes and first or last classes of their buckets in the tables of like-numbered sub-signatures: the NEAREST most often met."""
     keys = classes.select("class", "n", F.posexplode(F.arrays_zip("left", "right")).alias("i", "s"))
     # In some orders, so that a class meets several others of a large group, and not the same in all tables.
     keys = keys.select(F.xxhash64("i", "s.left", "s.right").alias("key"), F.xxhash64("class", F.col("i") % ORDERS).alias("place"), "class", "n")
@@ -149,7 +177,11 @@ def _pivot_pairs(classes: DataFrame, percent: int) -> DataFrame:
     ends = keys.groupBy("key").agg(F.array_distinct(F.array(F.min(own), F.max(own))).alias("ends")).filter(F.size("ends") > 1)
     met = keys.join(ends.select("key", F.explode("ends").alias("end")), "key")
     near = (F.col("class") != F.col("end.class")) & (100 * F.least("n", "end.n") >= percent * F.greatest("n", "end.n"))
-    return met.filter(near).select(F.least("class", "end.class").alias("a"), F.greatest("class", "end.class").alias("b")).distinct()
+    often = met.filter(near).groupBy("class", F.col("end.class").alias("end")).agg((-F.count("*")).alias("rank"))
+    # Of ends met as often as others all take the same, so that groups hang together.
+    ends = F.sort_array(F.collect_list(F.struct("rank", F.xxhash64("end").alias("place"), "end")))
+    met = often.groupBy("class").agg(F.slice(ends, 1, NEAREST).alias("ends")).select("class", F.explode("ends.end").alias("end"))
+    return met.select(F.least("class", "end").alias("a"), F.greatest("class", "end").alias("b")).distinct()
 
 
 def _buckets(classes: DataFrame) -> DataFrame:
@@ -230,6 +262,58 @@ class _Block:
             may[k] = True
 
 
+def _may_link(percent: int, members: list[int], roots: list[int], sizes: list[int], sketches: list[bytes]) -> np.ndarray:
+    """Which members of a bucket may be similar to one of another root; all that are, are among them."""
+    root, size, out = np.array(roots), np.array(sizes, np.int64), np.zeros(len(members), dtype=bool)
+    own = [np.frombuffer(x, U64) for x in sketches]
+    words = np.array([len(x) for x in own])
+    for n in np.unique(words):
+        there = np.flatnonzero(words >= n)  # the smaller sketch decides
+        folded = np.stack([_folded(own[k], n) for k in there])
+        for k in np.flatnonzero(words == n):
+            need = overlap(percent, size[there], size[k])
+            apart = size[there] + size[k] - 2 * need
+            ok = (root[there] != root[k]) & (need <= np.minimum(size[there], size[k]))
+            ok[ok] = np.bitwise_count(folded[ok] ^ _folded(own[k], n)).sum(axis=1) <= apart[ok]
+            if ok.any():
+                out[k] = out[there[ok]] = True
+    return out
+
+
+def _sketched(percent: int):
+    """Rows (bucket, class, root, n, sketch) sorted by bucket: (bucket, class, root) of those that may be similar to one of another root."""
+
+    def left(bucket, held):
+        ok = np.flatnonzero(_may_link(percent, *held))
+        return [(bucket, held[0][k], held[1][k]) for k in ok]
+
+    def run(batches):
+        now, held = None, ([], [], [], [])
+        for batch in batches:
+            out = []
+            for bucket, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if bucket != now:
+                    out += left(now, held)
+                    now, held = bucket, ([], [], [], [])
+                for column, value in zip(held, row, strict=True):
+                    column.append(value)
+            yield _rows_of(out)
+        yield _rows_of(left(now, held))
+
+    return run
+
+
+def _rows_of(out: list[tuple[int, int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([row[k] for row in out], pa.int64()) for k in range(3)], ["bucket", "class", "root"])
+
+
+def _may_differ(open_: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """``open_`` without members of small buckets whose sketches rule out a link with a member of another root."""
+    rest = open_.filter("not large").join(classes.select("class", "n", "sketch"), "class").select("bucket", "class", "root", "n", "sketch")
+    left = map_batches(rest.repartition("bucket").sortWithinPartitions("bucket", "class"), _sketched(percent), "bucket long, class long, root long")
+    return left.withColumn("large", F.lit(False)).union(open_.filter("large"))
+
+
 def _meet(percent: int):
     """Rows (bucket, class, root, set) sorted by bucket: links that join components."""
 
@@ -255,6 +339,8 @@ def _meet(percent: int):
 
 #: Slots of the table of counts that orders shingles, and how much larger the next band of sizes is.
 SLOTS, STEP = 1 << 20, 1.05
+#: 64-bit words of the sketch that is filed under each key.
+FILED = 8
 
 
 def _slot(shingles: np.ndarray) -> np.ndarray:
@@ -284,7 +370,7 @@ def overlap(percent: int, a, b):
 
 
 def _filed(percent: int, counts, short: bool):
-    """Rows (class, root, set): a key for each early shingle and band of partner sizes; ``rest`` is what lies from the shingle on.
+    """Rows (class, root, set): a key for each early shingle and band of partner sizes; ``rest`` is what lies from the shingle on, s0 and so on a sketch.
 
     ``short``: the partner is as large or larger, else as large or smaller.
     """
@@ -309,9 +395,12 @@ def _filed(percent: int, counts, short: bool):
                     rests.append(n - np.arange(n - need + 1))
                 key = signed(np.concatenate(keys)) if keys else np.zeros(0, np.int64)
                 k = len(key)
+                bits = (np.bincount((own & U64(64 * FILED - 1)).view(np.int64), minlength=64 * FILED) & 1).astype(np.uint8)
+                sketch = np.packbits(bits, bitorder="little").view(np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(key), pa.array(np.full(k, member, np.int64)), pa.array(np.full(k, root, np.int64)), pa.array(np.full(k, n, np.int32)),
-                     pa.array((np.concatenate(rests) if rests else np.zeros(0, np.int64)).astype(np.int32))], ["key", "class", "root", "n", "rest"])
+                     pa.array((np.concatenate(rests) if rests else np.zeros(0, np.int64)).astype(np.int32)),
+                     *[pa.array(np.full(k, word)) for word in sketch]], ["key", "class", "root", "n", "rest", *[f"s{w}" for w in range(FILED)]])
 
     return run
 
@@ -323,13 +412,14 @@ def _by_shingles(members: DataFrame, percent: int) -> DataFrame:
     table = np.zeros(SLOTS, np.int64)
     table[counts["slot"].to_numpy()] = counts["n"].to_numpy()
     shared = spark.sparkContext.broadcast(table)  # 8 MB, whatever the data
-    made = "key long, class long, root long, n int, rest int"
+    made = ", ".join(["key long, class long, root long, n int, rest int", *[f"s{w} long" for w in range(FILED)]])
     short, long_ = (map_batches(members.select("class", "root", "set"), _filed(percent, shared, side), made) for side in (True, False))
-    short = short.toDF("key", "a", "a_root", "a_n", "a_rest")
-    long_ = long_.toDF("key", "b", "b_root", "b_n", "b_rest")
+    short = short.toDF("key", "a", "a_root", "a_n", "a_rest", *[f"a_s{w}" for w in range(FILED)])
+    long_ = long_.toDF("key", "b", "b_root", "b_n", "b_rest", *[f"b_s{w}" for w in range(FILED)])
     need = F.ceil(percent * (F.col("a_n") + F.col("b_n")) / (100 + percent))
     apart = (F.col("a_root") != F.col("b_root")) & (F.struct("a_n", "a") < F.struct(F.col("b_n").alias("a_n"), F.col("b").alias("a")))
-    met = short.join(long_, "key").filter(apart & (F.least("a_rest", "b_rest") >= need))
+    differ = sum((F.bit_count(F.col(f"a_s{w}").bitwiseXOR(F.col(f"b_s{w}"))) for w in range(1, FILED)), F.bit_count(F.col("a_s0").bitwiseXOR(F.col("b_s0"))))
+    met = short.join(long_, "key").filter(apart & (F.least("a_rest", "b_rest") >= need) & (differ <= F.col("a_n") + F.col("b_n") - 2 * need))
     return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
@@ -360,7 +450,7 @@ def near_classes(docs: DataFrame, width: int, percent: int, bands: int, rows: in
     members = write_out(map_batches(docs, _classes(width, bands, rows), CLASS), "near-classes")
     classes = write_out(members.filter("class IS NOT NULL").groupBy("class").agg(
         F.min("doc_id").alias("first_id"), F.count("*").alias("size"), F.first("n_shingles").alias("n"),
-        F.first("left").alias("left"), F.first("right").alias("right")), "classes")
+        F.first("left").alias("left"), F.first("right").alias("right"), F.first("sketch").alias("sketch")), "classes")
     # Groups of near copies, by the ends of buckets.
     pairs = write_out(_pivot_pairs(classes, percent), "pairs")
     seen = write_out(pairs.select(F.col("a").alias("class")).union(pairs.select("b")).distinct(), "seen")
@@ -370,6 +460,7 @@ def near_classes(docs: DataFrame, width: int, percent: int, bands: int, rows: in
     # What is left in the buckets of all tables.
     rooted = classes.join(small(roots, 32), "class", "left") if roots is not None else classes.withColumn("root", F.lit(None).cast("long"))
     open_ = write_out(_buckets(rooted.withColumn("root", F.coalesce("root", "class"))), "open")
+    open_ = write_out(_may_differ(open_, classes, percent), "open")
     more = write_out(open_.select("class").distinct().join(small(seen, 16), "class", "left_anti"), "more")
     links = _links(open_, sets.union(_sets_of(docs, classes, more, width)), percent)
     if links.limit(1).count():
