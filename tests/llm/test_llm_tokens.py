@@ -3,9 +3,11 @@ import zlib
 from array import array
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 from brute import LONG, empty, frame, rows
 
+from velotrail.llm import packing as packing_module
 from velotrail.llm.packing import pack
 from velotrail.llm.token_files import read_token_files, token_checksums, write_token_files
 from velotrail.llm.tokens import Encoder, default_tokenizer
@@ -127,5 +129,18 @@ def test_steps_have_like_costs(spark):
     assert max(full) < 1.6 * min(full)
 
 
+def test_packing_gives_memory_back_with_each_batch(monkeypatch):
+    """A task's memory does not stay at what its largest batch took."""
+    class Task:
+        get, partitionId = staticmethod(lambda: Task), staticmethod(lambda: 0)
+
+    given = []
+    monkeypatch.setattr(packing_module, "TaskContext", Task)
+    monkeypatch.setattr(packing_module, "give_back", lambda: given.append(1))
+    batches = [pa.RecordBatch.from_arrays([pa.array([k]), pa.array(["some words here"])], ["doc_id", "text"]) for k in range(5)]
+    packed = list(packing_module._pack(default_tokenizer(), 1, packing_module.TIERS, 4, 16)(batches))
+    assert len(given) == 5 and {x for out in packed for x in out.column(0).to_pylist()} == set(range(5))
+
+
 def test_packing_of_an_empty_table(spark):
     assert pack(empty(spark)).count() == 0

@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from velotrail.llm.tables import map_batches
+from velotrail.llm.tables import give_back, map_batches
 from velotrail.llm.tokens import default_tokenizer, encoder
 
 WINDOW, TIERS, GROUP_TOKENS, STEP_WINDOWS = 2048, (2048, 1024, 512, 256), 1 << 20, 16
@@ -129,6 +129,7 @@ def _pack(path: str, end_id: int, tiers: tuple[int, ...], group_tokens: int, ste
                 if waiting >= group_tokens:
                     yield from flush(False)
                     waiting = 0
+            give_back()  # else a task holds what its largest batches took
         yield from flush(True)
 
     return run

@@ -35,15 +35,20 @@ def _tidy(fn):
             kept("encoders").clear()
             last["id"] = stage
         yield from fn(batches)
-        pa.default_memory_pool().release_unused()
-        try:
-            ctypes.CDLL(None).malloc_trim(0)
-        except (AttributeError, OSError):
-            pass  # another C library than glibc
+        give_back()
 
     return run
 
 
+def give_back() -> None:
+    """Freed memory of this process goes back to the system."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass  # another C library than glibc
+
+
 def join_groups(rows: DataFrame, groups: DataFrame, key: str, size: str, total: int) -> DataFrame:
     """Add the columns of ``groups`` (one row per key, ``size`` rows each in ``rows``) to ``rows``; keys without group go.
 
