@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from brute import FOLD, TEXTS, empty, frame, keep_lines, near, rows, sha, shingles
 
@@ -169,6 +170,70 @@ def test_near_candidates_of_a_large_group_are_few(spark, monkeypatch):
     assert met[0] <= near_module.NEAREST * len(data) and left[0] < 100
 
 
+def test_near_classes_are_sent_once_for_each_left_sub_signature(spark, monkeypatch):
+    """The tables of all pairs are made where equal left sub-signatures meet; what is sent there doesn't grow with their number."""
+    sent, plain_map = [], near_module.map_batches
+    monkeypatch.setattr(near_module, "map_batches", lambda df, fn, schema: (fn is near_module._repeated and sent.append(df.count())) or plain_map(df, fn, schema))
+    data = [(k, " ".join(f"w{k}x{m}" for m in range(40)), None, None, 0) for k in range(30)]
+    assert all(r.kept for r in near_dedup(frame(spark, data)).collect())
+    assert sent == [30 * near_module.BANDS]
+
+
+@pytest.mark.parametrize("kept", [100_000, 5])
+def test_near_buckets_of_sorted_rows(monkeypatch, kept):
+    """Buckets are those of all pairs of a left and a right sub-signature, wherever batches and partitions end."""
+    monkeypatch.setattr(near_module, "KEPT", kept)
+    monkeypatch.setattr(near_module, "BLOCK", 4)
+    rng = random.Random(kept)
+    rows_ = sorted((rng.randrange(12) if rng.random() < 0.8 else 99, k, k - k % rng.choice([1, 1, 4]), 5, [rng.randrange(-3, 3) for _ in range(3)]) for k in range(150))
+    want = {}
+    for key, member, root, _, right in rows_:
+        for j, r in enumerate(right):
+            want.setdefault((key, j, r), set()).add((member, root))
+    want = {frozenset(own) for own in want.values() if len({root for _, root in own}) > 1}
+    kind = pa.schema([("key", pa.int64()), ("class", pa.int64()), ("root", pa.int64()), ("n", pa.int64()), ("right", pa.list_(pa.int32()))])
+    cut, whole, sizes = {}, {}, {}
+    for part in (rows_[:37], [], rows_[37:111], rows_[111:]):
+        batches = [pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*part[k : k + 8], strict=True), kind, strict=True)], schema=kind)
+                   for k in range(0, len(part), 8)]
+        for out in near_module._repeated(iter(batches)):
+            for bucket, member, root, n, large in zip(*(c.to_pylist() for c in out.columns), strict=True):
+                (cut if large is None else whole).setdefault(bucket, set()).add((member, root))
+                sizes[bucket] = large
+                assert n == 5
+    assert all(sizes[bucket] == (len(own) > 4) for bucket, own in whole.items())
+    assert all(len({root for _, root in own}) > 1 for own in whole.values())
+    assert {frozenset(own) for own in [*cut.values(), *whole.values()] if len({root for _, root in own}) > 1} == want
+    assert len(whole) == len({frozenset(own) for own in whole.values()}) and (kept == 5 or len(whole) > 10)
+
+
+def test_near_groups_of_several_buckets_have_one_number():
+    """Members that sketches connect are a bucket of their own, the same one wherever they are together with others."""
+    rng = random.Random(12)
+    number = lambda: rng.randrange(1 << 63)
+    one, two = [number() for _ in range(300)], [number() for _ in range(300)]
+    sets = {10: one, 11: one[2:] + [number()], 20: two, 21: two[3:] + [number()], 30: [number() for _ in range(300)], 40: [number() for _ in range(300)]}
+    value, at = np.array([x for own in sets.values() for x in sorted(own)], np.uint64), np.cumsum([0, *map(len, sets.values())])
+    sketch = dict(zip(sets, near_module._sketches(value, at).to_pylist(), strict=True))
+    rows_ = [(b, c, c, len(sets[c]), sketch[c]) for b, own in ((1, (10, 11, 20, 21, 30)), (2, (10, 11, 40)), (3, (20, 21)), (4, (30, 40))) for c in own]
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows_, strict=True)], ["bucket", "class", "root", "n", "sketch"])
+    got = {}
+    for out in near_module._sketched(80)(iter([batch.slice(0, 6), batch.slice(6)])):
+        for bucket, member, root in zip(*(c.to_pylist() for c in out.columns), strict=True):
+            assert member == root
+            got.setdefault(bucket, set()).add(member)
+    assert sorted(map(sorted, got.values())) == [[10, 11], [20, 21]]
+
+
+def test_near_sets_come_once_when_rows_repeat_an_id(spark):
+    text, other = "a b c d", "e f g"
+    docs = spark.createDataFrame([(1, text), (1, text), (1, other), (2, "a  b C d"), (3, other), (4, "x")], "doc_id long, text string")
+    classes = near_module.map_batches(docs.select("doc_id", "doc_id", "text").toDF("doc_id", "row", "text"), near_module._classes(2, 2, 1), near_module.CLASS)
+    classes = classes.groupBy("class").agg({"doc_id": "min"}).toDF("class", "first_id")
+    got = near_module._sets_of(docs, classes, classes.filter("first_id < 4").select("class"), 2).collect()
+    assert sorted(len(r.set) // 8 for r in got) == [2, 3] and len({r["class"] for r in got}) == 2
+
+
 def test_near_stage_keeps_one_of_each_group(spark):
     data = rows()
     kept = without_near_copies(frame(spark, data))

@@ -8,10 +8,12 @@ Texts with equal sets form a class, and only classes take part.  Classes that sh
 paired with one another.  First come the tables whose two sub-signatures have the same number, BANDS of them: there all meet the
 first and the last class of their bucket, by one of some orders, and each is compared with those that it meets most often, which
 joins groups of near copies.  Members of one component need no further test, so of all tables only buckets with several
-components are left.  A bucket of up to BLOCK members streams through one task twice.  First with a sketch of each set, the parity
-of the number of its shingles in each of some slots: two sketches differ in no more bits than the sets differ in shingles, so
-members whose sketches differ too much from all of other components go, and no link with them.  Then the task compares the full sets
-of members of different components that are left and lets out only links that join two of them.
+components are left.  All tables of one left sub-signature are made where the classes that share it meet: a class is sent there once,
+with its right sub-signatures, and not once for each table.  A bucket of up to BLOCK members streams through one task twice.  First
+with a sketch of each set, the parity of the number of its shingles in each of some slots: two sketches differ in no more bits than
+the sets differ in shingles, so members whose sketches differ too much from all of other components go, and no link with them.  What
+is left falls into groups that sketches connect; a group that several buckets have is compared once.  Then the task compares the full
+sets of members of different components and lets out only links that join two of them.
 
 The members of larger buckets meet by shared shingles.  All shingles are ordered, rare ones first (by a table of counts of fixed
 size: any fixed order gives the same links).  Two similar sets have their first common shingle so early that what lies behind it
@@ -36,7 +38,7 @@ WIDTH, PERCENT, BANDS, ROWS = 2, 80, 14, 3
 ORDERS = 4
 #: Ends of buckets that a class is compared with at most, before all tables are looked at.
 NEAREST = 2
-CLASS = "doc_id long, row long, class long, n_shingles long, left array<long>, right array<long>, sketch binary"
+CLASS = "doc_id long, row long, class long, n_shingles long, left array<int>, right array<int>, sketch binary"
 
 
 def class_of(value: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -47,14 +49,14 @@ def class_of(value: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 
 def _bands(value: np.ndarray, at: np.ndarray, bands: int, rows: int, collection: int) -> np.ndarray:
-    """Hashes of the sub-signatures of one collection: a line for each text."""
-    out = np.zeros((len(at) - 1, bands), dtype=U64)
+    """32-bit hashes of the sub-signatures of one collection, two of which make a key: a line for each text."""
+    out = np.zeros((len(at) - 1, bands), dtype=np.uint32)
     salts, factors = stream(100 + collection, bands * rows), stream(200 + collection, bands * rows) | U64(1)
     for band in range(bands):
         h = np.full(len(at) - 1, band, dtype=U64)
         for k in range(band * rows, (band + 1) * rows):
             h = mix(h + per_text(np.minimum, mix_light(value, salts[k], factors[k]), at))
-        out[:, band] = h
+        out[:, band] = h >> U64(32)
     return out
 
 
@@ -93,7 +95,7 @@ def _classes(width: int, bands: int, rows: int):
                 n = np.diff(at)
                 sides = [_bands(value, at, bands, rows, collection) for collection in (0, 1)]
                 edges = pa.array(np.arange(end - begin + 1, dtype=np.int32) * bands)
-                sides = [pa.ListArray.from_arrays(edges, pa.array(signed(side.ravel()))) for side in sides]
+                sides = [pa.ListArray.from_arrays(edges, pa.array(side.ravel().view(np.int32))) for side in sides]
                 yield pa.RecordBatch.from_arrays(
                     [*(c.slice(begin, end - begin) for c in batch.columns[:2]), pa.array(signed(class_of(value, at)), mask=(n == 0)),
                      pa.array(n.astype(np.int64)), *sides, _sketches(value, at)], ["doc_id", "row", "class", "n_shingles", "left", "right", "sketch"])
@@ -101,46 +103,78 @@ def _classes(width: int, bands: int, rows: int):
     return run
 
 
-#: Rows of one key that are kept to find out whether its bucket is like another.
+#: Rows of one left sub-signature that are kept to find out which of them share a right one.
 KEPT = 100_000
 
 
+def _set_code(total: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Number of a bucket with ``size`` members, the mixed classes of which add up to ``total``."""
+    return signed(mix(total + size.astype(U64)))
+
+
+def _shared(key, member, root, shingles, right):
+    """(bucket, class, root, n, large) of whole groups of a key: those that share a right sub-signature with one of another root."""
+    begin = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+    several = np.minimum.reduceat(root, begin) != np.maximum.reduceat(root, begin)
+    size = np.diff(np.append(begin, len(key)))
+    which, bands = np.flatnonzero(np.repeat(several, size)), right.shape[1]
+    if not len(which):
+        return None
+    table = np.repeat(np.arange(len(size)), size)[which, None] * bands + np.arange(bands)
+    place = ((table.astype(U64) << U64(32)) | right[which]).ravel()
+    order = np.argsort(place)
+    place, who = place[order], which[order // bands]
+    member, root, shingles = member[who], root[who], shingles[who]
+    begin = np.flatnonzero(np.append(True, place[1:] != place[:-1]))
+    size = np.diff(np.append(begin, len(place)))
+    code = _set_code(np.add.reduceat(mix(member.view(U64)), begin), size)
+    large = (size > BLOCK) | (np.add.reduceat(shingles, begin) > BLOCK_SHINGLES)
+    many = np.repeat(np.minimum.reduceat(root, begin) != np.maximum.reduceat(root, begin), size)
+    return [c[many] for c in (np.repeat(code, size), member, root, shingles, np.repeat(large, size))]
+
+
 def _repeated(batches):
-    """Rows (key, class, root, n) sorted by key: those of keys with several roots, by bucket, and whether it is large.
+    """Rows (key, class, root, n, right) sorted by key: buckets with several roots, and whether they are large.
 
-    Buckets with the same members get the same number.  The first and last key of a partition may go on in another one,
-    and very long ones are not kept: these go under their own key, and how large they are is left open.
+    A key stands for a left sub-signature; with each of the right ones it gives a bucket.  Buckets with the same members get
+    the same number.  The first and last key of a partition may go on in another one, and very long ones are not kept: these go
+    under a number made from key and right sub-signature, and how large they are is left open.
     """
 
-    def emit(bucket, rows, large=None):
-        sizes = pa.nulls(len(bucket), pa.bool_()) if large is None else pa.array(large)
-        return pa.RecordBatch.from_arrays([pa.array(bucket), *[pa.array(c) for c in rows], sizes], ["bucket", "class", "root", "n", "large"])
+    def emit(columns):
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["bucket", "class", "root", "n", "large"])
+
+    def cut(key, member, root, shingles, right):
+        for j in range(right.shape[1]):
+            bucket = signed(mix(key.view(U64) ^ mix((right[:, j].astype(U64) << U64(8)) + U64(j))))
+            yield emit([bucket, member, root, shingles, pa.nulls(len(key), pa.bool_())])
 
-    held = [np.zeros(0, np.int64)] * 4
-    passing = None
+    held = passing = None
     for batch in batches:
-        held = [np.concatenate([old, c.to_numpy(zero_copy_only=False)]) for old, c in zip(held, batch.columns, strict=True)]
-        key = held[0]
-        if not len(key):
+        if not batch.num_rows:
             continue
+        fresh = [c.to_numpy(zero_copy_only=False) for c in batch.columns[:4]]
+        fresh.append(batch.column(4).flatten().to_numpy(zero_copy_only=False).view(np.uint32).reshape(batch.num_rows, -1))
+        held = [np.concatenate(pair) for pair in zip(held, fresh, strict=True)] if held else fresh
+        key = held[0]
         passing = key[0] if passing is None else passing
-        n = int(np.argmax(key != passing)) if key[-1] != passing else len(key)
         if key[0] == passing:
-            yield emit(key[:n], [c[:n] for c in held[1:]])
+            n = int(np.argmax(key != passing)) if key[-1] != passing else len(key)
+            yield from cut(*(c[:n] for c in held))
             held = [c[n:] for c in held]
-        key, member, root, shingles = held
-        begin = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
-        if len(begin) > 1:
-            last, starts, size = begin[-1], begin[:-1], np.diff(begin)
-            code = signed(mix(np.add.reduceat(mix(member[:last].view(U64)), starts) + size.astype(U64)))
-            large = (size > BLOCK) | (np.add.reduceat(shingles[:last], starts) > BLOCK_SHINGLES)
-            many = np.repeat(np.minimum.reduceat(root[:last], starts) != np.maximum.reduceat(root[:last], starts), size)
-            yield emit(np.repeat(code, size)[many], [c[:last][many] for c in held[1:]], np.repeat(large, size)[many])
+            key = held[0]
+        if not len(key):
+            continue
+        last = int(np.searchsorted(key, key[-1]))
+        if last:
+            if (found := _shared(*(c[:last] for c in held))) is not None:
+                yield emit(found)
             held = [c[last:] for c in held]
         if len(held[0]) > KEPT:
-            yield emit(held[0], held[1:])
+            yield from cut(*held)
             passing, held = held[0][0], [c[:0] for c in held]
-    yield emit(held[0], held[1:])
+    if held is not None and len(held[0]):
+        yield from cut(*held)
 
 
 def _sets(width: int):
@@ -186,9 +220,8 @@ def _pivot_pairs(classes: DataFrame, percent: int) -> DataFrame:
 
 def _buckets(classes: DataFrame) -> DataFrame:
     """(bucket, class, root, large) of classes (class, root, n, left, right) that share a table key with one of another root."""
-    own = ("class", "root", "n")
-    pairs = classes.select(*own, "left", F.posexplode("right").alias("j", "r")).select(*own, "j", "r", F.posexplode("left").alias("i", "l"))
-    keys = pairs.select(F.xxhash64("i", "l", "j", "r").alias("key"), *own)
+    own = ("class", "root", "n", "right")
+    keys = classes.select(*own, F.posexplode("left").alias("i", "l")).select(F.xxhash64("i", "l").alias("key"), *own)
     # Sorting by key and class lets a key with very many classes spread over partitions.
     ordered = keys.repartitionByRange("key", "class").sortWithinPartitions("key", "class")
     met = write_out(map_batches(ordered, _repeated, "bucket long, class long, root long, n long, large boolean").distinct(), "buckets")
@@ -262,9 +295,10 @@ class _Block:
             may[k] = True
 
 
-def _may_link(percent: int, members: list[int], roots: list[int], sizes: list[int], sketches: list[bytes]) -> np.ndarray:
-    """Which members of a bucket may be similar to one of another root; all that are, are among them."""
-    root, size, out = np.array(roots), np.array(sizes, np.int64), np.zeros(len(members), dtype=bool)
+def _linkable(percent: int, members: list[int], roots: list[int], sizes: list[int], sketches: list[bytes]) -> np.ndarray:
+    """The group of each member of a bucket; similar members of different roots are in one. -1: similar to none of another root."""
+    root, size, group = np.array(roots), np.array(sizes, np.int64), np.arange(len(members))
+    out = np.zeros(len(members), dtype=bool)
     own = [np.frombuffer(x, U64) for x in sketches]
     words = np.array([len(x) for x in own])
     for n in np.unique(words):
@@ -277,15 +311,31 @@ def _may_link(percent: int, members: list[int], roots: list[int], sizes: list[in
             ok[ok] = np.bitwise_count(folded[ok] ^ _folded(own[k], n)).sum(axis=1) <= apart[ok]
             if ok.any():
                 out[k] = out[there[ok]] = True
-    return out
+                one = np.zeros(len(members), dtype=bool)
+                one[group[k]] = one[group[there[ok]]] = True
+                group[one[group]] = np.argmax(one)
+    return np.where(out, group, -1)
+
+
+def _may_link(percent: int, members: list[int], roots: list[int], sizes: list[int], sketches: list[bytes]) -> np.ndarray:
+    """Which members of a bucket may be similar to one of another root; all that are, are among them."""
+    return _linkable(percent, members, roots, sizes, sketches) >= 0
 
 
 def _sketched(percent: int):
-    """Rows (bucket, class, root, n, sketch) sorted by bucket: (bucket, class, root) of those that may be similar to one of another root."""
+    """Rows (bucket, class, root, n, sketch) sorted by bucket: (bucket, class, root) of those that may be similar to one of another root.
+
+    Each group that sketches connect is a bucket of its own, with the same number wherever it has the same members.
+    """
 
-    def left(bucket, held):
-        ok = np.flatnonzero(_may_link(percent, *held))
-        return [(bucket, held[0][k], held[1][k]) for k in ok]
+    def left(held):
+        group = _linkable(percent, *held)
+        ok = np.flatnonzero(group >= 0)
+        total, size = np.zeros(len(group), U64), np.zeros(len(group), np.int64)
+        np.add.at(total, group[ok], mix(np.array(held[0], np.int64)[ok].view(U64)))
+        np.add.at(size, group[ok], 1)
+        code = _set_code(total, size).tolist()
+        return [(code[group[k]], held[0][k], held[1][k]) for k in ok]
 
     def run(batches):
         now, held = None, ([], [], [], [])
@@ -293,12 +343,12 @@ def _sketched(percent: int):
             out = []
             for bucket, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if bucket != now:
-                    out += left(now, held)
+                    out += left(held)
                     now, held = bucket, ([], [], [], [])
                 for column, value in zip(held, row, strict=True):
                     column.append(value)
             yield _rows_of(out)
-        yield _rows_of(left(now, held))
+        yield _rows_of(left(held))
 
     return run
 
@@ -311,7 +361,7 @@ def _may_differ(open_: DataFrame, classes: DataFrame, percent: int) -> DataFrame
     """``open_`` without members of small buckets whose sketches rule out a link with a member of another root."""
     rest = open_.filter("not large").join(classes.select("class", "n", "sketch"), "class").select("bucket", "class", "root", "n", "sketch")
     left = map_batches(rest.repartition("bucket").sortWithinPartitions("bucket", "class"), _sketched(percent), "bucket long, class long, root long")
-    return left.withColumn("large", F.lit(False)).union(open_.filter("large"))
+    return left.distinct().withColumn("large", F.lit(False)).union(open_.filter("large"))
 
 
 def _meet(percent: int):
@@ -432,17 +482,26 @@ def _sets_of(docs: DataFrame, classes: DataFrame, wanted: DataFrame, width: int)
     known = write_out(classes.join(small(wanted, 16), "class", "left_semi").select("class", "first_id"), "known")
     texts = docs.join(small(known.select(F.col("first_id").alias("doc_id")).distinct(), 32), "doc_id", "left_semi").select("text")
     sets = map_batches(texts, _sets(width), "class long, set binary").join(small(known.select("class"), 16), "class", "left_semi")
-    return write_out(sets.dropDuplicates(["class"]), "sets")
+    sets = write_out(sets, "sets")
+    if sets.count() == known.count():
+        return sets
+    # Rows that repeat an id: only sets that came more than once are put together.
+    twice = small(write_out(sets.groupBy("class").count().filter("count > 1").select("class"), "twice"), 16)
+    once = write_out(sets.join(twice, "class", "left_semi").dropDuplicates(["class"]), "sets")
+    return sets.join(twice, "class", "left_anti").union(once)
 
 
 def _links(open_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(a, b) that join the components of the members of each bucket."""
-    rest = open_.filter("not large").join(sets, "class").select("bucket", "class", "root", "set")
+    rest = small(open_.filter("not large").select("bucket", "class", "root"), 24).join(sets, "class").select("bucket", "class", "root", "set")
     links = write_out(map_batches(rest.repartition("bucket").sortWithinPartitions("bucket", "class"), _meet(percent), "a long, b long"), "links")
     if not open_.filter("large").limit(1).count():
         return links
-    large = write_out(open_.filter("large").select("class", "root").distinct().join(sets, "class"), "large")
-    return links.union(_verified(write_out(_by_shingles(large, percent), "pairs"), sets, percent))
+    members = write_out(open_.filter("large").select("class", "root").distinct(), "large")
+    large = write_out(small(members, 24).join(sets, "class"), "large")
+    pairs = write_out(_by_shingles(large, percent), "pairs")
+    ends = write_out(pairs.select(F.col("a").alias("class")).union(pairs.select("b")).distinct(), "ends")
+    return links.union(_verified(pairs, sets.join(small(ends, 16), "class", "left_semi"), percent))
 
 
 def near_classes(docs: DataFrame, width: int, percent: int, bands: int, rows: int) -> tuple[DataFrame, DataFrame]:
